@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analyses this library reproduces work on closed historical files: there
+are no watermarks, event-time windows or stateful operators to provide, so
+this package intentionally holds no operators.  Batch operators apply
+unchanged to a ``readStream`` source inside ``foreachBatch`` when files land
+incrementally.
+"""
