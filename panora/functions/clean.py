@@ -66,7 +66,7 @@ def strip_pattern(col, pattern: str, replacement: str = "") -> Column:
 
 
 def strip_leading_zeros(col) -> Column:
-    return F.ltrim(F.lit("0"), _c(col))
+    return F.ltrim(_c(col), F.lit("0"))
 
 
 def rename_regex(df: DataFrame, pattern: str, replacement: str) -> DataFrame:
