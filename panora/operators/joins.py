@@ -6,10 +6,13 @@ while SQL equality does not.  Every operator takes ``null_keys``:
 are removed before the join, which also keeps NULL-key rows from piling up
 in one shuffle partition).
 
-Broadcasts are never forced on data whose size is unknown: ``small_side``
-checks a row bound with a bounded ``limit().count()`` first and otherwise
-leaves the choice to AQE, which converts a join to a broadcast at run time
-only when the shuffled side really is small.
+Broadcasts are never forced on data whose size is unknown.  By default the
+choice is left to AQE, which measures the shuffled output of each side at run
+time and converts the join to a broadcast only when a side is really below
+``spark.sql.adaptive.autoBroadcastJoinThreshold`` (sort-merge otherwise).  A
+broadcast hint is given only for inputs that are small by construction
+(literal tables, one-row aggregates, per-key tables of a bounded dimension),
+and then only when the caller says so.
 """
 
 from __future__ import annotations
@@ -21,18 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MATCH, DROP = "match", "drop"
-BROADCAST_MAX_ROWS = 1_000_000
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after proving ``rows <= max_rows``.
-
-    The probe reads at most ``max_rows + 1`` rows per partition and stops; on
-    a large side it returns the frame untouched so the planner (sort-merge or
-    an AQE runtime broadcast) decides.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def hinted(df: DataFrame, broadcast: bool | None) -> DataFrame:
+    """``broadcast=True`` only for sides bounded by construction; ``None``
+    leaves the decision to AQE's run-time size measurement."""
+    return F.broadcast(df) if broadcast else df
 
 
 def _keys(on) -> list[str]:
@@ -117,13 +114,12 @@ def align(*frames: DataFrame, keys: Sequence[str], null_keys: str = MATCH,
 
 # --------------------------------------------------------------------------- J3
 def lookup(df: DataFrame, dim: DataFrame, on, right_on=None, cols: Sequence[str] | None = None,
-           max_broadcast_rows: int = BROADCAST_MAX_ROWS, null_keys: str = MATCH) -> DataFrame:
-    """Left lookup join against a dimension (broadcast once its size is proven)."""
+           broadcast: bool | None = None, null_keys: str = MATCH) -> DataFrame:
+    """Left lookup join against a dimension (see module notes on broadcasting)."""
     rk = _keys(right_on) if right_on is not None else _keys(on)
     if cols is not None:
         dim = dim.select(*rk, *[c for c in cols if c not in rk])
-    return join(df, small_side(dim, max_broadcast_rows), on, "left", right_on=right_on,
-                null_keys=null_keys)
+    return join(df, hinted(dim, broadcast), on, "left", right_on=right_on, null_keys=null_keys)
 
 
 # --------------------------------------------------------------------------- J6
@@ -186,42 +182,40 @@ def merge_mm(left: DataFrame, right: DataFrame, key: str, order_left: Sequence,
     """Stata-style m:m merge: rows are paired by position inside each key.
 
     Output has max(n_left, n_right) rows per key; the shorter side repeats its
-    last row.  Implemented with two equi-joins on (key, position), so no key
-    ever expands into all pairs.  ``order_*`` make the positions
-    deterministic (the reference relied on storage order).
+    last row.  Implemented with equi-joins on (key, position), so no key ever
+    expands into all pairs.  ``order_*`` make the positions deterministic
+    (the reference relied on storage order).
     """
     if null_keys == DROP:
         left, right = _drop_null_keys(left, [key]), _drop_null_keys(right, [key])
-    wl = _position(left, key, order_left, "__pl", "__nl")
-    wr = _position(right, key, order_right, "__pr", "__nr")
     lcols = [c for c in left.columns if c != key]
     rcols = [c for c in right.columns if c != key]
     _check_clash([left.drop(key), right.drop(key)], [])
-    nr = wr.select(F.col(key).alias("__k"), "__nr").distinct()
-    nl = wl.select(F.col(key).alias("__k"), "__nl").distinct()
+    wl = _position(left, key, order_left, "__pl").withColumnRenamed(key, "__kl")
+    wr = _position(right, key, order_right, "__pr").withColumnRenamed(key, "__kr")
+    nl = wl.groupBy(F.col("__kl").alias("__knl")).agg(F.count(F.lit(1)).alias("__nl"))
+    nr = wr.groupBy(F.col("__kr").alias("__knr")).agg(F.count(F.lit(1)).alias("__nr"))
     # every left row pairs with right row min(position, n_right)
-    a = (wl.join(nr, wl[key].eqNullSafe(nr["__k"]), "left")
-         .withColumn("__t", F.least(F.col("__pl"), F.col("__nr")))
-         .drop("__k", "__nr"))
-    ra = wr.select(F.col(key).alias("__k"), F.col("__pr").alias("__t"), *rcols)
-    part_a = a.join(ra, a[key].eqNullSafe(ra["__k"]) & (a["__t"] == ra["__t"]), "left") \
-        .select(a[key], *[a[c] for c in lcols], *[ra[c] for c in rcols])
+    a = (wl.join(nr, F.col("__kl").eqNullSafe(F.col("__knr")), "left")
+         .select("__kl", *lcols, F.least("__pl", "__nr").alias("__t")))
+    ra = wr.select(F.col("__kr").alias("__ka"), F.col("__pr").alias("__ta"), *rcols)
+    part_a = (a.join(ra, F.col("__kl").eqNullSafe(F.col("__ka")) & (F.col("__t") == F.col("__ta")), "left")
+              .select(F.col("__kl").alias(key), *lcols, *rcols))
     # right rows beyond n_left pair with the last left row
-    b = (wr.join(nl, wr[key].eqNullSafe(nl["__k"]), "left")
+    b = (wr.join(nl, F.col("__kr").eqNullSafe(F.col("__knl")), "left")
          .filter(F.col("__pr") > F.coalesce(F.col("__nl"), F.lit(0)))
-         .withColumn("__t", F.col("__nl")).drop("__k", "__nl"))
-    lb = wl.select(F.col(key).alias("__k"), F.col("__pl").alias("__t"), *lcols)
-    part_b = b.join(lb, b[key].eqNullSafe(lb["__k"]) & (b["__t"] == lb["__t"]), "left") \
-        .select(b[key], *[lb[c] for c in lcols], *[b[c] for c in rcols])
+         .select("__kr", *rcols, F.col("__nl").alias("__t")))
+    lb = wl.select(F.col("__kl").alias("__kb"), F.col("__pl").alias("__tb"), *lcols)
+    part_b = (b.join(lb, F.col("__kr").eqNullSafe(F.col("__kb")) & (F.col("__t") == F.col("__tb")), "left")
+              .select(F.col("__kr").alias(key), *lcols, *rcols))
     return part_a.unionByName(part_b)
 
 
-def _position(df: DataFrame, key: str, order: Sequence, pos: str, cnt: str) -> DataFrame:
+def _position(df: DataFrame, key: str, order: Sequence, pos: str) -> DataFrame:
+    """Row position inside each key under an explicit order."""
     from pyspark.sql import Window
     order = [F.col(o) if isinstance(o, str) else o for o in order]
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn(pos, F.row_number().over(w)) \
-             .withColumn(cnt, F.count(F.lit(1)).over(Window.partitionBy(key)))
+    return df.withColumn(pos, F.row_number().over(Window.partitionBy(key).orderBy(*order)))
 
 
 # --------------------------------------------------------------------------- J10
@@ -300,10 +294,10 @@ def fill_balanced(df: DataFrame, entity: str, time: str, fill: Mapping[str, obje
 
 # --------------------------------------------------------------------------- J14
 def link(df: DataFrame, other: DataFrame, keys, cols: Sequence[str],
-         max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+         broadcast: bool | None = None) -> DataFrame:
     """Attach ``cols`` from a linked table m:1 (frame link + frame get)."""
     keys = _keys(keys)
     dup = other.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count()
     if dup:
         raise ValueError(f"link: linked table is not unique on {keys}")
-    return lookup(df, other, keys, cols=cols, max_broadcast_rows=max_broadcast_rows)
+    return lookup(df, other, keys, cols=cols, broadcast=broadcast)
