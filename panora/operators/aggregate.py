@@ -32,6 +32,12 @@ FUNCS: dict[str, AggFn] = {
 }
 
 
+def percentile_disc(col: str, p: float) -> Column:
+    """Exact discrete percentile: the smallest value whose cumulative share is
+    >= p (``percentile_disc(p) WITHIN GROUP (ORDER BY col)``)."""
+    return F.expr(f"percentile_disc({float(p)!r}D) WITHIN GROUP (ORDER BY `{col}`)")
+
+
 def _fn(f) -> AggFn:
     return FUNCS[f] if isinstance(f, str) else f
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panora.functions.dist import f_sf, t_sf2
-from panora.operators.aggregate import MAD_SCALE
+from panora.operators.aggregate import MAD_SCALE, percentile_disc
 
 
 def _long(wide: DataFrame, cols: Sequence[str], stats: Sequence[str],
@@ -52,7 +52,7 @@ def stata_percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]
             continue
         plans[c] = _order_stat_plan(n, probs)
         for r in sorted({r for p in plans[c] for r in p}):
-            exprs.append(F.percentile_disc(F.col(c), (r - 0.5) / n).alias(f"{c}__r{r}"))
+            exprs.append(percentile_disc(c, (r - 0.5) / n).alias(f"{c}__r{r}"))
     row = df.agg(*exprs).first().asDict() if exprs else {}
     out = {}
     for c in cols:
@@ -123,8 +123,8 @@ def trimmed_means(df: DataFrame, cols: Sequence[str], trim: float = 0.1) -> Data
         n, k = ns[c], ks[c]
         if not n:
             continue
-        ex += [F.percentile_disc(F.col(c), (k + 0.5) / n).alias(f"{c}__a"),
-               F.percentile_disc(F.col(c), (n - k - 0.5) / n).alias(f"{c}__b")]
+        ex += [percentile_disc(c, (k + 0.5) / n).alias(f"{c}__a"),
+               percentile_disc(c, (n - k - 0.5) / n).alias(f"{c}__b")]
     ab = df.agg(*ex).first().asDict() if ex else {}
     ex2 = []
     for c in cols:

@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panora.operators.aggregate import FUNCS
+from panora.operators.aggregate import FUNCS, percentile_disc
 
 
 def _by(by) -> list[str]:
@@ -114,7 +114,7 @@ def xtile_cuts(df: DataFrame, col: str, nq: int) -> list[float]:
             plan.append((r,))
             need[r] = None
     ranks = sorted(need)
-    exprs = [F.percentile_disc(F.col(col), (r - 0.5) / n).alias(f"r{r}") for r in ranks]
+    exprs = [percentile_disc(col, (r - 0.5) / n).alias(f"r{r}") for r in ranks]
     row = df.agg(*exprs).first()
     val = {r: row[f"r{r}"] for r in ranks}
     return [(val[p[0]] + val[p[1]]) / 2.0 if len(p) == 2 else float(val[p[0]]) for p in plan]
