@@ -22,10 +22,14 @@ from panora.operators.aggregate import MAD_SCALE, percentile_disc
 
 def _long(wide: DataFrame, cols: Sequence[str], stats: Sequence[str],
           var: str = "variable") -> DataFrame:
-    """Turn ``{col}__{stat}`` columns of a one-row frame into (variable, stats...)."""
-    parts = [wide.select(F.lit(c).alias(var), *[F.col(f"{c}__{s}").alias(s) for s in stats])
-             for c in cols]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """Turn ``{col}__{stat}`` columns of a one-row frame into (variable, stats...).
+
+    One projection (``inline`` of an array of structs), so the aggregate
+    feeding it is computed once rather than once per variable.
+    """
+    rows = [F.struct(F.lit(c).alias(var), *[F.col(f"{c}__{s}").alias(s) for s in stats])
+            for c in cols]
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def _order_stat_plan(n: int, probs: Sequence[float]) -> list[tuple[int, ...]]:
@@ -163,11 +167,11 @@ def codebook(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
                (F.count(F.lit(1)) - F.count(x)).alias(f"{c}__n_missing"),
                F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__sd")]
     wide = df.agg(*ex)
-    long = reduce(lambda a, b: a.unionByName(b), [
-        wide.select(F.lit(c).alias("variable"), F.lit(types[c]).alias("type"),
-                    *[F.col(f"{c}__{s}").alias(s) for s in
-                      ("min", "max", "n_distinct", "n_missing", "mean", "sd")],
-                    F.col("__total").alias("n_total")) for c in cols])
+    long = wide.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("variable"), F.lit(types[c]).alias("type"),
+                 *[F.col(f"{c}__{s}").alias(s) for s in
+                   ("min", "max", "n_distinct", "n_missing", "mean", "sd")],
+                 F.col("__total").alias("n_total")) for c in cols])))
     pct = stata_percentiles(df, cols, CODEBOOK_PROBS)
     spark = df.sparkSession
     prow = spark.createDataFrame(
@@ -256,42 +260,56 @@ def welch_test(df: DataFrame, group: str, cols: Sequence[str], levels: Sequence
 
 
 # --------------------------------------------------------------------------- D7
-def average_ranks(df: DataFrame, col: str, out: str | None = None,
-                  buckets: int = 64) -> DataFrame:
-    """Average (tie-sharing) rank of ``col`` for every row, computed distributed.
+def rank_tables(df: DataFrame, cols: Sequence[str], buckets: int = 64) -> dict[str, DataFrame]:
+    """(value -> average rank) table of each column, computed distributed.
 
-    1. value counts (one row per distinct value, partial aggregation);
-    2. approximate quantiles of the values split them into ``buckets`` ranges;
+    1. value counts per column (one row per distinct value, partial aggregation);
+    2. approximate quantiles of every column (one job for all columns) split
+       the values into ``buckets`` ranges;
     3. bucket totals -> offsets (a tiny table of ``buckets`` rows);
-    4. running counts inside each bucket (window partitioned by bucket);
-    5. the (value -> rank) table is joined back on the value.
+    4. running counts inside each bucket (window partitioned by bucket).
+    Ties share the average of the ranks they span.
     """
-    out = out or f"{col}_rank"
-    vc = df.groupBy(col).agg(F.count(F.lit(1)).alias("__c")).where(F.col(col).isNotNull())
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = vc.select(F.percentile_approx(col, probs, 10000)).first()[0] or []
-    cuts = sorted(set(cuts))
-    b = F.lit(len(cuts))
-    for i in range(len(cuts) - 1, -1, -1):
-        b = F.when(F.col(col) <= F.lit(cuts[i]), F.lit(i)).otherwise(b)
-    vc = vc.withColumn("__b", b)
-    tot = vc.groupBy("__b").agg(F.sum("__c").alias("__tot"))
-    off = tot.select("__b", (F.sum("__tot").over(Window.orderBy("__b")) - F.col("__tot"))
-                     .alias("__off"))
-    w = Window.partitionBy("__b").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (vc.join(F.broadcast(off), "__b")
-              .withColumn("__hi", F.col("__off") + F.sum("__c").over(w))
-              .select(col, ((F.col("__hi") * 2 - F.col("__c") + 1) / 2.0).alias(out)))
-    return df.join(ranked, col, "left")
+    row = df.agg(*[F.percentile_approx(c, probs, 10000).alias(c) for c in cols]).first()
+    out = {}
+    for c in cols:
+        cuts = sorted(set(row[c] or []))
+        vc = df.groupBy(c).agg(F.count(F.lit(1)).alias("__c")).where(F.col(c).isNotNull())
+        b = F.lit(len(cuts))
+        for i in range(len(cuts) - 1, -1, -1):
+            b = F.when(F.col(c) <= F.lit(cuts[i]), F.lit(i)).otherwise(b)
+        vc = vc.withColumn("__b", b)
+        tot = vc.groupBy("__b").agg(F.sum("__c").alias("__tot"))
+        off = tot.select("__b", (F.sum("__tot").over(Window.orderBy("__b")) - F.col("__tot"))
+                         .alias("__off"))
+        w = Window.partitionBy("__b").orderBy(c).rowsBetween(Window.unboundedPreceding, 0)
+        out[c] = (vc.join(F.broadcast(off), "__b")  # at most `buckets` rows
+                  .withColumn("__hi", F.col("__off") + F.sum("__c").over(w))
+                  .select(c, ((F.col("__hi") * 2 - F.col("__c") + 1) / 2.0).alias("__rank")))
+    return out
+
+
+def average_ranks(df: DataFrame, cols: Sequence[str] | str, template: str = "{col}_rank",
+                  buckets: int = 64) -> DataFrame:
+    """Attach the average (tie-sharing) rank of each column to every row.
+
+    Every rank table is built from the same input and joined back on the value
+    (AQE splits a hot value's partition if one value dominates).
+    """
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    out = df
+    for c, t in rank_tables(df, cols, buckets).items():
+        out = out.join(t.withColumnRenamed("__rank", template.format(col=c)), c, "left")
+    return out
 
 
 def spearman(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Spearman correlation matrix (long), complete cases only."""
     cols = list(cols)
     d = df.select(*cols).dropna()
-    for c in cols:
-        d = average_ranks(d, c, f"__r_{c}")
-    return pearson(d, [f"__r_{c}" for c in cols], names=cols, with_p=False)
+    r = average_ranks(d, cols, template="__r_{col}")
+    return pearson(r, [f"__r_{c}" for c in cols], names=cols, with_p=False)
 
 
 # --------------------------------------------------------------------------- D8
@@ -304,12 +322,12 @@ def pearson(df: DataFrame, cols: Sequence[str], names: Sequence[str] | None = No
     ex = [F.count(F.lit(1)).alias("__n")]
     ex += [F.corr(cols[i], cols[j]).alias(f"__r{i}_{j}") for i, j in pairs if i < j]
     wide = d.agg(*ex)
-    parts = []
+    rows = []
     for i, j in pairs:
         r = F.lit(1.0) if i == j else F.col(f"__r{min(i, j)}_{max(i, j)}")
-        parts.append(wide.select(F.lit(names[i]).alias("var1"), F.lit(names[j]).alias("var2"),
-                                 r.alias("r"), F.col("__n").alias("n")))
-    long = reduce(lambda a, b: a.unionByName(b), parts)
+        rows.append(F.struct(F.lit(names[i]).alias("var1"), F.lit(names[j]).alias("var2"),
+                             r.alias("r"), F.col("__n").alias("n")))
+    long = wide.select(F.inline(F.array(*rows)))
     if not with_p:
         return long
     rows = long.collect()  # k*k rows
@@ -388,10 +406,9 @@ def panel_structure(df: DataFrame, entity: str, time: str) -> DataFrame:
 
 def participation_patterns(df: DataFrame, entity: str, time: str) -> DataFrame:
     """Participation patterns: '1' present / '.' absent over the period range."""
-    lo = df.select(F.min(time)).scalar()
-    hi = df.select(F.max(time)).scalar()
+    lo, hi = df.agg(F.min(time), F.max(time)).first()  # two scalars
     per = df.groupBy(entity).agg(F.collect_set(time).alias("__s"))
-    pat = F.array_join(F.transform(F.sequence(lo, hi),
+    pat = F.array_join(F.transform(F.sequence(F.lit(lo), F.lit(hi)),
                                    lambda t: F.when(F.array_contains("__s", t), "1").otherwise(".")), "")
     return per.select(pat.alias("pattern")).groupBy("pattern").agg(
         F.count(F.lit(1)).alias("n_entities"))
