@@ -25,11 +25,11 @@ from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panora.functions.dist import f_sf, stars, t_ppf, t_sf2
+from panora.sources.writers import cut_lineage
 
 AGG_MAX_COLS = 24          # up to this many design columns: one codegen'd agg
 MAX_FACTOR_LEVELS = 5_000  # bound on levels of an i.var expansion
@@ -67,32 +67,34 @@ def _strip(v: str) -> str:
 def parse_terms(terms: Sequence[str], levels: Mapping[str, Sequence] | None = None) -> list[Term]:
     """Expand Stata-like factor notation into design terms.
 
-    ``x`` / ``c.x``: the column; ``a##b``: a, b and a#b; ``a#b``: product only;
-    ``i.g``: one indicator per level of g except the lowest (base) level, which
-    needs ``levels[g]``.  Duplicates keep their first position.
+    ``x`` / ``c.x``: the column; ``i.g``: one indicator per level of g except
+    the lowest (base) level, which needs ``levels[g]``; ``a#b``: products of
+    the parts (an ``i.`` part expands into its non-base levels); ``a##b``: all
+    main effects and interactions.  Duplicates keep their first position.
     """
+    from itertools import product
     levels = levels or {}
+
+    def alternatives(part: str) -> list[tuple]:
+        if part.startswith("i."):
+            g = part[2:]
+            return [("i", g, lv) for lv in list(levels[g])[1:]]
+        return [("v", _strip(part))]
+
+    def fname(f: tuple) -> str:
+        return f"{f[2]}.{f[1]}" if f[0] == "i" else f[1]
+
     out: dict[str, Term] = {}
     for t in terms:
-        if t.startswith("i.") and "#" not in t:
-            g = t[2:]
-            for lv in list(levels[g])[1:]:
-                nm = f"{lv}.{g}"
-                out.setdefault(nm, Term(nm, (("i", g, lv),)))
-            continue
         if "##" in t:
-            parts = [_strip(p) for p in t.split("##")]
-            for r in range(1, len(parts) + 1):
-                for combo in combinations(parts, r):
-                    nm = "#".join(combo)
-                    out.setdefault(nm, Term(nm, tuple(("v", c) for c in combo)))
-        elif "#" in t:
-            parts = [_strip(p) for p in t.split("#")]
-            nm = "#".join(parts)
-            out.setdefault(nm, Term(nm, tuple(("v", c) for c in parts)))
+            parts = t.split("##")
+            groups = [c for r in range(1, len(parts) + 1) for c in combinations(parts, r)]
         else:
-            nm = _strip(t)
-            out.setdefault(nm, Term(nm, (("v", nm),)))
+            groups = [tuple(t.split("#"))]
+        for g in groups:
+            for combo in product(*[alternatives(p) for p in g]):
+                nm = "#".join(fname(f) for f in combo)
+                out.setdefault(nm, Term(nm, tuple(combo)))
     return list(out.values())
 
 
@@ -104,8 +106,13 @@ def factor_levels(df: DataFrame, var: str, max_levels: int = MAX_FACTOR_LEVELS)
     return [r[0] for r in rows]
 
 
+def _factor_vars(terms: Sequence[str]) -> list[str]:
+    return list(dict.fromkeys(p[2:] for t in terms for p in t.replace("##", "#").split("#")
+                              if p.startswith("i.")))
+
+
 def _needed_levels(df: DataFrame, terms: Sequence[str]) -> dict:
-    return {t[2:]: factor_levels(df, t[2:]) for t in terms if t.startswith("i.") and "#" not in t}
+    return {g: factor_levels(df, g) for g in _factor_vars(terms)}
 
 
 def _raw_vars(terms: Sequence[str]) -> list[str]:
@@ -170,6 +177,63 @@ def moments(df: DataFrame, cols: Sequence[str], sums: Sequence[str] = (),
     return g, s, n
 
 
+def block_grams(df: DataFrame, groups: Sequence[Sequence[str]], weights: Sequence[str | None] | None = None,
+                max_agg_exprs: int = 300) -> list[np.ndarray]:
+    """(w_g Z_g)'(w_g Z_g) for several column groups in one pass over ``df``.
+
+    ``weights[g]`` names a column multiplying every column of group g (the
+    residual for a robust meat), or is None.  One ``agg`` of sum-of-product
+    expressions while the expression count is small (pure JVM codegen);
+    otherwise one ``mapInPandas`` pass whose tasks emit each partition's
+    flattened blocks, summed by index (only block entries reach the driver).
+    """
+    groups = [list(g) for g in groups]
+    weights = list(weights) if weights is not None else [None] * len(groups)
+    tri = [np.triu_indices(len(g)) for g in groups]
+    sizes = [len(t[0]) for t in tri]
+    if sum(sizes) <= max_agg_exprs:
+        ex = []
+        for k, (g, t, w) in enumerate(zip(groups, tri, weights)):
+            ww = (F.col(w) * F.col(w)) if w else F.lit(1.0)
+            ex += [F.sum(F.col(g[i]) * F.col(g[j]) * ww).alias(f"b{k}_{i}_{j}") for i, j in zip(*t)]
+        row = df.agg(*ex).first()
+        flat = [np.array([row[f"b{k}_{i}_{j}"] or 0.0 for i, j in zip(*t)])
+                for k, t in enumerate(tri)]
+    else:
+        import pandas as pd
+        names = list(dict.fromkeys([c for g in groups for c in g] + [w for w in weights if w]))
+        pos = [[names.index(c) for c in g] for g in groups]
+        wpos = [names.index(w) if w else None for w in weights]
+        total = sum(sizes)
+
+        def part(it):
+            acc = [np.zeros((len(g), len(g))) for g in groups]
+            for pdf in it:
+                z = pdf[names].to_numpy(dtype=float)
+                for k, idx in enumerate(pos):
+                    x = z[:, idx]
+                    if wpos[k] is not None:
+                        x = x * z[:, [wpos[k]]]
+                    acc[k] += x.T @ x
+            flat_ = np.concatenate([a[t] for a, t in zip(acc, tri)])
+            yield pd.DataFrame({"i": np.arange(total, dtype="int32"), "v": flat_})
+
+        m = (df.select(*names).mapInPandas(part, "i int, v double")
+             .groupBy("i").agg(F.sum("v").alias("v")))
+        vals = {r["i"]: r["v"] for r in m.collect()}
+        allv = np.array([vals.get(i, 0.0) for i in range(total)])
+        flat, o = [], 0
+        for sz in sizes:
+            flat.append(allv[o:o + sz])
+            o += sz
+    out = []
+    for g, t, f in zip(groups, tri, flat):
+        M = np.zeros((len(g), len(g)))
+        M[t] = f
+        out.append(M + np.triu(M, 1).T)
+    return out
+
+
 # --------------------------------------------------------------------------- algebra
 def select_columns(g: np.ndarray, order: Sequence[int], tol: float = COLLINEAR_TOL) -> list[int]:
     """Incremental Cholesky in ``order``; a column whose residual variance is
@@ -222,6 +286,7 @@ class Fit:
     has_cons: bool
     tests: list[dict] = field(default_factory=list)
     xbar: np.ndarray | None = None
+    term_objs: list = field(default_factory=list)
 
     @property
     def names(self) -> list[str]:
@@ -245,10 +310,13 @@ class Fit:
         return rows
 
     def stats_row(self) -> tuple:
-        return (self.model_id, self.depvar, self.n, self.n_groups,
-                None if self.n_groups is None else self.n_groups - 1, self.df_r, self.k,
-                self.r2, self.r2_adj, self.r2_within, self.rmse, self.f, self.f_p, self.vce,
-                self.absorb)
+        def num(v):
+            return None if v is None else float(v)
+        return (self.model_id, self.depvar, int(self.n),
+                None if self.n_groups is None else int(self.n_groups),
+                None if self.n_groups is None else int(self.n_groups) - 1, int(self.df_r),
+                int(self.k), num(self.r2), num(self.r2_adj), num(self.r2_within), num(self.rmse),
+                num(self.f), num(self.f_p), self.vce, self.absorb)
 
 
 COEF_SCHEMA = ("model_id string, depvar string, term string, coef double, se double, t double, "
@@ -270,8 +338,15 @@ class _Spec:
 
 def _prepare(df: DataFrame, ys: Sequence[str], term_union: Sequence[Term], absorb: str | None,
              extra: Sequence[str], materialize: bool):
-    """Sample -> frame with raw columns __y{i}, __x{j}, squares __q{i} and the
-    demeaned copies __d__y{i}, __d__x{j} (by entity, or by the grand mean)."""
+    """Sample -> frame with raw columns __y{i}, __x{j}, squares __q{i}, the
+    inverse group size __inv and the demeaned copies __d__y{i}, __d__x{j}
+    (by entity, or by the grand mean when nothing is absorbed).
+
+    The per-entity means table (one row per entity) is the only thing
+    materialised; the demeaned design is a join of two plain scans that the
+    moment and meat passes stream again (broadcast when the means table is
+    small, sort-merge otherwise), so no N x p copy is ever stored.
+    """
     raw = list(dict.fromkeys(list(ys) + [v for t in term_union for v in t.variables] + list(extra)
                              + ([absorb] if absorb else [])))
     sample = df.select(*raw).dropna(how="any")
@@ -280,15 +355,16 @@ def _prepare(df: DataFrame, ys: Sequence[str], term_union: Sequence[Term], absor
     names = list(cols)
     key = F.col(absorb) if absorb else F.lit(0)
     z = sample.select(key.alias("__g"), *[c.alias(n) for n, c in cols.items()])
-    means = z.groupBy("__g").agg(*[F.avg(n).alias(f"__m{n}") for n in names])
+    means = z.groupBy("__g").agg(*[F.avg(n).alias(f"__m{n}") for n in names],
+                                 (F.lit(1.0) / F.count(F.lit(1))).alias("__inv"))
+    if materialize:
+        means = cut_lineage(means, how="parquet")
     if not absorb:
         means = F.broadcast(means)  # one row by construction
     squares = [(F.col(f"__y{i}") * F.col(f"__y{i}")).alias(f"__q{i}") for i in range(len(ys))]
     d = z.join(means, "__g").select(
-        "__g", *[F.col(n) for n in names], *squares,
+        "__g", "__inv", *[F.col(n) for n in names], *squares,
         *[(F.col(n) - F.col(f"__m{n}")).alias(f"__d{n}") for n in names])
-    if materialize:
-        d = d.persist(StorageLevel.MEMORY_AND_DISK)
     return d, names
 
 
@@ -371,10 +447,14 @@ def fit_many(df: DataFrame, specs: Sequence[tuple[str, str, Sequence[str]]], abs
     """
     tests = tests or {}
     all_terms_txt = [t for _, _, ts in specs for t in ts]
-    raw = _raw_vars([t for t in all_terms_txt if not (t.startswith("i.") and "#" not in t)])
-    fvars = [t[2:] for t in all_terms_txt if t.startswith("i.") and "#" not in t]
+    raw = _raw_vars(all_terms_txt)
     ys = list(dict.fromkeys(y for _, y, _ in specs))
-    base = df.select(*dict.fromkeys(ys + raw + fvars + ([absorb] if absorb else []))).dropna(how="any")
+    base = df.select(*dict.fromkeys(ys + raw + ([absorb] if absorb else []))).dropna(how="any")
+    if materialize:
+        # the sample is read by the level scan, the moment pass and the meat
+        # pass: write it once to the shared checkpoint folder, which also cuts
+        # the lineage so every later plan is analysed against a plain scan
+        base = cut_lineage(base, how="parquet")
     levels = _needed_levels(base, all_terms_txt)
     union: list[Term] = []
     per_model: list[list[int]] = []
@@ -386,85 +466,65 @@ def fit_many(df: DataFrame, specs: Sequence[tuple[str, str, Sequence[str]]], abs
             idx.append(union.index(t))
         per_model.append(idx)
     d, names = _prepare(base, ys, union, absorb, [], materialize)
-    try:
-        p_x = len(union)
-        dcols = [f"__d__x{j}" for j in range(p_x)] + [f"__d__y{i}" for i in range(len(ys))]
-        rawcols = ([f"__x{j}" for j in range(p_x)] + [f"__y{i}" for i in range(len(ys))]
-                   + [f"__q{i}" for i in range(len(ys))])
-        g, sums, n = moments(d, dcols, rawcols)
-        n_groups = d.select(F.count_distinct("__g")).first()[0] if absorb else 1
-        # first solve every model (slopes only) to build residual expressions
-        prelim = []
-        for (mid, y, ts), tidx in zip(specs, per_model):
-            yi = ys.index(y)
-            Gxx = g[np.ix_(tidx, tidx)]
-            kept = select_columns(Gxx, list(range(len(tidx))))
-            b = np.zeros(len(tidx))
-            if kept:
-                b[kept] = np.linalg.solve(Gxx[np.ix_(kept, kept)], g[np.ix_(tidx, [p_x + yi])].ravel()[kept])
-            prelim.append((yi, tidx, kept, b))
-        meats: list[np.ndarray | None] = [None] * len(specs)
-        if vce == "robust":
-            meat_cols, layout = {}, []
-            for m, (yi, tidx, kept, b) in enumerate(prelim):
-                e = F.col(f"__d__y{yi}")
-                for jl in kept:
-                    e = e - F.lit(float(b[jl])) * F.col(f"__d__x{tidx[jl]}")
-                cols_m = []
-                for jl in kept:
-                    nm = f"__w{m}_{jl}"
-                    meat_cols[nm] = F.col(f"__d__x{tidx[jl]}") * e
-                    cols_m.append(nm)
-                nm_e = f"__w{m}_e"
-                meat_cols[nm_e] = e
-                cols_m.append(nm_e)
-                layout.append(cols_m)
-            w = d.select(*[c.alias(nm) for nm, c in meat_cols.items()])
-            if sum(len(c) for c in layout) <= AGG_MAX_COLS * 2 and len(specs) > 1:
-                ex = []
-                for m, cols_m in enumerate(layout):
-                    ex += [F.sum(F.col(a) * F.col(b2)).alias(f"m{m}_{i}_{j}")
-                           for i, a in enumerate(cols_m) for j, b2 in enumerate(cols_m) if j >= i]
-                row = w.agg(*ex).first()
-                for m, cols_m in enumerate(layout):
-                    q = len(cols_m)
-                    M = np.zeros((q, q))
-                    for i in range(q):
-                        for j in range(i, q):
-                            M[i, j] = M[j, i] = row[f"m{m}_{i}_{j}"] or 0.0
-                    meats[m] = M
-            else:
-                for m, cols_m in enumerate(layout):
-                    meats[m] = moments(w, cols_m)[0]
-        fits = []
-        for m, ((mid, y, ts), (yi, tidx, kept, b)) in enumerate(zip(specs, prelim)):
-            coef, V, omitted, rss, k, df_r, xbar, ybar = _fit_from_moments(
-                _Spec(mid, y, list(ts)), yi, tidx, union, g, sums, n, n_groups, absorb, vce,
-                meats[m], p_x)
-            syy = float(sums[p_x + len(ys) + yi])
-            tss = syy - n * ybar * ybar
-            r2 = 1.0 - rss / tss if tss > 0 else float("nan")
-            r2_adj = 1.0 - (1.0 - r2) * (n - 1) / df_r if df_r > 0 else float("nan")
-            yty_w = g[p_x + yi, p_x + yi]
-            r2_w = 1.0 - rss / yty_w if absorb and yty_w > 0 else None
-            rmse = math.sqrt(rss / df_r) if df_r > 0 else float("nan")
-            slope_idx = [j for j in range(len(tidx)) if not omitted[j]]
-            fstat, fp, _ = _wald(coef, V, slope_idx, df_r)
-            names_m = [union[j].name for j in tidx]
-            fit = Fit(mid, y, names_m, coef, V, omitted, n, n_groups if absorb else None, df_r, k,
-                      r2, r2_adj, r2_w, rmse, fstat, fp, vce, absorb, True, xbar=xbar)
-            for tname, tterms in (tests.get(mid) or []):
-                ids = [names_m.index(t) for t in tterms if t in names_m and not omitted[names_m.index(t)]]
-                st, pv, q = _wald(coef, V, ids, df_r)
-                fit.tests.append({"test": tname, "q": q, "f": st, "p": pv})
-            if not report_cons:
-                fit.has_cons = False
-                fit.coef, fit.vcov, fit.omitted = coef[:-1], V[:-1, :-1], omitted[:-1]
-            fits.append(fit)
-        return fits
-    finally:
-        if materialize:
-            d.unpersist()
+    p_x = len(union)
+    dcols = [f"__d__x{j}" for j in range(p_x)] + [f"__d__y{i}" for i in range(len(ys))]
+    rawcols = ([f"__x{j}" for j in range(p_x)] + [f"__y{i}" for i in range(len(ys))]
+               + [f"__q{i}" for i in range(len(ys))] + ["__inv"])
+    g, sums, n = moments(d, dcols, rawcols)
+    # each group contributes n_i * (1 / n_i) = 1 to the sum of __inv
+    n_groups = int(round(sums[-1])) if absorb else 1
+    # first solve every model (slopes only) to build residual expressions
+    prelim = []
+    for (mid, y, ts), tidx in zip(specs, per_model):
+        yi = ys.index(y)
+        Gxx = g[np.ix_(tidx, tidx)]
+        kept = select_columns(Gxx, list(range(len(tidx))))
+        b = np.zeros(len(tidx))
+        if kept:
+            b[kept] = np.linalg.solve(Gxx[np.ix_(kept, kept)], g[np.ix_(tidx, [p_x + yi])].ravel()[kept])
+        prelim.append((yi, tidx, kept, b))
+    meats: list[np.ndarray | None] = [None] * len(specs)
+    if vce == "robust":
+        # residual of every model as one named column; the meat of model m
+        # is the Gram of [x~_kept, 1] weighted by e_m
+        resid = {}
+        for m, (yi, tidx, kept, b) in enumerate(prelim):
+            e = F.col(f"__d__y{yi}")
+            for jl in kept:
+                e = e - F.lit(float(b[jl])) * F.col(f"__d__x{tidx[jl]}")
+            resid[f"__e{m}"] = e
+        w = d.select(*[F.col(c) for c in dcols], F.lit(1.0).alias("__one"),
+                     *[c.alias(nm) for nm, c in resid.items()])
+        layout = [[f"__d__x{tidx[jl]}" for jl in kept] + ["__one"]
+                  for (yi, tidx, kept, b) in prelim]
+        meats = block_grams(w, layout, [f"__e{m}" for m in range(len(prelim))])
+    fits = []
+    for m, ((mid, y, ts), (yi, tidx, kept, b)) in enumerate(zip(specs, prelim)):
+        coef, V, omitted, rss, k, df_r, xbar, ybar = _fit_from_moments(
+            _Spec(mid, y, list(ts)), yi, tidx, union, g, sums, n, n_groups, absorb, vce,
+            meats[m], p_x)
+        syy = float(sums[p_x + len(ys) + yi])
+        tss = syy - n * ybar * ybar
+        r2 = 1.0 - rss / tss if tss > 0 else float("nan")
+        r2_adj = 1.0 - (1.0 - r2) * (n - 1) / df_r if df_r > 0 else float("nan")
+        yty_w = g[p_x + yi, p_x + yi]
+        r2_w = 1.0 - rss / yty_w if absorb and yty_w > 0 else None
+        rmse = math.sqrt(rss / df_r) if df_r > 0 else float("nan")
+        slope_idx = [j for j in range(len(tidx)) if not omitted[j]]
+        fstat, fp, _ = _wald(coef, V, slope_idx, df_r)
+        names_m = [union[j].name for j in tidx]
+        fit = Fit(mid, y, names_m, coef, V, omitted, n, n_groups if absorb else None, df_r, k,
+                  r2, r2_adj, r2_w, rmse, fstat, fp, vce, absorb, True, xbar=xbar,
+                  term_objs=[union[j] for j in tidx])
+        for tname, tterms in (tests.get(mid) or []):
+            ids = [names_m.index(t) for t in tterms if t in names_m and not omitted[names_m.index(t)]]
+            st, pv, q = _wald(coef, V, ids, df_r)
+            fit.tests.append({"test": tname, "q": q, "f": st, "p": pv})
+        if not report_cons:
+            fit.has_cons = False
+            fit.coef, fit.vcov, fit.omitted = coef[:-1], V[:-1, :-1], omitted[:-1]
+        fits.append(fit)
+    return fits
 
 
 # --------------------------------------------------------------------------- public API
@@ -499,25 +559,41 @@ def within(df: DataFrame, y: str, xs: Sequence[str], entity: str, time: str | No
 
 
 def grid(df: DataFrame, outcomes: Sequence[str], moderators: Sequence[str],
-         make_terms, absorb: str | None, vce: str = "robust",
-         tests=None, common_sample: bool = False) -> list[Fit]:
-    """Outcomes x moderators grid.
-
-    ``make_terms(outcome, moderator) -> terms``.  Models are grouped by
-    estimation sample (each outcome has its own missingness unless
-    ``common_sample``); each group shares one demeaned base, one Gram and one
-    meat pass.
+         make_terms, absorb: str | None, vce: str = "robust", tests=None) -> list[Fit]:
+    """Outcomes x moderators grid, each model on its own listwise sample.
+
+    ``make_terms(outcome, moderator) -> terms``.  One aggregation checks, for
+    every model, whether its listwise-complete sample equals the sample that
+    is complete on all grid variables (no row of it misses only variables of
+    other models).  All such models share one demeaned base, one Gram over
+    the union of terms and outcomes and one meat pass; any other model is
+    fitted on its own sample.
     """
     specs = [(f"{o}|{m}", o, list(make_terms(o, m))) for o in outcomes for m in moderators]
-    groups: dict[tuple, list] = {}
-    for s in specs:
-        key = ("all",) if common_sample else (s[1],)
-        groups.setdefault(key, []).append(s)
-    fits = []
-    for _, ss in groups.items():
-        tmap = {s[0]: (tests(s) if callable(tests) else (tests or [])) for s in ss}
-        fits += fit_many(df, ss, absorb=absorb, vce=vce, tests=tmap)
-    return fits
+    tmap = {s[0]: (tests(s) if callable(tests) else (tests or [])) for s in specs}
+    keyv = [absorb] if absorb else []
+    allv = list(dict.fromkeys([v for _, y, ts in specs for v in [y] + _raw_vars(ts)] + keyv))
+    checks = []
+    for i, (_, y, ts) in enumerate(specs):
+        own = list(dict.fromkeys([y] + _raw_vars(ts) + keyv))
+        other = [v for v in allv if v not in own]
+        complete = F.lit(True)
+        for v in own:
+            complete = complete & F.col(v).isNotNull()
+        miss = F.lit(False)
+        for v in other:
+            miss = miss | F.col(v).isNull()
+        checks.append(F.count_if(complete & miss).alias(f"m{i}"))
+    row = df.agg(*checks).first()
+    shared = [s for i, s in enumerate(specs) if row[f"m{i}"] == 0]
+    alone = [s for i, s in enumerate(specs) if row[f"m{i}"] != 0]
+    fits = {}
+    if shared:
+        for f in fit_many(df.select(*allv), shared, absorb=absorb, vce=vce, tests=tmap):
+            fits[f.model_id] = f
+    for s in alone:
+        fits[s[0]] = fit_many(df, [s], absorb=absorb, vce=vce, tests=tmap)[0]
+    return [fits[s[0]] for s in specs]
 
 
 def event_study(df: DataFrame, y: str, dummies: Sequence[str], absorb: str,
@@ -537,45 +613,29 @@ def event_study(df: DataFrame, y: str, dummies: Sequence[str], absorb: str,
     return fit, path
 
 
-def margins(df: DataFrame, fit: Fit, at: Mapping[str, Sequence], over: str | None = None,
-            over_levels: Sequence | None = None, level: float = 0.95) -> list[tuple]:
+def margins(df: DataFrame, fit: Fit, at: Mapping[str, Sequence], level: float = 0.95) -> list[tuple]:
     """Predictive margins at fixed values (``margins g, at(t=(1 2 3))``).
 
-    For each combination the design row is averaged over the estimation
-    sample with the chosen variables overwritten (one aggregation for all
-    combinations); margin = a'b, SE = sqrt(a'Va) (delta method).
+    ``at`` maps each overwritten variable to its values; every combination is
+    evaluated.  The design row is averaged over the estimation sample with
+    those variables overwritten (one aggregation for all combinations);
+    margin = a'b, SE = sqrt(a'Va) (delta method, covariates held as observed).
     """
     from itertools import product
-    terms_txt = fit.terms
-    levels = {}
-    term_objs = []
-    for nm in terms_txt:
-        if "." in nm and nm.split(".", 1)[0].lstrip("-").replace(".", "").isdigit():
-            lv, g = nm.split(".", 1)
-            levels.setdefault(g, [])
-            term_objs.append(Term(nm, (("i", g, type(at.get(g, [lv])[0])(lv) if g in at else lv),)))
-        else:
-            term_objs.append(Term(nm, tuple(("v", v) for v in nm.split("#"))))
-    raw = list(dict.fromkeys([fit.depvar] + [f[1] for t in term_objs for f in t.factors]
+    terms = fit.term_objs
+    raw = list(dict.fromkeys([fit.depvar] + [v for t in terms for v in t.variables]
                              + ([fit.absorb] if fit.absorb else [])))
     sample = df.select(*raw).dropna(how="any")
     keys = list(at)
     combos = list(product(*[at[k] for k in keys]))
-    if over:
-        combos = [c + (g,) for c in combos for g in over_levels]
-        keys = keys + [over]
-    ex = []
-    for ci, combo in enumerate(combos):
-        ov = dict(zip(keys, combo))
-        for j, t in enumerate(term_objs):
-            ex.append(F.avg(t.expr(ov)).alias(f"a{ci}_{j}"))
+    ex = [F.avg(t.expr(dict(zip(keys, combo)))).alias(f"a{ci}_{j}")
+          for ci, combo in enumerate(combos) for j, t in enumerate(terms)]
     row = sample.agg(*ex).first()
     crit = t_ppf(0.5 + level / 2.0, fit.df_r)
-    out = []
     b = fit.coef
+    out = []
     for ci, combo in enumerate(combos):
-        a = np.array([row[f"a{ci}_{j}"] for j in range(len(term_objs))] + [1.0])
-        a = a[: len(b)]
+        a = np.array([row[f"a{ci}_{j}"] for j in range(len(terms))] + ([1.0] if fit.has_cons else []))
         mval = float(a @ b)
         se = float(math.sqrt(max(a @ fit.vcov @ a, 0.0)))
         out.append((*combo, mval, se, mval - crit * se, mval + crit * se))
@@ -594,7 +654,8 @@ def stats_table(spark, fits: Sequence[Fit]) -> DataFrame:
 
 
 def tests_table(spark, fits: Sequence[Fit]) -> DataFrame:
-    rows = [(f.model_id, t["test"], t["q"], f.df_r, t["f"], t["p"]) for f in fits for t in f.tests]
+    rows = [(f.model_id, t["test"], int(t["q"]), int(f.df_r), float(t["f"]), float(t["p"]))
+            for f in fits for t in f.tests]
     return spark.createDataFrame(rows, TEST_SCHEMA)
 
 
