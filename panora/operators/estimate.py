@@ -434,6 +434,66 @@ def _wald(b: np.ndarray, V: np.ndarray, idx: Sequence[int], df_r: int) -> tuple[
     return stat, f_sf(stat, len(idx), df_r), len(idx)
 
 
+def robust_meats(d: DataFrame, p_x: int, n_y: int, prelim: Sequence[tuple],
+                 max_agg_exprs: int = 300) -> list[np.ndarray]:
+    """HC meat sum_i e_i^2 z_i z_i' with z = [x~_kept, 1] for every model, one pass.
+
+    ``prelim`` = [(outcome index, term indices, kept positions, slopes)].
+    Small single-model designs use one JVM ``agg`` with the residual as a
+    column expression; otherwise a ``mapInPandas`` pass computes all models'
+    residuals and weighted Grams per batch with numpy (the slopes travel in
+    the task closure) and emits only the flattened blocks.
+    """
+    layout = [[tidx[jl] for jl in kept] for (_, tidx, kept, _) in prelim]
+    sizes = [(len(k) + 1) * (len(k) + 2) // 2 for k in layout]
+    if sum(sizes) <= max_agg_exprs and len(prelim) <= 2:
+        resid = {}
+        for m, (yi, tidx, kept, b) in enumerate(prelim):
+            e = F.col(f"__d__y{yi}")
+            for jl in kept:
+                e = e - F.lit(float(b[jl])) * F.col(f"__d__x{tidx[jl]}")
+            resid[f"__e{m}"] = e
+        xcols = sorted({j for k in layout for j in k})
+        w = d.select(*[F.col(f"__d__x{j}") for j in xcols], F.lit(1.0).alias("__one"),
+                     *[c.alias(nm) for nm, c in resid.items()])
+        groups = [[f"__d__x{j}" for j in k] + ["__one"] for k in layout]
+        return block_grams(w, groups, [f"__e{m}" for m in range(len(prelim))], max_agg_exprs)
+    import pandas as pd
+    xnames = [f"__d__x{j}" for j in range(p_x)]
+    ynames = [f"__d__y{i}" for i in range(n_y)]
+    plan = [(yi, np.array([tidx[jl] for jl in kept], dtype=int),
+             np.array([b[jl] for jl in kept], dtype=float)) for (yi, tidx, kept, b) in prelim]
+    tris = [np.triu_indices(len(ix) + 1) for _, ix, _ in plan]
+    total = sum(len(t[0]) for t in tris)
+
+    def part(it):
+        acc = [np.zeros((len(ix) + 1, len(ix) + 1)) for _, ix, _ in plan]
+        for pdf in it:
+            x = pdf[xnames].to_numpy(dtype=float)
+            y = pdf[ynames].to_numpy(dtype=float)
+            ones = np.ones((len(pdf), 1))
+            for k, (yi, ix, bk) in enumerate(plan):
+                xm = x[:, ix]
+                e = y[:, yi] - xm @ bk
+                z = np.hstack([xm, ones]) * e[:, None]
+                acc[k] += z.T @ z
+        flat = np.concatenate([a[t] for a, t in zip(acc, tris)])
+        yield pd.DataFrame({"i": np.arange(total, dtype="int32"), "v": flat})
+
+    m = (d.select(*xnames, *ynames).mapInPandas(part, "i int, v double")
+         .groupBy("i").agg(F.sum("v").alias("v")))
+    vals = {r["i"]: r["v"] for r in m.collect()}
+    allv = np.array([vals.get(i, 0.0) for i in range(total)])
+    out, o = [], 0
+    for (_, ix, _), t in zip(plan, tris):
+        q = len(ix) + 1
+        M = np.zeros((q, q))
+        M[t] = allv[o:o + len(t[0])]
+        o += len(t[0])
+        out.append(M + np.triu(M, 1).T)
+    return out
+
+
 def fit_many(df: DataFrame, specs: Sequence[tuple[str, str, Sequence[str]]], absorb: str | None = None,
              vce: str = "robust", tests: Mapping[str, Sequence[Sequence[str]]] | None = None,
              report_cons: bool = True, materialize: bool = True) -> list[Fit]:
@@ -485,19 +545,7 @@ def fit_many(df: DataFrame, specs: Sequence[tuple[str, str, Sequence[str]]], abs
         prelim.append((yi, tidx, kept, b))
     meats: list[np.ndarray | None] = [None] * len(specs)
     if vce == "robust":
-        # residual of every model as one named column; the meat of model m
-        # is the Gram of [x~_kept, 1] weighted by e_m
-        resid = {}
-        for m, (yi, tidx, kept, b) in enumerate(prelim):
-            e = F.col(f"__d__y{yi}")
-            for jl in kept:
-                e = e - F.lit(float(b[jl])) * F.col(f"__d__x{tidx[jl]}")
-            resid[f"__e{m}"] = e
-        w = d.select(*[F.col(c) for c in dcols], F.lit(1.0).alias("__one"),
-                     *[c.alias(nm) for nm, c in resid.items()])
-        layout = [[f"__d__x{tidx[jl]}" for jl in kept] + ["__one"]
-                  for (yi, tidx, kept, b) in prelim]
-        meats = block_grams(w, layout, [f"__e{m}" for m in range(len(prelim))])
+        meats = robust_meats(d, p_x, len(ys), prelim)
     fits = []
     for m, ((mid, y, ts), (yi, tidx, kept, b)) in enumerate(zip(specs, prelim)):
         coef, V, omitted, rss, k, df_r, xbar, ybar = _fit_from_moments(
