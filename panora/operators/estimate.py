@@ -55,6 +55,18 @@ class Term:
             out = c if out is None else out * c
         return out
 
+    def sql(self) -> str:
+        """The same product as a SQL expression (one JVM parse, not one call per operator)."""
+        parts = []
+        for f in self.factors:
+            if f[0] == "i":
+                lv = f[2]
+                lit = f"'{lv}'" if isinstance(lv, str) else repr(lv)
+                parts.append(f"CAST((`{f[1]}` = {lit}) AS DOUBLE)")
+            else:
+                parts.append(f"CAST(`{f[1]}` AS DOUBLE)")
+        return " * ".join(parts)
+
     @property
     def variables(self) -> list[str]:
         return [f[1] for f in self.factors]
@@ -350,21 +362,20 @@ def _prepare(df: DataFrame, ys: Sequence[str], term_union: Sequence[Term], absor
     raw = list(dict.fromkeys(list(ys) + [v for t in term_union for v in t.variables] + list(extra)
                              + ([absorb] if absorb else [])))
     sample = df.select(*raw).dropna(how="any")
-    cols = {f"__y{i}": F.col(y).cast("double") for i, y in enumerate(ys)}
-    cols.update({f"__x{j}": t.expr() for j, t in enumerate(term_union)})
+    cols = {f"__y{i}": f"CAST(`{y}` AS DOUBLE)" for i, y in enumerate(ys)}
+    cols.update({f"__x{j}": t.sql() for j, t in enumerate(term_union)})
     names = list(cols)
-    key = F.col(absorb) if absorb else F.lit(0)
-    z = sample.select(key.alias("__g"), *[c.alias(n) for n, c in cols.items()])
-    means = z.groupBy("__g").agg(*[F.avg(n).alias(f"__m{n}") for n in names],
-                                 (F.lit(1.0) / F.count(F.lit(1))).alias("__inv"))
+    key = f"`{absorb}`" if absorb else "0"
+    z = sample.selectExpr(f"{key} AS __g", *[f"{e} AS {n}" for n, e in cols.items()])
+    means = z.groupBy("__g").agg(*[F.expr(f"avg({n})").alias(f"__m{n}") for n in names],
+                                 F.expr("1.0D / count(1)").alias("__inv"))
     if materialize:
         means = cut_lineage(means, how="parquet")
     if not absorb:
         means = F.broadcast(means)  # one row by construction
-    squares = [(F.col(f"__y{i}") * F.col(f"__y{i}")).alias(f"__q{i}") for i in range(len(ys))]
-    d = z.join(means, "__g").select(
-        "__g", "__inv", *[F.col(n) for n in names], *squares,
-        *[(F.col(n) - F.col(f"__m{n}")).alias(f"__d{n}") for n in names])
+    d = z.join(means, "__g").selectExpr(
+        "__g", "__inv", *names, *[f"__y{i} * __y{i} AS __q{i}" for i in range(len(ys))],
+        *[f"{n} - __m{n} AS __d{n}" for n in names])
     return d, names
 
 
@@ -608,33 +619,45 @@ def within(df: DataFrame, y: str, xs: Sequence[str], entity: str, time: str | No
 
 def grid(df: DataFrame, outcomes: Sequence[str], moderators: Sequence[str],
          make_terms, absorb: str | None, vce: str = "robust", tests=None) -> list[Fit]:
-    """Outcomes x moderators grid, each model on its own listwise sample.
-
-    ``make_terms(outcome, moderator) -> terms``.  One aggregation checks, for
-    every model, whether its listwise-complete sample equals the sample that
-    is complete on all grid variables (no row of it misses only variables of
-    other models).  All such models share one demeaned base, one Gram over
-    the union of terms and outcomes and one meat pass; any other model is
-    fitted on its own sample.
+    """Outcomes x moderators (x specifications) grid, each model on its own
+    listwise sample.
+
+    ``make_terms(outcome, moderator) -> terms``, or a mapping of
+    specification name -> such a function (model ids then start with the
+    name).  One aggregation checks, for every model, whether its
+    listwise-complete sample equals the sample that is complete on all grid
+    variables (no row of it misses only variables of other models).  All such
+    models share one demeaned base, one Gram over the union of terms and
+    outcomes and one meat pass; any other model is fitted on its own sample.
     """
-    specs = [(f"{o}|{m}", o, list(make_terms(o, m))) for o in outcomes for m in moderators]
+    makers = make_terms if isinstance(make_terms, Mapping) else {None: make_terms}
+    specs = [((f"{nm}|" if nm else "") + f"{o}|{m}", o, list(mk(o, m)))
+             for nm, mk in makers.items() for o in outcomes for m in moderators]
     tmap = {s[0]: (tests(s) if callable(tests) else (tests or [])) for s in specs}
     keyv = [absorb] if absorb else []
     allv = list(dict.fromkeys([v for _, y, ts in specs for v in [y] + _raw_vars(ts)] + keyv))
-    checks = []
-    for i, (_, y, ts) in enumerate(specs):
-        own = list(dict.fromkeys([y] + _raw_vars(ts) + keyv))
-        other = [v for v in allv if v not in own]
-        complete = F.lit(True)
-        for v in own:
-            complete = complete & F.col(v).isNotNull()
-        miss = F.lit(False)
-        for v in other:
-            miss = miss | F.col(v).isNull()
-        checks.append(F.count_if(complete & miss).alias(f"m{i}"))
-    row = df.agg(*checks).first()
-    shared = [s for i, s in enumerate(specs) if row[f"m{i}"] == 0]
-    alone = [s for i, s in enumerate(specs) if row[f"m{i}"] != 0]
+    # 1) which grid variables have missing values at all (one job)
+    nulls = df.agg(*[F.expr(f"count_if(`{v}` IS NULL)").alias(v) for v in allv]).first()
+    nullable = [v for v in allv if nulls[v]]
+    own_sets = []
+    for _, y, ts in specs:
+        own = set([y] + _raw_vars(ts) + keyv)
+        own_sets.append(frozenset(v for v in nullable if v in own))
+    if nullable and any(o != frozenset(nullable) for o in own_sets):
+        # 2) rows complete on a model's nullable variables but missing another
+        #    one: one count per distinct variable subset (one job)
+        subsets = sorted(set(own_sets), key=sorted)
+        ex = []
+        for i, sub in enumerate(subsets):
+            have = " AND ".join(f"`{v}` IS NOT NULL" for v in sorted(sub)) or "TRUE"
+            lack = " OR ".join(f"`{v}` IS NULL" for v in nullable if v not in sub) or "FALSE"
+            ex.append(F.expr(f"count_if(({have}) AND ({lack}))").alias(f"s{i}"))
+        row = df.agg(*ex).first()
+        differs = {sub: bool(row[f"s{i}"]) for i, sub in enumerate(subsets)}
+    else:
+        differs = {o: False for o in own_sets}
+    shared = [s for s, o in zip(specs, own_sets) if not differs[o]]
+    alone = [s for s, o in zip(specs, own_sets) if differs[o]]
     fits = {}
     if shared:
         for f in fit_many(df.select(*allv), shared, absorb=absorb, vce=vce, tests=tmap):
