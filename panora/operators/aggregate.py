@@ -189,22 +189,35 @@ MAD_SCALE = 1.4826  # fixed value: normal-consistency constant of the MAD
 
 
 def winsorize(df: DataFrame, cols: Sequence[str], by: Sequence[str] | None = None,
-              c: float = 2.0, suffix: str = "") -> DataFrame:
+              c: float = 2.0, suffix: str = "", method: str = "auto") -> DataFrame:
     """Clip each column to median +/- c * 1.4826 * MAD, whole table or per group.
 
-    Two aggregation passes (median, then median absolute deviation) whose
-    per-group results are joined back; no group is ever gathered into a list.
-    Groups with one row or MAD = 0 are left unchanged.
+    Two passes (median, then median absolute deviation) whose per-group
+    results are joined back; no group is ever gathered into a list.  Groups
+    with one row or MAD = 0 are left unchanged.  ``method``: "map" uses the
+    exact ``median`` aggregate (value -> count map per group), "distributed"
+    the rank route of :mod:`panora.operators.quantiles` (bounded per task for
+    any group size), "auto" picks by the largest approximate distinct count.
     """
+    from panora.operators.quantiles import median_table, use_map
     by = list(by or [])
     cols = list(cols)
-    med = (df.groupBy(*by) if by else df.groupBy()).agg(
-        *[F.median(x).alias(f"__med_{x}") for x in cols],
-        F.count(F.lit(1)).alias("__n"))
-    base = _attach(df, med, by)
-    mad = (base.groupBy(*by) if by else base.groupBy()).agg(
-        *[F.median(F.abs(F.col(x) - F.col(f"__med_{x}"))).alias(f"__mad_{x}") for x in cols])
-    full = _attach(base, mad, by)
+    counts = (df.groupBy(*by) if by else df.groupBy()).agg(F.count(F.lit(1)).alias("__n"))
+    if use_map(df, cols, by, method):
+        med = (df.groupBy(*by) if by else df.groupBy()).agg(
+            *[F.median(x).alias(f"__med_{x}") for x in cols], F.count(F.lit(1)).alias("__n"))
+        base = _attach(df, med, by)
+        mad = (base.groupBy(*by) if by else base.groupBy()).agg(
+            *[F.median(F.abs(F.col(x) - F.col(f"__med_{x}"))).alias(f"__mad_{x}") for x in cols])
+        full = _attach(base, mad, by)
+    else:
+        base = _attach(df, counts, by)
+        for x in cols:
+            base = _attach(base, median_table(df, x, by, f"__med_{x}", "distributed"), by)
+        full = base
+        for x in cols:
+            dev = base.select(*by, F.abs(F.col(x) - F.col(f"__med_{x}")).alias("__dev"))
+            full = _attach(full, median_table(dev, "__dev", by, f"__mad_{x}", "distributed"), by)
     out = {}
     for x in cols:
         half = F.lit(c * MAD_SCALE) * F.col(f"__mad_{x}")

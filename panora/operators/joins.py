@@ -152,6 +152,12 @@ def merge_m1(master: DataFrame, using: DataFrame, keys, null_keys: str = MATCH,
     Asserts ``using`` is unique on ``keys`` (a distributed ``groupBy``;
     only a bounded probe reaches the driver).  On a name clash the master
     value is kept (Stata's default).
+
+    Because ``using`` is unique, the full outer join is written as
+    master LEFT JOIN using plus the using rows whose key no master row has
+    (LEFT ANTI against the distinct master keys).  Both joins can be split by
+    AQE when one master key holds a large share of the rows, which a full
+    outer join cannot.
     """
     keys = _keys(keys)
     if check:
@@ -160,20 +166,27 @@ def merge_m1(master: DataFrame, using: DataFrame, keys, null_keys: str = MATCH,
             raise ValueError(f"m:1 merge: using side is not unique on {keys}")
     if null_keys == DROP:
         master, using = _drop_null_keys(master, keys), _drop_null_keys(using, keys)
-    m = master.withColumn("__in_m", F.lit(1))
-    u = using.select(*[F.col(k).alias(f"__uk{i}") for i, k in enumerate(keys)],
-                     *[F.col(c).alias(f"__u_{c}") for c in using.columns if c not in keys],
-                     F.lit(2).alias("__in_u"))
-    ukn = [f"__uk{i}" for i in range(len(keys))]
-    j = m.join(u, _cond(m, u, keys, ukn, null_keys), "full")
-    out_keys = [F.coalesce(m[k], u[b]).alias(k) for k, b in zip(keys, ukn)]
     mcols = [c for c in master.columns if c not in keys]
     ucols = [c for c in using.columns if c not in keys]
-    vals = [F.when(m["__in_m"].isNotNull(), m[c]).otherwise(u[f"__u_{c}"]).alias(c)
-            if c in ucols else m[c] for c in mcols]
-    extra = [u[f"__u_{c}"].alias(c) for c in ucols if c not in mcols]
-    code = (F.coalesce(m["__in_m"], F.lit(0)) + F.coalesce(u["__in_u"], F.lit(0))).cast("int")
-    return j.select(*out_keys, *vals, *extra, code.alias(status))
+    ukn = [f"__uk{i}" for i in range(len(keys))]
+    u = using.select(*[F.col(k).alias(b) for k, b in zip(keys, ukn)],
+                     *[F.col(c).alias(f"__u_{c}") for c in ucols], F.lit(2).alias("__in_u"))
+    both = master.join(u, _cond(master, u, keys, ukn, null_keys), "left")
+    code = F.when(F.col("__in_u").isNotNull(), F.lit(3)).otherwise(F.lit(1))
+    part1 = both.select(*[master[k] for k in keys],
+                        *[master[c] for c in mcols],
+                        *[F.col(f"__u_{c}").alias(c) for c in ucols if c not in mcols],
+                        code.alias(status))
+    mk = master.select(*[F.col(k).alias(f"__mk{i}") for i, k in enumerate(keys)]).distinct()
+    only = u.join(mk, _cond(u, mk, ukn, [f"__mk{i}" for i in range(len(keys))], null_keys),
+                  "left_anti")
+    vals = {c: (F.col(f"__u_{c}") if c in ucols else F.lit(None).cast(master.schema[c].dataType))
+            for c in mcols}
+    part2 = only.select(*[F.col(b).alias(k) for k, b in zip(keys, ukn)],
+                        *[vals[c].alias(c) for c in mcols],
+                        *[F.col(f"__u_{c}").alias(c) for c in ucols if c not in mcols],
+                        F.lit(2).alias(status))
+    return part1.unionByName(part2)
 
 
 # --------------------------------------------------------------------------- J8

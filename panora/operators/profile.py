@@ -45,8 +45,17 @@ def _order_stat_plan(n: int, probs: Sequence[float]) -> list[tuple[int, ...]]:
     return plan
 
 
-def stata_percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict:
+def stata_percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                      method: str = "auto") -> dict:
     """Stata-rule percentiles of several columns; only scalars reach the driver."""
+    from panora.operators.quantiles import stata_cuts_lazy, use_map
+    if not use_map(df, cols, (), method):
+        fr = [(round(p * 1_000_000), 1_000_000) for p in probs]
+        out = {}
+        for c in cols:
+            row = stata_cuts_lazy(df, c, fr).first()
+            out[c] = [None if row is None else row[f"c{j}_{k}"] for j, k in fr]
+        return out
     ns = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first().asDict()
     exprs, plans = [], {}
     for c in cols:
@@ -263,31 +272,14 @@ def welch_test(df: DataFrame, group: str, cols: Sequence[str], levels: Sequence
 def rank_tables(df: DataFrame, cols: Sequence[str], buckets: int = 64) -> dict[str, DataFrame]:
     """(value -> average rank) table of each column, computed distributed.
 
-    1. value counts per column (one row per distinct value, partial aggregation);
-    2. approximate quantiles of every column (one job for all columns) split
-       the values into ``buckets`` ranges;
-    3. bucket totals -> offsets (a tiny table of ``buckets`` rows);
-    4. running counts inside each bucket (window partitioned by bucket).
-    Ties share the average of the ranks they span.
+    Built on :func:`panora.operators.quantiles.rank_ranges`: each distinct
+    value gets its rank range [lo, hi] from value counts, approximate-quantile
+    buckets, a tiny offset table and windows inside buckets; ties share the
+    average rank (lo + hi) / 2.
     """
-    probs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(*[F.percentile_approx(c, probs, 10000).alias(c) for c in cols]).first()
-    out = {}
-    for c in cols:
-        cuts = sorted(set(row[c] or []))
-        vc = df.groupBy(c).agg(F.count(F.lit(1)).alias("__c")).where(F.col(c).isNotNull())
-        b = F.lit(len(cuts))
-        for i in range(len(cuts) - 1, -1, -1):
-            b = F.when(F.col(c) <= F.lit(cuts[i]), F.lit(i)).otherwise(b)
-        vc = vc.withColumn("__b", b)
-        tot = vc.groupBy("__b").agg(F.sum("__c").alias("__tot"))
-        off = tot.select("__b", (F.sum("__tot").over(Window.orderBy("__b")) - F.col("__tot"))
-                         .alias("__off"))
-        w = Window.partitionBy("__b").orderBy(c).rowsBetween(Window.unboundedPreceding, 0)
-        out[c] = (vc.join(F.broadcast(off), "__b")  # at most `buckets` rows
-                  .withColumn("__hi", F.col("__off") + F.sum("__c").over(w))
-                  .select(c, ((F.col("__hi") * 2 - F.col("__c") + 1) / 2.0).alias("__rank")))
-    return out
+    from panora.operators.quantiles import rank_ranges
+    return {c: rank_ranges(df, c, (), buckets).select(
+        c, ((F.col("__lo") + F.col("__hi")) / 2.0).alias("__rank")) for c in cols}
 
 
 def average_ranks(df: DataFrame, cols: Sequence[str] | str, template: str = "{col}_rank",

@@ -91,7 +91,7 @@ def time_lead(df: DataFrame, entity, time: str, cols: Sequence[str], k: int = 1,
 
 
 # --------------------------------------------------------------------------- W5
-def xtile_cuts(df: DataFrame, col: str, nq: int) -> list[float]:
+def xtile_cuts(df: DataFrame, col: str, nq: int, method: str = "auto") -> list[float]:
     """Cut-points of Stata ``xtile, nq()`` (M4), computed on the executors.
 
     For p = j/nq and P = n*p: if P is an integer the cut is the mean of the
@@ -99,6 +99,12 @@ def xtile_cuts(df: DataFrame, col: str, nq: int) -> list[float]:
     r is ``percentile_disc((r - 0.5)/n)`` evaluated in one aggregation; only
     n and the nq-1 cut values reach the driver.
     """
+    from panora.operators.quantiles import stata_cuts_lazy, use_map
+    if not use_map(df, col, (), method):
+        row = stata_cuts_lazy(df, col, [(j, nq) for j in range(1, nq)]).first()
+        if row is None:
+            return [None] * (nq - 1)
+        return [row[f"c{j}_{nq}"] for j in range(1, nq)]
     n = df.select(F.count(F.col(col))).first()[0]
     if n == 0:
         return [None] * (nq - 1)
@@ -132,9 +138,10 @@ def bin_by_cuts(col, cuts: Sequence[float]) -> Column:
         (expr.otherwise(top) if expr is not None else top)).cast("int")
 
 
-def xtile(df: DataFrame, col: str, nq: int, out: str | None = None) -> DataFrame:
+def xtile(df: DataFrame, col: str, nq: int, out: str | None = None,
+          method: str = "auto") -> DataFrame:
     """Quantile group 1..nq of ``col`` with Stata's tie rule (not ``ntile``)."""
-    cuts = xtile_cuts(df, col, nq)
+    cuts = xtile_cuts(df, col, nq, method)
     return df.withColumn(out or f"{col}_q{nq}", bin_by_cuts(col, cuts))
 
 

@@ -115,3 +115,16 @@ def test_all_null_group(spark):
     r = {x.g: x for x in df.groupBy("g").agg(FUNCS["sum"](F.col("x")).alias("s"),
                                              F.avg("x").alias("m"), F.max("x").alias("mx")).collect()}
     assert r[1].s == 0 and r[1].m is None and r[1].mx is None
+
+
+@pytest.mark.parametrize("method", ["map", "distributed"])
+def test_quantile_methods_agree(spark, method):
+    from panora.operators.profile import stata_percentiles
+    df = spark.createDataFrame([(None if v is None else float(v),) for v in [1, 1, 1, 2, 3, 4, None]], "x double")
+    assert xtile_cuts(df, "x", 4, method) == [1.0, 1.5, 3.0]
+    w = spark.createDataFrame([(1, float(v)) for v in [1, 2, 3, 4, 100]]
+                              + [(2, float(v)) for v in [5, 5, 5, 9]] + [(3, 42.0)], "g int, x double")
+    by = sorted((r.g, r.x) for r in winsorize(w, ["x"], by=["g"], method=method).collect())
+    assert abs(by[4][1] - 5.9652) < 1e-9 and (2, 9.0) in by and (3, 42.0) in by
+    big = spark.range(0, 1001).select((F.col("id") % 7).cast("double").alias("x"))
+    assert stata_percentiles(big, ["x"], [0.1, 0.5, 0.9], method)["x"] == [0.0, 3.0, 6.0]
