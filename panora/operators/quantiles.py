@@ -60,8 +60,7 @@ def rank_ranges(df: DataFrame, col: str, by: Sequence[str] = (), buckets: int =
         vc = vc.join(d.groupBy(*by).agg(cuts.alias("__cuts")), by)
     else:
         vc = vc.withColumn("__cuts", d.select(cuts).scalar())
-    x = F.col(col)
-    vc = vc.withColumn("__b", F.size(F.filter("__cuts", lambda c: c < x))).drop("__cuts")
+    vc = vc.withColumn("__b", _bucket(F.col(col), F.col("__cuts"), buckets - 1)).drop("__cuts")
     tot = vc.groupBy(*by, "__b").agg(F.sum("__c").alias("__t"))
     before = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(*by, "__b", F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__off"))
@@ -70,6 +69,24 @@ def rank_ranges(df: DataFrame, col: str, by: Sequence[str] = (), buckets: int =
     return r.select(*by, col, "__c", (F.col("__hi") - F.col("__c") + 1).alias("__lo"), "__hi")
 
 
+def _bucket(x: Column, cuts: Column, m: int) -> Column:
+    """Number of cut-points strictly below x (0..m) by binary search: a
+    balanced CASE tree of depth log2(m) over ``cuts`` (sorted, m entries,
+    possibly shorter when the group has few distinct values)."""
+    size = F.size(cuts)
+
+    def below(i: int) -> Column:  # is cut i (0-based) < x ?
+        return F.when(F.lit(i) < size, F.get(cuts, i) < x).otherwise(F.lit(False))
+
+    def node(lo: int, hi: int) -> Column:  # answer lies in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2  # test cut index mid: if cut[mid] < x, answer > mid
+        return F.when(below(mid), node(mid + 1, hi)).otherwise(node(lo, mid))
+
+    return node(0, m)
+
+
 def order_values(df: DataFrame, col: str, ranks: Mapping[str, Callable[[Column], Column]],
                  by: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
     """Values at ranks given as functions of the group size n, one row per group.
