@@ -85,7 +85,12 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, fast: bool = True
              trim: float = 0.1) -> DataFrame:
     """``psych::describe``: n, mean, sd, min, max, range, se (+ median, trimmed
     mean, mad, skew, kurtosis when ``fast=False``; skew/kurtosis are psych's
-    type 3: m3/s^3 and m4/s^4 - 3 with the sample sd s)."""
+    type 3: m3/s^3 and m4/s^4 - 3 with the sample sd s).
+
+    Full mode runs three aggregations over all columns together: moments;
+    order statistics (median, and the two exact cut values of the trimmed
+    mean); then the MAD and the trimmed sums.  Only scalars reach the driver.
+    """
     cols = list(cols or [c for c, t in df.dtypes if t in ("int", "bigint", "double", "float",
                                                           "smallint", "tinyint")])
     ex = []
@@ -95,66 +100,65 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, fast: bool = True
                F.stddev_samp(x).alias(f"{c}__sd"), F.min(x).cast("double").alias(f"{c}__min"),
                F.max(x).cast("double").alias(f"{c}__max")]
         if not fast:
-            ex += [F.median(x).alias(f"{c}__median"), F.skewness(x).alias(f"{c}__g1"),
-                   F.kurtosis(x).alias(f"{c}__g2")]
+            ex += [F.skewness(x).alias(f"{c}__g1"), F.kurtosis(x).alias(f"{c}__g2")]
     wide = df.agg(*ex)
-    stats = ["n", "mean", "sd", "min", "max"] + ([] if fast else ["median", "g1", "g2"])
-    long = _long(wide, cols, stats)
-    n = F.col("n")
-    long = long.withColumns({"range": F.col("max") - F.col("min"),
-                             "se": F.col("sd") / F.sqrt(n)})
     if fast:
+        long = _long(wide, cols, ["n", "mean", "sd", "min", "max"])
+        long = long.withColumns({"range": F.col("max") - F.col("min"),
+                                 "se": F.col("sd") / F.sqrt(F.col("n"))})
         return long.select("variable", "n", "mean", "sd", "min", "max", "range", "se")
-    adj = (n - 1) / n
-    long = long.withColumns({"skew": F.col("g1") * F.pow(adj, 1.5),
-                             "kurtosis": (F.col("g2") + 3) * F.pow(adj, 2) - 3})
-    mad = _mad(df, cols)
-    trimmed = trimmed_means(df, cols, trim)
-    long = long.join(mad, "variable").join(trimmed, "variable")
-    return long.select("variable", "n", "mean", "sd", "median", "trimmed", "mad", "min", "max",
-                       "range", "skew", "kurtosis", "se")
-
-
-def _mad(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    meds = df.agg(*[F.median(c).alias(c) for c in cols])
-    d = df.select(*[F.abs(F.col(c) - meds.select(c).scalar()).alias(c) for c in cols])
-    wide = d.agg(*[(F.median(c) * MAD_SCALE).alias(f"{c}__mad") for c in cols])
-    return _long(wide, cols, ["mad"])
-
-
-def trimmed_means(df: DataFrame, cols: Sequence[str], trim: float = 0.1) -> DataFrame:
-    """R ``mean(x, trim)``: drop floor(n*trim) values at each end, exactly.
-
-    Order statistics a = x[k+1], b = x[n-k] come from ``percentile_disc``;
-    the kept sum is sum(a < x < b) plus the right number of copies of a and b
-    (ties), all in one aggregation.
-    """
-    ns = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first().asDict()
-    ks = {c: int(ns[c] * trim) if ns[c] else 0 for c in cols}
-    ex = []
+    m = wide.first().asDict()
+    spark = df.sparkSession
+    # order statistics: median and trimmed-mean cut values x[k+1], x[n-k]
+    ex2 = []
+    ks = {}
     for c in cols:
-        n, k = ns[c], ks[c]
+        n = m[f"{c}__n"]
         if not n:
             continue
-        ex += [percentile_disc(c, (k + 0.5) / n).alias(f"{c}__a"),
-               percentile_disc(c, (n - k - 0.5) / n).alias(f"{c}__b")]
-    ab = df.agg(*ex).first().asDict() if ex else {}
-    ex2 = []
+        k = ks[c] = int(n * trim)
+        ex2 += [F.median(c).alias(f"{c}__median"),
+                percentile_disc(c, (k + 0.5) / n).alias(f"{c}__a"),
+                percentile_disc(c, (n - k - 0.5) / n).alias(f"{c}__b")]
+    o = df.agg(*ex2).first().asDict() if ex2 else {}
+    # MAD and trimmed sums in one pass
+    ex3 = []
     for c in cols:
-        if not ns[c]:
-            ex2.append(F.lit(None).cast("double").alias(f"{c}__trimmed"))
+        if c not in ks:
             continue
-        n, k = ns[c], ks[c]
-        a, b = F.lit(float(ab[f"{c}__a"])), F.lit(float(ab[f"{c}__b"]))
         x = F.col(c)
-        mid = F.coalesce(F.sum(F.when((x > a) & (x < b), x)), F.lit(0.0))
-        lt_a, eq_a = F.count_if(x < a), F.count_if(x == a)
-        gt_b, eq_b = F.count_if(x > b), F.count_if(x == b)
-        take_a = lt_a + eq_a - k
-        take_b = gt_b + eq_b - k
-        val = F.when(a == b, a).otherwise((mid + a * take_a + b * take_b) / F.lit(n - 2 * k))
-        ex2.append(val.alias(f"{c}__trimmed"))
-    return _long(df.agg(*ex2), cols, ["trimmed"])
+        med, a, b = F.lit(float(o[f"{c}__median"])), F.lit(float(o[f"{c}__a"])), F.lit(float(o[f"{c}__b"]))
+        ex3 += [F.median(F.abs(x - med)).alias(f"{c}__mad"),
+                F.coalesce(F.sum(F.when((x > a) & (x < b), x)), F.lit(0.0)).alias(f"{c}__mid"),
+                F.count_if(x <= a).alias(f"{c}__le_a"), F.count_if(x >= b).alias(f"{c}__ge_b")]
+    t = df.agg(*ex3).first().asDict() if ex3 else {}
+    rows = []
+    for c in cols:
+        n = m[f"{c}__n"]
+        if c not in ks:
+            rows.append((c, n) + (None,) * 11)
+            continue
+        k = ks[c]
+        a, b = float(o[f"{c}__a"]), float(o[f"{c}__b"])
+        trimmed = a if a == b else (t[f"{c}__mid"] + a * (t[f"{c}__le_a"] - k)
+                                    + b * (t[f"{c}__ge_b"] - k)) / (n - 2 * k)
+        adj = (n - 1) / n
+        g1, g2 = m[f"{c}__g1"], m[f"{c}__g2"]
+        rows.append((c, n, m[f"{c}__mean"], m[f"{c}__sd"], float(o[f"{c}__median"]), float(trimmed),
+                     MAD_SCALE * float(t[f"{c}__mad"]), m[f"{c}__min"], m[f"{c}__max"],
+                     m[f"{c}__max"] - m[f"{c}__min"],
+                     None if g1 is None else g1 * adj ** 1.5,
+                     None if g2 is None else (g2 + 3) * adj ** 2 - 3,
+                     None if m[f"{c}__sd"] is None else m[f"{c}__sd"] / n ** 0.5))
+    return spark.createDataFrame(rows, "variable string, n long, mean double, sd double, median double, "
+                                       "trimmed double, mad double, min double, max double, range double, "
+                                       "skew double, kurtosis double, se double")
+
+
+def trimmed_means(df: DataFrame, cols: Sequence[str], trim: float = 0.1) -> DataFrame:
+    """R ``mean(x, trim)`` per column (exact; see :func:`describe`)."""
+    d = describe(df, cols, fast=False, trim=trim)
+    return d.select("variable", "trimmed")
 
 
 # --------------------------------------------------------------------------- D2

@@ -154,11 +154,21 @@ def e4_within_classic(spark, sf):
     return _coef_rows(spark, [within(p, "value_mean", ["n_events"], "user_id")])
 
 
-@reg("e4_within_two_way")
+SQL_E4_TW = f"""{SQL_BAL},
+ d AS (SELECT user_id, day,
+   x - avg(x) OVER (PARTITION BY user_id) - avg(x) OVER (PARTITION BY day) + avg(x) OVER () AS xh,
+   y - avg(y) OVER (PARTITION BY user_id) - avg(y) OVER (PARTITION BY day) + avg(y) OVER () AS yh FROM p),
+ b AS (SELECT sum(xh * yh) / sum(xh * xh) AS b, sum(xh * xh) AS sxx, sum(yh * yh) AS syy, count(*) AS n,
+              count(DISTINCT user_id) AS g, count(DISTINCT day) AS t FROM d)
+SELECT 'n_events' AS term, {QZ('b', 6)} AS coef, {QZ('sqrt((syy - b * b * sxx) / (n - g - t) / sxx)', 6)} AS se
+FROM b"""
+
+
+@reg("e4_within_two_way", SQL_E4_TW)
 def e4_within_two_way(spark, sf):
     fit = within(_balanced(spark, sf), "value_mean", ["n_events"], "user_id", time="day",
                  effect="twoways", model_id="within_tw")
-    return coef_table(spark, [fit])
+    return _coef_rows(spark, [fit])
 
 
 # ---------------------------------------------------------------------------- E5
@@ -237,11 +247,35 @@ def e10_model_stats(spark, sf):
 
 
 # ---------------------------------------------------------------------------- E11
-@reg("e11_collinear_omitted")
+SQL_E11 = f"""WITH p AS ({SQL_DAY_PANEL_T}),
+ u AS (SELECT user_id, CASE WHEN avg(value) > (SELECT median(um) FROM (SELECT avg(value) AS um FROM events
+                                                                      GROUP BY user_id)) THEN 1 ELSE 0 END AS high
+       FROM events GROUP BY user_id),
+ s AS (SELECT p.user_id, p.value_mean AS y, CAST(p.tre AS DOUBLE) AS x1, CAST(p.n_events AS DOUBLE) AS x2
+       FROM p JOIN u ON u.user_id = p.user_id WHERE p.value_mean IS NOT NULL),
+ d AS (SELECT user_id, x1 - avg(x1) OVER (PARTITION BY user_id) AS a1, x2 - avg(x2) OVER (PARTITION BY user_id) AS a2,
+              y - avg(y) OVER (PARTITION BY user_id) AS yt FROM s),
+ m AS (SELECT sum(a1 * a1) AS s11, sum(a1 * a2) AS s12, sum(a2 * a2) AS s22, sum(a1 * yt) AS s1y,
+              sum(a2 * yt) AS s2y, count(*) AS n, count(DISTINCT user_id) AS g FROM d),
+ b AS (SELECT *, s11 * s22 - s12 * s12 AS det, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+              (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM m),
+ e AS (SELECT d.a1, d.a2, d.yt - b.b1 * d.a1 - b.b2 * d.a2 AS r FROM d, b),
+ mt AS (SELECT sum(r * r * a1 * a1) AS m11, sum(r * r * a1 * a2) AS m12, sum(r * r * a2 * a2) AS m22 FROM e),
+ v AS (SELECT b.*, mt.*, n * 1.0 / (n - g - 2) AS q FROM b, mt)
+SELECT 'tre' AS term, {QZ('b1', 6)} AS coef,
+  {QZ('sqrt(q * (s22 * s22 * m11 - 2 * s22 * s12 * m12 + s12 * s12 * m22) / (det * det))', 6)} AS se,
+  false AS omitted FROM v
+UNION ALL SELECT 'high', 0.0, NULL, true
+UNION ALL SELECT 'n_events', {QZ('b2', 6)},
+  {QZ('sqrt(q * (s12 * s12 * m11 - 2 * s11 * s12 * m12 + s11 * s11 * m22) / (det * det))', 6)}, false FROM v"""
+
+
+@reg("e11_collinear_omitted", SQL_E11)
 def e11_collinear_omitted(spark, sf):
     p = est_panel(spark, sf)
     fit = areg(p, "value_mean", ["tre", "high", "n_events"], absorb="user_id", model_id="collinear")
-    return coef_table(spark, [fit])
+    c = coef_table(spark, [fit]).filter(F.col("term") != "_cons")
+    return c.select("term", qz("coef", 6).alias("coef"), qz("se", 6).alias("se"), "omitted")
 
 
 QUERIES, SQL = Q, S
