@@ -48,12 +48,22 @@ def use_map(df: DataFrame, cols: str | Sequence[str], by: Sequence[str] = (),
 
 
 def rank_ranges(df: DataFrame, col: str, by: Sequence[str] = (), buckets: int = BUCKETS,
-                accuracy: int = 10_000) -> DataFrame:
+                accuracy: int = 10_000, method: str = "distributed") -> DataFrame:
     """(by..., value, __c, __lo, __hi): count and 1-based rank range of every
-    distinct non-missing value within its group (ties share the range)."""
+    distinct non-missing value within its group (ties share the range).
+
+    ``method="auto"``: when the largest group has at most
+    ``MAP_MAX_DISTINCT`` distinct values the running count is one window
+    over the distinct-value table of each group (bounded by that check);
+    otherwise, or with "distributed", the bucketed prefix sum is used.
+    """
     by = list(by)
     d = df.select(*by, col).where(F.col(col).isNotNull())
     vc = d.groupBy(*by, col).agg(F.count(F.lit(1)).alias("__c"))
+    if method != "distributed" and use_map(df, col, by, method):
+        w = Window.partitionBy(*by).orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
+        r = vc.withColumn("__hi", F.sum("__c").over(w))
+        return r.select(*by, col, "__c", (F.col("__hi") - F.col("__c") + 1).alias("__lo"), "__hi")
     probs = [i / buckets for i in range(1, buckets)]
     cuts = F.percentile_approx(col, probs, accuracy)
     if by:
