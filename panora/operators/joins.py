@@ -225,8 +225,25 @@ def merge_mm(left: DataFrame, right: DataFrame, key: str, order_left: Sequence,
 
 
 def _position(df: DataFrame, key: str, order: Sequence, pos: str) -> DataFrame:
-    """Row position inside each key under an explicit order."""
+    """Row position inside each key under an explicit order.
+
+    With a single numeric order column the position comes from the
+    distributed rank route (exact rank range of each order value within the
+    key, ties numbered inside their own small (key, value) group), so one huge
+    key is not numbered in a single task.  Otherwise a window over the key.
+    """
     from pyspark.sql import Window
+    numeric = ("int", "bigint", "double", "float", "smallint", "tinyint", "date", "timestamp",
+               "timestamp_ntz")
+    if len(order) == 1 and isinstance(order[0], str) and dict(df.dtypes).get(order[0]) in numeric[:6]:
+        from panora.operators.quantiles import rank_ranges
+        o = order[0]
+        rr = rank_ranges(df, o, [key], method="auto").select(key, o, "__lo")
+        rest = [c for c in df.columns if c not in (key, o)]
+        tie = Window.partitionBy(key, o).orderBy(*rest) if rest else Window.partitionBy(key, o).orderBy(o)
+        return (df.join(rr, [key, o], "left")
+                .withColumn(pos, (F.col("__lo") + F.row_number().over(tie) - 1).cast("int"))
+                .drop("__lo").select(*df.columns, pos))
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     return df.withColumn(pos, F.row_number().over(Window.partitionBy(key).orderBy(*order)))
 

@@ -211,17 +211,30 @@ def summarize(df: DataFrame, cols: Sequence[str], weight: str | None = None) ->
 
 
 # --------------------------------------------------------------------------- D4
-def six_number(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """R ``summary``: min, q1, median, mean, q3, max (type-7 quantiles) + NA count."""
+def six_number(df: DataFrame, cols: Sequence[str], method: str = "auto") -> DataFrame:
+    """R ``summary``: min, q1, median, mean, q3, max (type-7 quantiles) + NA count.
+
+    Quartiles come from Spark's exact ``percentile`` (map route) or, for
+    columns with very many distinct values, from the distributed rank route.
+    """
+    from panora.operators.quantiles import type7_quantiles, use_map
+    small = use_map(df, cols, (), method)
     ex = []
     for c in cols:
         x = F.col(c)
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        ex += [F.min(x).cast("double").alias(f"{c}__min"), F.get(q, 0).alias(f"{c}__q1"),
-               F.get(q, 1).alias(f"{c}__median"), F.avg(x).alias(f"{c}__mean"),
-               F.get(q, 2).alias(f"{c}__q3"), F.max(x).cast("double").alias(f"{c}__max"),
+        ex += [F.min(x).cast("double").alias(f"{c}__min"), F.avg(x).alias(f"{c}__mean"),
+               F.max(x).cast("double").alias(f"{c}__max"),
                (F.count(F.lit(1)) - F.count(x)).alias(f"{c}__n_na")]
-    return _long(df.agg(*ex), cols, ["min", "q1", "median", "mean", "q3", "max", "n_na"])
+        if small:
+            q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+            ex += [F.get(q, 0).alias(f"{c}__q1"), F.get(q, 1).alias(f"{c}__median"),
+                   F.get(q, 2).alias(f"{c}__q3")]
+    wide = df.agg(*ex)
+    if not small:
+        for c in cols:
+            qs = type7_quantiles(df, c, [0.25, 0.5, 0.75], names=[f"{c}__q1", f"{c}__median", f"{c}__q3"])
+            wide = wide.withColumns({n: qs.select(n).scalar() for n in qs.columns})
+    return _long(wide, cols, ["min", "q1", "median", "mean", "q3", "max", "n_na"])
 
 
 # --------------------------------------------------------------------------- D5
@@ -363,15 +376,19 @@ def histogram(df: DataFrame, col: str, width: float | None = None, bins: int = 3
 
 
 # --------------------------------------------------------------------------- D10
-def box_stats(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
+def box_stats(df: DataFrame, col: str, by: Sequence[str], method: str = "auto") -> DataFrame:
     """Box-plot numbers per group: quartiles (type 7), whiskers at 1.5 IQR, outliers."""
+    from panora.operators.quantiles import type7_quantiles, use_map
     by = list(by)
-    q = df.groupBy(*by).agg(
-        F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("__q"),
-        F.count(F.col(col)).alias("n"))
-    q = q.select(*by, "n", F.get("__q", 0).alias("q1"), F.get("__q", 1).alias("median"),
-                 F.get("__q", 2).alias("q3"))
-    q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
+    n = df.groupBy(*by).agg(F.count(F.col(col)).alias("n"))
+    if use_map(df, col, by, method):
+        q = df.groupBy(*by).agg(
+            F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("__q"))
+        q = q.select(*by, F.get("__q", 0).alias("q1"), F.get("__q", 1).alias("median"),
+                     F.get("__q", 2).alias("q3"))
+    else:
+        q = type7_quantiles(df, col, [0.25, 0.5, 0.75], by, ["q1", "median", "q3"])
+    q = n.join(q, by, "left").withColumn("iqr", F.col("q3") - F.col("q1"))
     j = df.select(*by, col).join(q, by)
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
@@ -380,7 +397,8 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
         F.min(F.when(x >= lo_f, x)).cast("double").alias("whisker_lo"),
         F.max(F.when(x <= hi_f, x)).cast("double").alias("whisker_hi"),
         F.count_if((x < lo_f) | (x > hi_f)).alias("n_outliers"))
-    return q.join(w, by)
+    return q.join(w, by).select(*by, "n", "q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi",
+                                "n_outliers")
 
 
 # --------------------------------------------------------------------------- D11

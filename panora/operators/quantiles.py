@@ -151,3 +151,23 @@ def stata_cuts_lazy(df: DataFrame, col: str, fracs: Sequence[tuple[int, int]],
     v = order_values(df, col, ranks, by)
     return v.select(*by, *[((F.col(f"__c{j}a_{k}") + F.col(f"__c{j}b_{k}")) / 2.0).alias(f"c{j}_{k}")
                            for j, k in fracs])
+
+
+def type7_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
+                    names: Sequence[str] | None = None) -> DataFrame:
+    """Linear-interpolation quantiles (R type 7 / Spark ``percentile``) per group
+    by the distributed route: h = (n - 1) p + 1, value = x[floor h] +
+    (h - floor h) (x[floor h + 1] - x[floor h])."""
+    by = list(by)
+    names = list(names or [f"q{i}" for i in range(len(probs))])
+    ranks = {}
+    for i, p in enumerate(probs):
+        ranks[f"__l{i}"] = (lambda p_: lambda n: F.floor((n - 1) * p_ + 1))(p)
+        ranks[f"__u{i}"] = (lambda p_: lambda n: F.least(F.floor((n - 1) * p_ + 1) + 1, n))(p)
+    v = order_values(df, col, ranks, by)
+    out = []
+    for i, p in enumerate(probs):
+        h = (F.col("__n") - 1) * F.lit(p) + 1
+        frac = h - F.floor(h)
+        out.append((F.col(f"__l{i}") + frac * (F.col(f"__u{i}") - F.col(f"__l{i}"))).alias(names[i]))
+    return v.select(*by, *out)
