@@ -25,6 +25,17 @@ def QZ(expr: str, digits: int = 4) -> str:
     return f"(CAST(floor(({expr}) * {s} + 0.5) AS DOUBLE) / {s} + 0.0)"
 
 
+def cents_sum(col) -> Column:
+    """Exact sum of a two-decimal money column: summed as integer cents, so the
+    result does not depend on summation order (float sums of many values do)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.sum(F.round(c * 100).cast("bigint")).cast("double") / 100.0
+
+
+def CENTS_SUM(expr: str) -> str:
+    return f"(CAST(sum(CAST(round(({expr}) * 100) AS BIGINT)) AS DOUBLE) / 100.0)"
+
+
 # period keys of the events proxy ------------------------------------------------
 def ev_day(ts: str = "ts") -> Column:
     return F.to_date(F.col(ts))

@@ -14,7 +14,7 @@ from panora.operators.aggregate import (collapse, collect_values, cond_sums, cou
                                         resample, rollup, share_within, stacked_summary,
                                         summarise_across, sum_if, winsorize)
 from panora.operators.joins import membership_flag
-from panora.plans.common import QZ, SQL_WEEK, T, qz
+from panora.plans.common import CENTS_SUM, QZ, SQL_WEEK, T, cents_sum, qz
 
 Q, S = {}, {}
 
@@ -31,7 +31,7 @@ def reg(key, sql=None):
 # ---------------------------------------------------------------------------- A1
 @reg("a1_group_stats", f"""
 SELECT l_returnflag, l_linestatus, {QZ('avg(l_quantity)')} AS qty_mean,
-  {QZ('sum(l_extendedprice)')} AS price_sum, {QZ('median(l_extendedprice)')} AS price_median,
+  {CENTS_SUM('l_extendedprice')} AS price_sum, {QZ('median(l_extendedprice)')} AS price_median,
   max(l_discount) AS disc_max, count(*) AS n,
   {QZ("COALESCE(sum(CASE WHEN l_returnflag = 'R' THEN l_tax END), 0)")} AS tax_r_sum,
   {QZ("avg(CASE WHEN l_returnflag = 'R' THEN l_tax END)")} AS tax_r_mean
@@ -40,7 +40,7 @@ def a1_group_stats(spark, sf):
     li = T(spark, sf, "lineitem").withColumn(
         "tax_r", F.when(F.col("l_returnflag") == "R", F.col("l_tax")))
     return li.groupBy("l_returnflag", "l_linestatus").agg(
-        qz(F.avg("l_quantity")).alias("qty_mean"), qz(F.sum("l_extendedprice")).alias("price_sum"),
+        qz(F.avg("l_quantity")).alias("qty_mean"), cents_sum("l_extendedprice").alias("price_sum"),
         qz(F.median("l_extendedprice")).alias("price_median"), F.max("l_discount").alias("disc_max"),
         F.count(F.lit(1)).alias("n"),
         qz(F.coalesce(F.sum("tax_r"), F.lit(0.0))).alias("tax_r_sum"),

@@ -16,7 +16,7 @@ from panora.functions.clean import (add_affix, blank_flag, case_when, coerce_num
                                     strip_leading_zeros, strip_pattern)
 from panora.functions.dates import date_from_parts, week_block, year_month
 from panora.functions.labels import label_columns
-from panora.plans.common import QZ, T, qz
+from panora.plans.common import CENTS_SUM, QZ, T, cents_sum, qz
 
 Q, S = {}, {}
 
@@ -132,14 +132,14 @@ def c6_map_codes(spark, sf):
 
 # ---------------------------------------------------------------------------- C7
 @reg("c7_select_columns", f"""
-SELECT {QZ('sum(l_quantity)')} AS l_quantity, {QZ('sum(l_extendedprice)')} AS l_extendedprice,
-       {QZ('sum(l_discount)')} AS l_discount, {QZ('sum(l_tax)')} AS l_tax, count(*) AS n_rows
+SELECT {CENTS_SUM('l_quantity')} AS l_quantity, {CENTS_SUM('l_extendedprice')} AS l_extendedprice,
+       {CENTS_SUM('l_discount')} AS l_discount, {CENTS_SUM('l_tax')} AS l_tax, count(*) AS n_rows
 FROM lineitem""")
 def c7_select_columns(spark, sf):
     li = T(spark, sf, "lineitem")
     sel = select_like(li, between=("l_quantity", "l_tax"))
     assert select_like(li, contains="price").columns == ["l_extendedprice"]
-    return sel.agg(*[qz(F.sum(c)).alias(c) for c in sel.columns], F.count(F.lit(1)).alias("n_rows"))
+    return sel.agg(*[cents_sum(c).alias(c) for c in sel.columns], F.count(F.lit(1)).alias("n_rows"))
 
 
 # ---------------------------------------------------------------------------- C8

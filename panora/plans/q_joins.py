@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from panora.operators.joins import (align, coverage_flags, crosswalk, fill_balanced, join, link,
                                     lookup, membership_flag, merge_m1, merge_mm, neighbor_sum,
                                     restrict)
-from panora.plans.common import QZ, SQL_DAYNUM, SQL_WEEK, T, ev_week, qz
+from panora.plans.common import CENTS_SUM, QZ, SQL_DAYNUM, SQL_WEEK, T, cents_sum, ev_week, qz
 
 Q, S = {}, {}
 
@@ -328,14 +328,14 @@ def j13_balance_grid(spark, sf):
 
 # ---------------------------------------------------------------------------- J14
 @reg("j14_link_frames", f"""
-SELECT o.o_orderpriority, l.l_returnflag, count(*) AS n, {QZ('sum(l.l_extendedprice)')} AS price
+SELECT o.o_orderpriority, l.l_returnflag, count(*) AS n, {CENTS_SUM('l.l_extendedprice')} AS price
 FROM lineitem l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey GROUP BY 1, 2""")
 def j14_link_frames(spark, sf):
     li = T(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_extendedprice")
     o = T(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority")
     j = link(li, o, "l_orderkey", ["o_orderpriority"])
     return j.groupBy("o_orderpriority", "l_returnflag").agg(
-        F.count(F.lit(1)).alias("n"), qz(F.sum("l_extendedprice")).alias("price"))
+        F.count(F.lit(1)).alias("n"), cents_sum("l_extendedprice").alias("price"))
 
 
 QUERIES, SQL = Q, S

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from panora.functions.clean import quantize
 from panora.operators.reshape import long_to_wide, wide_to_long
-from panora.plans.common import QZ, T, qz
+from panora.plans.common import CENTS_SUM, QZ, T, cents_sum, qz
 from panora.session import scratch_path
 from panora.sources.readers import (parse_json_column, read_delimited, read_dir, read_fixed_width,
                                     read_jsonl, read_table, signal_window, stack_parts,
@@ -48,7 +48,7 @@ def s1_read_csv(spark, sf):
 # ---------------------------------------------------------------------------- S2
 @reg("s2_read_dir", f"""
 SELECT l_returnflag, count(*) AS n, {QZ('sum(l_quantity)')} AS qty,
-       {QZ('sum(l_extendedprice)')} AS price FROM lineitem GROUP BY l_returnflag""")
+       {CENTS_SUM('l_extendedprice')} AS price FROM lineitem GROUP BY l_returnflag""")
 def s2_read_dir(spark, sf):
     li = T(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus", "l_quantity",
                                          "l_extendedprice", "l_tax")
@@ -58,12 +58,12 @@ def s2_read_dir(spark, sf):
               "l_extendedprice double, l_tax double")
     d = read_dir(spark, path, schema, cols=["l_returnflag", "l_quantity", "l_extendedprice"])
     return d.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), qz(F.sum("l_quantity")).alias("qty"),
-                                         qz(F.sum("l_extendedprice")).alias("price"))
+                                         cents_sum("l_extendedprice").alias("price"))
 
 
 # ---------------------------------------------------------------------------- S3
 @reg("s3_read_delimited", f"""
-SELECT o_orderstatus, o_orderpriority, count(*) AS n, {QZ('sum(o_totalprice)')} AS total
+SELECT o_orderstatus, o_orderpriority, count(*) AS n, {CENTS_SUM('o_totalprice')} AS total
 FROM orders GROUP BY 1, 2""")
 def s3_read_delimited(spark, sf):
     o = T(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
@@ -74,7 +74,7 @@ def s3_read_delimited(spark, sf):
               "o_orderpriority string")
     d = read_delimited(spark, path, schema, cols=["o_orderstatus", "o_orderpriority", "o_totalprice"])
     return d.groupBy("o_orderstatus", "o_orderpriority").agg(
-        F.count(F.lit(1)).alias("n"), qz(F.sum("o_totalprice")).alias("total"))
+        F.count(F.lit(1)).alias("n"), cents_sum("o_totalprice").alias("total"))
 
 
 # ---------------------------------------------------------------------------- S4
@@ -99,7 +99,7 @@ LAYOUT = [("orderkey", 1, 12, "long"), ("linenumber", 13, 4, "int"),
 
 
 @reg("s5_fixed_width", f"""
-SELECT l_returnflag AS flag, count(*) AS n, {QZ('sum(l_extendedprice)')} AS price,
+SELECT l_returnflag AS flag, count(*) AS n, {CENTS_SUM('l_extendedprice')} AS price,
        CAST(sum(l_linenumber) AS BIGINT) AS lines FROM lineitem GROUP BY l_returnflag""")
 def s5_fixed_width(spark, sf):
     li = T(spark, sf, "lineitem")
@@ -108,13 +108,13 @@ def s5_fixed_width(spark, sf):
     path = scratch_path(spark, "s5")
     txt.write.text(path)
     d = read_fixed_width(spark, path, LAYOUT)
-    return d.groupBy("flag").agg(F.count(F.lit(1)).alias("n"), qz(F.sum("price")).alias("price"),
+    return d.groupBy("flag").agg(F.count(F.lit(1)).alias("n"), cents_sum("price").alias("price"),
                                  F.sum("linenumber").alias("lines"))
 
 
 # ---------------------------------------------------------------------------- S6
 @reg("s6_stack_parts", f"""
-SELECT part, count(*) AS n, {QZ('sum(o_totalprice)')} AS total FROM (
+SELECT part, count(*) AS n, {CENTS_SUM('o_totalprice')} AS total FROM (
   SELECT 1 AS part, o_totalprice FROM orders WHERE o_orderstatus = 'F'
   UNION ALL SELECT 2 AS part, o_totalprice FROM orders WHERE o_orderstatus <> 'F')
 GROUP BY part""")
@@ -123,7 +123,7 @@ def s6_stack_parts(spark, sf):
     a = o.filter(F.col("o_orderstatus") == "F")
     b = o.filter(F.col("o_orderstatus") != "F")
     st = stack_parts([a, b], ["o_orderkey", "o_custkey", "o_totalprice"], part_col="part")
-    return st.groupBy("part").agg(F.count(F.lit(1)).alias("n"), qz(F.sum("o_totalprice")).alias("total"))
+    return st.groupBy("part").agg(F.count(F.lit(1)).alias("n"), cents_sum("o_totalprice").alias("total"))
 
 
 # ---------------------------------------------------------------------------- S7
