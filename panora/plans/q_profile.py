@@ -234,6 +234,16 @@ def d9_histogram_by_group(spark, sf):
     return h.select("o_orderstatus", "bin", "n")
 
 
+@reg("d9_histogram_log", f"""
+WITH v AS (SELECT ln(o_totalprice + 1) AS x FROM orders),
+ m AS (SELECT min(x) AS lo, max(x) AS hi FROM v)
+SELECT CAST(least(floor((x - lo) / ((hi - lo) / 20)), 19) AS INTEGER) AS bin, count(*) AS n
+FROM v, m GROUP BY 1""")
+def d9_histogram_log(spark, sf):
+    h = histogram(T(spark, sf, "orders"), "o_totalprice", bins=20, log=True)
+    return h.select("bin", "n")
+
+
 # ---------------------------------------------------------------------------- D10
 @reg("d10_box_stats", f"""
 WITH q AS (SELECT c_mktsegment, count(c_acctbal) AS n, quantile_cont(c_acctbal, 0.25) AS q1,
