@@ -24,18 +24,37 @@ def _by(by) -> list[str]:
 
 
 # --------------------------------------------------------------------------- W1
-def group_stat(df: DataFrame, by, stats: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """Attach group statistics to every row: ``{"out": ("max", "x")}``."""
+def group_stat(df: DataFrame, by, stats: Mapping[str, tuple[str, str]],
+               method: str = "auto") -> DataFrame:
+    """Attach group statistics to every row: ``{"out": ("max", "x")}``.
+
+    Medians go through :func:`panora.operators.quantiles.median_table`
+    (distributed route when groups are large); the rest is one aggregation.
+    """
+    from panora.operators.quantiles import median_table
     by = _by(by)
-    agg = df.groupBy(*by).agg(*[FUNCS[f](F.col(c)).alias(out) for out, (f, c) in stats.items()])
-    return df.join(agg, by, "left")
+    plain = {o: fc for o, fc in stats.items() if fc[0] != "median"}
+    out = df
+    if plain:
+        agg = df.groupBy(*by).agg(*[FUNCS[f](F.col(c)).alias(o) for o, (f, c) in plain.items()])
+        out = out.join(agg, by, "left")
+    for o, (f, c) in stats.items():
+        if f == "median":
+            out = out.join(median_table(df, c, by, o, method), by, "left")
+    return out
 
 
 # --------------------------------------------------------------------------- W2
-def table_stat(df: DataFrame, stats: Mapping[str, tuple[str, str]]) -> DataFrame:
+def table_stat(df: DataFrame, stats: Mapping[str, tuple[str, str]], method: str = "auto") -> DataFrame:
     """Attach whole-table statistics (``egen m = mean(x)``) as scalar subqueries."""
-    return df.withColumns({out: df.select(FUNCS[f](F.col(c))).scalar()
-                           for out, (f, c) in stats.items()})
+    from panora.operators.quantiles import median_table
+    cols = {}
+    for out, (f, c) in stats.items():
+        if f == "median":
+            cols[out] = median_table(df, c, (), "__m", method).select("__m").scalar()
+        else:
+            cols[out] = df.select(FUNCS[f](F.col(c))).scalar()
+    return df.withColumns(cols)
 
 
 # --------------------------------------------------------------------------- W3
@@ -163,10 +182,13 @@ def flag(col, op: str, value, missing: str = "null") -> Column:
 
 
 def high_low(df: DataFrame, col: str, by: str = "median", out: str | None = None,
-             missing: str = "null") -> DataFrame:
-    """Indicator of ``col`` above its whole-table mean or median."""
-    stat = F.median if by == "median" else F.avg
-    thr = df.select(stat(F.col(col))).scalar()
+             missing: str = "null", method: str = "auto") -> DataFrame:
+    """Indicator of ``col`` above its whole-table mean or median (scalar subquery)."""
+    from panora.operators.quantiles import median_table
+    if by == "median":
+        thr = median_table(df, col, (), "__m", method).select("__m").scalar()
+    else:
+        thr = df.select(F.avg(F.col(col))).scalar()
     return df.withColumn(out or f"{col}_high", flag(col, ">", thr, missing))
 
 
