@@ -27,6 +27,29 @@ def top_k(df: DataFrame, k: int, by: str, desc: bool = True,
     return df.orderBy(o, *[F.col(t).asc() for t in tiebreak]).limit(k)
 
 
+def sort_position(df: DataFrame, by: str, desc: bool = False, tiebreak: Sequence = (),
+                  out: str = "position", method: str = "auto") -> DataFrame:
+    """Every row with its 1-based position in the order (by [desc], tiebreak...).
+
+    The position is computed without moving the table into one task: the
+    exact rank range of each distinct sort value comes from
+    :func:`panora.operators.quantiles.rank_ranges` (value counts, bucketed
+    prefix sums), and rows tied on the value are numbered inside their own
+    (value) group by ``tiebreak``.  Requires a numeric sort column.
+    """
+    from pyspark.sql import Window
+
+    from panora.operators.quantiles import rank_ranges
+    key = F.col(by)
+    tmp = df.withColumn("__key", -key if desc else key)
+    rr = rank_ranges(tmp, "__key", (), method=method).select("__key", "__lo")
+    tb = [F.col(t) if isinstance(t, str) else t for t in tiebreak] or [F.lit(1)]
+    tie = Window.partitionBy("__key").orderBy(*tb)
+    return (tmp.join(rr, "__key", "left")
+            .withColumn(out, (F.col("__lo") + F.row_number().over(tie) - 1).cast("long"))
+            .drop("__key", "__lo"))
+
+
 # --------------------------------------------------------------------------- O3
 def category_rank(col, levels: Sequence, unknown: int | None = None) -> Column:
     """Rank of a value in a custom categorical order (1-based; literal map)."""

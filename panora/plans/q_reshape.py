@@ -7,8 +7,8 @@ from itertools import product
 
 from pyspark.sql import functions as F
 
-from panora.operators.reshape import (append, category_rank, long_to_wide, one_hot, sort,
-                                      status_matrix, top_k, wide_cast, wide_to_long)
+from panora.operators.reshape import (append, category_rank, long_to_wide, one_hot,
+                                      sort_position, status_matrix, top_k, wide_cast, wide_to_long)
 from panora.plans.common import QZ, T, qz
 from panora.plans.q_design import SQL_WEEK_PANEL, week_panel
 
@@ -26,10 +26,19 @@ def reg(key, sql=None):
 
 # ---------------------------------------------------------------------------- O1
 @reg("o1_sort", """
-SELECT c_custkey, c_acctbal, c_mktsegment FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 20""")
+SELECT c_custkey, c_acctbal, c_mktsegment,
+  row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) AS position FROM customer""")
 def o1_sort(spark, sf):
     c = T(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
-    return sort(c, "c_acctbal", "c_custkey", desc=[True, False]).limit(20)
+    return sort_position(c, "c_acctbal", desc=True, tiebreak=["c_custkey"])
+
+
+@reg("o1_sort_two_keys", """
+SELECT o_orderkey, o_custkey, o_totalprice,
+  row_number() OVER (ORDER BY o_custkey, o_totalprice DESC, o_orderkey) AS position FROM orders""")
+def o1_sort_two_keys(spark, sf):
+    o = T(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return sort_position(o, "o_custkey", tiebreak=[F.col("o_totalprice").desc(), "o_orderkey"])
 
 
 # ---------------------------------------------------------------------------- O2

@@ -128,3 +128,14 @@ def test_quantile_methods_agree(spark, method):
     assert abs(by[4][1] - 5.9652) < 1e-9 and (2, 9.0) in by and (3, 42.0) in by
     big = spark.range(0, 1001).select((F.col("id") % 7).cast("double").alias("x"))
     assert stata_percentiles(big, ["x"], [0.1, 0.5, 0.9], method)["x"] == [0.0, 3.0, 6.0]
+
+
+def test_sort_and_positions(spark):
+    from panora.operators.reshape import sort, sort_position, top_k
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate([5, 3, 5, 1, 9, 3])], "k int, v double")
+    got = [tuple(r) for r in sort(df, "v", "k", desc=[True, False]).collect()]
+    assert got == [(4, 9.0), (0, 5.0), (2, 5.0), (1, 3.0), (5, 3.0), (3, 1.0)]
+    for method in ("map", "distributed"):
+        pos = {r.k: r.position for r in sort_position(df, "v", desc=True, tiebreak=["k"], method=method).collect()}
+        assert pos == {4: 1, 0: 2, 2: 3, 1: 4, 5: 5, 3: 6}
+    assert [r.k for r in top_k(df, 2, "v", tiebreak=["k"]).collect()] == [4, 0]
