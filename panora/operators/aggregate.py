@@ -48,21 +48,48 @@ def _by(by) -> list:
     return [by] if isinstance(by, (str, Column)) else list(by)
 
 
+def aggregate(df: DataFrame, by, specs: Sequence[tuple[str, object, str]],
+              method: str = "auto") -> DataFrame:
+    """Grouped statistics ``[(output, function, column)]`` in one aggregation.
+
+    Medians are the exception: with ``method="auto"`` they use the exact
+    ``median`` aggregate while the largest group has few distinct values and
+    otherwise the distributed rank route
+    (:func:`panora.operators.quantiles.median_table`), joined on the keys.
+    """
+    from panora.operators.quantiles import median_table, use_map
+    by = _by(by)
+    med = [(o, c) for o, f, c in specs if isinstance(f, str) and f == "median"]
+    if med and method != "map" and not use_map(df, sorted({c for _, c in med}), by, method):
+        plain = [(o, f, c) for o, f, c in specs if not (isinstance(f, str) and f == "median")]
+    else:
+        plain, med = list(specs), []
+    exprs = [_fn(f)(F.col(c)).alias(o) for o, f, c in plain]
+    if exprs:
+        out = df.groupBy(*by).agg(*exprs) if by else df.agg(*exprs)
+    else:
+        out = df.select(*by).distinct() if by else None
+    for o, c in med:
+        m = median_table(df, c, by, o, "distributed")
+        out = m if out is None else (out.join(m, by, "left") if by else
+                                     out.withColumn(o, m.select(o).scalar()))
+    return out.select(*by, *[o for o, _, _ in specs])
+
+
 # --------------------------------------------------------------------------- A1/A2/A8
 def summarise_across(df: DataFrame, by, cols: Sequence[str],
                      fns: Mapping[str, object] | Sequence[str],
-                     template: str = "{col}_{fn}") -> DataFrame:
+                     template: str = "{col}_{fn}", method: str = "auto") -> DataFrame:
     """Apply every function to every column in one aggregation.
 
     ``fns`` maps an output tag to a function name of :data:`FUNCS` or a
     ``Column -> Column`` aggregate.  Output names follow ``template``.
+    Medians follow :func:`aggregate` (exact either way).
     """
     if not isinstance(fns, Mapping):
         fns = {f: f for f in fns}
-    exprs = [_fn(f)(F.col(c)).alias(template.format(col=c, fn=tag))
-             for c in cols for tag, f in fns.items()]
-    by = _by(by)
-    return df.groupBy(*by).agg(*exprs) if by else df.agg(*exprs)
+    specs = [(template.format(col=c, fn=tag), f, c) for c in cols for tag, f in fns.items()]
+    return aggregate(df, by, specs, method)
 
 
 def collapse(df: DataFrame, by, spec: Mapping[str, Sequence[str]],
@@ -74,11 +101,8 @@ def collapse(df: DataFrame, by, spec: Mapping[str, Sequence[str]],
     unless ``rename`` says otherwise.
     """
     rename = rename or {}
-    exprs = []
-    for stat, cols in spec.items():
-        for c in cols:
-            exprs.append(_fn(stat)(F.col(c)).alias(rename.get(c, c)))
-    return df.groupBy(*_by(by)).agg(*exprs)
+    specs = [(rename.get(c, c), stat, c) for stat, cols in spec.items() for c in cols]
+    return aggregate(df, by, specs)
 
 
 # --------------------------------------------------------------------------- A3
@@ -177,11 +201,12 @@ def resample(df: DataFrame, entity: str | Sequence[str], date_col: str, to: str
 def rollup(df: DataFrame, to: str | Sequence[str], fns: Mapping[str, Sequence[str]],
            template: str = "{col}_{fn}", count: str | None = "n") -> DataFrame:
     """Roll-up in space (site -> county -> state) with named statistics."""
-    exprs = [_fn(f)(F.col(c)).alias(template.format(col=c, fn=f))
-             for f, cols in fns.items() for c in cols]
+    specs = [(template.format(col=c, fn=f), f, c) for f, cols in fns.items() for c in cols]
+    out = aggregate(df, to, specs)
     if count:
-        exprs.append(F.count(F.lit(1)).alias(count))
-    return df.groupBy(*_by(to)).agg(*exprs)
+        n = df.groupBy(*_by(to)).agg(F.count(F.lit(1)).alias(count))
+        out = out.join(n, _by(to)) if _by(to) else out.withColumn(count, n.select(count).scalar())
+    return out
 
 
 # --------------------------------------------------------------------------- A11
