@@ -10,13 +10,13 @@ over the distinct-value table, never from an un-partitioned window over rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panora.functions.dist import f_sf, t_sf2
+from panora.functions.dist import t_sf2
 from panora.operators.aggregate import MAD_SCALE, percentile_disc
 
 
@@ -468,7 +468,3 @@ def map_intensity(measure: Column, base: Column, scale: float = 100.0) -> Column
     """log(scale * a / b + 1) intensity for map tables (NULL when b is 0)."""
     r = F.try_divide(measure * F.lit(scale), base)
     return F.when(r > -1, F.log1p(r))
-
-
-def joint_f_pvalue(f: float, d1: float, d2: float) -> float:
-    return f_sf(f, d1, d2)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panora.operators.aggregate import (collapse, collect_values, cond_sums, count_if, crosstab,
+from panora.operators.aggregate import (collapse, collect_values, count_if, crosstab,
                                         distinct_counts, freq, null_counts, per_unit, rate_by_levels,
                                         resample, rollup, share_within, stacked_summary,
                                         summarise_across, sum_if, winsorize)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panora.operators.estimate import (areg, coef_table, event_study, fit_many, grid, margins, ols,
+from panora.operators.estimate import (areg, coef_table, event_study, grid, margins, ols,
                                        stats_table, tests_table, wide_table, within)
 from panora.operators.joins import fill_balanced
 from panora.operators.window import high_low
