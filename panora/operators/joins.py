@@ -91,15 +91,18 @@ def join(left: DataFrame, right: DataFrame, on, how: str = "inner",
 
 # --------------------------------------------------------------------------- J1
 def align(*frames: DataFrame, keys: Sequence[str], null_keys: str = MATCH,
-          unique: bool = True) -> DataFrame:
+          unique: bool = True, check: bool = False) -> DataFrame:
     """Natural full outer join chain of many tables on explicit ``keys``.
 
     When each input is unique on ``keys`` (the panel case) the chain is
     rewritten as a union + one aggregation: a single shuffle on the key
     instead of n-1 sort-merge joins, null-safe because grouping treats NULLs
     as equal, and partial aggregation runs before the shuffle.  Non-key
-    columns must be disjoint (M17).  With ``unique=False`` a null-safe full
-    outer join chain is used, which keeps the many-to-many fan-out.
+    columns must be disjoint (M17).  ``check=True`` verifies the uniqueness
+    inside that same aggregation (rows per source and key), keeps the
+    result persisted and raises on a duplicate.  With ``unique=False`` a
+    null-safe full outer join chain is used, which keeps the many-to-many
+    fan-out.
     """
     keys = list(keys)
     _check_clash(frames, keys)
@@ -107,9 +110,21 @@ def align(*frames: DataFrame, keys: Sequence[str], null_keys: str = MATCH,
         frames = [_drop_null_keys(f, keys) for f in frames]
     if not unique:
         return reduce(lambda a, b: join(a, b, keys, "full", null_keys=null_keys), frames)
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    tagged = [f.withColumn("__src", F.lit(i)) for i, f in enumerate(frames)]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
     values = [c for f in frames for c in f.columns if c not in keys]
-    return stacked.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in values])
+    aggs = [F.first(c, ignorenulls=True).alias(c) for c in values]
+    if not check:
+        return stacked.groupBy(*keys).agg(*aggs)
+    from pyspark import StorageLevel
+    out = stacked.groupBy(*keys).agg(
+        *aggs, *[F.count_if(F.col("__src") == i).alias(f"__n{i}") for i in range(len(frames))])
+    out = out.persist(StorageLevel.MEMORY_AND_DISK)
+    dup = out.filter(reduce(lambda a, b: a | b, [F.col(f"__n{i}") > 1 for i in range(len(frames))]))
+    if dup.limit(1).count():
+        out.unpersist()
+        raise ValueError(f"align: an input is not unique on {keys}; use unique=False")
+    return out.drop(*[f"__n{i}" for i in range(len(frames))])
 
 
 # --------------------------------------------------------------------------- J3

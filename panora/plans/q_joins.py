@@ -56,7 +56,7 @@ FROM vc FULL JOIN p ON vc.user_id IS NOT DISTINCT FROM p.user_id AND vc.week IS
 @reg("j1_align_full_outer", SQL_J1)
 def j1_align_full_outer(spark, sf):
     frames = [_type_means(spark, sf, t, f"{t}_mean") for t in ("view", "click", "purchase")]
-    a = align(*frames, keys=["user_id", "week"])
+    a = align(*frames, keys=["user_id", "week"], check=True)
     return a.select("user_id", "week", *[qz(f"{t}_mean").alias(f"{t}_mean")
                                          for t in ("view", "click", "purchase")])
 

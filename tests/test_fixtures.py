@@ -139,3 +139,12 @@ def test_sort_and_positions(spark):
         pos = {r.k: r.position for r in sort_position(df, "v", desc=True, tiebreak=["k"], method=method).collect()}
         assert pos == {4: 1, 0: 2, 2: 3, 1: 4, 5: 5, 3: 6}
     assert [r.k for r in top_k(df, 2, "v", tiebreak=["k"]).collect()] == [4, 0]
+
+
+def test_align_uniqueness_check(spark):
+    a = spark.createDataFrame([(1, 1.0), (1, 2.0)], "k int, x double")
+    b = spark.createDataFrame([(1, 5.0)], "k int, y double")
+    with pytest.raises(ValueError):
+        align(a, b, keys=["k"], check=True)
+    fan = align(a, b, keys=["k"], unique=False)
+    assert sorted((r.x, r.y) for r in fan.collect()) == [(1.0, 5.0), (2.0, 5.0)]
