@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -370,13 +371,16 @@ def _prepare(df: DataFrame, ys: Sequence[str], term_union: Sequence[Term], absor
     means = z.groupBy("__g").agg(*[F.expr(f"avg({n})").alias(f"__m{n}") for n in names],
                                  F.expr("1.0D / count(1)").alias("__inv"))
     if materialize:
-        means = cut_lineage(means, how="parquet")
+        # G rows, read by the moment and the meat pass: kept after the first
+        # pass computes it (its lineage is a scan of the landed sample, so a
+        # lost partition is cheap to recompute)
+        means = means.persist(StorageLevel.MEMORY_AND_DISK)
     if not absorb:
         means = F.broadcast(means)  # one row by construction
     d = z.join(means, "__g").selectExpr(
         "__g", "__inv", *names, *[f"__y{i} * __y{i} AS __q{i}" for i in range(len(ys))],
         *[f"{n} - __m{n} AS __d{n}" for n in names])
-    return d, names
+    return d, names, means
 
 
 def _fit_from_moments(spec: _Spec, yi: int, tidx: list[int], terms: list[Term], g: np.ndarray,
@@ -536,7 +540,7 @@ def fit_many(df: DataFrame, specs: Sequence[tuple[str, str, Sequence[str]]], abs
                 union.append(t)
             idx.append(union.index(t))
         per_model.append(idx)
-    d, names = _prepare(base, ys, union, absorb, [], materialize)
+    d, names, means = _prepare(base, ys, union, absorb, [], materialize)
     p_x = len(union)
     dcols = [f"__d__x{j}" for j in range(p_x)] + [f"__d__y{i}" for i in range(len(ys))]
     rawcols = ([f"__x{j}" for j in range(p_x)] + [f"__y{i}" for i in range(len(ys))]
@@ -583,6 +587,8 @@ def fit_many(df: DataFrame, specs: Sequence[tuple[str, str, Sequence[str]]], abs
             fit.has_cons = False
             fit.coef, fit.vcov, fit.omitted = coef[:-1], V[:-1, :-1], omitted[:-1]
         fits.append(fit)
+    if materialize:
+        means.unpersist()
     return fits
 
 
