@@ -218,6 +218,66 @@ def e8_wald_tests(spark, sf):
     return tests_table(spark, run_grid(spark, sf))
 
 
+GRID_Y = ["value_mean", "last_event"]
+GRID_X = ["n_events", "tre"]
+
+
+def _sql_areg1(y, x, mid):
+    return f"""SELECT '{mid}' AS model_id, '{x}' AS term, {QZ('b.b', 6)} AS coef,
+  {QZ('sqrt(b.n / (b.n - b.g - 1) * sum(power(d.yt - b.b * d.xt, 2) * d.xt * d.xt)) / b.sxx', 6)} AS se
+FROM (SELECT user_id, {x} - avg({x}) OVER (PARTITION BY user_id) AS xt,
+             {y} - avg({y}) OVER (PARTITION BY user_id) AS yt FROM g) d,
+     (SELECT sum(xt * yt) / sum(xt * xt) AS b, sum(xt * xt) AS sxx, count(*) AS n,
+             count(DISTINCT user_id) AS g
+      FROM (SELECT user_id, {x} - avg({x}) OVER (PARTITION BY user_id) AS xt,
+                   {y} - avg({y}) OVER (PARTITION BY user_id) AS yt FROM g)) b
+GROUP BY b.b, b.n, b.g, b.sxx"""
+
+
+SQL_E7 = (f"""WITH g AS (SELECT user_id, value_mean, CAST(last_event AS DOUBLE) AS last_event,
+  CAST(n_events AS DOUBLE) AS n_events, CAST(tre AS DOUBLE) AS tre FROM ({SQL_DAY_PANEL_T})) """
+          + " UNION ALL ".join(_sql_areg1(y, x, f"{y}|{x}") for y in GRID_Y for x in GRID_X))
+
+
+@reg("e7_grid_one_regressor", SQL_E7)
+def e7_grid_one_regressor(spark, sf):
+    p = day_panel(spark, sf).select(
+        "user_id", "value_mean", F.col("last_event").cast("double").alias("last_event"),
+        F.col("n_events").cast("double").alias("n_events"), F.col("tre").cast("double").alias("tre"))
+    fits = grid(p, GRID_Y, GRID_X, lambda o, m: [m], absorb="user_id")
+    c = coef_table(spark, fits).filter(F.col("term") != "_cons")
+    return c.select("model_id", "term", qz("coef", 6).alias("coef"), qz("se", 6).alias("se"))
+
+
+SQL_E8 = f"""WITH p AS ({SQL_DAY_PANEL_T}),
+ s AS (SELECT user_id, value_mean AS y, CAST(tre AS DOUBLE) AS x1, CAST(n_events AS DOUBLE) AS x2 FROM p),
+ d AS (SELECT user_id, x1 - avg(x1) OVER (PARTITION BY user_id) AS a1, x2 - avg(x2) OVER (PARTITION BY user_id) AS a2,
+              y - avg(y) OVER (PARTITION BY user_id) AS yt FROM s),
+ m AS (SELECT sum(a1 * a1) AS s11, sum(a1 * a2) AS s12, sum(a2 * a2) AS s22, sum(a1 * yt) AS s1y,
+              sum(a2 * yt) AS s2y, count(*) AS n, count(DISTINCT user_id) AS g FROM d),
+ b AS (SELECT *, s11 * s22 - s12 * s12 AS det, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+              (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM m),
+ e AS (SELECT d.a1, d.a2, d.yt - b.b1 * d.a1 - b.b2 * d.a2 AS r FROM d, b),
+ mt AS (SELECT sum(r * r * a1 * a1) AS m11, sum(r * r * a1 * a2) AS m12, sum(r * r * a2 * a2) AS m22 FROM e),
+ v AS (SELECT b.*, n * 1.0 / (n - g - 2) AS q,
+   n * 1.0 / (n - g - 2) * (s22 * s22 * m11 - 2 * s22 * s12 * m12 + s12 * s12 * m22) / (det * det) AS v11,
+   n * 1.0 / (n - g - 2) * (s12 * s12 * m11 - 2 * s11 * s12 * m12 + s11 * s11 * m22) / (det * det) AS v22,
+   n * 1.0 / (n - g - 2) * (-s22 * s12 * m11 + (s11 * s22 + s12 * s12) * m12 - s11 * s12 * m22) / (det * det) AS v12
+   FROM b, mt)
+SELECT 'joint' AS test, 2 AS q, CAST(n - g - 2 AS BIGINT) AS df_r,
+  {QZ('(b1 * b1 * v22 - 2 * b1 * b2 * v12 + b2 * b2 * v11) / (v11 * v22 - v12 * v12) / 2', 6)} AS f
+FROM v"""
+
+
+@reg("e8_wald_two_regressors", SQL_E8)
+def e8_wald_two_regressors(spark, sf):
+    p = day_panel(spark, sf).select("user_id", "value_mean", F.col("tre").cast("double").alias("tre"),
+                                    F.col("n_events").cast("double").alias("n_events"))
+    fit = areg(p, "value_mean", ["tre", "n_events"], absorb="user_id", tests=[("joint", ["tre", "n_events"])])
+    t = tests_table(spark, [fit])
+    return t.select("test", "q", "df_r", qz("f", 6).alias("f"))
+
+
 # ---------------------------------------------------------------------------- E9
 WEEKS = [1, 2, 3, 4, 5]
 
