@@ -62,15 +62,20 @@ def locf(df: DataFrame, entity, time: str, cols: Sequence[str],
          chunk: int | None = None) -> DataFrame:
     """Carry the last non-missing value forward within each entity.
 
-    With ``chunk`` (a period width) the series of each entity is cut into
-    blocks of ``chunk`` periods: the last value of each block is found by a
-    partial aggregation (``max_by``), carried across blocks on the small
+    The series of each entity is cut into blocks of ``chunk`` periods
+    (default 64 for a numeric period): the last value of each block is found
+    by a partial aggregation (``max_by``), carried across blocks on the small
     block table, and the fill inside a block uses a window partitioned by
-    (entity, block).  Without ``chunk`` a window over the entity is used.
+    (entity, block) -- so even an entity holding a large share of the rows is
+    spread over many tasks.  ``chunk=0`` (or a non-numeric period) uses one
+    window over the entity.
     """
     ents = _by(entity)
     cols = list(cols)
-    if not chunk:
+    numeric = dict(df.dtypes).get(time) in ("int", "bigint", "smallint", "tinyint", "double", "float")
+    if chunk is None:
+        chunk = 64 if numeric else 0
+    if not chunk or not numeric:
         w = Window.partitionBy(*ents).orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
     blk = F.floor(F.col(time) / F.lit(chunk)).alias("__blk")

@@ -59,7 +59,7 @@ SELECT user_id, day, {QZ('''last_value(value_mean IGNORE NULLS) OVER (PARTITION
 
 @reg("w3_locf", SQL_W3)
 def w3_locf(spark, sf):
-    f = locf(_gappy_grid(spark, sf), "user_id", "day", ["value_mean"])
+    f = locf(_gappy_grid(spark, sf), "user_id", "day", ["value_mean"], chunk=0)
     return f.select("user_id", "day", qz("value_mean").alias("value_mean"))
 
 

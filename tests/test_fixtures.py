@@ -22,7 +22,7 @@ def test_null_keys_match(spark):
     assert align(left, right, keys=["k", "w"], null_keys="drop").count() == 2
 
 
-@pytest.mark.parametrize("chunk", [None, 2])
+@pytest.mark.parametrize("chunk", [0, None, 2])
 def test_locf_gap(spark, chunk):
     df = spark.createDataFrame([(1, t, x) for t, x in [(1, 5.0), (2, None), (3, None), (4, 7.0), (5, None)]]
                                + [(2, 1, None), (2, 2, 3.0)], "e int, t int, x double")
