@@ -61,9 +61,7 @@ class Term:
         parts = []
         for f in self.factors:
             if f[0] == "i":
-                lv = f[2]
-                lit = f"'{lv}'" if isinstance(lv, str) else repr(lv)
-                parts.append(f"CAST((`{f[1]}` = {lit}) AS DOUBLE)")
+                parts.append(f"CAST((`{f[1]}` = {_sql_literal(f[2])}) AS DOUBLE)")
             else:
                 parts.append(f"CAST(`{f[1]}` AS DOUBLE)")
         return " * ".join(parts)
@@ -73,6 +71,20 @@ class Term:
         return [f[1] for f in self.factors]
 
 
+def _sql_literal(v) -> str:
+    """A factor level as a SQL literal."""
+    import datetime as _dt
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, _dt.datetime):
+        return f"TIMESTAMP '{v.isoformat(sep=' ')}'"
+    if isinstance(v, _dt.date):
+        return f"DATE '{v.isoformat()}'"
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return repr(v)
+
+
 def _strip(v: str) -> str:
     return v.split(".", 1)[1] if v[:2] in ("c.", "i.") else v
 

@@ -161,3 +161,14 @@ def test_distribution_tails():
     assert abs(t_ppf(0.975, 10) - 2.228139) < 1e-6
     assert abs(f_sf(3.0, 2, 20) - 0.072538) < 1e-6
     assert abs(betainc(2.0, 3.0, 0.4) - 0.5248) < 1e-4
+
+
+def test_date_and_string_factor_levels(spark):
+    import datetime as dt
+    rows = _panel(8, drop=0.0, singleton=False)
+    base = dt.date(2020, 1, 1)
+    df = spark.createDataFrame([(e, base + dt.timedelta(days=t), f"g'{t % 3}", x1, y) for e, t, x1, _, y, _ in rows],
+                               "e int, d date, s string, x1 double, y double")
+    f1 = areg(df, "y", ["x1", "i.d"], absorb="e")
+    f2 = areg(df, "y", ["x1", "i.s"], absorb="e")
+    assert f1.names[0] == "x1" and len(f1.names) == 2 + 5 and f2.df_r > 0
