@@ -82,7 +82,7 @@ def stata_percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]
 
 # --------------------------------------------------------------------------- D1
 def describe(df: DataFrame, cols: Sequence[str] | None = None, fast: bool = True,
-             trim: float = 0.1) -> DataFrame:
+             trim: float = 0.1, method: str = "auto") -> DataFrame:
     """``psych::describe``: n, mean, sd, min, max, range, se (+ median, trimmed
     mean, mad, skew, kurtosis when ``fast=False``; skew/kurtosis are psych's
     type 3: m3/s^3 and m4/s^4 - 3 with the sample sd s).
@@ -110,28 +110,39 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, fast: bool = True
     m = wide.first().asDict()
     spark = df.sparkSession
     # order statistics: median and trimmed-mean cut values x[k+1], x[n-k]
-    ex2 = []
-    ks = {}
-    for c in cols:
-        n = m[f"{c}__n"]
-        if not n:
-            continue
-        k = ks[c] = int(n * trim)
-        ex2 += [F.median(c).alias(f"{c}__median"),
-                percentile_disc(c, (k + 0.5) / n).alias(f"{c}__a"),
-                percentile_disc(c, (n - k - 0.5) / n).alias(f"{c}__b")]
-    o = df.agg(*ex2).first().asDict() if ex2 else {}
-    # MAD and trimmed sums in one pass
+    from panora.operators.quantiles import median_table, order_values, use_map
+    ks = {c: int(m[f"{c}__n"] * trim) for c in cols if m[f"{c}__n"]}
+    small = use_map(df, list(ks), (), method) if ks else True
+    o, t = {}, {}
+    if small:
+        ex2 = []
+        for c, k in ks.items():
+            n = m[f"{c}__n"]
+            ex2 += [F.median(c).alias(f"{c}__median"),
+                    percentile_disc(c, (k + 0.5) / n).alias(f"{c}__a"),
+                    percentile_disc(c, (n - k - 0.5) / n).alias(f"{c}__b")]
+        o = df.agg(*ex2).first().asDict() if ex2 else {}
+    else:
+        for c, k in ks.items():
+            n = m[f"{c}__n"]
+            r = order_values(df, c, {"lo": lambda n_: F.floor((n_ + 1) / 2), "hi": lambda n_: F.floor(n_ / 2) + 1,
+                                     "a": lambda n_, k=k: F.lit(k + 1), "b": lambda n_, k=k, n=n: F.lit(n - k)}).first()
+            o[f"{c}__median"] = (float(r["lo"]) + float(r["hi"])) / 2.0
+            o[f"{c}__a"], o[f"{c}__b"] = r["a"], r["b"]
+    # MAD and trimmed sums in one pass (MAD by the distributed route when large)
     ex3 = []
-    for c in cols:
-        if c not in ks:
-            continue
+    for c in ks:
         x = F.col(c)
         med, a, b = F.lit(float(o[f"{c}__median"])), F.lit(float(o[f"{c}__a"])), F.lit(float(o[f"{c}__b"]))
-        ex3 += [F.median(F.abs(x - med)).alias(f"{c}__mad"),
-                F.coalesce(F.sum(F.when((x > a) & (x < b), x)), F.lit(0.0)).alias(f"{c}__mid"),
+        if small:
+            ex3.append(F.median(F.abs(x - med)).alias(f"{c}__mad"))
+        ex3 += [F.coalesce(F.sum(F.when((x > a) & (x < b), x)), F.lit(0.0)).alias(f"{c}__mid"),
                 F.count_if(x <= a).alias(f"{c}__le_a"), F.count_if(x >= b).alias(f"{c}__ge_b")]
     t = df.agg(*ex3).first().asDict() if ex3 else {}
+    if not small:
+        for c in ks:
+            dev = df.select(F.abs(F.col(c) - F.lit(float(o[f"{c}__median"]))).alias("__dev"))
+            t[f"{c}__mad"] = median_table(dev, "__dev", (), "__m", "distributed").first()["__m"]
     rows = []
     for c in cols:
         n = m[f"{c}__n"]
