@@ -188,17 +188,19 @@ def complete_cases(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence) -> DataFrame:
     """Deterministic first row per key under an explicit order.
 
-    Expressed as ``min_by`` over a struct of the remaining columns, which is a
-    partial (map-side) aggregate, so a key holding a large share of the rows
-    is reduced before the shuffle instead of being sorted in one task.
+    Expressed as ``min`` over a struct of (order columns, remaining columns):
+    a partial (map-side) aggregate, so a key holding a large share of the
+    rows is reduced before the shuffle instead of being sorted in one task,
+    and rows tied on the order columns are resolved by the remaining columns
+    (the result never depends on input order).
     """
     keys = list(keys)
     order = [_c(o) for o in order_by]
     rest = [n for n in df.columns if n not in keys]
-    rank = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)])
-    packed = F.struct(*[F.col(n) for n in rest])
-    out = df.groupBy(*keys).agg(F.min_by(packed, rank).alias("_row"))
-    return out.select(*keys, *[F.col(f"_row.{n}").alias(n) for n in rest]).select(*df.columns)
+    packed = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)],
+                      *[F.col(n).alias(f"__v_{n}") for n in rest])
+    out = df.groupBy(*keys).agg(F.min(packed).alias("__row"))
+    return out.select(*keys, *[F.col(f"__row.__v_{n}").alias(n) for n in rest]).select(*df.columns)
 
 
 # --------------------------------------------------------------------------- C16

@@ -148,3 +148,11 @@ def test_align_uniqueness_check(spark):
         align(a, b, keys=["k"], check=True)
     fan = align(a, b, keys=["k"], unique=False)
     assert sorted((r.x, r.y) for r in fan.collect()) == [(1.0, 5.0), (2.0, 5.0)]
+
+
+def test_first_per_key_ties_are_deterministic(spark):
+    from panora.functions.clean import first_per_key
+    df = spark.createDataFrame([(1, 5, "b"), (1, 5, "a"), (1, 6, "c"), (2, 1, "z")], "k int, t int, v string")
+    for parts in (1, 3):
+        got = sorted(tuple(r) for r in first_per_key(df.repartition(parts), ["k"], ["t"]).collect())
+        assert got == [(1, 5, "a"), (2, 1, "z")]
