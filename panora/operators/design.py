@@ -28,6 +28,41 @@ class Panel:
     def sample(self, cols: Sequence[str]) -> DataFrame:
         return estimation_sample(self.df, [self.entity, self.time, *cols])
 
+    # operators bound to the declared keys (xtset-style) -----------------------
+    def lag(self, cols: Sequence[str], k: int = 1) -> "Panel":
+        from panora.operators.window import time_lag
+        return self.with_df(time_lag(self.df, self.entity, self.time, cols, k))
+
+    def lead(self, cols: Sequence[str], k: int = 1) -> "Panel":
+        from panora.operators.window import time_lead
+        return self.with_df(time_lead(self.df, self.entity, self.time, cols, k))
+
+    def locf(self, cols: Sequence[str], chunk: int | None = None) -> "Panel":
+        from panora.operators.window import locf
+        return self.with_df(locf(self.df, self.entity, self.time, cols, chunk))
+
+    def balance(self, fill: Mapping[str, object] | None = None) -> "Panel":
+        from panora.operators.joins import fill_balanced
+        return self.with_df(fill_balanced(self.df, self.entity, self.time, fill))
+
+    def structure(self) -> DataFrame:
+        from panora.operators.profile import panel_structure
+        return panel_structure(self.df, self.entity, self.time)
+
+    def patterns(self) -> DataFrame:
+        from panora.operators.profile import participation_patterns
+        return participation_patterns(self.df, self.entity, self.time)
+
+    def xtsum(self, cols: Sequence[str]) -> DataFrame:
+        from panora.operators.profile import xtsum
+        return xtsum(self.df, self.entity, cols)
+
+    def areg(self, y: str, terms: Sequence[str], time_effects: bool = True, **kw):
+        """Absorbed entity effects, plus period indicators when ``time_effects``."""
+        from panora.operators.estimate import areg
+        t = list(terms) + ([f"i.{self.time}"] if time_effects else [])
+        return areg(self.df, y, t, absorb=self.entity, **kw)
+
 
 # --------------------------------------------------------------------------- T1
 def treatment_time(*dates) -> Column:

@@ -156,3 +156,16 @@ def test_first_per_key_ties_are_deterministic(spark):
     for parts in (1, 3):
         got = sorted(tuple(r) for r in first_per_key(df.repartition(parts), ["k"], ["t"]).collect())
         assert got == [(1, 5, "a"), (2, 1, "z")]
+
+
+def test_panel_wrapper(spark):
+    from panora.operators.design import Panel
+    df = spark.createDataFrame([(1, 1, 5.0), (1, 2, None), (1, 4, 7.0), (2, 2, 1.0)], "e int, t int, x double")
+    p = Panel(df, "e", "t")
+    lagged = {(r.e, r.t): r.L1_x for r in p.lag(["x"]).df.collect()}
+    assert lagged[(1, 2)] == 5.0 and lagged[(1, 4)] is None
+    bal = p.balance().locf(["x"])
+    got = {(r.e, r.t): r.x for r in bal.df.collect()}
+    assert got[(1, 3)] == 5.0 and got[(2, 1)] is None and got[(2, 4)] == 1.0
+    s = p.structure().first()
+    assert s.n_entities == 2 and s.n_periods == 3 and s.balanced == 0
