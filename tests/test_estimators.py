@@ -172,3 +172,16 @@ def test_date_and_string_factor_levels(spark):
     f1 = areg(df, "y", ["x1", "i.d"], absorb="e")
     f2 = areg(df, "y", ["x1", "i.s"], absorb="e")
     assert f1.names[0] == "x1" and len(f1.names) == 2 + 5 and f2.df_r > 0
+
+
+def test_replicated_panel_same_slopes(spark):
+    from pyspark.sql import functions as F
+    rows = _panel(9)
+    df = _frame(spark, rows)
+    big = df.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(9)))) \
+        .select((F.col("e") + F.col("r") * 1000).cast("int").alias("e"), "t", "x1", "x2", "y", "g")
+    small = areg(df, "y", ["x1", "x2", "i.t"], absorb="e")
+    large = areg(big, "y", ["x1", "x2", "i.t"], absorb="e")
+    assert np.allclose(small.coef[:2], large.coef[:2], atol=1e-9)
+    assert large.n_groups == 10 * small.n_groups and large.n == 10 * small.n
+    assert abs(small.r2 - large.r2) < 1e-9
