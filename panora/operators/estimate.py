@@ -688,17 +688,24 @@ def grid(df: DataFrame, outcomes: Sequence[str], moderators: Sequence[str],
 def event_study(df: DataFrame, y: str, dummies: Sequence[str], absorb: str,
                 period: str | None = None, extra: Sequence[str] = (), vce: str = "robust",
                 event_times: Sequence[int] | None = None, level: float = 0.95,
-                model_id: str = "event") -> tuple[Fit, list[tuple]]:
+                model_id: str = "event", group: str | None = None) -> tuple[Fit, list[tuple]]:
     """E5: regression on lead/lag dummies; returns the fit and the coefficient
-    path [(event_time, term, coef, se, lo, hi)]."""
-    terms = list(dummies) + list(extra) + ([f"i.{period}"] if period else [])
+    path [(series, event_time, term, coef, se, lo, hi)].
+
+    With ``group`` every dummy is also interacted with the group indicator
+    (``(b5-a5)##g``): series "base" is the path of the reference group and
+    series "diff" the difference of the group's path.
+    """
+    inter = [f"{d}#{group}" for d in dummies] if group else []
+    terms = list(dummies) + inter + list(extra) + ([f"i.{period}"] if period else [])
     fit = areg(df, y, terms, absorb, vce, model_id)
     rows = {r[2]: r for r in fit.table_rows(level)}
     path = []
-    for i, d in enumerate(dummies):
-        r = rows[d]
-        et = event_times[i] if event_times is not None else i
-        path.append((et, d, r[3], r[4], r[7], r[8]))
+    for series, names in (("base", list(dummies)), ("diff", inter)):
+        for i, d in enumerate(names):
+            r = rows[d]
+            et = event_times[i] if event_times is not None else i
+            path.append((series, et, d, r[3], r[4], r[7], r[8]))
     return fit, path
 
 

@@ -172,15 +172,32 @@ def e4_within_two_way(spark, sf):
 
 
 # ---------------------------------------------------------------------------- E5
+PATH_SCHEMA = ("series string, event_time int, term string, coef double, se double, "
+               "ci_lo double, ci_hi double")
+
+
+def _event_terms():
+    dummies = [f"b{k}" for k in range(LEADS, 1, -1)] + [f"a{k}" for k in range(LAGS + 1)]
+    times = [-k for k in range(LEADS, 1, -1)] + list(range(LAGS + 1))
+    return dummies, times
+
+
 @reg("e5_event_study")
 def e5_event_study(spark, sf):
     p = est_panel(spark, sf)
-    dummies = [f"b{k}" for k in range(LEADS, 1, -1)] + [f"a{k}" for k in range(LAGS + 1)]
-    times = [-k for k in range(LEADS, 1, -1)] + list(range(LAGS + 1))
+    dummies, times = _event_terms()
     fit, path = event_study(p, "value_mean", dummies, absorb="user_id", period="day",
                             event_times=times)
-    return spark.createDataFrame(path, "event_time int, term string, coef double, se double, "
-                                       "ci_lo double, ci_hi double")
+    return spark.createDataFrame(path, PATH_SCHEMA)
+
+
+@reg("e5_event_study_by_group")
+def e5_event_study_by_group(spark, sf):
+    p = est_panel(spark, sf)
+    dummies, times = _event_terms()
+    fit, path = event_study(p, "value_mean", dummies, absorb="user_id", period="day",
+                            event_times=times, group="high", model_id="event_by_high")
+    return spark.createDataFrame(path, PATH_SCHEMA)
 
 
 # ---------------------------------------------------------------------------- E6

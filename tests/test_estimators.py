@@ -185,3 +185,17 @@ def test_replicated_panel_same_slopes(spark):
     assert np.allclose(small.coef[:2], large.coef[:2], atol=1e-9)
     assert large.n_groups == 10 * small.n_groups and large.n == 10 * small.n
     assert abs(small.r2 - large.r2) < 1e-9
+
+
+def test_event_study_group_path(spark):
+    from panora.operators.estimate import event_study
+    rows = _panel(10, drop=0.0, singleton=False)
+    df = _frame(spark, rows)
+    from pyspark.sql import functions as F
+    df = df.withColumn("t0", F.when(F.col("e") % 3 == 0, None).otherwise(F.lit(3))) \
+           .withColumn("b1", F.coalesce((F.col("t") - F.col("t0") == -1).cast("int"), F.lit(0))) \
+           .withColumn("a0", F.coalesce((F.col("t") - F.col("t0") == 0).cast("int"), F.lit(0)))
+    fit, path = event_study(df, "y", ["b1", "a0"], absorb="e", group="g", event_times=[-1, 0])
+    ref = areg(df, "y", ["b1", "a0", "b1#g", "a0#g"], absorb="e")
+    got = {(s, t): c for s, t, _, c, *_ in path}
+    assert abs(got[("base", 0)] - ref.coef[1]) < 1e-9 and abs(got[("diff", -1)] - ref.coef[2]) < 1e-9
