@@ -266,6 +266,33 @@ def e7_grid_one_regressor(spark, sf):
     return c.select("model_id", "term", qz("coef", 6).alias("coef"), qz("se", 6).alias("se"))
 
 
+def _sql_stats1(y, x, mid):
+    return f"""SELECT '{mid}' AS model_id, n, g AS n_groups, g - 1 AS df_a, n - g - 1 AS df_r,
+  {QZ('1 - rss / tss', 6)} AS r2, {QZ('sqrt(rss / (n - g - 1))', 6)} AS rmse
+FROM (SELECT count(*) AS n, count(DISTINCT user_id) AS g,
+             sum(power(yt - bb * xt, 2)) AS rss, sum(power(yy - ybar, 2)) AS tss
+      FROM (SELECT user_id, yt, xt, yy, avg(yy) OVER () AS ybar,
+                   sum(xt * yt) OVER () / sum(xt * xt) OVER () AS bb
+            FROM (SELECT user_id, {y} AS yy, {x} - avg({x}) OVER (PARTITION BY user_id) AS xt,
+                         {y} - avg({y}) OVER (PARTITION BY user_id) AS yt FROM g)))"""
+
+
+SQL_E10 = (f"""WITH g AS (SELECT user_id, value_mean, CAST(last_event AS DOUBLE) AS last_event,
+  CAST(n_events AS DOUBLE) AS n_events, CAST(tre AS DOUBLE) AS tre FROM ({SQL_DAY_PANEL_T})) """
+           + " UNION ALL ".join(_sql_stats1(y, x, f"{y}|{x}") for y in GRID_Y for x in GRID_X))
+
+
+@reg("e10_model_stats_one_regressor", SQL_E10)
+def e10_model_stats_one_regressor(spark, sf):
+    p = day_panel(spark, sf).select(
+        "user_id", "value_mean", F.col("last_event").cast("double").alias("last_event"),
+        F.col("n_events").cast("double").alias("n_events"), F.col("tre").cast("double").alias("tre"))
+    fits = grid(p, GRID_Y, GRID_X, lambda o, m: [m], absorb="user_id")
+    st = stats_table(spark, fits)
+    return st.select("model_id", "n", "n_groups", "df_a", "df_r", qz("r2", 6).alias("r2"),
+                     qz("rmse", 6).alias("rmse"))
+
+
 SQL_E8 = f"""WITH p AS ({SQL_DAY_PANEL_T}),
  s AS (SELECT user_id, value_mean AS y, CAST(tre AS DOUBLE) AS x1, CAST(n_events AS DOUBLE) AS x2 FROM p),
  d AS (SELECT user_id, x1 - avg(x1) OVER (PARTITION BY user_id) AS a1, x2 - avg(x2) OVER (PARTITION BY user_id) AS a2,
