@@ -199,3 +199,22 @@ def test_event_study_group_path(spark):
     ref = areg(df, "y", ["b1", "a0", "b1#g", "a0#g"], absorb="e")
     got = {(s, t): c for s, t, _, c, *_ in path}
     assert abs(got[("base", 0)] - ref.coef[1]) < 1e-9 and abs(got[("diff", -1)] - ref.coef[2]) < 1e-9
+
+
+def test_pearson_and_welch_p_values(spark):
+    from panora.operators.profile import pearson, welch_test
+    xs = [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0, 9.0, 10.0]
+    ys = [2.0, 1.0, 4.0, 3.0, 7.0, 5.0, 6.0, 9.0, 8.0, 10.0]
+    df = spark.createDataFrame(list(zip(xs, ys)), "x double, y double")
+    r = np.corrcoef(xs, ys)[0, 1]
+    t = r * math.sqrt(8 / (1 - r * r))
+    row = [q for q in pearson(df, ["x", "y"]).collect() if q.var1 == "x" and q.var2 == "y"][0]
+    assert abs(row.r - r) < 1e-12 and abs(row.p - t_sf2(t, 8)) < 1e-12 and row.n == 10
+    g = spark.createDataFrame([(1, v) for v in [5.1, 4.9, 6.2, 5.8, 6.0]] + [(0, v) for v in [4.1, 4.4, 3.9, 4.8]],
+                              "grp int, v double")
+    w = welch_test(g, "grp", ["v"]).first()
+    a, b = np.array([5.1, 4.9, 6.2, 5.8, 6.0]), np.array([4.1, 4.4, 3.9, 4.8])
+    s1, s2 = a.var(ddof=1) / 5, b.var(ddof=1) / 4
+    tt = (a.mean() - b.mean()) / math.sqrt(s1 + s2)
+    dfw = (s1 + s2) ** 2 / (s1 ** 2 / 4 + s2 ** 2 / 3)
+    assert abs(w.t - tt) < 1e-9 and abs(w.df - dfw) < 1e-9 and abs(w.p - t_sf2(tt, dfw)) < 1e-12
