@@ -34,8 +34,10 @@ def sort_position(df: DataFrame, by: str, desc: bool = False, tiebreak: Sequence
     The position is computed without moving the table into one task: the
     exact rank range of each distinct sort value comes from
     :func:`panora.operators.quantiles.rank_ranges` (value counts, bucketed
-    prefix sums), and rows tied on the value are numbered inside their own
-    (value) group by ``tiebreak``.  Requires a numeric sort column.
+    prefix sums); rows tied on the value are ranked by a single numeric
+    ``tiebreak`` with the same route inside each value group (which must make
+    the order unique), or else numbered by a window over the value group.
+    Requires a numeric sort column.
     """
     from pyspark.sql import Window
 
@@ -43,6 +45,16 @@ def sort_position(df: DataFrame, by: str, desc: bool = False, tiebreak: Sequence
     key = F.col(by)
     tmp = df.withColumn("__key", -key if desc else key)
     rr = rank_ranges(tmp, "__key", (), method=method).select("__key", "__lo")
+    numeric = ("int", "bigint", "smallint", "tinyint", "double", "float")
+    if len(tiebreak) == 1 and isinstance(tiebreak[0], str) and dict(df.dtypes).get(tiebreak[0]) in numeric:
+        # ties on the value are ranked by the (unique) tiebreak inside each value
+        # group with the same distributed route, so a value shared by a large
+        # share of the rows is not numbered in one task
+        tr = rank_ranges(tmp, tiebreak[0], ["__key"], method=method).select(
+            "__key", tiebreak[0], F.col("__lo").alias("__tlo"))
+        return (tmp.join(rr, "__key", "left").join(tr, ["__key", tiebreak[0]], "left")
+                .withColumn(out, (F.col("__lo") + F.col("__tlo") - 1).cast("long"))
+                .drop("__key", "__lo", "__tlo"))
     tb = [F.col(t) if isinstance(t, str) else t for t in tiebreak] or [F.lit(1)]
     tie = Window.partitionBy("__key").orderBy(*tb)
     return (tmp.join(rr, "__key", "left")
