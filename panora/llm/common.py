@@ -9,6 +9,8 @@ reach its joins.
 from __future__ import annotations
 
 import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +25,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, so that
+    jobs do not rely on a copy installed on every machine."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_panora_shipped", False):
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        at = os.path.join(tempfile.mkdtemp(prefix="panora-"), "panora-package")
+        stage = tempfile.mkdtemp(prefix="panora-")
+        shutil.copytree(package, os.path.join(stage, "panora"), ignore=shutil.ignore_patterns("__pycache__"))
+        sc.addPyFile(shutil.make_archive(at, "zip", stage))
+        sc._panora_shipped = True
+
+
 def landed(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared scratch folder and
     continue from there (survives lost executors, cuts the lineage)."""
@@ -44,6 +59,8 @@ def drop_landed(df: DataFrame) -> None:
 def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` over small slices: ``fn(batch) -> RecordBatch`` sees at
     most SUB_ROWS rows at once, whatever the session's batch size."""
+    ship(df.sparkSession)
+
     def run(batches: Iterator) -> Iterator:
         for b in batches:
             for i in range(0, b.num_rows, SUB_ROWS):

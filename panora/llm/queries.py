@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from panora.llm.common import table, tokenizer_path
 from panora.llm.packing import pack
+from panora.llm.simhash import components
 from panora.llm.token_files import token_files
 
 QUERIES: dict = {}
@@ -25,5 +26,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = components(table(spark, sf_dir, "documents"), words_per_shingle=3, max_bits=2)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+QUERIES["op6_simhash"] = op6_simhash
 QUERIES["op4_packing"] = op4_packing
 QUERIES["op10_token_files"] = op10_token_files

@@ -30,7 +30,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panora.llm.common import arrow_map, drop_landed, landed, tokenizer_path
+from panora.llm.common import arrow_map, drop_landed, landed, ship, tokenizer_path
 from panora.llm.tokens import encoder
 from panora.session import scratch_path
 
@@ -197,6 +197,7 @@ def write_tokens(docs: DataFrame, out: str, path: str | None = None, end_id: int
 def read_tokens(spark: SparkSession, out: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` of every document of a dataset (ids as
     little-endian unsigned 32 bit, ``start`` counted over the whole dataset)."""
+    ship(spark)
     ranks = spark.read.parquet(f"{out}/ranks").collect()  # vocabulary-bounded
     token_of = [r.token for r in sorted(ranks, key=lambda r: r.rank)]
 
