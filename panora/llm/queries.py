@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panora.llm.common import table, tokenizer_path
+from panora.llm import pii, quality
+from panora.llm.common import landed, table, tokenizer_path
 from panora.llm.packing import pack
 from panora.llm.simhash import components
 from panora.llm.token_files import token_files
@@ -15,6 +16,16 @@ QUERIES: dict = {}
 SQL: dict = {}
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # spans and features only: the text is read once
+    found = landed(pii.candidates(docs).drop("text"), "pii")
+    spans = pii.detect(found, pii.fit(found))
+    counts = [pii.count(F.col("__pii_base"), k).alias(f"n_{k}") for k in pii.KINDS[:4]]
+    return spans.select("doc_id", *counts, F.sha2(pii.shown(F.col("__pii_base")), 256).alias("base_sha256"),
+                        pii.shown(F.col("__pii_spans")).alias("spans"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -26,11 +37,21 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out().alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = components(table(spark, sf_dir, "documents"), words_per_shingle=3, max_bits=2)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+QUERIES["op5_quality"] = op5_quality
 QUERIES["op6_simhash"] = op6_simhash
+QUERIES["op1_pii"] = op1_pii
 QUERIES["op4_packing"] = op4_packing
 QUERIES["op10_token_files"] = op10_token_files
