@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panora.llm import pii, quality
+from panora.llm import mixing, pii, quality, sql
 from panora.llm.common import landed, table, tokenizer_path
 from panora.llm.packing import pack
 from panora.llm.simhash import components
@@ -32,6 +32,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mixing.budgeted(table(spark, sf_dir, "documents"))
+    return taken.select("doc_id", "domain", "lang", "source", "tokens", "copies", "times", "last_take")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = token_files(table(spark, sf_dir, "documents"), path=tokenizer_path("word_bpe_49k.json"))
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -54,4 +59,6 @@ QUERIES["op5_quality"] = op5_quality
 QUERIES["op6_simhash"] = op6_simhash
 QUERIES["op1_pii"] = op1_pii
 QUERIES["op4_packing"] = op4_packing
+QUERIES["op7_mixing"] = op7_mixing
+SQL["op7_mixing"] = sql.mixing()
 QUERIES["op10_token_files"] = op10_token_files
