@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panora.llm import mixing, pii, quality, sql
+from panora.llm import mixing, pii, quality, sql, topk
 from panora.llm.common import landed, table, tokenizer_path
 from panora.llm.packing import pack
 from panora.llm.simhash import components
@@ -37,6 +37,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "domain", "lang", "source", "tokens", "copies", "times", "last_take")
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5, scale=256)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = token_files(table(spark, sf_dir, "documents"), path=tokenizer_path("word_bpe_49k.json"))
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -61,4 +65,6 @@ QUERIES["op1_pii"] = op1_pii
 QUERIES["op4_packing"] = op4_packing
 QUERIES["op7_mixing"] = op7_mixing
 SQL["op7_mixing"] = sql.mixing()
+QUERIES["op9_topk"] = op9_topk
+SQL["op9_topk"] = sql.TOPK
 QUERIES["op10_token_files"] = op10_token_files

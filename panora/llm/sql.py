@@ -55,3 +55,12 @@ SELECT doc_id, domain, lang, source, CAST(tokens AS BIGINT) AS tokens, CAST(copi
   CAST(epochs * copies + more AS BIGINT) AS times,
   CAST(CASE WHEN more > 0 AND more * tokens > open THEN open - (more - 1) * tokens ELSE tokens END AS BIGINT) AS last_take
 FROM counted WHERE epochs * copies + more > 0"""
+
+
+TOPK = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+  r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5"""
