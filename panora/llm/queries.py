@@ -6,11 +6,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panora.llm import mixing, pii, quality, sql, topk
+from panora.llm import mixing, pii, quality, sql, topk, url_filter
 from panora.llm.common import landed, table, tokenizer_path
 from panora.llm.packing import pack
 from panora.llm.simhash import components
 from panora.llm.token_files import token_files
+from panora.llm.wordpiece import token_counts
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -26,6 +27,19 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.shown(F.col("__pii_spans")).alias("spans"))
 
 
+#: the rules of the registered query: host, path, verdict
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"), url_filter.rules_table(spark, URL_RULES))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -62,6 +76,9 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["op5_quality"] = op5_quality
 QUERIES["op6_simhash"] = op6_simhash
 QUERIES["op1_pii"] = op1_pii
+QUERIES["op2_url_filter"] = op2_url_filter
+SQL["op2_url_filter"] = sql.url_filter(URL_RULES)
+QUERIES["op3_token_counts"] = op3_token_counts
 QUERIES["op4_packing"] = op4_packing
 QUERIES["op7_mixing"] = op7_mixing
 SQL["op7_mixing"] = sql.mixing()

@@ -64,3 +64,18 @@ TOPK = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(flo
     FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
   r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+def url_filter(rules: list[tuple[str, str, str]]) -> str:
+    values = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in rules)
+    return f"""WITH r(host, path, verdict) AS (VALUES {values}),
+  a AS (SELECT row_number() OVER () AS n, page_id,
+    CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+  b AS (SELECT n, page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM a),
+  p AS (SELECT n, page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM b),
+  m AS (SELECT p.n, r.host || r.path AS rule, r.verdict, row_number() OVER (PARTITION BY p.n
+      ORDER BY length(r.host || r.path) DESC, length(r.host) DESC, r.verdict DESC) AS k
+    FROM p JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+SELECT p.page_id, p.host, p.path, m.rule, coalesce(m.verdict, 'allow') AS verdict
+FROM p LEFT JOIN m ON m.n = p.n AND m.k = 1"""
