@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panora.llm import mixing, pii, quality, sql, topk, url_filter
+from panora.llm import ann, mixing, pii, quality, sql, topk, url_filter
 from panora.llm.common import landed, table, tokenizer_path
 from panora.llm.packing import pack
 from panora.llm.simhash import components
@@ -51,6 +51,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "domain", "lang", "source", "tokens", "copies", "times", "last_take")
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5, scale=256)
 
@@ -82,6 +86,7 @@ QUERIES["op3_token_counts"] = op3_token_counts
 QUERIES["op4_packing"] = op4_packing
 QUERIES["op7_mixing"] = op7_mixing
 SQL["op7_mixing"] = sql.mixing()
+QUERIES["op8_ann"] = op8_ann
 QUERIES["op9_topk"] = op9_topk
 SQL["op9_topk"] = sql.TOPK
 QUERIES["op10_token_files"] = op10_token_files
