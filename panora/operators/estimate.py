@@ -35,6 +35,7 @@ from panora.sources.writers import cut_lineage
 AGG_MAX_COLS = 24          # up to this many design columns: one codegen'd agg
 MAX_FACTOR_LEVELS = 5_000  # bound on levels of an i.var expansion
 COLLINEAR_TOL = 1e-9
+NOISE_TOL = 1e-13          # within / total sum of squares that counts as rounding noise
 
 
 # --------------------------------------------------------------------------- formula
@@ -151,6 +152,33 @@ def _raw_vars(terms: Sequence[str]) -> list[str]:
 
 
 # --------------------------------------------------------------------------- moments
+MERGE_BUCKETS = 64  # partial sums meet in so many tasks before the last one
+
+
+def _summed(df: DataFrame, part, size: int) -> np.ndarray:
+    """Add up one vector of ``size`` numbers per partition: ``part(batches)``
+    returns it.  A partition sends one row, bucket tasks add them, and one
+    row reaches the driver."""
+    import pandas as pd
+
+    def emit(it):
+        from pyspark import TaskContext
+        flat = part(it)
+        yield pd.DataFrame({"b": [TaskContext.get().partitionId() % MERGE_BUCKETS],
+                            "v": [np.asarray(flat, dtype="<f8").tobytes()]})
+
+    def add(it):
+        total = np.zeros(size)
+        for pdf in it:
+            for v in pdf["v"]:
+                total = total + np.frombuffer(v, dtype="<f8")
+        yield pd.DataFrame({"v": [total.tobytes()]})
+
+    rows = (df.mapInPandas(emit, "b int, v binary").repartition(MERGE_BUCKETS, "b")
+            .mapInPandas(add, "v binary").repartition(1).mapInPandas(add, "v binary").collect())
+    return np.frombuffer(rows[0][0], dtype="<f8") if rows else np.zeros(size)
+
+
 def moments(df: DataFrame, cols: Sequence[str], sums: Sequence[str] = (),
             use_pandas: bool | None = None) -> tuple[np.ndarray, np.ndarray, int]:
     """(Z'Z over ``cols``, column sums over ``sums``, n) computed on executors.
@@ -171,7 +199,6 @@ def moments(df: DataFrame, cols: Sequence[str], sums: Sequence[str] = (),
         flat_g = np.array([row[f"g{i}_{j}"] or 0.0 for i, j in zip(*iu)], dtype=float)
         s = np.array([row[f"s{k}"] or 0.0 for k in range(len(sums))], dtype=float)
     else:
-        import pandas as pd
         names = cols + [c for c in sums if c not in cols]
         si = [names.index(c) for c in sums]
 
@@ -186,13 +213,9 @@ def moments(df: DataFrame, cols: Sequence[str], sums: Sequence[str] = (),
                 if si:
                     sv += z[:, si].sum(axis=0)
                 n_ += len(pdf)
-            flat = np.concatenate([[float(n_)], g[iu], sv])
-            yield pd.DataFrame({"i": np.arange(flat.size, dtype="int32"), "v": flat})
+            return np.concatenate([[float(n_)], g[iu], sv])
 
-        m = (df.select(*names).mapInPandas(part, "i int, v double")
-             .groupBy("i").agg(F.sum("v").alias("v")))
-        vals = {r["i"]: r["v"] for r in m.collect()}
-        flat = np.array([vals.get(i, 0.0) for i in range(1 + len(iu[0]) + len(sums))])
+        flat = _summed(df.select(*names), part, 1 + len(iu[0]) + len(sums))
         n = int(round(flat[0]))
         flat_g = flat[1:1 + len(iu[0])]
         s = flat[1 + len(iu[0]):]
@@ -209,8 +232,8 @@ def block_grams(df: DataFrame, groups: Sequence[Sequence[str]], weights: Sequenc
     ``weights[g]`` names a column multiplying every column of group g (the
     residual for a robust meat), or is None.  One ``agg`` of sum-of-product
     expressions while the expression count is small (pure JVM codegen);
-    otherwise one ``mapInPandas`` pass whose tasks emit each partition's
-    flattened blocks, summed by index (only block entries reach the driver).
+    otherwise one ``mapInPandas`` pass: one row of flattened blocks per
+    partition, added up in two levels.
     """
     groups = [list(g) for g in groups]
     weights = list(weights) if weights is not None else [None] * len(groups)
@@ -225,7 +248,6 @@ def block_grams(df: DataFrame, groups: Sequence[Sequence[str]], weights: Sequenc
         flat = [np.array([row[f"b{k}_{i}_{j}"] or 0.0 for i, j in zip(*t)])
                 for k, t in enumerate(tri)]
     else:
-        import pandas as pd
         names = list(dict.fromkeys([c for g in groups for c in g] + [w for w in weights if w]))
         pos = [[names.index(c) for c in g] for g in groups]
         wpos = [names.index(w) if w else None for w in weights]
@@ -240,13 +262,9 @@ def block_grams(df: DataFrame, groups: Sequence[Sequence[str]], weights: Sequenc
                     if wpos[k] is not None:
                         x = x * z[:, [wpos[k]]]
                     acc[k] += x.T @ x
-            flat_ = np.concatenate([a[t] for a, t in zip(acc, tri)])
-            yield pd.DataFrame({"i": np.arange(total, dtype="int32"), "v": flat_})
+            return np.concatenate([a[t] for a, t in zip(acc, tri)])
 
-        m = (df.select(*names).mapInPandas(part, "i int, v double")
-             .groupBy("i").agg(F.sum("v").alias("v")))
-        vals = {r["i"]: r["v"] for r in m.collect()}
-        allv = np.array([vals.get(i, 0.0) for i in range(total)])
+        allv = _summed(df.select(*names), part, total)
         flat, o = [], 0
         for sz in sizes:
             flat.append(allv[o:o + sz])
@@ -260,14 +278,18 @@ def block_grams(df: DataFrame, groups: Sequence[Sequence[str]], weights: Sequenc
 
 
 # --------------------------------------------------------------------------- algebra
-def select_columns(g: np.ndarray, order: Sequence[int], tol: float = COLLINEAR_TOL) -> list[int]:
+def select_columns(g: np.ndarray, order: Sequence[int], tol: float = COLLINEAR_TOL,
+                   raw: np.ndarray | None = None) -> list[int]:
     """Incremental Cholesky in ``order``; a column whose residual variance is
-    below ``tol`` times its own sum of squares is dropped (later terms first)."""
+    below ``tol`` times its own sum of squares is dropped (later terms first).
+    ``raw``: sums of squares about the grand mean, before demeaning; a column
+    left with rounding noise of that size only (absorbed) is dropped as well."""
     kept: list[int] = []
     L = np.zeros((0, 0))
     for j in order:
         d = g[j, j]
-        if d <= 0:
+        floor = 0.0 if raw is None else NOISE_TOL * float(raw[j])
+        if d <= floor:
             continue
         if kept:
             c = g[np.ix_(kept, [j])].ravel()
@@ -276,7 +298,7 @@ def select_columns(g: np.ndarray, order: Sequence[int], tol: float = COLLINEAR_T
         else:
             w = np.zeros(0)
             r = d
-        if r <= tol * d:
+        if r <= max(tol * d, floor):
             continue
         k = len(kept)
         L2 = np.zeros((k + 1, k + 1))
@@ -362,9 +384,9 @@ class _Spec:
 
 
 def _prepare(df: DataFrame, ys: Sequence[str], term_union: Sequence[Term], absorb: str | None,
-             extra: Sequence[str], materialize: bool):
-    """Sample -> frame with raw columns __y{i}, __x{j}, squares __q{i}, the
-    inverse group size __inv and the demeaned copies __d__y{i}, __d__x{j}
+             extra: Sequence[str], materialize: bool, centres: Sequence[float]):
+    """Sample -> frame with columns __y{i}, __x{j} about the given centres (so
+    that no later sum cancels), their squares __q__y{i}, __q__x{j}, the inverse group size __inv and the demeaned copies __d__y{i}, __d__x{j}
     (by entity, or by the grand mean when nothing is absorbed).
 
     The per-entity means table (one row per entity) is the only thing
@@ -377,6 +399,7 @@ def _prepare(df: DataFrame, ys: Sequence[str], term_union: Sequence[Term], absor
     sample = df.select(*raw).dropna(how="any")
     cols = {f"__y{i}": f"CAST(`{y}` AS DOUBLE)" for i, y in enumerate(ys)}
     cols.update({f"__x{j}": t.sql() for j, t in enumerate(term_union)})
+    cols = {n: f"({e}) - ({c!r}D)" for (n, e), c in zip(cols.items(), centres)}
     names = list(cols)
     key = f"`{absorb}`" if absorb else "0"
     z = sample.selectExpr(f"{key} AS __g", *[f"{e} AS {n}" for n, e in cols.items()])
@@ -390,23 +413,23 @@ def _prepare(df: DataFrame, ys: Sequence[str], term_union: Sequence[Term], absor
     if not absorb:
         means = F.broadcast(means)  # one row by construction
     d = z.join(means, "__g").selectExpr(
-        "__g", "__inv", *names, *[f"__y{i} * __y{i} AS __q{i}" for i in range(len(ys))],
+        "__g", "__inv", *names, *[f"{n} * {n} AS __q{n}" for n in names],
         *[f"{n} - __m{n} AS __d{n}" for n in names])
     return d, names, means
 
 
 def _fit_from_moments(spec: _Spec, yi: int, tidx: list[int], terms: list[Term], g: np.ndarray,
                       sums: np.ndarray, n: int, n_groups: int, absorb: str | None, vce: str,
-                      meat: np.ndarray | None, p_x: int) -> Fit:
+                      meat: np.ndarray | None, p_x: int, kept_local: list[int],
+                      centres: np.ndarray) -> tuple:
     """Solve one model from the shared moment matrices.
 
     ``g`` is the Gram over [demeaned x (all union terms)..., demeaned y (all)...];
-    ``sums`` are raw column sums (same order) and raw sum of y^2.
+    ``sums`` are sums of the same columns about ``centres``, not demeaned.
     """
     yj = p_x + yi
     Gxx = g[np.ix_(tidx, tidx)]
     gxy = g[tidx, yj]
-    kept_local = select_columns(Gxx, list(range(len(tidx))))
     k = len(kept_local)
     b_all = np.zeros(len(tidx))
     if k:
@@ -414,32 +437,27 @@ def _fit_from_moments(spec: _Spec, yi: int, tidx: list[int], terms: list[Term],
         b_all[kept_local] = np.linalg.solve(A, gxy[kept_local])
     yty = g[yj, yj]
     rss = max(float(yty - b_all @ gxy), 0.0)
-    xbar = sums[tidx] / n
-    ybar = sums[p_x + yi] / n
+    xbar = centres[tidx] + sums[tidx] / n
+    ybar = centres[yj] + sums[yj] / n
     cons = ybar - float(xbar @ b_all)
     groups = n_groups if absorb else 1
     df_r = n - groups - k
-    # bread with the constant: X* = [x~ + xbar, 1] over kept columns
+    # slopes and the mean of y have the bread diag(G^-1, 1/n); the constant
+    # ybar - xbar'b follows by the delta formula
     kk = kept_local
-    xb = xbar[kk]
-    A = np.zeros((k + 1, k + 1))
-    A[:k, :k] = Gxx[np.ix_(kk, kk)] + n * np.outer(xb, xb)
-    A[:k, k] = A[k, :k] = n * xb
-    A[k, k] = n
-    Ainv = np.linalg.inv(A)
+    D = np.zeros((k + 1, k + 1))
+    if k:
+        D[:k, :k] = np.linalg.inv(Gxx[np.ix_(kk, kk)])
+    D[k, k] = 1.0 / n
+    T = np.eye(k + 1)
+    T[k, :k] = -xbar[kk]
     if vce == "robust":
         if meat is None:
             raise ValueError("robust VCE needs the meat matrix")
-        # meat blocks: [sum e^2 x~x~', sum e^2 x~ ; ., sum e^2] over kept columns
-        Sxx, sx, s0 = meat[:k, :k], meat[:k, k], meat[k, k]
-        M = np.zeros((k + 1, k + 1))
-        M[:k, :k] = Sxx + np.outer(sx, xb) + np.outer(xb, sx) + s0 * np.outer(xb, xb)
-        M[:k, k] = M[k, :k] = sx + s0 * xb
-        M[k, k] = s0
-        V = (n / df_r) * Ainv @ M @ Ainv if df_r > 0 else np.full_like(A, np.nan)
+        V = (n / df_r) * T @ D @ meat @ D @ T.T if df_r > 0 else np.full_like(D, np.nan)
     else:
         s2 = rss / df_r if df_r > 0 else float("nan")
-        V = s2 * Ainv
+        V = s2 * T @ D @ T.T
     p_all = len(tidx) + 1
     Vfull = np.zeros((p_all, p_all))
     idx = kk + [len(tidx)]
@@ -485,7 +503,6 @@ def robust_meats(d: DataFrame, p_x: int, n_y: int, prelim: Sequence[tuple],
                      *[c.alias(nm) for nm, c in resid.items()])
         groups = [[f"__d__x{j}" for j in k] + ["__one"] for k in layout]
         return block_grams(w, groups, [f"__e{m}" for m in range(len(prelim))], max_agg_exprs)
-    import pandas as pd
     xnames = [f"__d__x{j}" for j in range(p_x)]
     ynames = [f"__d__y{i}" for i in range(n_y)]
     plan = [(yi, np.array([tidx[jl] for jl in kept], dtype=int),
@@ -504,13 +521,9 @@ def robust_meats(d: DataFrame, p_x: int, n_y: int, prelim: Sequence[tuple],
                 e = y[:, yi] - xm @ bk
                 z = np.hstack([xm, ones]) * e[:, None]
                 acc[k] += z.T @ z
-        flat = np.concatenate([a[t] for a, t in zip(acc, tris)])
-        yield pd.DataFrame({"i": np.arange(total, dtype="int32"), "v": flat})
+        return np.concatenate([a[t] for a, t in zip(acc, tris)])
 
-    m = (d.select(*xnames, *ynames).mapInPandas(part, "i int, v double")
-         .groupBy("i").agg(F.sum("v").alias("v")))
-    vals = {r["i"]: r["v"] for r in m.collect()}
-    allv = np.array([vals.get(i, 0.0) for i in range(total)])
+    allv = _summed(d.select(*xnames, *ynames), part, total)
     out, o = [], 0
     for (_, ix, _), t in zip(plan, tris):
         q = len(ix) + 1
@@ -552,12 +565,20 @@ def fit_many(df: DataFrame, specs: Sequence[tuple[str, str, Sequence[str]]], abs
                 union.append(t)
             idx.append(union.index(t))
         per_model.append(idx)
-    d, names, means = _prepare(base, ys, union, absorb, [], materialize)
     p_x = len(union)
+    # provisional centres, in the order of the moment matrices: x then y
+    row = base.selectExpr(*[f"avg({t.sql()})" for t in union],
+                          *[f"avg(CAST(`{y}` AS DOUBLE))" for y in ys]).first()
+    centres = np.array([0.0 if v is None or not math.isfinite(v) else float(v) for v in row])
+    d, names, means = _prepare(base, ys, union, absorb, [], materialize,
+                               [*centres[p_x:].tolist(), *centres[:p_x].tolist()])
     dcols = [f"__d__x{j}" for j in range(p_x)] + [f"__d__y{i}" for i in range(len(ys))]
     rawcols = ([f"__x{j}" for j in range(p_x)] + [f"__y{i}" for i in range(len(ys))]
-               + [f"__q{i}" for i in range(len(ys))] + ["__inv"])
+               + [f"__q__x{j}" for j in range(p_x)] + [f"__q__y{i}" for i in range(len(ys))] + ["__inv"])
     g, sums, n = moments(d, dcols, rawcols)
+    width = p_x + len(ys)
+    # sums of squares about the grand mean
+    total_ss = sums[width:2 * width] - (sums[:width] ** 2 / n if n else 0.0)
     # each group contributes n_i * (1 / n_i) = 1 to the sum of __inv
     n_groups = int(round(sums[-1])) if absorb else 1
     # first solve every model (slopes only) to build residual expressions
@@ -565,7 +586,7 @@ def fit_many(df: DataFrame, specs: Sequence[tuple[str, str, Sequence[str]]], abs
     for (mid, y, ts), tidx in zip(specs, per_model):
         yi = ys.index(y)
         Gxx = g[np.ix_(tidx, tidx)]
-        kept = select_columns(Gxx, list(range(len(tidx))))
+        kept = select_columns(Gxx, list(range(len(tidx))), raw=total_ss[tidx])
         b = np.zeros(len(tidx))
         if kept:
             b[kept] = np.linalg.solve(Gxx[np.ix_(kept, kept)], g[np.ix_(tidx, [p_x + yi])].ravel()[kept])
@@ -577,9 +598,8 @@ def fit_many(df: DataFrame, specs: Sequence[tuple[str, str, Sequence[str]]], abs
     for m, ((mid, y, ts), (yi, tidx, kept, b)) in enumerate(zip(specs, prelim)):
         coef, V, omitted, rss, k, df_r, xbar, ybar = _fit_from_moments(
             _Spec(mid, y, list(ts)), yi, tidx, union, g, sums, n, n_groups, absorb, vce,
-            meats[m], p_x)
-        syy = float(sums[p_x + len(ys) + yi])
-        tss = syy - n * ybar * ybar
+            meats[m], p_x, kept, centres)
+        tss = float(total_ss[p_x + yi])
         r2 = 1.0 - rss / tss if tss > 0 else float("nan")
         r2_adj = 1.0 - (1.0 - r2) * (n - 1) / df_r if df_r > 0 else float("nan")
         yty_w = g[p_x + yi, p_x + yi]
@@ -646,7 +666,8 @@ def grid(df: DataFrame, outcomes: Sequence[str], moderators: Sequence[str],
     listwise-complete sample equals the sample that is complete on all grid
     variables (no row of it misses only variables of other models).  All such
     models share one demeaned base, one Gram over the union of terms and
-    outcomes and one meat pass; any other model is fitted on its own sample.
+    outcomes and one meat pass; the others are grouped by the nullable
+    variables they use, which is by sample, and each group is one such pass.
     """
     makers = make_terms if isinstance(make_terms, Mapping) else {None: make_terms}
     specs = [((f"{nm}|" if nm else "") + f"{o}|{m}", o, list(mk(o, m)))
@@ -675,13 +696,19 @@ def grid(df: DataFrame, outcomes: Sequence[str], moderators: Sequence[str],
     else:
         differs = {o: False for o in own_sets}
     shared = [s for s, o in zip(specs, own_sets) if not differs[o]]
-    alone = [s for s, o in zip(specs, own_sets) if differs[o]]
+    alone: dict[frozenset, list] = {}
+    for s, o in zip(specs, own_sets):
+        if differs[o]:
+            alone.setdefault(o, []).append(s)
     fits = {}
     if shared:
         for f in fit_many(df.select(*allv), shared, absorb=absorb, vce=vce, tests=tmap):
             fits[f.model_id] = f
-    for s in alone:
-        fits[s[0]] = fit_many(df, [s], absorb=absorb, vce=vce, tests=tmap)[0]
+    # models that miss the same variables' rows have one sample: one pass each
+    for group in alone.values():
+        own = list(dict.fromkeys([v for _, y, ts in group for v in [y] + _raw_vars(ts)] + keyv))
+        for f in fit_many(df.select(*own), group, absorb=absorb, vce=vce, tests=tmap):
+            fits[f.model_id] = f
     return [fits[s[0]] for s in specs]
 
 
