@@ -19,6 +19,9 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 # --------------------------------------------------------------------------- C1
 def to_number(col, ignore: Sequence[str] = (), dtype: str = "double") -> Column:
     """String -> number; text that does not parse becomes NULL.
@@ -29,7 +32,9 @@ def to_number(col, ignore: Sequence[str] = (), dtype: str = "double") -> Column:
     c = _c(col).cast("string")
     if ignore:
         c = F.translate(c, "".join(ignore), "")
-    return F.trim(c).try_cast(dtype)
+    c = F.trim(c)
+    # text such as "12d", "NaN" or "Infinity" would pass a cast
+    return F.when(c.rlike(NUMBER), c).try_cast(dtype)
 
 
 def coerce_numeric(df: DataFrame, cols: Iterable[str] | None = None,

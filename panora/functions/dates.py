@@ -16,9 +16,9 @@ def date_from_parts(year, month, day) -> Column:
     ``make_date`` raises on an invalid date under ANSI, so the date is built
     as text and parsed with ``try_cast``.
     """
-    txt = F.format_string("%04d-%02d-%02d", _c(year).cast("int"), _c(month).cast("int"),
-                          _c(day).cast("int"))
-    ok = _c(year).isNotNull() & _c(month).isNotNull() & _c(day).isNotNull()
+    parts = [_c(x).try_cast("int") for x in (year, month, day)]
+    txt = F.format_string("%04d-%02d-%02d", *parts)
+    ok = parts[0].isNotNull() & parts[1].isNotNull() & parts[2].isNotNull()
     return F.when(ok, txt.try_cast("date"))
 
 
@@ -45,4 +45,7 @@ def day_index(d, origin: str = "1970-01-01") -> Column:
 PERIODS = {"day": lambda d: F.to_date(_c(d)),
            "week": week_block,
            "month": lambda d: F.month(_c(d)).cast("int"),
-           "year_month": year_month}
+           "year_month": year_month,
+           # keys that tell years apart
+           "year_week": lambda d: F.concat(F.year(_c(d)).cast("string"), F.lit("-W"),
+                                           F.lpad(week_block(d).cast("string"), 2, "0"))}

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panora.functions.dates import PERIODS
+from panora.operators.nullsafe import attach
 
 AggFn = Callable[[Column], Column]
 
@@ -71,7 +72,7 @@ def aggregate(df: DataFrame, by, specs: Sequence[tuple[str, object, str]],
         out = df.select(*by).distinct() if by else None
     for o, c in med:
         m = median_table(df, c, by, o, "distributed")
-        out = m if out is None else (out.join(m, by, "left") if by else
+        out = m if out is None else (attach(out, m, by) if by else
                                      out.withColumn(o, m.select(o).scalar()))
     return out.select(*by, *[o for o, _, _ in specs])
 
@@ -148,7 +149,7 @@ def share_within(df: DataFrame, by: Sequence[str], within: Sequence[str],
     by, within = list(by), list(within)
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias(count))
     tot = counts.groupBy(*within).agg(F.sum(count).alias("__tot"))
-    return counts.join(tot, within).withColumn(share, F.col(count) / F.col("__tot")).drop("__tot")
+    return attach(counts, tot, within).withColumn(share, F.col(count) / F.col("__tot")).drop("__tot")
 
 
 # --------------------------------------------------------------------------- A6
@@ -202,11 +203,7 @@ def rollup(df: DataFrame, to: str | Sequence[str], fns: Mapping[str, Sequence[st
            template: str = "{col}_{fn}", count: str | None = "n") -> DataFrame:
     """Roll-up in space (site -> county -> state) with named statistics."""
     specs = [(template.format(col=c, fn=f), f, c) for f, cols in fns.items() for c in cols]
-    out = aggregate(df, to, specs)
-    if count:
-        n = df.groupBy(*_by(to)).agg(F.count(F.lit(1)).alias(count))
-        out = out.join(n, _by(to)) if _by(to) else out.withColumn(count, n.select(count).scalar())
-    return out
+    return aggregate(df, to, specs + ([(count, lambda _: F.count(F.lit(1)), df.columns[0])] if count else []))
 
 
 # --------------------------------------------------------------------------- A11
@@ -257,7 +254,7 @@ def winsorize(df: DataFrame, cols: Sequence[str], by: Sequence[str] | None = Non
 def _attach(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
     """Join per-group statistics back; whole-table statistics via scalar subqueries."""
     if by:
-        return df.join(stats, list(by), "left")
+        return attach(df, stats, list(by))
     return df.withColumns({c: stats.select(c).scalar() for c in stats.columns})
 
 

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panora.operators.nullsafe import attach
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -83,7 +85,7 @@ def post(time, t0, inclusive: bool = False) -> Column:
 def ever_treated(df: DataFrame, entity: str, flag: str, out: str = "ever_treated") -> DataFrame:
     """Max of a 0/1 flag within entity, attached to each row (aggregate + join)."""
     agg = df.groupBy(entity).agg(F.max(F.coalesce(_c(flag), F.lit(0))).alias(out))
-    return df.join(agg, entity, "left")
+    return attach(df, agg, [entity])
 
 
 # --------------------------------------------------------------------------- T4

@@ -23,6 +23,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panora.operators.nullsafe import attach
+
 MATCH, DROP = "match", "drop"
 
 
@@ -91,30 +93,32 @@ def join(left: DataFrame, right: DataFrame, on, how: str = "inner",
 
 # --------------------------------------------------------------------------- J1
 def align(*frames: DataFrame, keys: Sequence[str], null_keys: str = MATCH,
-          unique: bool = True, check: bool = False) -> DataFrame:
+          unique: bool | None = None, check: bool = False) -> DataFrame:
     """Natural full outer join chain of many tables on explicit ``keys``.
 
     When each input is unique on ``keys`` (the panel case) the chain is
     rewritten as a union + one aggregation: a single shuffle on the key
     instead of n-1 sort-merge joins, null-safe because grouping treats NULLs
     as equal, and partial aggregation runs before the shuffle.  Non-key
-    columns must be disjoint (M17).  ``check=True`` verifies the uniqueness
-    inside that same aggregation (rows per source and key), keeps the
-    result persisted and raises on a duplicate.  With ``unique=False`` a
-    null-safe full outer join chain is used, which keeps the many-to-many
-    fan-out.
+    columns must be disjoint (M17).  By default the uniqueness is verified
+    inside that same aggregation (rows per source and key, the result is kept
+    persisted); inputs with repeated keys go through a null-safe full outer
+    join chain instead, which keeps the many-to-many fan-out, so no row is
+    lost.  ``check=True`` raises there instead, ``unique=False`` takes the chain
+    at once, ``unique=True`` skips the check (the caller vouches for it).
     """
     keys = list(keys)
     _check_clash(frames, keys)
     if null_keys == DROP:
         frames = [_drop_null_keys(f, keys) for f in frames]
-    if not unique:
-        return reduce(lambda a, b: join(a, b, keys, "full", null_keys=null_keys), frames)
+    chain = lambda: reduce(lambda a, b: join(a, b, keys, "full", null_keys=null_keys), frames)
+    if unique is False:
+        return chain()
     tagged = [f.withColumn("__src", F.lit(i)) for i, f in enumerate(frames)]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
     values = [c for f in frames for c in f.columns if c not in keys]
     aggs = [F.first(c, ignorenulls=True).alias(c) for c in values]
-    if not check:
+    if unique and not check:
         return stacked.groupBy(*keys).agg(*aggs)
     from pyspark import StorageLevel
     out = stacked.groupBy(*keys).agg(
@@ -123,6 +127,8 @@ def align(*frames: DataFrame, keys: Sequence[str], null_keys: str = MATCH,
     dup = out.filter(reduce(lambda a, b: a | b, [F.col(f"__n{i}") > 1 for i in range(len(frames))]))
     if dup.limit(1).count():
         out.unpersist()
+        if not check:
+            return chain()
         raise ValueError(f"align: an input is not unique on {keys}; use unique=False")
     return out.drop(*[f"__n{i}" for i in range(len(frames))])
 
@@ -140,7 +146,7 @@ def lookup(df: DataFrame, dim: DataFrame, on, right_on=None, cols: Sequence[str]
 # --------------------------------------------------------------------------- J6
 def crosswalk(df: DataFrame, xw: DataFrame, on: str, to: str, ratio: str | None = None,
               mode: str = "expand", threshold: float = 0.5,
-              allocate: Sequence[str] = ()) -> DataFrame:
+              allocate: Sequence[str] = (), null_keys: str = MATCH) -> DataFrame:
     """Many-to-many crosswalk from key ``on`` to key ``to``.
 
     ``expand``: every row is repeated once per matched target (fan-out is the
@@ -153,7 +159,9 @@ def crosswalk(df: DataFrame, xw: DataFrame, on: str, to: str, ratio: str | None
     x = xw.select(*cols)
     if mode == "majority":
         x = x.filter(F.col(ratio) > threshold)
-    out = df.join(x, on, "left")
+    if null_keys == DROP:
+        df, x = _drop_null_keys(df, [on]), _drop_null_keys(x, [on])
+    out = attach(df, x, [on])
     if mode == "allocate":
         out = out.withColumns({c: F.col(c) * F.col(ratio) for c in allocate})
     return out
@@ -254,19 +262,22 @@ def _position(df: DataFrame, key: str, order: Sequence, pos: str) -> DataFrame:
         from panora.operators.quantiles import rank_ranges
         o = order[0]
         rr = rank_ranges(df, o, [key], method="auto").select(key, o, "__lo")
+        given = df.groupBy(key).agg(F.count(o).alias("__given"))
         rest = [c for c in df.columns if c not in (key, o)]
         tie = Window.partitionBy(key, o).orderBy(*rest) if rest else Window.partitionBy(key, o).orderBy(o)
-        return (df.join(rr, [key, o], "left")
+        # rows without an order value stand last
+        return (attach(attach(df, rr, [key, o]), given, [key])
+                .withColumn("__lo", F.coalesce("__lo", F.col("__given") + 1))
                 .withColumn(pos, (F.col("__lo") + F.row_number().over(tie) - 1).cast("int"))
-                .drop("__lo").select(*df.columns, pos))
-    order = [F.col(o) if isinstance(o, str) else o for o in order]
+                .drop("__lo", "__given").select(*df.columns, pos))
+    order = [F.col(o).asc_nulls_last() if isinstance(o, str) else o for o in order]
     return df.withColumn(pos, F.row_number().over(Window.partitionBy(key).orderBy(*order)))
 
 
 # --------------------------------------------------------------------------- J10
 def neighbor_sum(panel: DataFrame, edges: DataFrame, entity: str, period: str,
                  value: str, src: str = "entity", dst: str = "neighbor",
-                 out: str | None = None) -> DataFrame:
+                 out: str | None = None, null_keys: str = MATCH) -> DataFrame:
     """Sum of neighbours' ``value`` per (entity, period) over an edge list.
 
     The edge list joins the panel on the neighbour, then one aggregation
@@ -275,28 +286,33 @@ def neighbor_sum(panel: DataFrame, edges: DataFrame, entity: str, period: str,
     out = out or f"nbr_sum_{value}"
     e = edges.select(F.col(src).alias("__e"), F.col(dst).alias("__n"))
     p = panel.select(F.col(entity).alias("__n"), F.col(period).alias(period), F.col(value))
-    return (e.join(p, "__n")
+    if null_keys == DROP:
+        e, p = _drop_null_keys(e, ["__n"]), _drop_null_keys(p, ["__n"])
+    return (attach(e, p, ["__n"], "inner")
             .groupBy(F.col("__e").alias(entity), F.col(period))
             .agg(F.sum(value).alias(out)))
 
 
 # --------------------------------------------------------------------------- J11
-def membership_flag(df: DataFrame, members: DataFrame, keys, flag: str = "member") -> DataFrame:
+def membership_flag(df: DataFrame, members: DataFrame, keys, flag: str = "member",
+                    null_keys: str = MATCH) -> DataFrame:
     """Add a 0/1 flag: is the row's key present in ``members``."""
     keys = _keys(keys)
     m = members.select(*keys).distinct().withColumn(flag, F.lit(1))
-    return df.join(m, keys, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(0)))
+    return attach(df, m, keys, plain=keys if null_keys == DROP else ()).withColumn(flag, F.coalesce(F.col(flag), F.lit(0)))
 
 
-def restrict(df: DataFrame, members: DataFrame, keys, keep: bool = True) -> DataFrame:
+def restrict(df: DataFrame, members: DataFrame, keys, keep: bool = True,
+             null_keys: str = MATCH) -> DataFrame:
     """Sample restriction by membership: semi join (``keep``) or anti join."""
     keys = _keys(keys)
-    return df.join(members.select(*keys), keys, "left_semi" if keep else "left_anti")
+    return attach(df, members.select(*keys), keys, "left_semi" if keep else "left_anti",
+                  plain=keys if null_keys == DROP else ())
 
 
 # --------------------------------------------------------------------------- J12
 def coverage_flags(universe: DataFrame, sources: Mapping[str, DataFrame], key: str,
-                   prefix: str = "in_") -> DataFrame:
+                   prefix: str = "in_", null_keys: str = MATCH) -> DataFrame:
     """One 0/1 column per source saying whether the universe key appears there.
 
     Distinct keys of every source are tagged and unioned, then one pivot on
@@ -308,7 +324,7 @@ def coverage_flags(universe: DataFrame, sources: Mapping[str, DataFrame], key: s
                      for t, s in sources.items()])
     flags = tagged.groupBy(key).pivot("__src", tags).agg(F.lit(1))
     flags = flags.withColumnsRenamed({t: f"{prefix}{t}" for t in tags})
-    out = universe.join(flags, key, "left")
+    out = attach(universe, flags, [key], plain=[key] if null_keys == DROP else ())
     return out.fillna(0, subset=[f"{prefix}{t}" for t in tags])
 
 
@@ -321,19 +337,21 @@ def balance(df: DataFrame, entity: str, time: str, step: int = 1,
     generated per entity with ``sequence`` + ``explode``, so no join is
     needed.  ``span="entity"`` uses each entity's own first..last period.
     """
+    dated = dict(df.dtypes)[time] in ("date", "timestamp", "timestamp_ntz")
+    by = F.expr(f"INTERVAL {int(step)} DAYS") if dated else F.lit(step)
     if span == "entity":
         rng = df.groupBy(entity).agg(F.min(time).alias("__lo"), F.max(time).alias("__hi"))
-        return rng.select(entity, F.explode(F.sequence("__lo", "__hi", F.lit(step))).alias(time))
+        return rng.select(entity, F.explode(F.sequence("__lo", "__hi", by)).alias(time))
     lo = df.select(F.min(time)).scalar()
     hi = df.select(F.max(time)).scalar()
     ents = df.select(entity).distinct()
-    return ents.select(entity, F.explode(F.sequence(lo, hi, F.lit(step))).alias(time))
+    return ents.select(entity, F.explode(F.sequence(lo, hi, by)).alias(time))
 
 
 def fill_balanced(df: DataFrame, entity: str, time: str, fill: Mapping[str, object] | None = None,
                   step: int = 1) -> DataFrame:
     """Left join the panel onto its balanced skeleton, optionally filling gaps."""
-    out = balance(df, entity, time, step).join(df, [entity, time], "left")
+    out = attach(balance(df, entity, time, step), df, [entity, time])
     return out.fillna(dict(fill)) if fill else out
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panora.functions.dist import t_sf2
+from panora.operators.nullsafe import attach
 from panora.operators.aggregate import MAD_SCALE, percentile_disc
 
 
@@ -214,9 +215,21 @@ def summarize(df: DataFrame, cols: Sequence[str], weight: str | None = None) ->
         ex += [F.count(x).alias(f"{c}__obs"),
                F.sum(F.when(x.isNotNull(), w)).cast("double").alias(f"{c}__sum_w"),
                (F.sum(x * w) / F.sum(F.when(x.isNotNull(), w))).alias(f"{c}__mean"),
-               F.var_samp(x).alias(f"{c}__variance"), F.stddev_samp(x).alias(f"{c}__sd"),
-               F.min(x).cast("double").alias(f"{c}__min"), F.max(x).cast("double").alias(f"{c}__max"),
-               F.sum(x).cast("double").alias(f"{c}__sum")]
+               F.min(x).cast("double").alias(f"{c}__min"), F.max(x).cast("double").alias(f"{c}__max")]
+        if weight is None:
+            ex += [F.var_samp(x).alias(f"{c}__variance"), F.stddev_samp(x).alias(f"{c}__sd"),
+                   F.sum(x).cast("double").alias(f"{c}__sum")]
+        else:
+            # analytic weights, rescaled to sum to the number of observations:
+            # variance = n / (n - 1) * sum w (x - mean)^2 / sum w, with moments
+            # about an unweighted provisional centre
+            centre = df.select(F.avg(x)).scalar()
+            ws = F.sum(F.when(x.isNotNull(), w))
+            d = (x - centre).cast("double")
+            var = F.when(F.count(x) > 1, F.count(x) / (F.count(x) - 1)
+                         * (F.sum(d * d * w) / ws - F.pow(F.sum(d * w) / ws, 2)))
+            ex += [var.alias(f"{c}__variance"), F.sqrt(var).alias(f"{c}__sd"),
+                   F.sum(x * w).cast("double").alias(f"{c}__sum")]
     return _long(df.agg(*ex), cols,
                  ["obs", "sum_w", "mean", "variance", "sd", "min", "max", "sum"])
 
@@ -399,8 +412,8 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str], method: str = "auto")
                      F.get("__q", 2).alias("q3"))
     else:
         q = type7_quantiles(df, col, [0.25, 0.5, 0.75], by, ["q1", "median", "q3"])
-    q = n.join(q, by, "left").withColumn("iqr", F.col("q3") - F.col("q1"))
-    j = df.select(*by, col).join(q, by)
+    q = attach(n, q, by).withColumn("iqr", F.col("q3") - F.col("q1"))
+    j = attach(df.select(*by, col), q.drop("n"), by)
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
     x = F.col(col)
@@ -408,7 +421,7 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str], method: str = "auto")
         F.min(F.when(x >= lo_f, x)).cast("double").alias("whisker_lo"),
         F.max(F.when(x <= hi_f, x)).cast("double").alias("whisker_hi"),
         F.count_if((x < lo_f) | (x > hi_f)).alias("n_outliers"))
-    return q.join(w, by).select(*by, "n", "q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi",
+    return attach(q, w, by).select(*by, "n", "q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi",
                                 "n_outliers")
 
 

@@ -26,6 +26,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panora.operators.nullsafe import attach
+
 MAP_MAX_DISTINCT = 1_000_000  # largest group the value -> count map may hold
 BUCKETS = 256
 
@@ -67,7 +69,7 @@ def rank_ranges(df: DataFrame, col: str, by: Sequence[str] = (), buckets: int =
     probs = [i / buckets for i in range(1, buckets)]
     cuts = F.percentile_approx(col, probs, accuracy)
     if by:
-        vc = vc.join(d.groupBy(*by).agg(cuts.alias("__cuts")), by)
+        vc = attach(vc, d.groupBy(*by).agg(cuts.alias("__cuts")), by)
     else:
         vc = vc.withColumn("__cuts", d.select(cuts).scalar())
     vc = vc.withColumn("__b", _bucket(F.col(col), F.col("__cuts"), buckets - 1)).drop("__cuts")
@@ -75,7 +77,7 @@ def rank_ranges(df: DataFrame, col: str, by: Sequence[str] = (), buckets: int =
     before = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(*by, "__b", F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__off"))
     inside = Window.partitionBy(*by, "__b").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
-    r = vc.join(off, by + ["__b"]).withColumn("__hi", F.col("__off") + F.sum("__c").over(inside))
+    r = attach(vc, off, by + ["__b"]).withColumn("__hi", F.col("__off") + F.sum("__c").over(inside))
     return r.select(*by, col, "__c", (F.col("__hi") - F.col("__c") + 1).alias("__lo"), "__hi")
 
 
@@ -107,7 +109,7 @@ def order_values(df: DataFrame, col: str, ranks: Mapping[str, Callable[[Column],
     by = list(by)
     rr = rank_ranges(df, col, by, buckets)
     n = df.where(F.col(col).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-    rr = rr.join(n, by) if by else rr.withColumn("__n", n.select("__n").scalar())
+    rr = attach(rr, n, by) if by else rr.withColumn("__n", n.select("__n").scalar())
     aggs = []
     for name, fn in ranks.items():
         r = fn(F.col("__n"))

@@ -9,6 +9,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panora.operators.nullsafe import attach
+
 MAX_LEVELS = 10_000
 
 
@@ -45,6 +47,8 @@ def sort_position(df: DataFrame, by: str, desc: bool = False, tiebreak: Sequence
     key = F.col(by)
     tmp = df.withColumn("__key", -key if desc else key)
     rr = rank_ranges(tmp, "__key", (), method=method).select("__key", "__lo")
+    # rows without a sort value stand last
+    last = df.select(F.count(by)).scalar() + 1
     numeric = ("int", "bigint", "smallint", "tinyint", "double", "float")
     if len(tiebreak) == 1 and isinstance(tiebreak[0], str) and dict(df.dtypes).get(tiebreak[0]) in numeric:
         # ties on the value are ranked by the (unique) tiebreak inside each value
@@ -52,13 +56,14 @@ def sort_position(df: DataFrame, by: str, desc: bool = False, tiebreak: Sequence
         # share of the rows is not numbered in one task
         tr = rank_ranges(tmp, tiebreak[0], ["__key"], method=method).select(
             "__key", tiebreak[0], F.col("__lo").alias("__tlo"))
-        return (tmp.join(rr, "__key", "left").join(tr, ["__key", tiebreak[0]], "left")
-                .withColumn(out, (F.col("__lo") + F.col("__tlo") - 1).cast("long"))
-                .drop("__key", "__lo", "__tlo"))
+        end = tmp.groupBy("__key").agg((F.count(tiebreak[0]) + 1).alias("__end"))
+        return (attach(attach(attach(tmp, rr, ["__key"]), tr, ["__key", tiebreak[0]]), end, ["__key"])
+                .withColumn(out, (F.coalesce("__lo", last) + F.coalesce("__tlo", "__end") - 1).cast("long"))
+                .drop("__key", "__lo", "__tlo", "__end"))
     tb = [F.col(t) if isinstance(t, str) else t for t in tiebreak] or [F.lit(1)]
     tie = Window.partitionBy("__key").orderBy(*tb)
-    return (tmp.join(rr, "__key", "left")
-            .withColumn(out, (F.col("__lo") + F.row_number().over(tie) - 1).cast("long"))
+    return (attach(tmp, rr, ["__key"])
+            .withColumn(out, (F.coalesce("__lo", last) + F.row_number().over(tie) - 1).cast("long"))
             .drop("__key", "__lo"))
 
 

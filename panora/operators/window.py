@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panora.operators.aggregate import FUNCS, percentile_disc
+from panora.operators.nullsafe import attach
 
 
 def _by(by) -> list[str]:
@@ -37,10 +38,10 @@ def group_stat(df: DataFrame, by, stats: Mapping[str, tuple[str, str]],
     out = df
     if plain:
         agg = df.groupBy(*by).agg(*[FUNCS[f](F.col(c)).alias(o) for o, (f, c) in plain.items()])
-        out = out.join(agg, by, "left")
+        out = attach(out, agg, by)
     for o, (f, c) in stats.items():
         if f == "median":
-            out = out.join(median_table(df, c, by, o, method), by, "left")
+            out = attach(out, median_table(df, c, by, o, method), by)
     return out
 
 
@@ -90,28 +91,32 @@ def locf(df: DataFrame, entity, time: str, cols: Sequence[str],
                           for c in cols])
     w = Window.partitionBy(*ents, "__blk").orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
     inner = d.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
-    out = inner.join(carry, ents + ["__blk"], "left")
+    out = attach(inner, carry, ents + ["__blk"])
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"__c_{c}")) for c in cols})
     return out.select(*df.columns)
 
 
 # --------------------------------------------------------------------------- W4
 def time_lag(df: DataFrame, entity, time: str, cols: Sequence[str], k: int = 1,
-             template: str = "L{k}_{col}") -> DataFrame:
+             template: str = "L{k}_{col}", check: bool = True) -> DataFrame:
     """``L.x``: value of the period ``t - k``; missing when that period is absent.
 
     An equi-join of the panel with itself shifted by ``k`` periods on the
-    unique (entity, time) key.  Requires an integer period.
+    (entity, time) key, which must be unique (duplicates raise, as they would
+    multiply rows).  Requires an integer period; a NULL period has no lag.
     """
     ents = _by(entity)
+    if check and df.filter(F.col(time).isNotNull()).groupBy(*ents, time).count() \
+            .filter(F.col("count") > 1).limit(1).count():
+        raise ValueError(f"time_lag: repeated values of {ents + [time]}")
     shifted = df.select(*ents, (F.col(time) + F.lit(k)).alias(time),
                         *[F.col(c).alias(template.format(k=k, col=c)) for c in cols])
-    return df.join(shifted, ents + [time], "left")
+    return attach(df, shifted, ents + [time], plain=[time])
 
 
 def time_lead(df: DataFrame, entity, time: str, cols: Sequence[str], k: int = 1,
-              template: str = "F{k}_{col}") -> DataFrame:
-    return time_lag(df, entity, time, cols, -k, template.replace("{k}", str(k)))
+              template: str = "F{k}_{col}", check: bool = True) -> DataFrame:
+    return time_lag(df, entity, time, cols, -k, template.replace("{k}", str(k)), check)
 
 
 # --------------------------------------------------------------------------- W5
@@ -204,4 +209,4 @@ def latest(df: DataFrame, time: str, entity=None) -> DataFrame:
         return df.filter(F.col(time) == df.select(F.max(time)).scalar())
     ents = _by(entity)
     last = df.groupBy(*ents).agg(F.max(time).alias(time))
-    return df.join(last, ents + [time], "left_semi")
+    return attach(df, last, ents + [time], "left_semi")
