@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panora.functions.dist import f_sf, stars, t_ppf, t_sf2
-from panora.sources.writers import cut_lineage
+from panora.sources.writers import cut_lineage, drop_scratch
 
 AGG_MAX_COLS = 24          # up to this many design columns: one codegen'd agg
 MAX_FACTOR_LEVELS = 5_000  # bound on levels of an i.var expansion
@@ -621,6 +621,7 @@ def fit_many(df: DataFrame, specs: Sequence[tuple[str, str, Sequence[str]]], abs
         fits.append(fit)
     if materialize:
         means.unpersist()
+        drop_scratch(base)
     return fits
 
 

@@ -4,12 +4,14 @@ Library code never creates a session; callers pass one in.  ``get_session``
 is for tests, the bench and scripts.  Scratch output (lineage cuts, landed
 intermediate files) always goes under the cluster's ``spark.checkpoint.dir``
 so that it is on shared storage and survives executor loss; a private
-temporary folder is chosen only when the setting is absent (local tests).
+temporary folder is chosen only when the setting is absent and the master is
+local (tests), anywhere else its absence is an error.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -44,6 +46,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="panora-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)

@@ -7,6 +7,7 @@ shared checkpoint folder (reliable checkpoint, never a local one).
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -29,6 +30,15 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     return path
 
 
+def drop_scratch(df: DataFrame) -> None:
+    """Remove the scratch table that ``df`` reads, once nothing needs it."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+        if "/panora-" in folder:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def cut_lineage(df: DataFrame, how: str = "checkpoint") -> DataFrame:
     """Materialise ``df`` on shared storage and continue from there.
 
