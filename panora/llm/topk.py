@@ -75,7 +75,7 @@ def _pairs(rows: DataFrame, queries: DataFrame) -> DataFrame:
     deals = max(1, -(-rows.count() // ROW_BLOCKS_PER_TASK))
     deal = F.pmod(F.xxhash64("row_block"), F.lit(deals))
     left = left.withColumn("deal", deal)
-    each = queries.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))).cast("long"))
+    each = queries.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(deals - 1).cast("long"))))
     return each.join(left, "deal")
 
 
