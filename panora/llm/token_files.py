@@ -30,7 +30,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panora.llm.common import arrow_map, drop_landed, landed, ship, tokenizer_path
+from panora.llm.common import SUB_ROWS, arrow_map, drop_landed, landed, ship, tokenizer_path
 from panora.llm.tokens import encoder
 from panora.session import scratch_path
 
@@ -39,6 +39,8 @@ END_ID = 1
 SEGMENT_IDS = 1 << 18
 #: bytes of ids per range partition
 PART_BYTES = 32 << 20
+#: most rows of segment starts that are sent to every executor
+BROADCAST_SEGMENTS = 200_000
 MAGIC, VERSION = b"PFVB", 1
 
 
@@ -71,7 +73,7 @@ def decode_ranks(control: bytes, data: bytes, n: int):
     starts = np.cumsum(lengths) - lengths
     raw = np.frombuffer(data, np.uint8)
     out = np.zeros(n, np.uint32)
-    for k in range(4):
+    for k in range(int(lengths.max(initial=0))):
         has = np.flatnonzero(lengths > k)
         out[has] |= raw[starts[has] + k].astype(np.uint32) << np.uint32(8 * k)
     return out
@@ -125,8 +127,9 @@ def _counted(dtype: str, size: int):
 
         total = np.zeros(size, np.int64)
         for b in batches:
-            for x in b.column(0):
-                total += np.bincount(np.frombuffer(x.as_buffer(), dtype), minlength=size)
+            for i in range(0, b.num_rows, SUB_ROWS):
+                ids = b"".join(b.column(0).slice(i, SUB_ROWS).to_pylist())
+                total += np.bincount(np.frombuffer(ids, dtype), minlength=size)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["token", "n"])
     return run
@@ -228,6 +231,9 @@ def read_tokens(spark: SparkSession, out: str) -> DataFrame:
     inner = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     starts = meta.withColumn("s0", F.coalesce(F.sum("n_ids").over(inner), F.lit(0))).join(parts, "part") \
         .select("part", "segment", (F.col("s0") + F.col("p0")).alias("base"))
+    starts = landed(starts, "starts")
+    if starts.count() <= BROADCAST_SEGMENTS:
+        starts = F.broadcast(starts)  # three numbers a row; beyond that size, a shuffled join
     return docs.join(starts, ["part", "segment"]).select(
         "doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids")
 

@@ -22,7 +22,7 @@ import os
 
 #: most cached entries per Python worker; beyond it unseen chunks are still
 #: encoded, only not remembered
-CACHE_ENTRIES = 900_000
+CACHE_ENTRIES = 1_200_000
 #: longer chunks are never cached
 CACHE_CHARS = 40
 #: below this code point the pre-token expression is applied here; chunks
@@ -79,20 +79,18 @@ class Encoder:
 
     def pieces(self, s: str) -> bytes:
         """A string by its pre-tokens."""
-        if not s:
-            return b""
-        if max(s) >= SIMPLE_BELOW:
-            return self._whole(s)
         if self.drops_space:
             if s.isascii():
                 s = s.lower()
+            elif max(s) >= SIMPLE_BELOW:
+                return self._whole(s)
             else:
                 n = self.tok.normalizer.normalize_str(s)
                 if self.tok.normalizer.normalize_str(n) != n:
                     return self._whole(s)
                 s = n
-            if s.isalpha():
-                return self._piece(s)
+        elif not s.isascii() and max(s) >= SIMPLE_BELOW:
+            return self._whole(s)
         known, got = self.cache.get, []
         for p in self.rx.findall(s):
             # what stands alone (or after one space) may be a known chunk
@@ -103,11 +101,13 @@ class Encoder:
 
     def chunk(self, c: str) -> bytes:
         """A chunk that stands after a space."""
-        if self.drops_space:
-            return self.pieces(c)
-        if c.isalpha() and max(c) < SIMPLE_BELOW:
-            return self._piece(" " + c)
-        return self.pieces(" " + c)
+        if c.isalpha() and c.isascii():
+            if not self.drops_space:
+                return self._piece(" " + c)
+            low = c.lower()
+            ids = self.cache.get(low) if low != c else None
+            return self._piece(low) if ids is None else ids
+        return self.pieces(c if self.drops_space else " " + c)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         get, out = self.cache.__getitem__, []
