@@ -329,10 +329,16 @@ CUSTOMER_LABELS = {"c_custkey": "Customer key", "c_acctbal": "Account balance (U
                    "c_mktsegment": "Market segment", "c_nationkey": "Nation key"}
 
 
-@reg("c20_label_columns", "SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+@reg("c20_label_columns", "SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment, "
+     + ", ".join(f"'{label}' AS label_{c}" for c, label in CUSTOMER_LABELS.items())
+     + ", 'negative = overdrawn' AS note_c_acctbal FROM customer")
 def c20_label_columns(spark, sf):
     c = T(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    return label_columns(c, CUSTOMER_LABELS, notes={"c_acctbal": ["negative = overdrawn"]})
+    c = label_columns(c, CUSTOMER_LABELS, notes={"c_acctbal": ["negative = overdrawn"]})
+    # the labels as they are read back from the schema
+    meta = {f.name: f.metadata for f in c.select("*").schema.fields}
+    return c.withColumns({f"label_{k}": F.lit(meta[k].get("comment")) for k in CUSTOMER_LABELS}
+                         | {"note_c_acctbal": F.lit(meta["c_acctbal"]["notes"][0])})
 
 
 QUERIES, SQL = Q, S

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panora.operators.estimate import (areg, coef_table, event_study, grid, margins, ols,
+from panora.operators.estimate import (areg, coef_table, event_study, factor_levels, grid, margins, ols,
                                        stats_table, tests_table, wide_table, within)
 from panora.operators.joins import fill_balanced
 from panora.operators.window import high_low
+from panora.plans import sql_fit
 from panora.plans.common import QZ, SQL_DAY_PANEL, T, events_day_panel, qz
 from panora.plans.q_design import LAGS, LEADS, SQL_DAY_PANEL_T, SQL_WEEK_PANEL, day_panel, week_panel
 
@@ -51,6 +52,34 @@ def est_panel(spark, sf):
     return p.withColumns(dummies)
 
 
+_LAST_DUMMIES = [f"b{k}" for k in range(LEADS, 0, -1)] + [f"a{k}" for k in range(LAGS + 1)]
+SQL_EST_PANEL = f"""est AS MATERIALIZED (SELECT p.*, CASE WHEN um > (SELECT median(um) FROM (SELECT avg(value) AS um FROM events GROUP BY user_id))
+    THEN 1 ELSE 0 END AS high, {', '.join(
+      f"CASE WHEN day - t0 = {-int(d[1:]) if d[0] == 'b' else int(d[1:])} THEN 1 ELSE 0 END AS {d}" for d in _LAST_DUMMIES)}
+  FROM ({SQL_DAY_PANEL_T}) p JOIN (SELECT user_id, avg(value) AS um FROM events GROUP BY user_id) USING (user_id))"""
+
+
+def _fit_sql(fits, select):
+    """WITH RECURSIVE over the panel, its fits and the final selection."""
+    return "WITH RECURSIVE " + ",\n".join([SQL_EST_PANEL, *fits]) + "\n" + select
+
+
+def _terms_sql(terms):
+    """Products of panel columns for notation such as ``tre#high``."""
+    return [" * ".join(f"CAST({v} AS DOUBLE)" for v in t.replace("c.", "").split("#")) for t in terms]
+
+
+def _coef_sql(tag, terms, robust=True, extra=""):
+    return (f"SELECT {extra}term, {QZ('coef', 6)} AS coef, {QZ('se', 6)} AS se, omitted "
+            f"FROM ({sql_fit.coefficients(tag, terms, robust)})")
+
+
+def _coefs(spark, fits, *keep):
+    """Coefficient rows without the period indicators."""
+    c = coef_table(spark, fits).filter(~F.col("term").endswith(".day"))
+    return c.select(*keep, "term", qz("coef", 6).alias("coef"), qz("se", 6).alias("se"), "omitted")
+
+
 # ---------------------------------------------------------------------------- E1
 SQL_E1 = f"""WITH p AS (SELECT value_mean AS y, CAST(n_events AS DOUBLE) AS x FROM ({SQL_DAY_PANEL})),
  m AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a, regr_sxx(y, x) AS sxx,
@@ -66,11 +95,15 @@ def e1_ols_one_regressor(spark, sf):
     return _coef_rows(spark, [ols(p, "value_mean", ["n_events"], vce="classic")])
 
 
-@reg("e1_ols_interaction")
+E1_TERMS = ["tre", "high", "tre#high", "n_events"]
+
+
+@reg("e1_ols_interaction", _fit_sql([sql_fit.chain("f", "est", _terms_sql(E1_TERMS), "value_mean", None)],
+                                    _coef_sql("f", E1_TERMS, robust=False)))
 def e1_ols_interaction(spark, sf):
     p = est_panel(spark, sf)
     fit = ols(p, "value_mean", ["tre##high", "c.n_events"], vce="classic", model_id="ols_int")
-    return coef_table(spark, [fit])
+    return _coefs(spark, [fit])
 
 
 # ---------------------------------------------------------------------------- E2
@@ -94,18 +127,18 @@ def e2_areg_one_regressor(spark, sf):
     return _coef_rows(spark, [areg(p, "value_mean", ["n_events"], absorb="user_id")])
 
 
-@reg("e2_areg_controls")
+E2_TERMS = ["tre", "tre#high", "n_events"]
+
+
+@reg("e2_areg_controls", _fit_sql(
+    [sql_fit.chain("f", "est", _terms_sql(E2_TERMS), "value_mean", "user_id", "day")],
+    _coef_sql("f", E2_TERMS) + f" UNION ALL SELECT '_stats', {QZ('r2', 6)}, {QZ('rmse', 6)}, false FROM ({sql_fit.statistics('f')})"))
 def e2_areg_controls(spark, sf):
     p = est_panel(spark, sf)
-    fit = areg(p, "value_mean", ["tre", "tre#high", "n_events", "i.day"], absorb="user_id",
-               model_id="areg_did")
-    return coef_table(spark, [fit]).unionByName(
-        stats_table(spark, [fit]).select(
-            "model_id", "depvar", F.lit("_stats").alias("term"), F.col("r2").alias("coef"),
-            F.col("rmse").alias("se"), F.lit(None).cast("double").alias("t"),
-            F.lit(None).cast("double").alias("p"), F.lit(None).cast("double").alias("ci_lo"),
-            F.lit(None).cast("double").alias("ci_hi"), F.lit("").alias("stars"),
-            F.lit(False).alias("omitted")))
+    fit = areg(p, "value_mean", [*E2_TERMS, "i.day"], absorb="user_id", model_id="areg_did")
+    return _coefs(spark, [fit]).unionByName(stats_table(spark, [fit]).select(
+        F.lit("_stats").alias("term"), qz("r2", 6).alias("coef"), qz("rmse", 6).alias("se"),
+        F.lit(False).alias("omitted")))
 
 
 # ---------------------------------------------------------------------------- E3
@@ -138,6 +171,12 @@ def e3_areg_two_way(spark, sf):
     return _coef_rows(spark, [fit], terms=["n_events"])
 
 
+@reg("e3_areg_two_way_unbalanced", _fit_sql(
+    [sql_fit.chain("f", "est", ["n_events"], "value_mean", "user_id", "day")], _coef_sql("f", ["n_events"])))
+def e3_areg_two_way_unbalanced(spark, sf):
+    return _coefs(spark, [areg(est_panel(spark, sf), "value_mean", ["n_events", "i.day"], absorb="user_id")])
+
+
 # ---------------------------------------------------------------------------- E4
 SQL_E4 = f"""WITH p AS (SELECT user_id, value_mean AS y, CAST(n_events AS DOUBLE) AS x FROM ({SQL_DAY_PANEL})),
  d AS (SELECT user_id, x - avg(x) OVER (PARTITION BY user_id) AS xt,
@@ -182,30 +221,49 @@ def _event_terms():
     return dummies, times
 
 
-@reg("e5_event_study")
+def _path_sql(terms, group):
+    names = list(terms) + ([f"{d}#{group}" for d in terms] if group else [])
+    times = ", ".join(str(t) for t in _event_terms()[1] * (2 if group else 1))
+    n = len(terms)
+    return _fit_sql([sql_fit.chain("f", "est", _terms_sql(names), "value_mean", "user_id", "day")],
+                    f"SELECT CASE WHEN i <= {n} THEN 'base' ELSE 'diff' END AS series, CAST(([{times}])[i] AS INTEGER) AS event_time, "
+                    f"[{', '.join(repr(t) for t in names)}][i] AS term, {QZ('coef', 6)} AS coef, {QZ('se', 6)} AS se "
+                    f"FROM ({sql_fit.coefficients('f', names, cons=False)})")
+
+
+def _path(spark, rows):
+    return spark.createDataFrame(rows, PATH_SCHEMA).select(
+        "series", "event_time", "term", qz("coef", 6).alias("coef"), qz("se", 6).alias("se"))
+
+
+@reg("e5_event_study", _path_sql(_event_terms()[0], None))
 def e5_event_study(spark, sf):
     p = est_panel(spark, sf)
     dummies, times = _event_terms()
     fit, path = event_study(p, "value_mean", dummies, absorb="user_id", period="day",
                             event_times=times)
-    return spark.createDataFrame(path, PATH_SCHEMA)
+    return _path(spark, path)
 
 
-@reg("e5_event_study_by_group")
+@reg("e5_event_study_by_group", _path_sql(_event_terms()[0], "high"))
 def e5_event_study_by_group(spark, sf):
     p = est_panel(spark, sf)
     dummies, times = _event_terms()
     fit, path = event_study(p, "value_mean", dummies, absorb="user_id", period="day",
                             event_times=times, group="high", model_id="event_by_high")
-    return spark.createDataFrame(path, PATH_SCHEMA)
+    return _path(spark, path)
 
 
 # ---------------------------------------------------------------------------- E6
-@reg("e6_three_way")
+E6_TERMS = ["tre", "high", "n_events", "tre#high", "tre#n_events", "high#n_events", "tre#high#n_events"]
+
+
+@reg("e6_three_way", _fit_sql([sql_fit.chain("f", "est", _terms_sql(E6_TERMS), "value_mean", "user_id", "day")],
+                              _coef_sql("f", E6_TERMS)))
 def e6_three_way(spark, sf):
     p = est_panel(spark, sf)
     fit = areg(p, "value_mean", ["tre##high##c.n_events", "i.day"], absorb="user_id", model_id="het")
-    return coef_table(spark, [fit]).filter(~F.col("term").endswith(".day"))
+    return _coefs(spark, [fit])
 
 
 # ---------------------------------------------------------------------------- E7 / E8
@@ -225,14 +283,27 @@ def run_grid(spark, sf):
                 absorb="user_id", tests=lambda s: [("joint_tre", ["tre", s[2][1]])])
 
 
-@reg("e7_model_grid")
+SQL_GRID_PANEL = """gp AS MATERIALIZED (SELECT est.*, CASE WHEN ne > (SELECT median(ne) FROM (SELECT avg(n_events) AS ne FROM est GROUP BY user_id))
+    THEN 1 ELSE 0 END AS heavy FROM est JOIN (SELECT user_id, avg(n_events) AS ne FROM est GROUP BY user_id) USING (user_id))"""
+GRID = [(f"m{i}", o, m) for i, (o, m) in enumerate((o, m) for o in OUTCOMES for m in MODERATORS)]
+
+
+def _grid_sql(select):
+    """One fit per model of the grid; ``select(tag, outcome, moderator)`` of each."""
+    return _fit_sql([SQL_GRID_PANEL, *(sql_fit.chain(t, "gp", _terms_sql(["tre", f"tre#{m}"]), o, "user_id", "day")
+                                       for t, o, m in GRID)],
+                    "\nUNION ALL ".join(select(*g) for g in GRID))
+
+
+@reg("e7_model_grid", _grid_sql(lambda t, o, m: _coef_sql(t, ["tre", f"tre#{m}"], extra=f"'{o}|{m}' AS model_id, ")))
 def e7_model_grid(spark, sf):
-    return coef_table(spark, run_grid(spark, sf)).filter(~F.col("term").endswith(".day"))
+    return _coefs(spark, run_grid(spark, sf), "model_id")
 
 
-@reg("e8_wald_tests")
+@reg("e8_wald_tests", _grid_sql(lambda t, o, m: f"SELECT '{o}|{m}' AS model_id, 'joint_tre' AS test, 2 AS q, df_r, "
+                                                f"{QZ('f', 6)} AS f FROM ({sql_fit.wald2(t)})"))
 def e8_wald_tests(spark, sf):
-    return tests_table(spark, run_grid(spark, sf))
+    return tests_table(spark, run_grid(spark, sf)).select("model_id", "test", "q", "df_r", qz("f", 6).alias("f"))
 
 
 GRID_Y = ["value_mean", "last_event"]
@@ -323,31 +394,51 @@ def e8_wald_two_regressors(spark, sf):
 
 
 # ---------------------------------------------------------------------------- E9
-WEEKS = [1, 2, 3, 4, 5]
-
-
-@reg("e9_margins", f"""WITH p AS ({SQL_WEEK_PANEL})
-SELECT week, high, {QZ('avg(value_mean)')} AS margin FROM p
-WHERE value_mean IS NOT NULL AND high IS NOT NULL AND week IS NOT NULL GROUP BY week, high""")
+@reg("e9_margins", f"""WITH p AS ({SQL_WEEK_PANEL}),
+ s AS (SELECT week, high, value_mean AS y, avg(value_mean) OVER (PARTITION BY week, high) AS m, count(*) OVER () AS n,
+         count(*) OVER (PARTITION BY week, high) AS c FROM p
+       WHERE value_mean IS NOT NULL AND high IS NOT NULL AND week IS NOT NULL),
+ k AS (SELECT count(*) AS k FROM (SELECT DISTINCT week, high FROM s))
+SELECT week, high, {QZ('any_value(m)')} AS margin,
+  {QZ('sqrt(any_value(n) * 1.0 / (any_value(n) - any_value(k)) * sum(power(y - m, 2))) / any_value(c)')} AS se
+FROM s, k GROUP BY week, high""")
 def e9_margins(spark, sf):
     p = week_panel(spark, sf)
     fit = ols(p, "value_mean", ["high##i.week"], vce="robust", model_id="saturated")
-    rows = margins(p, fit, {"week": WEEKS, "high": [0, 1]})
+    rows = margins(p, fit, {"week": factor_levels(p, "week"), "high": [0, 1]})
     m = spark.createDataFrame(rows, "week int, high int, margin double, se double, lo double, hi double")
-    return m.select("week", "high", qz("margin").alias("margin"))
+    return m.select("week", "high", qz("margin").alias("margin"), qz("se").alias("se"))
 
 
 # ---------------------------------------------------------------------------- E10
-@reg("e10_coef_table_wide")
+def _wide_sql():
+    """Cells without stars: the t distribution is beyond SQL."""
+    cell = "CASE WHEN omitted THEN '(omitted)' ELSE format('{:,.3f}', coef) || ' (' || format('{:,.3f}', se) || ')' END"
+    one = lambda t, o, m: (f"SELECT '{o}|{m}' AS model_id, term, {cell} AS cell "
+                           f"FROM ({sql_fit.coefficients(t, ['tre', f'tre#{m}'])})")
+    cells = ", ".join(f"max(cell) FILTER (model_id = '{o}|{m}') AS \"{o}|{m}\"" for _, o, m in GRID)
+    return _fit_sql([SQL_GRID_PANEL, *(sql_fit.chain(t, "gp", _terms_sql(["tre", f"tre#{m}"]), o, "user_id", "day")
+                                       for t, o, m in GRID),
+                     "cells AS (" + "\nUNION ALL ".join(one(*g) for g in GRID) + ")"],
+                    f"SELECT term, {cells} FROM cells GROUP BY term")
+
+
+@reg("e10_coef_table_wide", _wide_sql())
 def e10_coef_table_wide(spark, sf):
     fits = run_grid(spark, sf)
-    c = coef_table(spark, fits).filter(~F.col("term").endswith(".day"))
+    c = coef_table(spark, fits).filter(~F.col("term").endswith(".day")).withColumn("stars", F.lit(""))
     return wide_table(c, [f.model_id for f in fits])
 
 
-@reg("e10_model_stats")
+STATS = ["r2", "r2_adj", "r2_within", "rmse"]
+
+
+@reg("e10_model_stats", _grid_sql(
+    lambda t, o, m: f"SELECT '{o}|{m}' AS model_id, n, n_groups, df_a, df_r, k, "
+                    f"{', '.join(f'{QZ(c, 6)} AS {c}' for c in STATS)} FROM ({sql_fit.statistics(t)})"))
 def e10_model_stats(spark, sf):
-    return stats_table(spark, run_grid(spark, sf))
+    return stats_table(spark, run_grid(spark, sf)).select(
+        "model_id", "n", "n_groups", "df_a", "df_r", "k", *[qz(c, 6).alias(c) for c in STATS])
 
 
 # ---------------------------------------------------------------------------- E11
@@ -382,4 +473,18 @@ def e11_collinear_omitted(spark, sf):
     return c.select("term", qz("coef", 6).alias("coef"), qz("se", 6).alias("se"), "omitted")
 
 
+# an entity-constant term without an exact binary value, first and last in the order
+E11_ORDERS = {"first": ["tenth", "n_events"], "last": ["n_events", "tenth"]}
+
+
+@reg("e11_absorbed_term", _fit_sql(
+    ["tp AS MATERIALIZED (SELECT *, 0.1 * (user_id % 7 + 1) AS tenth FROM est)",
+     *(sql_fit.chain(k, "tp", ts, "value_mean", "user_id") for k, ts in E11_ORDERS.items())],
+    " UNION ALL ".join(_coef_sql(k, ts, extra=f"'{k}' AS model_id, ") for k, ts in E11_ORDERS.items())))
+def e11_absorbed_term(spark, sf):
+    p = est_panel(spark, sf).withColumn("tenth", F.lit(0.1) * (F.pmod("user_id", F.lit(7)) + 1))
+    fits = [areg(p, "value_mean", ts, absorb="user_id", model_id=k) for k, ts in E11_ORDERS.items()]
+    return _coefs(spark, fits, "model_id")
+
+
 QUERIES, SQL = Q, S
