@@ -2,20 +2,13 @@
 
 from __future__ import annotations
 
-import importlib
-
-FAMILIES = ["q_design", "q_clean", "q_sources", "q_joins", "q_aggregate", "q_window",
-            "q_reshape", "q_profile", "q_estimate"]
+from panora.plans import (q_aggregate, q_clean, q_design, q_estimate, q_joins, q_nulls, q_profile, q_reshape,
+                          q_sources, q_window)
 
 QUERIES: dict = {}
 SQL: dict = {}
 
-for _name in FAMILIES:
-    try:
-        _mod = importlib.import_module(f"panora.plans.{_name}")
-    except ModuleNotFoundError as _e:  # family not written yet
-        if _e.name != f"panora.plans.{_name}":
-            raise
-        continue
+for _mod in (q_design, q_clean, q_sources, q_joins, q_aggregate, q_window, q_reshape, q_profile, q_estimate,
+             q_nulls):
     QUERIES.update(_mod.QUERIES)
     SQL.update(_mod.SQL)
