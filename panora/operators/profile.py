@@ -310,24 +310,24 @@ def welch_test(df: DataFrame, group: str, cols: Sequence[str], levels: Sequence
 
 
 # --------------------------------------------------------------------------- D7
-def rank_tables(df: DataFrame, cols: Sequence[str], buckets: int = 64,
+def rank_tables(df: DataFrame, cols: Sequence[str],
                 method: str = "auto") -> dict[str, DataFrame]:
     """(value -> average rank) table of each column, computed distributed.
 
     Built on :func:`panora.operators.quantiles.rank_ranges`: each distinct
-    value gets its rank range [lo, hi] from value counts, approximate-quantile
-    buckets, a tiny offset table and windows inside buckets; ties share the
+    value gets its rank range [lo, hi] from value counts, range-partitioned
+    buckets, a small offset table and windows inside buckets; ties share the
     average rank (lo + hi) / 2.
     """
     from panora.operators.quantiles import rank_ranges, use_map
     if method == "auto":  # one distinct-count job decides for all columns
         method = "map" if use_map(df, cols, (), "auto") else "distributed"
-    return {c: rank_ranges(df, c, (), buckets, method=method).select(
+    return {c: rank_ranges(df, c, (), method=method).select(
         c, ((F.col("__lo") + F.col("__hi")) / 2.0).alias("__rank")) for c in cols}
 
 
 def average_ranks(df: DataFrame, cols: Sequence[str] | str, template: str = "{col}_rank",
-                  buckets: int = 64, method: str = "auto") -> DataFrame:
+                  method: str = "auto") -> DataFrame:
     """Attach the average (tie-sharing) rank of each column to every row.
 
     Every rank table is built from the same input and joined back on the value
@@ -335,7 +335,7 @@ def average_ranks(df: DataFrame, cols: Sequence[str] | str, template: str = "{co
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
     out = df
-    for c, t in rank_tables(df, cols, buckets, method).items():
+    for c, t in rank_tables(df, cols, method).items():
         out = out.join(t.withColumnRenamed("__rank", template.format(col=c)), c, "left")
     return out
 

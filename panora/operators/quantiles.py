@@ -7,9 +7,9 @@ route here works on the distinct-value table instead:
 
 1. value counts per (group, value) -- a partial aggregation, so even a value
    repeated on a third of all rows is one row;
-2. approximate quantiles of each group split its values into ``buckets``
-   ranges (one short array per group);
-3. bucket totals -> offsets (``buckets`` rows per group);
+2. that table is range-partitioned by (group, value) into buckets of bounded
+   size, as many as the number of values asks for, and landed;
+3. bucket totals -> offsets (one row per bucket and group);
 4. running counts inside (group, bucket) -- a window over the distinct values
    of one bucket of one group.
 
@@ -27,9 +27,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panora.operators.nullsafe import attach
+from panora.sources.writers import cut_lineage
 
 MAP_MAX_DISTINCT = 1_000_000  # largest group the value -> count map may hold
-BUCKETS = 256
+BUCKET_ROWS = 250_000         # distinct values of a bucket, about
 
 
 def use_map(df: DataFrame, cols: str | Sequence[str], by: Sequence[str] = (),
@@ -49,8 +50,7 @@ def use_map(df: DataFrame, cols: str | Sequence[str], by: Sequence[str] = (),
     return (worst or 0) <= MAP_MAX_DISTINCT
 
 
-def rank_ranges(df: DataFrame, col: str, by: Sequence[str] = (), buckets: int = BUCKETS,
-                accuracy: int = 10_000, method: str = "distributed") -> DataFrame:
+def rank_ranges(df: DataFrame, col: str, by: Sequence[str] = (), method: str = "distributed") -> DataFrame:
     """(by..., value, __c, __lo, __hi): count and 1-based rank range of every
     distinct non-missing value within its group (ties share the range).
 
@@ -66,13 +66,7 @@ def rank_ranges(df: DataFrame, col: str, by: Sequence[str] = (), buckets: int =
         w = Window.partitionBy(*by).orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
         r = vc.withColumn("__hi", F.sum("__c").over(w))
         return r.select(*by, col, "__c", (F.col("__hi") - F.col("__c") + 1).alias("__lo"), "__hi")
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = F.percentile_approx(col, probs, accuracy)
-    if by:
-        vc = attach(vc, d.groupBy(*by).agg(cuts.alias("__cuts")), by)
-    else:
-        vc = vc.withColumn("__cuts", d.select(cuts).scalar())
-    vc = vc.withColumn("__b", _bucket(F.col(col), F.col("__cuts"), buckets - 1)).drop("__cuts")
+    vc = bucketed(vc, by, col)
     tot = vc.groupBy(*by, "__b").agg(F.sum("__c").alias("__t"))
     before = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(*by, "__b", F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__off"))
@@ -81,33 +75,26 @@ def rank_ranges(df: DataFrame, col: str, by: Sequence[str] = (), buckets: int =
     return r.select(*by, col, "__c", (F.col("__hi") - F.col("__c") + 1).alias("__lo"), "__hi")
 
 
-def _bucket(x: Column, cuts: Column, m: int) -> Column:
-    """Number of cut-points strictly below x (0..m) by binary search: a
-    balanced CASE tree of depth log2(m) over ``cuts`` (sorted, m entries,
-    possibly shorter when the group has few distinct values)."""
-    size = F.size(cuts)
-
-    def below(i: int) -> Column:  # is cut i (0-based) < x ?
-        return F.when(F.lit(i) < size, F.get(cuts, i) < x).otherwise(F.lit(False))
-
-    def node(lo: int, hi: int) -> Column:  # answer lies in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2  # test cut index mid: if cut[mid] < x, answer > mid
-        return F.when(below(mid), node(mid + 1, hi)).otherwise(node(lo, mid))
-
-    return node(0, m)
+def bucketed(values: DataFrame, by: Sequence[str], col: str) -> DataFrame:
+    """The distinct values range-partitioned by (by, value), the partition's
+    number as bucket ``__b``.  The number of partitions follows the number of
+    values, so that a bucket holds about ``BUCKET_ROWS`` of them however many
+    there are; the table is landed, because the numbers must not change."""
+    size = values.agg(F.approx_count_distinct(F.struct(*by, col), 0.05)).first()[0]
+    parts = max(1, -(-size // BUCKET_ROWS))
+    return cut_lineage(values.repartitionByRange(parts, *by, col).withColumn("__b", F.spark_partition_id()),
+                       how="parquet")
 
 
 def order_values(df: DataFrame, col: str, ranks: Mapping[str, Callable[[Column], Column]],
-                 by: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
+                 by: Sequence[str] = ()) -> DataFrame:
     """Values at ranks given as functions of the group size n, one row per group.
 
     ``ranks={"lo": lambda n: F.floor((n + 1) / 2), ...}``; each output column
     is the value whose rank range contains that rank.
     """
     by = list(by)
-    rr = rank_ranges(df, col, by, buckets)
+    rr = rank_ranges(df, col, by)
     n = df.where(F.col(col).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
     rr = attach(rr, n, by) if by else rr.withColumn("__n", n.select("__n").scalar())
     aggs = []

@@ -22,7 +22,7 @@ def test_partition_invariance(spark, parts):
     for op in (lambda d: winsorize(d, ["x"], by=["e"]),
                lambda d: xtile(d, "x", 5, "q"),
                lambda d: locf(d, "e", "t", ["x"], chunk=4),
-               lambda d: average_ranks(d, ["x"], buckets=4, method="distributed"),
+               lambda d: average_ranks(d, ["x"], method="distributed"),
                lambda d: average_ranks(d, ["x"], method="map"),
                lambda d: align(d.select("e", "t", "x"),
                                d.select("e", "t", (F.col("x") * 2).alias("x2")), keys=["e", "t"])):

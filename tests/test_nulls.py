@@ -127,3 +127,13 @@ def test_week_keys_can_tell_years_apart(spark):
     d = spark.createDataFrame([("a", dt.date(2020, 1, 1), 1.0), ("a", dt.date(2021, 1, 1), 2.0)], "e string, t date, x double")
     assert A.resample(d, "e", "t", to="year_week", mean=["x"]).count() == 2
     assert d.select(PERIODS["year_week"]("t")).first()[0] == "2020-W01"
+
+
+def test_bucket_size_is_bounded_as_values_grow(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "BUCKET_ROWS", 100)
+    for n in (300, 3000, 12000):
+        values = spark.range(n).select((F.col("id") % 3).alias("g"), F.col("id").alias("x"), F.lit(1).alias("__c"))
+        sizes = [r["count"] for r in quantiles.bucketed(values, ["g"], "x").groupBy("__b").count().collect()]
+        assert sum(sizes) == n and max(sizes) <= 400
+    d = spark.range(3001).select((F.col("id") * 7919 % 3001).cast("double").alias("x"))
+    assert quantiles.median_table(d, "x", method="distributed").first()[0] == 1500.0
