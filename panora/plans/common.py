@@ -71,6 +71,8 @@ POLICY_VALUE = 100.0
 GROUP_POLICY_EVENT = "signup"
 ENTITY_POLICY_EVENT = "purchase"
 N_GROUPS = 5
+LARGE_ACCOUNT = 9000.0  # "large account" threshold
+KEY_SHIFT = 5           # keys moved by this much leave some unmatched on both sides
 
 
 def user_group(col: str = "user_id") -> Column:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from panora.operators.joins import (align, coverage_flags, crosswalk, fill_balanced, join, link,
                                     lookup, membership_flag, merge_m1, merge_mm, neighbor_sum,
                                     restrict)
-from panora.plans.common import CENTS_SUM, QZ, SQL_DAYNUM, SQL_WEEK, T, cents_sum, ev_week, qz
+from panora.plans.common import (CENTS_SUM, KEY_SHIFT, LARGE_ACCOUNT, QZ, SQL_DAYNUM, SQL_WEEK, T, cents_sum,
+                                 ev_week, qz)
 
 Q, S = {}, {}
 
@@ -85,35 +86,27 @@ def j3_lookup_left(spark, sf):
 
 
 # ---------------------------------------------------------------------------- J4
-LARGE_ACCOUNT = 9000.0  # fixed value: "large account" threshold of the proxy
-
-
 @reg("j4_right_join", f"""
-WITH c AS (SELECT c_nationkey, count(*) AS n_large FROM customer WHERE c_acctbal > {LARGE_ACCOUNT}
-           GROUP BY 1)
-SELECT n.n_nationkey AS c_nationkey, n.n_name, c.n_large
+WITH c AS (SELECT c_nationkey + {KEY_SHIFT} AS c_nationkey, count(*) AS n_cust FROM customer GROUP BY 1)
+SELECT n.n_nationkey AS c_nationkey, n.n_name, c.n_cust
 FROM c RIGHT JOIN nation n ON n.n_nationkey = c.c_nationkey""")
 def j4_right_join(spark, sf):
-    c = (T(spark, sf, "customer").filter(F.col("c_acctbal") > LARGE_ACCOUNT)
-         .groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n_large")))
+    c = (T(spark, sf, "customer").groupBy((F.col("c_nationkey") + KEY_SHIFT).alias("c_nationkey"))
+         .agg(F.count(F.lit(1)).alias("n_cust")))
     n = T(spark, sf, "nation").select("n_nationkey", "n_name")
     return join(c, n, "c_nationkey", "right", right_on="n_nationkey")
 
 
 # ---------------------------------------------------------------------------- J5
 @reg("j5_inner_join_two_keys", f"""
-WITH a AS (SELECT l_suppkey, l_partkey, sum(l_quantity) AS qty FROM lineitem
-           WHERE l_returnflag = 'R' GROUP BY 1, 2),
- b AS (SELECT l_suppkey AS s, l_partkey AS p, sum(l_extendedprice) AS price FROM lineitem
-       WHERE l_linestatus = 'O' GROUP BY 1, 2)
+WITH a AS (SELECT l_suppkey, l_partkey, sum(l_quantity) AS qty FROM lineitem GROUP BY 1, 2),
+ b AS (SELECT l_suppkey AS s, l_partkey + 1 AS p, sum(l_extendedprice) AS price FROM lineitem GROUP BY 1, 2)
 SELECT a.l_suppkey, a.l_partkey, {QZ('a.qty')} AS qty, {QZ('b.price')} AS price
 FROM a JOIN b ON a.l_suppkey = b.s AND a.l_partkey = b.p""")
 def j5_inner_join_two_keys(spark, sf):
     li = T(spark, sf, "lineitem")
-    a = (li.filter(F.col("l_returnflag") == "R").groupBy("l_suppkey", "l_partkey")
-         .agg(F.sum("l_quantity").alias("qty")))
-    b = (li.filter(F.col("l_linestatus") == "O")
-         .groupBy(F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("p"))
+    a = li.groupBy("l_suppkey", "l_partkey").agg(F.sum("l_quantity").alias("qty"))
+    b = (li.groupBy(F.col("l_suppkey").alias("s"), (F.col("l_partkey") + 1).alias("p"))
          .agg(F.sum("l_extendedprice").alias("price")))
     j = join(a, b, ["l_suppkey", "l_partkey"], "inner", right_on=["s", "p"], null_keys="drop")
     return j.select("l_suppkey", "l_partkey", qz("qty").alias("qty"), qz("price").alias("price"))
@@ -184,25 +177,22 @@ def j6b_crosswalk_allocate(spark, sf):
 
 
 # ---------------------------------------------------------------------------- J7
-RICH_SUPPLIER = 5000.0     # fixed value: supplier balance threshold of the proxy
 UNKNOWN_NATION = 24        # fixed value: nation whose key is set missing on both sides
 
 
 @reg("j7_merge_m1_status", f"""
 WITH m AS (SELECT CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE c_nationkey END AS nationkey,
-                  c_custkey, 1 AS in_m FROM customer WHERE c_acctbal > 0),
- u AS (SELECT nullif(n_nationkey, {UNKNOWN_NATION}) AS nationkey, n_name, 2 AS in_u FROM nation
-       WHERE n_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > {RICH_SUPPLIER}))
+                  c_custkey, 1 AS in_m FROM customer),
+ u AS (SELECT nullif(n_nationkey, {UNKNOWN_NATION}) + {KEY_SHIFT} AS nationkey, n_name, 2 AS in_u FROM nation)
 SELECT COALESCE(m.nationkey, u.nationkey) AS nationkey, m.c_custkey, u.n_name,
        CAST(COALESCE(m.in_m, 0) + COALESCE(u.in_u, 0) AS INTEGER) AS _merge
 FROM m FULL JOIN u ON m.nationkey IS NOT DISTINCT FROM u.nationkey""")
 def j7_merge_m1_status(spark, sf):
-    m = (T(spark, sf, "customer").filter(F.col("c_acctbal") > 0)
+    m = (T(spark, sf, "customer")
          .select(F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_nationkey")).alias("nationkey"),
                  "c_custkey"))
-    rich = T(spark, sf, "supplier").filter(F.col("s_acctbal") > RICH_SUPPLIER).select("s_nationkey")
-    u = (T(spark, sf, "nation").join(rich, F.col("n_nationkey") == F.col("s_nationkey"), "left_semi")
-         .select(F.nullif(F.col("n_nationkey"), F.lit(UNKNOWN_NATION)).alias("nationkey"), "n_name"))
+    u = T(spark, sf, "nation").select(
+        (F.nullif(F.col("n_nationkey"), F.lit(UNKNOWN_NATION)) + KEY_SHIFT).alias("nationkey"), "n_name")
     return merge_m1(m, u, "nationkey")
 
 

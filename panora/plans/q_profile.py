@@ -12,7 +12,7 @@ from panora.operators.joins import coverage_flags, join
 from panora.operators.profile import (balance_table, box_stats, codebook, describe, histogram,
                                       map_intensity, panel_structure, participation_patterns,
                                       pearson, six_number, spearman, summarize, welch_test, xtsum)
-from panora.plans.common import QZ, SQL_DAY_PANEL, T, events_day_panel, qz
+from panora.plans.common import KEY_SHIFT, LARGE_ACCOUNT, QZ, SQL_DAY_PANEL, T, events_day_panel, qz
 from panora.plans.q_aggregate import SQL_SITES, sites
 
 Q, S = {}, {}
@@ -314,9 +314,6 @@ def d12_xtsum(spark, sf):
 
 
 # ---------------------------------------------------------------------------- D14
-LARGE_ACCOUNT = 9000.0  # fixed value: "large account" threshold of the proxy
-
-
 @reg("d14_representativeness", f"""
 WITH nat AS (SELECT c_nationkey AS n_nationkey, count(*) AS n_customers, avg(c_acctbal) AS acctbal_mean
              FROM customer GROUP BY 1),
@@ -351,15 +348,15 @@ def d14_representativeness(spark, sf):
 
 # ---------------------------------------------------------------------------- D15
 @reg("d15_map_table", f"""
-WITH m AS (SELECT c.c_nationkey, sum(o.o_totalprice) AS revenue, count(DISTINCT c.c_custkey) AS n_cust
+WITH m AS (SELECT c.c_nationkey + {KEY_SHIFT} AS c_nationkey, sum(o.o_totalprice) AS revenue, count(DISTINCT c.c_custkey) AS n_cust
            FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
-           WHERE c.c_acctbal > {LARGE_ACCOUNT} GROUP BY 1)
+           GROUP BY 1)
 SELECT n.n_nationkey AS c_nationkey, n.n_name, m.n_cust,
   {QZ('CASE WHEN 100.0 * m.revenue / nullif(m.n_cust, 0) > -1 THEN ln(100.0 * m.revenue / nullif(m.n_cust, 0) + 1) END')}
     AS intensity
 FROM m RIGHT JOIN nation n ON n.n_nationkey = m.c_nationkey""")
 def d15_map_table(spark, sf):
-    c = T(spark, sf, "customer").filter(F.col("c_acctbal") > LARGE_ACCOUNT)
+    c = T(spark, sf, "customer").withColumn("c_nationkey", F.col("c_nationkey") + KEY_SHIFT)
     m = (T(spark, sf, "orders").join(c, F.col("c_custkey") == F.col("o_custkey"))
          .groupBy("c_nationkey").agg(F.sum("o_totalprice").alias("revenue"),
                                      F.count_distinct("c_custkey").alias("n_cust")))
