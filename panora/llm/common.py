@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 
 from panora.session import scratch_path
+from panora.sources.writers import drop_scratch as drop_landed  # noqa: F401  of tables by landed()
 
 WORD = r"[^\x20\x09-\x0D]+"  # a word: a run without ASCII white space
 SUB_ROWS = 512               # rows handled at once inside a Python task
@@ -46,16 +47,6 @@ def landed(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_landed(df: DataFrame) -> None:
-    """Remove a table written by :func:`landed` that nothing reads any more."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsc.hadoopConfiguration()
-    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
-        if "/panora-" in folder:
-            p = jvm.org.apache.hadoop.fs.Path(folder)
-            p.getFileSystem(conf).delete(p, True)
-
-
 def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` over small slices: ``fn(batch) -> RecordBatch`` sees at
     most SUB_ROWS rows at once, whatever the session's batch size."""

@@ -157,9 +157,12 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     rows alike, one of them stands for those taken."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     same = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    keys = F.xxhash64(F.col("doc_id").cast("long"), F.col("doc_id").isNull(), same("lang"), same("source"), F.md5(text))
+
+    def key(*parts) -> Column:      # one short column to join on, without collisions
+        return F.md5(F.concat_ws("\x1f", F.coalesce(parts[0].cast("string"), F.lit("none")), *parts[1:]))
+    keys = key(F.col("doc_id").cast("long"), same("lang"), same("source"), F.md5(text))
     taken = budgeted(docs, **options).select(
-        F.xxhash64("doc_id", F.col("doc_id").isNull(), "lang", "source", "text_md5").alias("__mix_key"),
+        key(F.col("doc_id"), F.col("lang"), F.col("source"), F.col("text_md5")).alias("__mix_key"),
         F.col("times").alias("__mix_times"), F.col("copies").alias("__mix_copies"))
     rows = docs.withColumn("__mix_key", keys).join(taken, "__mix_key")
     even = F.col("__mix_times") % F.col("__mix_copies") == 0
