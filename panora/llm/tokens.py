@@ -22,7 +22,7 @@ import os
 
 #: most cached entries per Python worker; beyond it unseen chunks are still
 #: encoded, only not remembered
-CACHE_ENTRIES = 1_200_000
+CACHE_ENTRIES = 600_000
 #: longer chunks are never cached
 CACHE_CHARS = 40
 #: below this code point the pre-token expression is applied here; chunks
