@@ -20,6 +20,8 @@ from panora.sources.writers import drop_scratch as drop_landed  # noqa: F401  of
 
 WORD = r"[^\x20\x09-\x0D]+"  # a word: a run without ASCII white space
 SUB_ROWS = 512               # rows handled at once inside a Python task
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,9 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers once per application, so that
-    jobs do not rely on a copy installed on every machine."""
+    """Prepare a session for jobs with Python tasks: send this package to the
+    workers once per application, so that jobs do not rely on a copy installed on
+    every machine, and lower the session's Arrow batches to BATCH_BYTES unless the
+    session has set them (each task holds a batch in the JVM and in Python at once)."""
     sc = spark.sparkContext
+    if spark.conf.get(BATCH_SETTING, "1b") == "1b":    # unset
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     if not getattr(sc, "_panora_shipped", False):
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         at = os.path.join(tempfile.mkdtemp(prefix="panora-"), "panora-package")
