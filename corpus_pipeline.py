@@ -39,7 +39,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences."""
-    packed = pack(docs, tokenizer_path("byte_bpe_50k.json"))
+    packed = pack(docs, tokenizer_path("byte_bpe_50k.json"), added_tokens=True)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset")
 

@@ -95,7 +95,7 @@ def top_up(bins: list[list[tuple]], capacity: int) -> list[list[tuple]]:
     return [x for x in bins if x]
 
 
-def _cut(path: str, groups: int, capacity: int, end_id: int, seed: int):
+def _cut(path: str, groups: int, capacity: int, end_id: int, seed: int, added_tokens: bool):
     """Batch of (doc_id, text) -> pieces.  The group depends on the piece's
     content, the task and how often the task has met that content, so a
     recomputed task deals its pieces out alike and copies spread."""
@@ -106,7 +106,7 @@ def _cut(path: str, groups: int, capacity: int, end_id: int, seed: int):
     def cut(batch):
         from pyspark import TaskContext
 
-        enc, task = encoder(path), TaskContext.get().partitionId()
+        enc, task = encoder(path, added_tokens), TaskContext.get().partitionId()
         w = 2 if enc.code == "H" else 4
         end = end_id.to_bytes(w, "little")
         texts = [t or "" for t in batch.column(1).to_pylist()]
@@ -155,13 +155,14 @@ def _packed(table, capacity: int, width: int):
 
 
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID,
-         group_bytes: int = GROUP_BYTES, seed: int = 0) -> DataFrame:
+         group_bytes: int = GROUP_BYTES, seed: int = 0, added_tokens: bool = False) -> DataFrame:
     """Pieces of all documents with their place: ``doc_id, start, length,
-    doc_tokens, sequence_id, offset, ids`` (little-endian unsigned 32 bit)."""
+    doc_tokens, sequence_id, offset, ids`` (little-endian unsigned 32 bit).
+    ``added_tokens``: strings of the file's added tokens are their ids."""
     path = path or tokenizer_path("byte_bpe_50k.json")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(DOC_BYTES))).first()[0] or 0
     groups = max(1, -(-total // group_bytes))
-    width = 2 if encoder(path).code == "H" else 4
-    pieces = arrow_map(docs, _cut(path, groups, capacity, end_id, seed), PIECES)
+    width = 2 if encoder(path, added_tokens).code == "H" else 4
+    pieces = arrow_map(docs, _cut(path, groups, capacity, end_id, seed, added_tokens), PIECES)
     return pieces.groupBy("grp").applyInArrow(lambda t: _packed(t, capacity, width), PACKED)

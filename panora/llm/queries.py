@@ -41,7 +41,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    packed = pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), added_tokens=True)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset")
 
@@ -60,7 +60,7 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = token_files(table(spark, sf_dir, "documents"), path=tokenizer_path("word_bpe_49k.json"))
+    read = token_files(table(spark, sf_dir, "documents"), path=tokenizer_path("word_bpe_49k.json"), added_tokens=True)
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

@@ -106,11 +106,11 @@ def from_payload(payload: bytes):
 
 
 # writing and reading -------------------------------------------------------------
-def _tokenised(path: str, end_id: int):
+def _tokenised(path: str, end_id: int, added_tokens: bool):
     import pyarrow as pa
 
     def run(batch):
-        enc = encoder(path)
+        enc = encoder(path, added_tokens)
         end = end_id.to_bytes(2 if enc.code == "H" else 4, "little")
         ids = [x + end for x in enc.encode([t or "" for t in batch.column(1).to_pylist()])]
         return pa.RecordBatch.from_arrays(
@@ -169,15 +169,17 @@ def _segments(rank_of, dtype: str):
     return run
 
 
-def write_tokens(docs: DataFrame, out: str, path: str | None = None, end_id: int = END_ID) -> str:
-    """Encode every whole text and write the dataset under ``out``."""
+def write_tokens(docs: DataFrame, out: str, path: str | None = None, end_id: int = END_ID,
+                 added_tokens: bool = False) -> str:
+    """Encode every whole text and write the dataset under ``out`` (``added_tokens``:
+    strings of the file's added tokens are their ids)."""
     import numpy as np
 
     path = path or tokenizer_path("word_bpe_49k.json")
-    spark, enc = docs.sparkSession, encoder(path)
+    spark, enc = docs.sparkSession, encoder(path, added_tokens)
     size, dtype = max(enc.size, end_id + 1), enc.dtype
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    held = landed(arrow_map(docs, _tokenised(path, end_id), "doc_id long, tie long, n_bytes long, ids binary"),
+    held = landed(arrow_map(docs, _tokenised(path, end_id, added_tokens), "doc_id long, tie long, n_bytes long, ids binary"),
                   "tokens")
     counts = held.select("ids").mapInArrow(_counted(dtype, size), "token long, n long") \
         .groupBy("token").agg(F.sum("n").alias("n")).collect()  # at most one row per vocabulary entry

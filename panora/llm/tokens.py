@@ -13,7 +13,10 @@ pre-token only.
   spacing take the slower route: all pre-tokens of the text one by one.
 * files that drop white space: a text may be cut at every space or line feed.
 
-Strings of special tokens inside a text are ordinary text.
+With ``added_tokens`` a string of one of the file's added tokens (such as
+``<|endoftext|>``) is that token's id, as in the library's plain call; the texts
+between such strings are encoded one by one, as the library does.  Without it these
+strings are ordinary text.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ SIMPLE_BELOW = "ɐ"
 class Encoder:
     """``encode(texts) -> list[bytes]``: little-endian ids of every text."""
 
-    def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES):
+    def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES, added_tokens: bool = False):
         import json
         from array import array
 
@@ -42,9 +45,16 @@ class Encoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = not added_tokens
         self.model, self.array = self.tok.model, array
         spec = json.loads(self.tok.to_str())
+        added = spec["added_tokens"] if added_tokens else []
+        if any(t[k] for t in added for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("added tokens that look at their neighbours are not known here")
+        self.added = {t["content"]: t["id"] for t in added}
+        # the longest of those that start at one place, as in the library
+        self.marks = regex.compile("(" + "|".join(
+            map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.size = 1 + max([*spec["model"]["vocab"].values(),
                              *(t["id"] for t in spec["added_tokens"])])
         self.code, self.dtype = ("H", "<u2") if self.size <= 1 << 16 else ("I", "<u4")
@@ -109,17 +119,23 @@ class Encoder:
             return self._piece(low) if ids is None else ids
         return self.pieces(c if self.drops_space else " " + c)
 
+    def _plain(self, t: str) -> bytes:
+        """A text without added tokens."""
+        get = self.cache.__getitem__
+        if self.drops_space:
+            return b"".join(map(get, t.replace("\n", " ").split(" ")))
+        if not t or t[0].isspace() or t[-1].isspace() or not _even(t):
+            return self.pieces(t)
+        first, *rest = t.split(" ")
+        return self.pieces(first) + b"".join(map(get, rest))
+
+    def _marked(self, t: str) -> bytes:
+        """A text that holds added tokens: text, token, text, token, ..."""
+        return b"".join(self.array(self.code, [self.added[p]]).tobytes() if i % 2 else self._plain(p)
+                        for i, p in enumerate(self.marks.split(t)))
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        get, out = self.cache.__getitem__, []
-        for t in texts:
-            if self.drops_space:
-                out.append(b"".join(map(get, t.replace("\n", " ").split(" "))))
-            elif not t or t[0].isspace() or t[-1].isspace() or not _even(t):
-                out.append(self.pieces(t))
-            else:
-                first, *rest = t.split(" ")
-                out.append(self.pieces(first) + b"".join(map(get, rest)))
-        return out
+        return [self._marked(t) if any(m in t for m in self.added) else self._plain(t) for t in texts]
 
 
 class _Cache(dict):
@@ -152,12 +168,13 @@ def _even(t: str) -> bool:
 
 _ODD = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added_tokens: bool = False) -> Encoder:
     """The worker's encoder of one vocabulary file (kept between tasks)."""
-    if path not in _ENCODERS:
+    key = path, added_tokens
+    if key not in _ENCODERS:
         _ENCODERS.clear()  # one cache per worker keeps its memory bounded
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+        _ENCODERS[key] = Encoder(path, added_tokens=added_tokens)
+    return _ENCODERS[key]
