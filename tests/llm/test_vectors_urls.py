@@ -113,6 +113,16 @@ def test_ann_recall_and_exact_scores(spark, monkeypatch):
     assert set(got) == {int(i) for i in ids if i % 20 == 0} and hit / total >= 0.9
 
 
+def test_ann_repeats_of_one_id_hide_no_other_id(spark):
+    rng = np.random.default_rng(4)
+    hot = [1.0] * 4
+    rows = [(0, [1.0, 1.0, 1.0, 0.9])] + [(5, hot)] * 30 + [(i, hot) for i in range(6, 31) if i != 20] \
+        + [(100 + i, (0.1 * rng.normal(size=4)).tolist()) for i in range(50)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r["rank"], r.vec_id) for r in ann.search(df, F.col("id") == 0, 20).collect())
+    assert got == list(enumerate([i for i in range(5, 31) if i != 20][:20], 1))
+
+
 def test_ann_by_shuffle_gives_the_same(spark, monkeypatch):
     df = awkward(spark, 400)
     want = sorted(map(tuple, ann.search(df, F.col("id") % 20 == 0, 5).collect()))
