@@ -8,8 +8,11 @@ Two kinds of spans:
   features score them; candidates over a calibrated threshold that touch no base
   span are added.
 
-The trees learn from all candidates of the corpus: a candidate is positive if
-it is, as a whole, a valid base form.  Features are small whole numbers, so the
+The trees learn from all labelled candidates of the corpus.  A candidate is positive if
+it is, as a whole, a valid base form or stands after a cue word, negative if it stands
+after a word against it or has a base form and fails its check; forms that no base
+pattern knows (national phone numbers) are labelled by such words only, all
+others have no label.  The words are no features.  Features are small whole numbers, so the
 training data is a table of counts per feature combination of proven size
 (``MAX_CELLS`` rows at most); the trees become column expressions.
 
@@ -51,9 +54,9 @@ CONTEXT = 40
 CUES = r"(?i)(mail|contact|tel|phone|fax|call|mobile|card|visa|account|iban|passport|ssn|address|\bip\b)"
 AGAINST = r"(?i)(version|isbn|order|\bno\.|invoice|ref|price|[$€£#]\s*$)"
 
-FEATURES = {"kind": 2, "digits": 8, "groups": 5, "plus": 2, "dots": 4, "marks": 4, "joined": 2, "cue": 3}
+FEATURES = {"kind": 2, "digits": 8, "groups": 5, "plus": 2, "dots": 4, "marks": 4, "joined": 2}
 MAX_CELLS = math.prod(FEATURES.values())
-TREES, RATE, PRECISION, SHOW, SMOOTH = 24, 0.3, 0.99, 20, 1.0
+TREES, RATE, PRECISION, SMOOTH = 24, 0.3, 0.99, 1.0
 
 
 def _valid(kind: str, m: Column) -> Column:
@@ -145,24 +148,27 @@ def _described(kind: str):
 def _features(kind: str, c: Column, m: Column) -> Column:
     count = lambda p: F.length(m) - F.length(F.regexp_replace(m, p, ""))
     if kind == "email_like":
-        label = m.rlike(rf"\A{LOCAL}++@{DOMAIN}++(?:\.{DOMAIN}++)++\z")
+        valid = m.rlike(rf"\A{LOCAL}++@{DOMAIN}++(?:\.{DOMAIN}++)++\z")
+        known = m.rlike(r"\A[A-Za-z0-9._%+@-]++\z")
         digits = _bucket(F.length(m), [6, 10, 16, 24, 36, 64])
         groups = _bucket(count(r"[^\x21-\x7e]"), [1, 2])
         marks = F.when(m.rlike(r"@.*\.[A-Za-z]{2,}\z"), 3).when(m.rlike(r"@.*\."), 2).otherwise(0)
     else:
-        ip = _valid("ip", m)
-        card = m.rlike(r"\A[0-9](?:[\x20-]?[0-9])++\z") & _valid("card", m)
-        phone = m.rlike(r"\A\+[0-9][\x20().0-9-]+[0-9]\z") & _valid("phone", m)
-        label = ip | card | phone
+        ip = m.rlike(r"\A[0-9]++(?:\.[0-9]++){3}\z")
+        card = m.rlike(r"\A[0-9](?:[\x20-]?[0-9])++\z") & F.length(F.regexp_replace(m, "[^0-9]", "")).between(12, 19)
+        phone = m.rlike(r"\A\+[0-9][\x20().0-9-]+[0-9]\z")
+        valid = (ip & _valid("ip", m)) | (card & _valid("card", m)) | (phone & _valid("phone", m))
+        known = ip | card | phone
         digits = _bucket(count("[0-9]"), [9, 10, 12, 13, 16, 17, 20])
         groups = _bucket(F.length(F.regexp_replace(F.regexp_replace(m, "[0-9]++", "d"), "[^d]", "")), [2, 3, 4, 5])
         marks = F.when(m.contains("("), 3).when(m.contains("-"), 2).when(m.contains(" "), 1).otherwise(0)
     joined = c["before"].rlike(r"[\w]\z") | c["after"].rlike(r"\A[\w]")
-    cue = F.when(c["before"].rlike(AGAINST), 0).when(c["before"].rlike(CUES), 2).otherwise(1)
+    label = F.when(valid, True).when(c["before"].rlike(AGAINST), False).when(c["before"].rlike(CUES), True) \
+        .when(known, False)
     f = [F.lit(KINDS.index(kind) - 4), digits, groups, F.startswith(m, F.lit("+")).cast("int"),
-         _bucket(count(r"\."), [1, 3, 4]), marks, joined.cast("int"), cue]
+         _bucket(count(r"\."), [1, 3, 4]), marks, joined.cast("int")]
     return F.struct(c["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), c["end"].alias("end"),
-                    F.coalesce(label, F.lit(False)).alias("label"),
+                    label.alias("label"),
                     F.array(*[x.cast("int") for x in f]).alias("f"))
 
 
@@ -225,8 +231,8 @@ def _stump(cells, rows):
 
 def train(counts: list[tuple]) -> Model:
     """Gradient boosting on (features, positives, negatives) cells, then one
-    threshold per generator: the least score from which on at least PRECISION of
-    all candidates are positive."""
+    threshold per generator: the least score of which, and from which on, at least
+    PRECISION of the labelled candidates are positive, however many there are."""
     counts = sorted(counts)
     pos, neg = sum(c[1] for c in counts), sum(c[2] for c in counts)
     if not pos:
@@ -251,13 +257,16 @@ def train(counts: list[tuple]) -> Model:
         one = Model(0.0, [tree])
         z = [s + one.plain(c[0]) for s, c in zip(z, counts)]
     for kind in (0, 1):
-        own = sorted(((model.plain(f), p, n) for f, p, n in counts if f[0] == kind), reverse=True)
+        own: dict = {}      # score -> positives, negatives
+        for f, p, n in counts:
+            if f[0] == kind and p + n:
+                at = round(model.plain(f), 9)
+                own[at] = own.get(at, (0, 0))[0] + p, own.get(at, (0, 0))[1] + n
         p_sum = n_sum = 0
-        for i, (s, p, n) in enumerate(own):
+        for s, (p, n) in sorted(own.items(), reverse=True):
             p_sum, n_sum = p_sum + p, n_sum + n
-            last = i + 1 == len(own) or own[i + 1][0] < s
-            if last and p_sum >= SHOW and p_sum >= PRECISION * (p_sum + n_sum + 1):
-                model.thresholds[kind + 4] = s - 1e-9
+            if p >= PRECISION * (p + n) and p_sum >= PRECISION * (p_sum + n_sum):
+                model.thresholds[kind + 4] = s - 1e-8
     return model
 
 
@@ -275,8 +284,8 @@ def detect(found: DataFrame, model: Model) -> DataFrame:
     spans = base
     if model.thresholds:
         bar = F.create_map(*[F.lit(x) for kv in model.thresholds.items() for x in kv])
-        good = F.filter("__pii_more", lambda c: ~c["label"] & (model.score(c["f"]) >= F.coalesce(
-            bar[c["kind"]], F.lit(float("inf")))))
+        good = F.filter("__pii_more", lambda c: model.score(c["f"]) >= F.coalesce(
+            bar[c["kind"]], F.lit(float("inf"))))
         free = F.filter(good, lambda c: ~F.exists(
             base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
         spans = F.array_sort(F.concat(base, F.transform(

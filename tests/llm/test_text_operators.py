@@ -120,6 +120,16 @@ def test_a_failed_check_that_looks_valid_is_added(spark):
     assert spans == "number_like:5:24"
 
 
+@pytest.mark.parametrize("n", [8, 300])
+def test_national_phone_numbers_are_added_and_order_numbers_are_not(spark, n):
+    texts = [f"please call (555) 444-{3000 + i} now" for i in range(n)] + [f"some (555) 444-{5000 + i} here" for i in range(n)] \
+        + [f"order 2024/{12345678 + i} x" for i in range(n)] + [f"card 4111 1111 1111 1111 a{i}" for i in range(n)]
+    c = pii.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = pii.detect(c, pii.fit(c)).select("doc_id", pii.shown(F.col("__pii_spans")).alias("s")).collect()
+    want = ["number_like:13:26", "number_like:6:19", "", "card:5:24"]
+    assert {r.doc_id: r.s for r in got} == {i: want[i // n] for i in range(4 * n)}
+
+
 def test_personal_data_of_an_empty_table(spark):
     assert pii.redact(no_docs(spark)).count() == 0
 
