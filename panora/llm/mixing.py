@@ -31,6 +31,7 @@ from panora.llm.common import WORD, landed
 
 MAX_EPOCHS = 2
 SEED = 7
+GAP = r"[\x20\x09-\x0D]*"  # white space before a word
 BUCKET_DIGITS = 3  # hexadecimal digits of the order's hash that name a bucket
 
 # Target weights (whole numbers) and the grouping of sources: parameters of the
@@ -153,7 +154,8 @@ def budgeted(docs: DataFrame, weights: dict | None = None, budget: int | None =
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the budget takes, once per epoch that takes them
-    (a document in which a prefix ends comes whole).  Where the prefix ends among
+    (the last copy of a document in which a prefix ends is cut after ``last_take``
+    words, ``n_chars`` follows if there is one).  Where the prefix ends among
     rows alike, one of them stands for those taken."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     same = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
@@ -163,10 +165,18 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     keys = key(F.col("doc_id").cast("long"), same("lang"), same("source"), F.md5(text))
     taken = budgeted(docs, **options).select(
         key(F.col("doc_id"), F.col("lang"), F.col("source"), F.col("text_md5")).alias("__mix_key"),
-        F.col("times").alias("__mix_times"), F.col("copies").alias("__mix_copies"))
+        F.col("times").alias("__mix_times"), F.col("copies").alias("__mix_copies"),
+        F.when(F.col("last_take") < F.col("tokens"), F.col("last_take")).alias("__mix_cut"))
     rows = docs.withColumn("__mix_key", keys).join(taken, "__mix_key")
-    even = F.col("__mix_times") % F.col("__mix_copies") == 0
+    even = (F.col("__mix_times") % F.col("__mix_copies") == 0) & F.col("__mix_cut").isNull()
     whole = rows.filter(even).withColumn("__mix_n", F.expr("__mix_times div __mix_copies"))
     part = rows.filter(~even).dropDuplicates(["__mix_key"]).withColumn("__mix_n", F.col("__mix_times"))
-    return whole.unionByName(part).withColumn("__mix_i", F.explode(F.sequence(F.lit(1), F.col("__mix_n").cast("int")))) \
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    out = whole.unionByName(part).withColumn("__mix_i", F.explode(F.sequence(F.lit(1), F.col("__mix_n").cast("int"))))
+    cut = F.col("__mix_cut").isNotNull() & (F.col("__mix_i") == F.col("__mix_n"))
+    kinds = dict(docs.dtypes)
+    short = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(GAP + WORD), F.lit(0)), 1,
+                                 F.col("__mix_cut").cast("int")), "")
+    new = {"text": F.when(cut, short).otherwise(F.col("text"))}
+    if "n_chars" in kinds:
+        new["n_chars"] = F.when(cut, F.length(short).cast(kinds["n_chars"])).otherwise(F.col("n_chars"))
+    return out.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])

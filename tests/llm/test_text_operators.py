@@ -311,6 +311,18 @@ def test_epochs_repeat_whole_sources(spark):
     assert mixing.mixed(no_docs(spark)).count() == 0
 
 
+@pytest.mark.parametrize("ids,budget", [(10, 46), (10, 14), (1, 46), (1, 14), (1, 28)])
+def test_mixed_takes_exactly_the_budget(spark, ids, budget):
+    text = "  a\tbb\n c "
+    docs = spark.createDataFrame([(i % ids, text, "en", "src0", len(text)) for i in range(10)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    rows = mixing.mixed(docs, budget=budget, max_epochs=3).collect()
+    assert sum(len(r.text.split()) for r in rows) == budget
+    assert all(r.n_chars == len(r.text) for r in rows)
+    short = [r.text for r in rows if r.text != text]
+    assert short == [{1: "  a", 2: "  a\tbb"}[budget % 3]]
+
+
 # ---- pipeline -------------------------------------------------------------------------
 def test_stages_chain_and_take_effect(spark, tmp_path):
     docs, labels = good_and_bad(spark, 600)
