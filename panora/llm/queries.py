@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panora.llm import ann, mixing, pii, quality, sql, topk, url_filter
+from panora.llm import ann, conversation, mixing, pii, quality, sql, topk, url_filter
 from panora.llm.common import landed, table, tokenizer_path
+from panora.llm.main_text import extract
 from panora.llm.packing import pack
 from panora.llm.simhash import components
 from panora.llm.token_files import token_files
@@ -77,6 +78,15 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    return conversation.repaired(conversation.damaged(given), given)
+
+
 QUERIES["op5_quality"] = op5_quality
 QUERIES["op6_simhash"] = op6_simhash
 QUERIES["op1_pii"] = op1_pii
@@ -90,3 +100,5 @@ QUERIES["op8_ann"] = op8_ann
 QUERIES["op9_topk"] = op9_topk
 SQL["op9_topk"] = sql.TOPK
 QUERIES["op10_token_files"] = op10_token_files
+QUERIES["op11_main_text"] = op11_main_text
+QUERIES["op12_conversation_repair"] = op12_conversation_repair
