@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panora.llm import ann, conversation, mixing, pii, quality, sql, topk, url_filter
+from panora.llm import ann, conversation, lexical, mixing, pii, quality, sql, topk, url_filter
 from panora.llm.common import landed, table, tokenizer_path
 from panora.llm.main_text import extract
 from panora.llm.packing import pack
@@ -87,6 +87,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation.repaired(conversation.damaged(given), given)
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES["op5_quality"] = op5_quality
 QUERIES["op6_simhash"] = op6_simhash
 QUERIES["op1_pii"] = op1_pii
@@ -102,3 +106,5 @@ SQL["op9_topk"] = sql.TOPK
 QUERIES["op10_token_files"] = op10_token_files
 QUERIES["op11_main_text"] = op11_main_text
 QUERIES["op12_conversation_repair"] = op12_conversation_repair
+QUERIES["op13_lexical_search"] = op13_lexical_search
+SQL["op13_lexical_search"] = sql.LEXICAL

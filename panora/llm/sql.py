@@ -79,3 +79,22 @@ def url_filter(rules: list[tuple[str, str, str]]) -> str:
     FROM p JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
 SELECT p.page_id, p.host, p.path, m.rule, coalesce(m.verdict, 'allow') AS verdict
 FROM p LEFT JOIN m ON m.n = p.n AND m.k = 1"""
+
+
+_TERMS = """list_filter(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), lambda t: t <> '')"""
+
+LEXICAL = f"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row_, doc_id, {_TERMS} AS terms FROM documents WHERE text IS NOT NULL),
+  held AS (SELECT row_, doc_id, terms, len(terms) AS n FROM d WHERE len(terms) > 0),
+  whole AS (SELECT CAST(count(*) AS HUGEINT) AS docs, CAST(sum(n) AS HUGEINT) AS total FROM held),
+  normal AS (SELECT row_, doc_id, CAST(10 + (90 * n * docs) // total AS BIGINT) AS m FROM held, whole),
+  i AS (SELECT row_number() OVER () AS item_row, item_id, list_distinct({_TERMS}) AS terms FROM benchmark WHERE text IS NOT NULL),
+  asked AS (SELECT item_row, item_id, unnest(terms) AS term FROM i),
+  postings AS MATERIALIZED (SELECT row_, term, count(*) AS tf FROM (SELECT row_, unnest(terms) AS term FROM held)
+    WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+  weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), whole),
+  scored AS (SELECT item_row, item_id, row_, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN normal USING (row_) GROUP BY ALL),
+  r AS (SELECT *, row_number() OVER (PARTITION BY item_row ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10"""
