@@ -3,18 +3,22 @@ studies, model grids, Wald tests, predictive margins and coefficient tables.
 
 Data never reaches the driver.  A fit is:
 
-1. listwise-complete sample on all model variables (M13);
-2. design columns as JVM expressions (products, period indicators);
-3. absorbed effects: one ``groupBy(entity)`` of the means of every design
-   column and the outcome, joined back (AQE broadcasts it when small, splits
-   skewed partitions otherwise); period indicators are demeaned the same way,
-   so the two-way model on an unbalanced panel is exact;
+1. listwise-complete sample on all model variables (M13), landed once;
+2. design columns as JVM expressions (products, indicators of listed factors);
+3. absorbed effects: entity means from one ``groupBy(entity)``, joined back (AQE
+   broadcasts them when small, splits skewed partitions otherwise).  With a second
+   effect (``time``) both are taken off by lookups of
+   :mod:`panora.operators.effects`: no indicator column exists, so the row width does not
+   depend on the number of periods, and the fit on an unbalanced panel is exact;
 4. one moment pass: X'X, X'y, y'y, n and column sums (one ``agg`` of sum
    expressions for small designs, a ``mapInPandas`` partial Gram per
    partition summed by index for large ones);
 5. k x k solve on the driver with term-order collinearity detection
    (omitted terms are reported, E11);
 6. one more pass for the robust (HC1) meat, shared by every model of a grid.
+
+A grid whose models have different listwise samples (missing values, NaN included) makes the
+same passes once for all samples: every row carries a bit per sample.
 """
 
 from __future__ import annotations
@@ -30,14 +34,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panora.functions.dist import f_sf, stars, t_ppf, t_sf2
+from panora.operators import effects as two_way
+from panora.operators.effects import summed as _summed
 from panora.sources.writers import cut_lineage, drop_scratch
 
 AGG_MAX_COLS = 24          # up to this many design columns: one codegen'd agg
-MAX_FACTOR_LEVELS = 5_000  # bound on levels of an i.var expansion
+LISTED_LEVELS = 256        # a main-effect factor with more levels is an absorbed effect, not a list of terms
+SAMPLE_BITS = 62           # samples told apart in one set of passes
 COLLINEAR_TOL = 1e-9
 NOISE_TOL = 1e-13          # within / total sum of squares that counts as rounding noise
 
 
+class EmptySampleError(ValueError):
+    """No row is complete on a model's variables."""
+
+
 # --------------------------------------------------------------------------- formula
 @dataclass(frozen=True)
 class Term:
@@ -124,12 +135,9 @@ def parse_terms(terms: Sequence[str], levels: Mapping[str, Sequence] | None = No
     return list(out.values())
 
 
-def factor_levels(df: DataFrame, var: str, max_levels: int = MAX_FACTOR_LEVELS) -> list:
-    rows = (df.select(var).where(F.col(var).isNotNull()).distinct().orderBy(var)
-            .limit(max_levels + 1).collect())
-    if len(rows) > max_levels:
-        raise ValueError(f"i.{var}: more than {max_levels} levels")
-    return [r[0] for r in rows]
+def factor_levels(df: DataFrame, var: str) -> list:
+    """The sorted levels of a factor (one number of the driver per listed level)."""
+    return [r[0] for r in df.select(var).where(F.col(var).isNotNull()).distinct().orderBy(var).collect()]
 
 
 def _factor_vars(terms: Sequence[str]) -> list[str]:
@@ -137,10 +145,6 @@ def _factor_vars(terms: Sequence[str]) -> list[str]:
                               if p.startswith("i.")))
 
 
-def _needed_levels(df: DataFrame, terms: Sequence[str]) -> dict:
-    return {g: factor_levels(df, g) for g in _factor_vars(terms)}
-
-
 def _raw_vars(terms: Sequence[str]) -> list[str]:
     out = []
     for t in terms:
@@ -152,77 +156,49 @@ def _raw_vars(terms: Sequence[str]) -> list[str]:
 
 
 # --------------------------------------------------------------------------- moments
-MERGE_BUCKETS = 64  # partial sums meet in so many tasks before the last one
-
-
-def _summed(df: DataFrame, part, size: int) -> np.ndarray:
-    """Add up one vector of ``size`` numbers per partition: ``part(batches)``
-    returns it.  A partition sends one row, bucket tasks add them, and one
-    row reaches the driver."""
-    import pandas as pd
-
-    def emit(it):
-        from pyspark import TaskContext
-        flat = part(it)
-        yield pd.DataFrame({"b": [TaskContext.get().partitionId() % MERGE_BUCKETS],
-                            "v": [np.asarray(flat, dtype="<f8").tobytes()]})
-
-    def add(it):
-        total = np.zeros(size)
-        for pdf in it:
-            for v in pdf["v"]:
-                total = total + np.frombuffer(v, dtype="<f8")
-        yield pd.DataFrame({"v": [total.tobytes()]})
-
-    rows = (df.mapInPandas(emit, "b int, v binary").repartition(MERGE_BUCKETS, "b")
-            .mapInPandas(add, "v binary").repartition(1).mapInPandas(add, "v binary").collect())
-    return np.frombuffer(rows[0][0], dtype="<f8") if rows else np.zeros(size)
-
-
 def moments(df: DataFrame, cols: Sequence[str], sums: Sequence[str] = (),
-            use_pandas: bool | None = None) -> tuple[np.ndarray, np.ndarray, int]:
-    """(Z'Z over ``cols``, column sums over ``sums``, n) computed on executors.
+            use_pandas: bool | None = None, squares: Sequence[str] = ()) -> tuple[np.ndarray, np.ndarray, int]:
+    """(Z'Z over ``cols``, column sums over ``sums`` then sums of squares over
+    ``squares``, n) computed on executors.
 
-    Only the (p*(p+1)/2 + len(sums) + 1) numbers reach the driver.
+    Only the (p*(p+1)/2 + len(sums) + len(squares) + 1) numbers reach the driver.
     """
-    cols, sums = list(cols), list(sums)
+    cols, sums, squares = list(cols), list(sums), list(squares)
     p = len(cols)
     if use_pandas is None:
         use_pandas = p > AGG_MAX_COLS
     iu = np.triu_indices(p)
     if not use_pandas:
         ex = [F.count(F.lit(1)).alias("n")]
-        ex += [F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"g{i}_{j}") for i, j in zip(*iu)]
-        ex += [F.sum(F.col(c)).alias(f"s{k}") for k, c in enumerate(sums)]
+        ex += [F.sum(F.col(cols[i]) * F.col(cols[j])) for i, j in zip(*iu)]
+        ex += [F.sum(F.col(c)) for c in sums] + [F.sum(F.col(c) * F.col(c)) for c in squares]
         row = df.agg(*ex).first()
-        n = int(row["n"])
-        flat_g = np.array([row[f"g{i}_{j}"] or 0.0 for i, j in zip(*iu)], dtype=float)
-        s = np.array([row[f"s{k}"] or 0.0 for k in range(len(sums))], dtype=float)
+        n = int(row[0])
+        flat = np.array([v or 0.0 for v in row[1:]], dtype=float)
     else:
-        names = cols + [c for c in sums if c not in cols]
-        si = [names.index(c) for c in sums]
+        names = list(dict.fromkeys(cols + sums + squares))
+        si, qi = [names.index(c) for c in sums], [names.index(c) for c in squares]
 
         def part(it):
             g = np.zeros((p, p))
-            sv = np.zeros(len(sums))
+            sv, qv = np.zeros(len(si)), np.zeros(len(qi))
             n_ = 0
             for pdf in it:
                 z = pdf[names].to_numpy(dtype=float)
                 x = z[:, :p]
                 g += x.T @ x
-                if si:
-                    sv += z[:, si].sum(axis=0)
+                sv += z[:, si].sum(axis=0)
+                qv += np.einsum("ij,ij->j", z[:, qi], z[:, qi])
                 n_ += len(pdf)
-            return np.concatenate([[float(n_)], g[iu], sv])
+            return np.concatenate([[float(n_)], g[iu], sv, qv])
 
-        flat = _summed(df.select(*names), part, 1 + len(iu[0]) + len(sums))
+        flat = _summed(df.select(*names), part, 1 + len(iu[0]) + len(sums) + len(squares))
         n = int(round(flat[0]))
-        flat_g = flat[1:1 + len(iu[0])]
-        s = flat[1 + len(iu[0]):]
+        flat = flat[1:]
     g = np.zeros((p, p))
-    g[iu] = flat_g
+    g[iu] = flat[:len(iu[0])]
     g = g + np.triu(g, 1).T
-    return g, s, n
+    return g, flat[len(iu[0]):], n
 
 
 def block_grams(df: DataFrame, groups: Sequence[Sequence[str]], weights: Sequence[str | None] | None = None,
@@ -334,6 +310,8 @@ class Fit:
     tests: list[dict] = field(default_factory=list)
     xbar: np.ndarray | None = None
     term_objs: list = field(default_factory=list)
+    time: str | None = None
+    effects: list | None = None  # (period, effect against the base period) of an absorbed second effect
 
     @property
     def names(self) -> list[str]:
@@ -376,95 +354,122 @@ TEST_SCHEMA = "model_id string, test string, q int, df_r long, f double, p doubl
 
 # --------------------------------------------------------------------------- core
 @dataclass
-class _Spec:
-    model_id: str
-    y: str
-    terms: list[str]
-    tests: list = field(default_factory=list)
+class _Design:
+    """What the moment and the meat pass read: columns __x{j}, __y{i} about the
+    centres, __d__x{j}, __d__y{i} with the absorbed effects taken off, and __u, a row's
+    weight in the constant (regressors aside)."""
+
+    rows: DataFrame
+    held: list = field(default_factory=list)     # persisted tables
+    solved: two_way.Solved | None = None
+    between: np.ndarray | None = None            # sums of squares between entities, x then y
+    periods: list | None = None
 
 
-def _prepare(df: DataFrame, ys: Sequence[str], term_union: Sequence[Term], absorb: str | None,
-             extra: Sequence[str], materialize: bool, centres: Sequence[float]):
-    """Sample -> frame with columns __y{i}, __x{j} about the given centres (so
-    that no later sum cancels), their squares __q__y{i}, __q__x{j}, the inverse group size __inv and the demeaned copies __d__y{i}, __d__x{j}
-    (by entity, or by the grand mean when nothing is absorbed).
+def _z_columns(terms: Sequence[Term], ys: Sequence[str], centres: Sequence[float]) -> list[str]:
+    """Design columns, x then y, as SQL expressions about provisional centres, so that
+    no later sum cancels."""
+    return [f"({e}) - ({float(c)!r}D)"
+            for e, c in zip([*[t.sql() for t in terms], *[f"CAST(`{y}` AS DOUBLE)" for y in ys]], centres)]
 
-    The per-entity means table (one row per entity) is the only thing
-    materialised; the demeaned design is a join of two plain scans that the
-    moment and meat passes stream again (broadcast when the means table is
-    small, sort-merge otherwise), so no N x p copy is ever stored.
+
+def _named(p_x: int, n_y: int, prefix: str = "__") -> list[str]:
+    return [f"{prefix}x{j}" for j in range(p_x)] + [f"{prefix}y{i}" for i in range(n_y)]
+
+
+def _centres(base: DataFrame, terms: Sequence[Term], ys: Sequence[str]) -> np.ndarray:
+    row = base.selectExpr(*[f"avg({t.sql()})" for t in terms], *[f"avg(nanvl(CAST(`{y}` AS DOUBLE), NULL))" for y in ys]).first()
+    return np.array([0.0 if v is None or not math.isfinite(v) else float(v) for v in row])
+
+
+def _one_way(base: DataFrame, ys: Sequence[str], terms: Sequence[Term], absorb: str | None,
+             materialize: bool, centres: Sequence[float]) -> _Design:
+    """Demeaned by entity, or by the grand mean when nothing is absorbed.
+
+    The per-entity means (one row per entity) are the only thing kept; the demeaned
+    design is a join of two plain scans that both passes stream again, so no N x p
+    copy is ever stored.
     """
-    raw = list(dict.fromkeys(list(ys) + [v for t in term_union for v in t.variables] + list(extra)
-                             + ([absorb] if absorb else [])))
-    sample = df.select(*raw).dropna(how="any")
-    cols = {f"__y{i}": f"CAST(`{y}` AS DOUBLE)" for i, y in enumerate(ys)}
-    cols.update({f"__x{j}": t.sql() for j, t in enumerate(term_union)})
-    cols = {n: f"({e}) - ({c!r}D)" for (n, e), c in zip(cols.items(), centres)}
-    names = list(cols)
+    names = _named(len(terms), len(ys))
     key = f"`{absorb}`" if absorb else "0"
-    z = sample.selectExpr(f"{key} AS __g", *[f"{e} AS {n}" for n, e in cols.items()])
+    z = base.selectExpr(f"{key} AS __g", *[f"{e} AS {n}" for n, e in zip(names, _z_columns(terms, ys, centres))])
     means = z.groupBy("__g").agg(*[F.expr(f"avg({n})").alias(f"__m{n}") for n in names],
                                  F.expr("1.0D / count(1)").alias("__inv"))
     if materialize:
-        # G rows, read by the moment and the meat pass: kept after the first
-        # pass computes it (its lineage is a scan of the landed sample, so a
-        # lost partition is cheap to recompute)
+        # kept after the first pass computes it (its lineage is a scan of the landed
+        # sample, so a lost partition is cheap to recompute)
         means = means.persist(StorageLevel.MEMORY_AND_DISK)
-    if not absorb:
-        means = F.broadcast(means)  # one row by construction
-    d = z.join(means, "__g").selectExpr(
-        "__g", "__inv", *names, *[f"{n} * {n} AS __q{n}" for n in names],
-        *[f"{n} - __m{n} AS __d{n}" for n in names])
-    return d, names, means
-
-
-def _fit_from_moments(spec: _Spec, yi: int, tidx: list[int], terms: list[Term], g: np.ndarray,
-                      sums: np.ndarray, n: int, n_groups: int, absorb: str | None, vce: str,
-                      meat: np.ndarray | None, p_x: int, kept_local: list[int],
-                      centres: np.ndarray) -> tuple:
-    """Solve one model from the shared moment matrices.
-
-    ``g`` is the Gram over [demeaned x (all union terms)..., demeaned y (all)...];
-    ``sums`` are sums of the same columns about ``centres``, not demeaned.
-    """
-    yj = p_x + yi
-    Gxx = g[np.ix_(tidx, tidx)]
-    gxy = g[tidx, yj]
-    k = len(kept_local)
-    b_all = np.zeros(len(tidx))
-    if k:
-        A = Gxx[np.ix_(kept_local, kept_local)]
-        b_all[kept_local] = np.linalg.solve(A, gxy[kept_local])
-    yty = g[yj, yj]
-    rss = max(float(yty - b_all @ gxy), 0.0)
-    xbar = centres[tidx] + sums[tidx] / n
-    ybar = centres[yj] + sums[yj] / n
-    cons = ybar - float(xbar @ b_all)
-    groups = n_groups if absorb else 1
-    df_r = n - groups - k
-    # slopes and the mean of y have the bread diag(G^-1, 1/n); the constant
-    # ybar - xbar'b follows by the delta formula
-    kk = kept_local
+    other = F.broadcast(means) if not absorb else means  # one row by construction
+    d = z.join(other, "__g").selectExpr("__inv", "1.0D AS __u", *names, *[f"{n} - __m{n} AS __d{n}" for n in names])
+    return _Design(d, [means])
+
+
+def _two_way(base: DataFrame, ys: Sequence[str], terms: Sequence[Term], absorb: str | None, time: str,
+             centres: Sequence[float]) -> _Design:
+    """Both effects taken off by lookups: one per period, one per entity."""
+    names = _named(len(terms), len(ys))
+    k = len(names)
+    key = f"`{absorb}`" if absorb else "0"
+    z = base.selectExpr(f"{key} AS e", f"`{time}` AS t",
+                        *[f"{x} AS z{i}" for i, x in enumerate(_z_columns(terms, ys, centres))])
+    cells = z.groupBy("e", "t").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in two_way.sums(k)])
+    cells = cells.withColumn("s", F.lit(0)).persist(StorageLevel.MEMORY_AND_DISK)
+    per = cells.groupBy("e").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in two_way.sums(k)])
+    row = per.agg(F.count(F.lit(1)), *[F.sum(F.col(c) * F.col(c) / F.col("n")) for c in two_way.sums(k)],
+                  F.sum("n"), *[F.sum(c) for c in two_way.sums(k)]).first()
+    between = np.array(row[1:k + 1], float) - np.array(row[k + 2:], float) ** 2 / row[k + 1]
+    periods = cells.select("t").distinct().count()
+    large = min(row[0], periods) > two_way.DENSE_LEVELS
+    swapped = not large and periods > row[0]
+    a, b = ("t", "e") if swapped else ("e", "t")
+    cells_ab = cells.withColumnsRenamed({a: "a", b: "b"})
+    solved = two_way.solve_large(cells_ab, k) if large else two_way.solve(cells_ab, k, 1, swapped)[0]
+    off = two_way.offsets(cells_ab, solved.table, k).drop("s").persist(StorageLevel.MEMORY_AND_DISK)
+    table = solved.table if large else F.broadcast(solved.table)     # at most DENSE_LEVELS rows
+    d = z.withColumnsRenamed({a: "a", b: "b"}).join(table, "b").join(off, "a")
+    weight = F.lit(solved.weight[0][1]) if solved.weight[0][0] is None else \
+        sum((F.when(F.col("a") == F.lit(p), w).otherwise(0.0) for p, w in solved.weight), F.lit(0.0))
+    d = d.select((weight - F.col("rho") + F.col("rbar")).alias("__u"),
+                 *[F.col(f"z{i}").alias(n) for i, n in enumerate(names)],
+                 *[(F.col(f"z{i}") - F.col(f"g{i}") - F.col(f"h{i}")).alias(f"__d{n}") for i, n in enumerate(names)])
+    listed = None
+    if not large and periods <= two_way.DENSE_LEVELS:
+        got = off.select("a", *[f"h{i}" for i in range(k)]).collect() if swapped else \
+            solved.table.select("b", *[f"g{i}" for i in range(k)]).collect()
+        listed = sorted((r[0], np.array(r[1:], float)) for r in got)
+        listed = [(v, x - listed[0][1]) for v, x in listed] if solved.components == 1 else listed if not swapped else None
+    return _Design(d, [cells, off], solved, between, listed)
+
+
+def _solved_model(tidx: list[int], yj: int, g: np.ndarray, means: np.ndarray, kept: list[int], n: int, df_r: int,
+                  vce: str, meat: np.ndarray | None, unit: float, squares: float) -> tuple:
+    """Coefficients and variances of one model from the shared moment matrix ``g`` over [x of all models, y].
+
+    Slopes and u'e have the bread diag(G^-1, unit); the constant, means[y] - means[x]'b, follows by
+    the delta formula.  ``squares`` is the sum of the squared weights of the constant."""
+    gxx, gxy = g[np.ix_(tidx, tidx)], g[tidx, yj]
+    k = len(kept)
+    b = np.zeros(len(tidx))
     D = np.zeros((k + 1, k + 1))
     if k:
-        D[:k, :k] = np.linalg.inv(Gxx[np.ix_(kk, kk)])
-    D[k, k] = 1.0 / n
+        D[:k, :k] = np.linalg.inv(gxx[np.ix_(kept, kept)])
+        b[kept] = np.linalg.solve(gxx[np.ix_(kept, kept)], gxy[kept])
+    rss = max(float(g[yj, yj] - b @ gxy), 0.0)
     T = np.eye(k + 1)
-    T[k, :k] = -xbar[kk]
+    T[k, :k] = -means[tidx][kept]
     if vce == "robust":
         if meat is None:
             raise ValueError("robust VCE needs the meat matrix")
+        D[k, k] = unit
         V = (n / df_r) * T @ D @ meat @ D @ T.T if df_r > 0 else np.full_like(D, np.nan)
     else:
-        s2 = rss / df_r if df_r > 0 else float("nan")
-        V = s2 * T @ D @ T.T
-    p_all = len(tidx) + 1
-    Vfull = np.zeros((p_all, p_all))
-    idx = kk + [len(tidx)]
-    Vfull[np.ix_(idx, idx)] = V
-    coef = np.append(b_all, cons)
-    omitted = [j not in kk for j in range(len(tidx))] + [False]
-    return coef, Vfull, omitted, rss, k, df_r, xbar, ybar
+        D[k, k] = squares
+        V = (rss / df_r if df_r > 0 else float("nan")) * T @ D @ T.T
+    full = np.zeros((len(tidx) + 1, len(tidx) + 1))
+    at = kept + [len(tidx)]
+    full[np.ix_(at, at)] = V
+    omitted = [j not in kept for j in range(len(tidx))] + [False]
+    return np.append(b, means[yj] - float(means[tidx] @ b)), full, omitted, rss
 
 
 def _wald(b: np.ndarray, V: np.ndarray, idx: Sequence[int], df_r: int) -> tuple[float, float, int]:
@@ -481,7 +486,7 @@ def _wald(b: np.ndarray, V: np.ndarray, idx: Sequence[int], df_r: int) -> tuple[
 
 def robust_meats(d: DataFrame, p_x: int, n_y: int, prelim: Sequence[tuple],
                  max_agg_exprs: int = 300) -> list[np.ndarray]:
-    """HC meat sum_i e_i^2 z_i z_i' with z = [x~_kept, 1] for every model, one pass.
+    """HC meat sum_i e_i^2 z_i z_i' with z = [x~_kept, u] for every model, one pass.
 
     ``prelim`` = [(outcome index, term indices, kept positions, slopes)].
     Small single-model designs use one JVM ``agg`` with the residual as a
@@ -499,9 +504,8 @@ def robust_meats(d: DataFrame, p_x: int, n_y: int, prelim: Sequence[tuple],
                 e = e - F.lit(float(b[jl])) * F.col(f"__d__x{tidx[jl]}")
             resid[f"__e{m}"] = e
         xcols = sorted({j for k in layout for j in k})
-        w = d.select(*[F.col(f"__d__x{j}") for j in xcols], F.lit(1.0).alias("__one"),
-                     *[c.alias(nm) for nm, c in resid.items()])
-        groups = [[f"__d__x{j}" for j in k] + ["__one"] for k in layout]
+        w = d.select(*[F.col(f"__d__x{j}") for j in xcols], "__u", *[c.alias(nm) for nm, c in resid.items()])
+        groups = [[f"__d__x{j}" for j in k] + ["__u"] for k in layout]
         return block_grams(w, groups, [f"__e{m}" for m in range(len(prelim))], max_agg_exprs)
     xnames = [f"__d__x{j}" for j in range(p_x)]
     ynames = [f"__d__y{i}" for i in range(n_y)]
@@ -515,15 +519,15 @@ def robust_meats(d: DataFrame, p_x: int, n_y: int, prelim: Sequence[tuple],
         for pdf in it:
             x = pdf[xnames].to_numpy(dtype=float)
             y = pdf[ynames].to_numpy(dtype=float)
-            ones = np.ones((len(pdf), 1))
+            u = pdf[["__u"]].to_numpy(dtype=float)
             for k, (yi, ix, bk) in enumerate(plan):
                 xm = x[:, ix]
                 e = y[:, yi] - xm @ bk
-                z = np.hstack([xm, ones]) * e[:, None]
+                z = np.hstack([xm, u]) * e[:, None]
                 acc[k] += z.T @ z
         return np.concatenate([a[t] for a, t in zip(acc, tris)])
 
-    allv = _summed(d.select(*xnames, *ynames), part, total)
+    allv = _summed(d.select(*xnames, *ynames, "__u"), part, total)
     out, o = [], 0
     for (_, ix, _), t in zip(plan, tris):
         q = len(ix) + 1
@@ -534,97 +538,130 @@ def robust_meats(d: DataFrame, p_x: int, n_y: int, prelim: Sequence[tuple],
     return out
 
 
+def _with_time(df: DataFrame, specs: Sequence[tuple], absorb: str | None, time: str | None) -> tuple[list, str | None, dict]:
+    """(specs, time, levels): a factor with more than LISTED_LEVELS levels that every model has as a main effect
+    only becomes the second absorbed effect."""
+    specs = [(m, y, list(ts)) for m, y, ts in specs]
+    levels = {}
+    for g in _factor_vars([t for _, _, ts in specs for t in ts]):
+        plain = all(f"i.{g}" in ts and not any(g in _raw_vars([t]) for t in ts if t != f"i.{g}") for _, _, ts in specs)
+        if absorb and time is None and plain and \
+                df.select(g).distinct().limit(LISTED_LEVELS + 1).count() > LISTED_LEVELS:
+            time = g
+            specs = [(m, y, [t for t in ts if t != f"i.{g}"]) for m, y, ts in specs]
+        else:
+            levels[g] = factor_levels(df, g)
+    return specs, time, levels
+
+
 def fit_many(df: DataFrame, specs: Sequence[tuple[str, str, Sequence[str]]], absorb: str | None = None,
              vce: str = "robust", tests: Mapping[str, Sequence[Sequence[str]]] | None = None,
-             report_cons: bool = True, materialize: bool = True) -> list[Fit]:
+             report_cons: bool = True, materialize: bool = True, time: str | None = None) -> list[Fit]:
     """Fit several linear models that share one estimation sample.
 
     ``specs`` = [(model_id, y, terms)]; the sample is listwise-complete on the
     union of all variables (as when models are estimated on a common sample).
-    One demeaned base, one Gram over the union of terms and outcomes, one
+    ``time``: a second effect beside ``absorb``, taken off without indicators; its levels
+    are no terms (``Fit.effects`` holds them), count in k and df_r, and the constant belongs to the
+    lowest level.  One design, one Gram over the union of terms and outcomes, one
     meat pass holding every model's robust sums.  Specs whose samples should
-    differ (different missingness) are grouped by :func:`grid`.
+    differ (different missingness) go through :func:`grid`.
     """
-    tests = tests or {}
-    all_terms_txt = [t for _, _, ts in specs for t in ts]
-    raw = _raw_vars(all_terms_txt)
+    raw = _raw_vars([t for _, _, ts in specs for t in ts])
     ys = list(dict.fromkeys(y for _, y, _ in specs))
-    base = df.select(*dict.fromkeys(ys + raw + ([absorb] if absorb else []))).dropna(how="any")
+    keys = [c for c in (absorb, time) if c]
+    base = df.select(*dict.fromkeys(ys + raw + keys)).dropna(how="any")
     if materialize:
         # the sample is read by the level scan, the moment pass and the meat
         # pass: write it once to the shared checkpoint folder, which also cuts
         # the lineage so every later plan is analysed against a plain scan
         base = cut_lineage(base, how="parquet")
-    levels = _needed_levels(base, all_terms_txt)
-    union: list[Term] = []
-    per_model: list[list[int]] = []
-    for _, _, ts in specs:
-        idx = []
-        for t in parse_terms(ts, levels):
-            if t not in union:
-                union.append(t)
-            idx.append(union.index(t))
-        per_model.append(idx)
-    p_x = len(union)
-    # provisional centres, in the order of the moment matrices: x then y
-    row = base.selectExpr(*[f"avg({t.sql()})" for t in union],
-                          *[f"avg(CAST(`{y}` AS DOUBLE))" for y in ys]).first()
-    centres = np.array([0.0 if v is None or not math.isfinite(v) else float(v) for v in row])
-    d, names, means = _prepare(base, ys, union, absorb, [], materialize,
-                               [*centres[p_x:].tolist(), *centres[:p_x].tolist()])
-    dcols = [f"__d__x{j}" for j in range(p_x)] + [f"__d__y{i}" for i in range(len(ys))]
-    rawcols = ([f"__x{j}" for j in range(p_x)] + [f"__y{i}" for i in range(len(ys))]
-               + [f"__q__x{j}" for j in range(p_x)] + [f"__q__y{i}" for i in range(len(ys))] + ["__inv"])
-    g, sums, n = moments(d, dcols, rawcols)
-    width = p_x + len(ys)
-    # sums of squares about the grand mean
-    total_ss = sums[width:2 * width] - (sums[:width] ** 2 / n if n else 0.0)
-    # each group contributes n_i * (1 / n_i) = 1 to the sum of __inv
-    n_groups = int(round(sums[-1])) if absorb else 1
-    # first solve every model (slopes only) to build residual expressions
+    fits = _fit_sample(base, specs, absorb, vce, tests, report_cons, materialize, time)
+    if materialize:
+        drop_scratch(base)
+    return fits
+
+
+def _union(specs: Sequence[tuple], levels: dict) -> tuple[list[Term], list[list[int]]]:
+    """Distinct terms of all models, and every model's places among them."""
+    union: dict[Term, int] = {}
+    return union, [[union.setdefault(t, len(union)) for t in parse_terms(ts, levels)] for _, _, ts in specs]
+
+
+def _fit_sample(base: DataFrame, specs, absorb, vce, tests, report_cons, materialize, time) -> list[Fit]:
+    """All models on the complete rows of ``base``."""
+    specs, time, levels = _with_time(base, specs, absorb, time)
+    places, per_model = _union(specs, levels)
+    union, ys = list(places), list(dict.fromkeys(y for _, y, _ in specs))
+    p_x, n_y = len(union), len(ys)
+    centres = _centres(base, union, ys)
+    if time is not None and not base.limit(1).count():
+        raise EmptySampleError(f"no complete rows for {sorted({m for m, _, _ in specs})}")
+    design = _two_way(base, ys, union, absorb, time, centres) if time is not None else \
+        _one_way(base, ys, union, absorb, materialize, centres)
+    extra = [] if design.solved else ["__inv"]
+    cols = _named(p_x, n_y)
+    g, sums, n = moments(design.rows, _named(p_x, n_y, "__d__"), cols + extra, squares=cols)
+    if not n:
+        raise EmptySampleError(f"no complete rows for {sorted({m for m, _, _ in specs})}")
+    width = p_x + n_y
+    mean = sums[:width] / n
+    total_ss = sums[width + len(extra):] - sums[:width] ** 2 / n     # about the grand mean
+    if design.solved:
+        s = design.solved
+        groups, more, unit, squares = s.groups, s.periods - s.components, 1.0, s.squares
+        means, within = centres + s.means, total_ss - design.between
+    else:
+        # each group contributes n_i * (1 / n_i) = 1 to the sum of __inv
+        groups, more, unit, squares = int(round(sums[width])) if absorb else 1, 0, 1.0 / n, 1.0 / n
+        means, within = centres + mean, np.diag(g)
     prelim = []
-    for (mid, y, ts), tidx in zip(specs, per_model):
-        yi = ys.index(y)
-        Gxx = g[np.ix_(tidx, tidx)]
-        kept = select_columns(Gxx, list(range(len(tidx))), raw=total_ss[tidx])
+    for (_, y, _), tidx in zip(specs, per_model):
+        gxx = g[np.ix_(tidx, tidx)]
+        kept = select_columns(gxx, list(range(len(tidx))), raw=total_ss[tidx])
         b = np.zeros(len(tidx))
         if kept:
-            b[kept] = np.linalg.solve(Gxx[np.ix_(kept, kept)], g[np.ix_(tidx, [p_x + yi])].ravel()[kept])
-        prelim.append((yi, tidx, kept, b))
-    meats: list[np.ndarray | None] = [None] * len(specs)
-    if vce == "robust":
-        meats = robust_meats(d, p_x, len(ys), prelim)
+            b[kept] = np.linalg.solve(gxx[np.ix_(kept, kept)], g[tidx, p_x + ys.index(y)][kept])
+        prelim.append((ys.index(y), tidx, kept, b))
+    meats = robust_meats(design.rows, p_x, n_y, prelim) if vce == "robust" else [None] * len(specs)
     fits = []
-    for m, ((mid, y, ts), (yi, tidx, kept, b)) in enumerate(zip(specs, prelim)):
-        coef, V, omitted, rss, k, df_r, xbar, ybar = _fit_from_moments(
-            _Spec(mid, y, list(ts)), yi, tidx, union, g, sums, n, n_groups, absorb, vce,
-            meats[m], p_x, kept, centres)
-        tss = float(total_ss[p_x + yi])
-        r2 = 1.0 - rss / tss if tss > 0 else float("nan")
-        r2_adj = 1.0 - (1.0 - r2) * (n - 1) / df_r if df_r > 0 else float("nan")
-        yty_w = g[p_x + yi, p_x + yi]
-        r2_w = 1.0 - rss / yty_w if absorb and yty_w > 0 else None
-        rmse = math.sqrt(rss / df_r) if df_r > 0 else float("nan")
-        slope_idx = [j for j in range(len(tidx)) if not omitted[j]]
-        fstat, fp, _ = _wald(coef, V, slope_idx, df_r)
-        names_m = [union[j].name for j in tidx]
-        fit = Fit(mid, y, names_m, coef, V, omitted, n, n_groups if absorb else None, df_r, k,
-                  r2, r2_adj, r2_w, rmse, fstat, fp, vce, absorb, True, xbar=xbar,
-                  term_objs=[union[j] for j in tidx])
-        for tname, tterms in (tests.get(mid) or []):
-            ids = [names_m.index(t) for t in tterms if t in names_m and not omitted[names_m.index(t)]]
-            st, pv, q = _wald(coef, V, ids, df_r)
-            fit.tests.append({"test": tname, "q": q, "f": st, "p": pv})
-        if not report_cons:
-            fit.has_cons = False
-            fit.coef, fit.vcov, fit.omitted = coef[:-1], V[:-1, :-1], omitted[:-1]
-        fits.append(fit)
-    if materialize:
-        means.unpersist()
-        drop_scratch(base)
+    for spec, (yi, tidx, kept, b), meat in zip(specs, prelim, meats):
+        fits.append(_fitted(spec, tidx, p_x + yi, union, g, means, kept, n, groups, more, vce, meat, unit, squares,
+                            total_ss, within, absorb, time, tests, report_cons, design.periods))
+    for table in design.held:
+        table.unpersist()
     return fits
 
 
+def _fitted(spec, tidx, yj, union, g, means, kept, n, groups, more, vce, meat, unit, squares, total_ss, within,
+            absorb, time, tests, report_cons, periods) -> Fit:
+    """One model's Fit; ``more`` counts the levels of a second absorbed effect."""
+    mid, y, _ = spec
+    k = len(kept) + more
+    df_r = n - groups - k
+    coef, V, omitted, rss = _solved_model(tidx, yj, g, means, kept, n, df_r, vce, meat, unit, squares)
+    tss = float(total_ss[yj])
+    r2 = 1.0 - rss / tss if tss > 0 else float("nan")
+    names = [union[j].name for j in tidx]
+    f, fp, _ = _wald(coef, V, [j for j in range(len(tidx)) if not omitted[j]], df_r)
+    fit = Fit(mid, y, names, coef, V, omitted, n, groups if absorb else None, df_r, k, r2,
+              1.0 - (1.0 - r2) * (n - 1) / df_r if df_r > 0 else float("nan"),
+              1.0 - rss / within[yj] if absorb and within[yj] > 0 else None,
+              math.sqrt(rss / df_r) if df_r > 0 else float("nan"), f, fp, vce, absorb, True,
+              xbar=means[tidx], term_objs=[union[j] for j in tidx], time=time)
+    if periods is not None:
+        slopes = coef[:-1]
+        fit.effects = [(p, float(v[yj] - v[tidx] @ slopes)) for p, v in periods]
+    for name, of in (tests or {}).get(mid) or []:
+        ids = [names.index(t) for t in of if t in names and not omitted[names.index(t)]]
+        st, pv, q = _wald(coef, V, ids, df_r)
+        fit.tests.append({"test": name, "q": q, "f": st, "p": pv})
+    if not report_cons:
+        fit.has_cons = False
+        fit.coef, fit.vcov, fit.omitted = coef[:-1], V[:-1, :-1], omitted[:-1]
+    return fit
+
+
 # --------------------------------------------------------------------------- public API
 def ols(df: DataFrame, y: str, terms: Sequence[str], vce: str = "classic",
         model_id: str = "ols") -> Fit:
@@ -633,86 +670,245 @@ def ols(df: DataFrame, y: str, terms: Sequence[str], vce: str = "classic",
 
 
 def areg(df: DataFrame, y: str, terms: Sequence[str], absorb: str, vce: str = "robust",
-         model_id: str = "areg", tests: Sequence[tuple[str, Sequence[str]]] | None = None) -> Fit:
-    """Absorbed one-way FE (``i.period`` terms give the two-way model).
+         model_id: str = "areg", tests: Sequence[tuple[str, Sequence[str]]] | None = None,
+         time: str | None = None) -> Fit:
+    """Absorbed one-way FE, with ``time`` the two-way model.
 
     df_r = N - G - k, HC1 factor N / df_r, R2 overall, ``_cons`` = ybar - xbar'b.
+    ``time`` takes period effects off without indicator columns, for any number of
+    periods; a short ``i.period`` term lists them with standard errors instead (above
+    LISTED_LEVELS levels it is taken as ``time``).
     """
     return fit_many(df, [(model_id, y, terms)], absorb=absorb, vce=vce,
-                    tests={model_id: tests or []})[0]
+                    tests={model_id: tests or []}, time=time)[0]
 
 
 def within(df: DataFrame, y: str, xs: Sequence[str], entity: str, time: str | None = None,
            effect: str = "individual", model_id: str = "within") -> Fit:
     """``plm`` within estimator, classical SE; no intercept reported."""
-    terms = list(xs) + ([f"i.{time}"] if effect == "twoways" else [])
-    fit = fit_many(df, [(model_id, y, terms)], absorb=entity, vce="classic",
-                   report_cons=False)[0]
-    if effect == "twoways":
-        keep = [i for i, t in enumerate(fit.terms) if t in xs]
-        fit.terms = [fit.terms[i] for i in keep]
-        fit.coef, fit.omitted = fit.coef[keep], [fit.omitted[i] for i in keep]
-        fit.vcov = fit.vcov[np.ix_(keep, keep)]
-    return fit
+    return fit_many(df, [(model_id, y, list(xs))], absorb=entity, vce="classic", report_cons=False,
+                    time=time if effect == "twoways" else None)[0]
 
 
 def grid(df: DataFrame, outcomes: Sequence[str], moderators: Sequence[str],
-         make_terms, absorb: str | None, vce: str = "robust", tests=None) -> list[Fit]:
+         make_terms, absorb: str | None, vce: str = "robust", tests=None, time: str | None = None) -> list[Fit]:
     """Outcomes x moderators (x specifications) grid, each model on its own
     listwise sample.
 
     ``make_terms(outcome, moderator) -> terms``, or a mapping of
     specification name -> such a function (model ids then start with the
-    name).  One aggregation checks, for every model, whether its
-    listwise-complete sample equals the sample that is complete on all grid
-    variables (no row of it misses only variables of other models).  All such
-    models share one demeaned base, one Gram over the union of terms and
-    outcomes and one meat pass; the others are grouped by the nullable
-    variables they use, which is by sample, and each group is one such pass.
+    name).  A row carries one bit per distinct set of model variables that is complete
+    on it (neither NULL nor NaN); sets complete on the same rows are one sample.  All samples
+    share one landed base and the same passes over it: cells with their bits, one Gram and one meat pass
+    that add up every sample's sums.  Models with listed factors (``i.``) on differing samples
+    are fitted sample by sample, since their terms depend on it.
     """
     makers = make_terms if isinstance(make_terms, Mapping) else {None: make_terms}
     specs = [((f"{nm}|" if nm else "") + f"{o}|{m}", o, list(mk(o, m)))
              for nm, mk in makers.items() for o in outcomes for m in moderators]
     tmap = {s[0]: (tests(s) if callable(tests) else (tests or [])) for s in specs}
-    keyv = [absorb] if absorb else []
-    allv = list(dict.fromkeys([v for _, y, ts in specs for v in [y] + _raw_vars(ts)] + keyv))
-    # 1) which grid variables have missing values at all (one job)
-    nulls = df.agg(*[F.expr(f"count_if(`{v}` IS NULL)").alias(v) for v in allv]).first()
-    nullable = [v for v in allv if nulls[v]]
-    own_sets = []
-    for _, y, ts in specs:
-        own = set([y] + _raw_vars(ts) + keyv)
-        own_sets.append(frozenset(v for v in nullable if v in own))
-    if nullable and any(o != frozenset(nullable) for o in own_sets):
-        # 2) rows complete on a model's nullable variables but missing another
-        #    one: one count per distinct variable subset (one job)
-        subsets = sorted(set(own_sets), key=sorted)
-        ex = []
-        for i, sub in enumerate(subsets):
-            have = " AND ".join(f"`{v}` IS NOT NULL" for v in sorted(sub)) or "TRUE"
-            lack = " OR ".join(f"`{v}` IS NULL" for v in nullable if v not in sub) or "FALSE"
-            ex.append(F.expr(f"count_if(({have}) AND ({lack}))").alias(f"s{i}"))
-        row = df.agg(*ex).first()
-        differs = {sub: bool(row[f"s{i}"]) for i, sub in enumerate(subsets)}
-    else:
-        differs = {o: False for o in own_sets}
-    shared = [s for s, o in zip(specs, own_sets) if not differs[o]]
-    alone: dict[frozenset, list] = {}
-    for s, o in zip(specs, own_sets):
-        if differs[o]:
-            alone.setdefault(o, []).append(s)
+    keys = [c for c in (absorb, time) if c]
     fits = {}
-    if shared:
-        for f in fit_many(df.select(*allv), shared, absorb=absorb, vce=vce, tests=tmap):
-            fits[f.model_id] = f
-    # models that miss the same variables' rows have one sample: one pass each
-    for group in alone.values():
-        own = list(dict.fromkeys([v for _, y, ts in group for v in [y] + _raw_vars(ts)] + keyv))
-        for f in fit_many(df.select(*own), group, absorb=absorb, vce=vce, tests=tmap):
+    needs = {s[0]: frozenset([s[1], *_raw_vars(s[2])]) for s in specs}
+    distinct = list(dict.fromkeys(needs.values()))
+    for lo in range(0, len(distinct), SAMPLE_BITS):
+        some = distinct[lo:lo + SAMPLE_BITS]
+        own = [s for s in specs if needs[s[0]] in some]
+        for f in _grid_block(df, own, [some.index(needs[s[0]]) for s in own], some, keys, absorb, vce, tmap, time):
             fits[f.model_id] = f
     return [fits[s[0]] for s in specs]
 
 
+def _complete(df: DataFrame, names) -> str:
+    """SQL condition: none of the columns is missing (NULL or NaN)."""
+    floats = {c for c, t in df.dtypes if t in ("double", "float")}
+    return " AND ".join(f"`{v}` IS NOT NULL" + (f" AND NOT isnan(`{v}`)" if v in floats else "")
+                        for v in sorted(names)) or "TRUE"
+
+
+def _grid_block(df, specs, bits, needs, keys, absorb, vce, tests, time) -> list[Fit]:
+    """Models whose variable sets are ``needs`` (one bit each)."""
+    sig = " | ".join(f"(CASE WHEN {_complete(df, need)} THEN shiftleft(1L, {i}) ELSE 0L END)" for i, need in enumerate(needs))
+    allv = list(dict.fromkeys([*keys, *(v for need in needs for v in sorted(need))]))
+    base = df.selectExpr(*[f"`{v}`" for v in allv], f"{sig} AS __sig").filter(F.expr(f"__sig <> 0 AND {_complete(df, keys)}"))
+    base = cut_lineage(base, how="parquet")
+    has = [F.col("__sig").bitwiseAND(F.lit(1 << i)) != 0 for i in range(len(needs))]
+    n, *counts = base.agg(F.count(F.lit(1)), *[F.count_if(h) for h in has]).first()
+    for i, c in enumerate(counts):
+        if not c:
+            raise EmptySampleError(f"no complete rows for {[s[0] for s, b in zip(specs, bits) if b == i]}")
+    # sets of variables that are complete on the same rows make one sample
+    same = [(i, j) for i in range(len(needs)) for j in range(i) if counts[i] == counts[j] and counts[i] < n]
+    apart = base.agg(*[F.count_if(has[i] != has[j]) for i, j in same]).first() if same else []
+    sample = list(range(len(needs)))
+    for i in range(len(needs)):
+        sample[i] = next((sample[j] for j in range(i) if counts[i] == counts[j] == n), i)
+    for (i, j), d in zip(same, apart):
+        if not d:
+            sample[i] = min(sample[i], sample[j])
+    kinds = sorted(set(sample))
+    groups = {k: [s for s, b in zip(specs, bits) if sample[b] == k] for k in kinds}
+    fits = None
+    if len(kinds) > 1 and not _factor_vars([t for s in specs for t in s[2]]):
+        fits = _fit_samples(base, groups, kinds, absorb, vce, tests, time)
+    if fits is None:
+        fits = []
+        for k, own in groups.items():
+            use = list(dict.fromkeys([*keys, *(v for s in own for v in [s[1], *_raw_vars(s[2])])]))
+            fits += _fit_sample(base.filter(has[k]).select(*use), own, absorb, vce, tests, True, True, time)
+    drop_scratch(base)
+    return fits
+
+
+def _fit_samples(base: DataFrame, groups: dict, kinds: list[int], absorb, vce, tests, time) -> list[Fit] | None:
+    """The models of several samples, told apart by their bits, in the passes of one: cells,
+    Gram, meat.  None where both effects have too many levels for a matrix."""
+    specs = [s for k in kinds for s in groups[k]]
+    at = [i for i, k in enumerate(kinds) for _ in groups[k]]
+    places, per_model = _union(specs, {})
+    union, ys = list(places), list(dict.fromkeys(y for _, y, _ in specs))
+    p_x, n_y, S = len(union), len(ys), len(kinds)
+    K = p_x + n_y
+    z_names = two_way.sums(K)
+    centres = _centres(base, union, ys)
+    use = [sorted({j for m, i in zip(range(len(specs)), at) if i == s for j in [*per_model[m], p_x + ys.index(specs[m][1])]})
+           for s in range(S)]
+    bit = " | ".join(f"(CASE WHEN __sig & {1 << k}L <> 0 THEN shiftleft(1L, {i}) ELSE 0L END)" for i, k in enumerate(kinds))
+    z = base.selectExpr(f"`{absorb}` AS e" if absorb else "0 AS e", f"`{time}` AS t" if time else "0 AS t", f"{bit} AS sig",
+                        *[f"nanvl({x}, NULL) AS {c}" for x, c in zip(_z_columns(union, ys, centres), z_names)])
+    cells = z.groupBy("e", "t", "sig").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in z_names])
+    own = F.filter(F.sequence(F.lit(0), F.lit(S - 1)), lambda i: F.expr("sig").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), i)) != 0)
+    cells = cells.select(F.explode(own).alias("s"), "e", "t", "n", *z_names).groupBy("s", "e", "t").agg(
+        F.sum("n").alias("n"), *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in z_names])
+    cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
+    entity = cells.groupBy("s", "e").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in z_names])
+    facts = {r.s: r for r in entity.groupBy("s").agg(
+        F.count(F.lit(1)).alias("levels"), F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in z_names],
+        *[F.sum(F.col(c) * F.col(c) / F.col("n")).alias(f"q{c}") for c in z_names]).collect()}
+    solved = None
+    swapped = False
+    if time:
+        sizes = cells.agg(F.count_distinct("e"), F.count_distinct("t")).first()
+        if min(sizes) > two_way.DENSE_LEVELS:
+            cells.unpersist()
+            return None
+        swapped = sizes[1] > sizes[0]
+        a, b = ("t", "e") if swapped else ("e", "t")
+        ab = cells.withColumnsRenamed({a: "a", b: "b"})
+        solved = two_way.solve(ab, K, S, swapped)
+        tables = solved[0].table.withColumn("s", F.lit(0))
+        for i in range(1, S):
+            tables = tables.unionByName(solved[i].table.withColumn("s", F.lit(i)))
+        off = two_way.offsets(ab, F.broadcast(tables), K)           # S x DENSE_LEVELS rows at most
+        levels, found = solved[0].levels, np.array([x.matrix for x in solved])
+        kind = z.schema[b].dataType.simpleString()
+        numbers = base.sparkSession.createDataFrame(list(zip(levels, range(len(levels)))), f"b {kind}, i int")
+        rows = z.withColumnsRenamed({a: "a", b: "b"}).join(F.broadcast(numbers), "b")
+    else:
+        off = two_way.group_means(cells.withColumnRenamed("e", "a"), K).select(
+            "s", "a", *[F.col(f"m{i}").alias(f"h{i}") for i in range(K)], F.lit(0.0).alias("rbar"))
+        found = np.zeros((S, 1, K + 1))
+        rows = z.withColumnRenamed("e", "a").withColumn("i", F.lit(0))
+
+    def weight(s: int) -> Column:
+        if not solved:
+            return F.lit(1.0 / facts[s].n)
+        w = solved[s].weight
+        return F.lit(w[0][1]) if w[0][0] is None else \
+            sum((F.when(F.col("a") == F.lit(p), x).otherwise(0.0) for p, x in w), F.lit(0.0))
+
+    # per level of a, every sample's offsets of the columns it uses, then u's part
+    wide = off.groupBy("a").agg(*[
+        F.first(F.when(F.col("s") == s, F.array(*[f"h{i}" for i in use[s]], (F.col("rbar") + weight(s)).alias("w"))),
+                ignorenulls=True).alias(f"o{s}") for s in range(S)])
+    wide = wide.select("a", *[F.coalesce(f"o{s}", F.array_repeat(F.lit(0.0), len(use[s]) + 1)).alias(f"o{s}")
+                              for s in range(S)]).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = rows.join(wide, "a").select("sig", "i", *z_names, *[f"o{s}" for s in range(S)])
+
+    def residuals(pdf, s):
+        """Two-way residuals of the columns sample s uses, and u, of its rows; the raw columns."""
+        ok = (pdf["sig"].to_numpy() >> s) & 1 == 1
+        raw = pdf[[z_names[j] for j in use[s]]].to_numpy(dtype=float)[ok]
+        if not len(raw):
+            return raw, raw, np.zeros(0)
+        i = pdf["i"].to_numpy()[ok]
+        o = np.stack(pdf[f"o{s}"].to_numpy()[ok])
+        return raw, raw - found[s][i][:, use[s]] - o[:, :-1], o[:, -1] - found[s][i, K]
+
+    tri = [np.triu_indices(len(u)) for u in use]
+
+    def gram(it):
+        acc = [np.zeros((len(u), len(u))) for u in use]
+        first = [np.zeros((2, len(u))) for u in use]
+        for pdf in it:
+            for s in range(S):
+                raw, d, _ = residuals(pdf, s)
+                acc[s] += d.T @ d
+                first[s] += [raw.sum(axis=0), (raw * raw).sum(axis=0)]
+        return np.concatenate([np.concatenate([x[t], f.ravel()]) for x, t, f in zip(acc, tri, first)])
+
+    flat = _summed(rows, gram, sum(len(t[0]) + 2 * len(u) for t, u in zip(tri, use)))
+    grams, totals, o = [], [], 0
+    for t, u in zip(tri, use):
+        m = np.zeros((K, K))
+        own_ = np.zeros((len(u), len(u)))
+        own_[t] = flat[o:o + len(t[0])]
+        m[np.ix_(u, u)] = own_ + np.triu(own_, 1).T
+        o += len(t[0])
+        tot = np.zeros((2, K))
+        tot[:, u] = flat[o:o + 2 * len(u)].reshape(2, -1)
+        o += 2 * len(u)
+        grams.append(m)
+        totals.append(tot)
+    total_ss = [t[1] - t[0] ** 2 / facts[s].n for s, t in enumerate(totals)]
+    plan, prelim = [], []
+    for (_, y, _), tidx, s in zip(specs, per_model, at):
+        yj = p_x + ys.index(y)
+        gxx = grams[s][np.ix_(tidx, tidx)]
+        kept = select_columns(gxx, list(range(len(tidx))), raw=total_ss[s][tidx])
+        b_ = np.linalg.solve(gxx[np.ix_(kept, kept)], grams[s][tidx, yj][kept]) if kept else np.zeros(0)
+        prelim.append((kept, yj))
+        plan.append((s, use[s].index(yj), [use[s].index(tidx[j]) for j in kept], b_))
+    meats: list = [None] * len(specs)
+    if vce == "robust":
+        mtri = [np.triu_indices(len(p[2]) + 1) for p in plan]
+
+        def meat(it):
+            acc = [np.zeros((len(p[2]) + 1, len(p[2]) + 1)) for p in plan]
+            for pdf in it:
+                seen: dict = {}
+                for m, (s, y_, xs, b_) in enumerate(plan):
+                    if s not in seen:
+                        seen[s] = residuals(pdf, s)
+                    _, d, u = seen[s]
+                    x = d[:, xs]
+                    w = np.hstack([x, u[:, None]]) * (d[:, y_] - x @ b_)[:, None]
+                    acc[m] += w.T @ w
+            return np.concatenate([x[t] for x, t in zip(acc, mtri)])
+
+        flat, o = _summed(rows, meat, sum(len(t[0]) for t in mtri)), 0
+        for m, t in enumerate(mtri):
+            q = np.zeros((len(plan[m][2]) + 1,) * 2)
+            q[t] = flat[o:o + len(t[0])]
+            o += len(t[0])
+            meats[m] = q + np.triu(q, 1).T
+    fits = []
+    for spec, tidx, s, (kept, yj), meat_ in zip(specs, per_model, at, prelim, meats):
+        n = int(facts[s].n)
+        mean = np.array([facts[s][c] for c in z_names], float) / n
+        if solved:
+            x = solved[s]
+            groups_, more, squares, means = x.groups, x.periods - x.components, x.squares, centres + x.means
+        else:
+            groups_, more, squares, means = int(facts[s].levels), 0, 1.0 / n, centres + mean
+        between = np.array([facts[s][f"q{c}"] for c in z_names], float) - n * mean ** 2
+        fits.append(_fitted(spec, tidx, yj, union, grams[s], means, kept, n, groups_, more, vce, meat_, 1.0, squares,
+                            total_ss[s], total_ss[s] - between, absorb, time, tests, True, None))
+    cells.unpersist()
+    wide.unpersist()
+    return fits
+
+
 def event_study(df: DataFrame, y: str, dummies: Sequence[str], absorb: str,
                 period: str | None = None, extra: Sequence[str] = (), vce: str = "robust",
                 event_times: Sequence[int] | None = None, level: float = 0.95,
@@ -725,8 +921,7 @@ def event_study(df: DataFrame, y: str, dummies: Sequence[str], absorb: str,
     series "diff" the difference of the group's path.
     """
     inter = [f"{d}#{group}" for d in dummies] if group else []
-    terms = list(dummies) + inter + list(extra) + ([f"i.{period}"] if period else [])
-    fit = areg(df, y, terms, absorb, vce, model_id)
+    fit = areg(df, y, list(dummies) + inter + list(extra), absorb, vce, model_id, time=period)
     rows = {r[2]: r for r in fit.table_rows(level)}
     path = []
     for series, names in (("base", list(dummies)), ("diff", inter)):

@@ -44,15 +44,17 @@ def test_shifts_change_neither_r2_nor_se(panel, absorb, vce):
         assert got.vcov[0, 0] == pytest.approx(want.vcov[0, 0], rel=1e-7)
 
 
-def test_grid_fits_once_per_distinct_sample(panel, monkeypatch):
+def test_grid_passes_do_not_grow_with_samples(panel, monkeypatch):
+    """One landed base, one Gram and one meat pass, however many listwise samples there are."""
     df = panel.withColumn("y1", F.when(F.col("t") > 0, F.col("y"))) \
         .withColumn("y2", F.when(F.col("t") < 8, F.col("y"))) \
         .withColumn("m1", F.col("e") % 2).withColumn("m2", F.col("e") % 3)
-    calls = []
-    plain = E.fit_many
-    monkeypatch.setattr(E, "fit_many", lambda d, specs, **k: calls.append(len(specs)) or plain(d, specs, **k))
+    landed, passes = [], []
+    cut, summed = E.cut_lineage, E._summed
+    monkeypatch.setattr(E, "cut_lineage", lambda *a, **k: landed.append(1) or cut(*a, **k))
+    monkeypatch.setattr(E, "_summed", lambda *a, **k: passes.append(1) or summed(*a, **k))
     fits = E.grid(df, ["y", "y1", "y2"], ["m1", "m2"], lambda o, m: ["x", f"x#{m}"], absorb="e")
-    assert sorted(calls) == [2, 2, 2] and len(fits) == 6
+    assert len(landed) == 1 and len(passes) == 2 and len(fits) == 6
     monkeypatch.undo()
     for f in fits:
         o, m = f.model_id.split("|")
