@@ -34,7 +34,9 @@ def to_number(col, ignore: Sequence[str] = (), dtype: str = "double") -> Column:
         c = F.translate(c, "".join(ignore), "")
     c = F.trim(c)
     # text such as "12d", "NaN" or "Infinity" would pass a cast
-    return F.when(c.rlike(NUMBER), c).try_cast(dtype)
+    number = F.when(c.rlike(NUMBER), c).try_cast(dtype)
+    # digits beyond the type's range become infinity in a cast: no number either
+    return F.when(F.abs(number) < F.lit(float("inf")), number) if dtype in ("double", "float") else number
 
 
 def coerce_numeric(df: DataFrame, cols: Iterable[str] | None = None,
@@ -202,7 +204,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence) -> Dat
     keys = list(keys)
     order = [_c(o) for o in order_by]
     rest = [n for n in df.columns if n not in keys]
-    packed = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)],
+    # a missing order value stands last, as in a sort
+    packed = F.struct(*[x for i, o in enumerate(order) for x in (o.isNull().alias(f"__m{i}"), o.alias(f"__o{i}"))],
                       *[F.col(n).alias(f"__v_{n}") for n in rest])
     out = df.groupBy(*keys).agg(F.min(packed).alias("__row"))
     return out.select(*keys, *[F.col(f"__row.__v_{n}").alias(n) for n in rest]).select(*df.columns)

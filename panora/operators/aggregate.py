@@ -131,11 +131,14 @@ def freq(df: DataFrame, cols: Sequence[str], name: str = "n") -> DataFrame:
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias(name))
 
 
-def crosstab(df: DataFrame, row: str, col: str, values: Sequence, name_template: str = "{v}") -> DataFrame:
-    """Two-way table in wide form; ``values`` of ``col`` are listed explicitly."""
-    out = df.groupBy(row).pivot(col, list(values)).agg(F.count(F.lit(1)))
-    out = out.withColumnsRenamed({str(v): name_template.format(v=v) for v in values})
-    return out.fillna(0)
+def crosstab(df: DataFrame, row: str, col: str, values: Sequence, name_template: str = "{v}",
+             rest: str = "raise") -> DataFrame:
+    """Two-way table in wide form; ``values`` of ``col`` are listed explicitly.  Rows with another value (or
+    NULL) raise, or with ``rest="cell"`` are counted in one more column, so that no row is lost."""
+    from panora.operators.reshape import REST, long_to_wide
+    ones = df.select(row, col, F.lit(1).cast("long").alias("__n"))
+    return long_to_wide(ones, [row], col, ["__n"], values, name_template.replace("{v}", "{level}"), "sum", rest).fillna(
+        0, subset=[name_template.format(v=v) for v in [*values, *([REST] if rest == "cell" else [])]])
 
 
 # --------------------------------------------------------------------------- A5
@@ -179,7 +182,7 @@ def per_unit(df: DataFrame, cols: Sequence[str], denom: str, template: str = "{c
 
 
 # --------------------------------------------------------------------------- A9
-def resample(df: DataFrame, entity: str | Sequence[str], date_col: str, to: str = "week",
+def resample(df: DataFrame, entity: str | Sequence[str], date_col: str, to: str = "year_week",
              mean: Sequence[str] = (), max: Sequence[str] = (), sum: Sequence[str] = (),
              period: str | None = None, extra_keys: Sequence[Column] = (),
              template: str = "{col}") -> DataFrame:
@@ -270,6 +273,20 @@ def collect_values(df: DataFrame, by, col: str, name: str | None = None,
     return df.groupBy(*_by(by)).agg((F.array_sort(agg) if sort else agg).alias(name or col))
 
 
+def collect_chunks(df: DataFrame, by, col: str, size: int, name: str | None = None, order: Sequence = ()) -> DataFrame:
+    """Values of ``col`` per group as arrays of at most ``size`` values: (by..., chunk, values).
+
+    For groups of any size: the rows are numbered in ``order`` (default: the value) over range parts, so
+    no task holds more than a chunk; the chunks in turn give :func:`collect_values`' list."""
+    from panora.operators.ordering import number_rows
+    by = _by(by)
+    given = df.select(*by, *dict.fromkeys([col, *[o for o in order if isinstance(o, str)]])).filter(F.col(col).isNotNull())
+    rows = number_rows(given, list(order) or [col], by, "__pos")
+    chunk = F.expr(f"CAST((__pos - 1) DIV {int(size)} AS INT)").alias("chunk")
+    pairs = F.array_sort(F.collect_list(F.struct("__pos", F.col(col).alias("v"))))
+    return rows.groupBy(*by, chunk).agg(pairs.alias("__l")).select(*by, "chunk", F.col("__l.v").alias(name or col))
+
+
 # --------------------------------------------------------------------------- A13
 def stacked_summary(df: DataFrame, flags: Mapping[str, Column], cols: Sequence[str],
                     fns: Mapping[str, object], tag: str = "subset",
@@ -305,7 +322,3 @@ def distinct_counts(df: DataFrame, key: str, flags: Mapping[str, Column] | None
               for name, cond in flags.items()]
     by = _by(by)
     return df.groupBy(*by).agg(*exprs) if by else df.agg(*exprs)
-
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -582,6 +582,23 @@ def fit_many(df: DataFrame, specs: Sequence[tuple[str, str, Sequence[str]]], abs
     return fits
 
 
+def _last_pivots(rows: np.ndarray) -> list[int]:
+    """The last places with a part in the rows, one per independent row: an echelon form from the right."""
+    pivots: list[int] = []
+    done: list[np.ndarray] = []
+    for row in rows:
+        size = np.abs(row).max(initial=0.0)
+        for r, p in zip(done, pivots):
+            row = row - row[p] * r
+        some = np.flatnonzero(np.abs(row) > 1e-9 * size)
+        if len(some):
+            row = row / row[some[-1]]
+            done = [r - r[some[-1]] * row for r in done]
+            pivots.append(int(some[-1]))
+            done.append(row)
+    return sorted(pivots)
+
+
 def _union(specs: Sequence[tuple], levels: dict) -> tuple[list[Term], list[list[int]]]:
     """Distinct terms of all models, and every model's places among them."""
     union: dict[Term, int] = {}
@@ -613,6 +630,28 @@ def _fit_sample(base: DataFrame, specs, absorb, vce, tests, report_cons, materia
         # each group contributes n_i * (1 / n_i) = 1 to the sum of __inv
         groups, more, unit, squares = int(round(sums[width])) if absorb else 1, 0, 1.0 / n, 1.0 / n
         means, within = centres + mean, np.diag(g)
+    held = [j for j in range(p_x) if design.solved and design.periods and g[j, j] <= NOISE_TOL * total_ss[j]
+            and within[j] > COLLINEAR_TOL * total_ss[j] and np.ptp([v[j] for _, v in design.periods]) > 0]
+    if held:
+        # terms that the period effects hold come before them: they stay, and for each a period has no
+        # effect of its own (joins the base period), in the models that have the term
+        for table in design.held:
+            table.unpersist()
+        fits: list = [None] * len(specs)
+        for own_held in dict.fromkeys(tuple(j for j in held if j in tidx) for tidx in per_model):
+            own = [i for i, tidx in enumerate(per_model) if tuple(j for j in held if j in tidx) == own_held]
+            joining = _last_pivots(np.array([[v[j] for _, v in design.periods] for j in own_held]))
+            values = [design.periods[i][0] for i in joining]
+            at = time if not values else f"__{time}"
+            here = base if not values else base.withColumn(at, F.when(
+                F.col(time).isin(values), F.lit(design.periods[0][0])).otherwise(F.col(time)))
+            for i, fit in zip(own, _fit_sample(here, [specs[i] for i in own], absorb, vce, tests, report_cons,
+                                               materialize, at)):
+                fit.time = time
+                if fit.effects is not None:
+                    fit.effects = sorted([*fit.effects, *((v, fit.effects[0][1]) for v in values)])
+                fits[i] = fit
+        return fits
     prelim = []
     for (_, y, _), tidx in zip(specs, per_model):
         gxx = g[np.ix_(tidx, tidx)]
@@ -860,6 +899,15 @@ def _fit_samples(base: DataFrame, groups: dict, kinds: list[int], absorb, vce, t
         grams.append(m)
         totals.append(tot)
     total_ss = [t[1] - t[0] ** 2 / ns[s] for s, t in enumerate(totals)]
+    # models with a term that the period effects hold are fitted on their own (see _fit_sample)
+    apart = [bool(solved) and any(grams[s][j, j] <= NOISE_TOL * total_ss[s][j] and total_ss[s][j] - between[s][j] >
+                                  COLLINEAR_TOL * total_ss[s][j] for j in tidx) for tidx, s in zip(per_model, at)]
+    singles: list[Fit] = []
+    for s in sorted({s for s, x in zip(at, apart) if x}):
+        own = [m for m, i, x in zip(specs, at, apart) if x and i == s]
+        here = base.filter(F.col("__sig").bitwiseAND(F.lit(1 << kinds[s])) != 0)
+        singles += _fit_sample(here, own, absorb, vce, tests, True, True, time)
+    specs, per_model, at = ([v for v, x in zip(vs, apart) if not x] for vs in (specs, per_model, at))
     plan, prelim = [], []
     for (_, y, _), tidx, s in zip(specs, per_model, at):
         yj = p_x + ys.index(y)
@@ -869,7 +917,7 @@ def _fit_samples(base: DataFrame, groups: dict, kinds: list[int], absorb, vce, t
         prelim.append((kept, yj))
         plan.append((s, use[s].index(yj), [use[s].index(tidx[j]) for j in kept], b_))
     meats: list = [None] * len(specs)
-    if vce == "robust":
+    if vce == "robust" and plan:
         mtri = [np.triu_indices(len(p[2]) + 1) for p in plan]
 
         def meat(it):
@@ -902,7 +950,7 @@ def _fit_samples(base: DataFrame, groups: dict, kinds: list[int], absorb, vce, t
                             total_ss[s], total_ss[s] - between[s], absorb, time, tests, True, None))
     cells.unpersist()
     wide.unpersist()
-    return fits
+    return fits + singles
 
 
 def event_study(df: DataFrame, y: str, dummies: Sequence[str], absorb: str,

@@ -93,21 +93,24 @@ def join(left: DataFrame, right: DataFrame, on, how: str = "inner",
 
 # --------------------------------------------------------------------------- J1
 def align(*frames: DataFrame, keys: Sequence[str], null_keys: str = MATCH,
-          unique: bool | None = None, check: bool = False) -> DataFrame:
-    """Natural full outer join chain of many tables on explicit ``keys``.
+          unique: bool | None = None, check: bool = False, drop_null: str | None = None) -> DataFrame:
+    """Natural full outer join chain of many tables on explicit ``keys``;
+    ``drop_null`` names a period column whose missing rows are dropped afterwards (M7).
 
     When each input is unique on ``keys`` (the panel case) the chain is
     rewritten as a union + one aggregation: a single shuffle on the key
     instead of n-1 sort-merge joins, null-safe because grouping treats NULLs
     as equal, and partial aggregation runs before the shuffle.  Non-key
     columns must be disjoint (M17).  By default the uniqueness is verified
-    inside that same aggregation (rows per source and key, the result is kept
-    persisted); inputs with repeated keys go through a null-safe full outer
+    inside that same aggregation (rows per source and key, the result is
+    landed); inputs with repeated keys go through a null-safe full outer
     join chain instead, which keeps the many-to-many fan-out, so no row is
     lost.  ``check=True`` raises there instead, ``unique=False`` takes the chain
     at once, ``unique=True`` skips the check (the caller vouches for it).
     """
     keys = list(keys)
+    if drop_null:
+        return drop_null_period(align(*frames, keys=keys, null_keys=null_keys, unique=unique, check=check), drop_null)
     _check_clash(frames, keys)
     if null_keys == DROP:
         frames = [_drop_null_keys(f, keys) for f in frames]
@@ -120,19 +123,24 @@ def align(*frames: DataFrame, keys: Sequence[str], null_keys: str = MATCH,
     aggs = [F.first(c, ignorenulls=True).alias(c) for c in values]
     if unique and not check:
         return stacked.groupBy(*keys).agg(*aggs)
-    from pyspark import StorageLevel
-    out = stacked.groupBy(*keys).agg(
-        *aggs, *[F.count_if(F.col("__src") == i).alias(f"__n{i}") for i in range(len(frames))])
-    out = out.persist(StorageLevel.MEMORY_AND_DISK)
+    from panora.sources.writers import cut_lineage, drop_scratch
+    # landed: read by the check and by the caller, and no cached copy is left behind
+    out = cut_lineage(stacked.groupBy(*keys).agg(
+        *aggs, *[F.count_if(F.col("__src") == i).alias(f"__n{i}") for i in range(len(frames))]), how="parquet")
     dup = out.filter(reduce(lambda a, b: a | b, [F.col(f"__n{i}") > 1 for i in range(len(frames))]))
     if dup.limit(1).count():
-        out.unpersist()
+        drop_scratch(out)
         if not check:
             return chain()
         raise ValueError(f"align: an input is not unique on {keys}; use unique=False")
     return out.drop(*[f"__n{i}" for i in range(len(frames))])
 
 
+def drop_null_period(df: DataFrame, period: str) -> DataFrame:
+    """M7: rows that a full join of entity attributes left without a period are dropped."""
+    return df.filter(F.col(period).isNotNull())
+
+
 # --------------------------------------------------------------------------- J3
 def lookup(df: DataFrame, dim: DataFrame, on, right_on=None, cols: Sequence[str] | None = None,
            broadcast: bool | None = None, null_keys: str = MATCH) -> DataFrame:
@@ -248,30 +256,11 @@ def merge_mm(left: DataFrame, right: DataFrame, key: str, order_left: Sequence,
 
 
 def _position(df: DataFrame, key: str, order: Sequence, pos: str) -> DataFrame:
-    """Row position inside each key under an explicit order.
-
-    With a single numeric order column the position comes from the
-    distributed rank route (exact rank range of each order value within the
-    key, ties numbered inside their own small (key, value) group), so one huge
-    key is not numbered in a single task.  Otherwise a window over the key.
-    """
-    from pyspark.sql import Window
-    numeric = ("int", "bigint", "double", "float", "smallint", "tinyint", "date", "timestamp",
-               "timestamp_ntz")
-    if len(order) == 1 and isinstance(order[0], str) and dict(df.dtypes).get(order[0]) in numeric[:6]:
-        from panora.operators.quantiles import rank_ranges
-        o = order[0]
-        rr = rank_ranges(df, o, [key], method="auto").select(key, o, "__lo")
-        given = df.groupBy(key).agg(F.count(o).alias("__given"))
-        rest = [c for c in df.columns if c not in (key, o)]
-        tie = Window.partitionBy(key, o).orderBy(*rest) if rest else Window.partitionBy(key, o).orderBy(o)
-        # rows without an order value stand last
-        return (attach(attach(df, rr, [key, o]), given, [key])
-                .withColumn("__lo", F.coalesce("__lo", F.col("__given") + 1))
-                .withColumn(pos, (F.col("__lo") + F.row_number().over(tie) - 1).cast("int"))
-                .drop("__lo", "__given").select(*df.columns, pos))
-    order = [F.col(o).asc_nulls_last() if isinstance(o, str) else o for o in order]
-    return df.withColumn(pos, F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    """Row position inside each key under an explicit order of any type, numbered over range
+    parts: neither a huge key nor many rows of one order value are numbered in one task."""
+    from panora.operators.ordering import number_rows
+    rest = [c for c in df.columns if c != key and c not in order]
+    return number_rows(df, [*order, *rest], [key], pos).withColumn(pos, F.col(pos).cast("int"))
 
 
 # --------------------------------------------------------------------------- J10
@@ -329,30 +318,80 @@ def coverage_flags(universe: DataFrame, sources: Mapping[str, DataFrame], key: s
 
 
 # --------------------------------------------------------------------------- J13
+DATES = ("date", "timestamp", "timestamp_ntz")
+MONTHS = {"month": 1, "quarter": 3, "year": 12}
+
+
+def frequency(df: DataFrame, time: str) -> str:
+    """The widest calendar step that holds every date of the column: year, quarter, month (dates alike in
+    their day, or all month ends), week or day.  One aggregation."""
+    day = F.to_date(time)
+    month = F.year(day) * 12 + F.month(day)
+    r = df.select(day.alias("d"), month.alias("m"), F.day(day).alias("k"), F.last_day(day).alias("l")).agg(
+        (F.min("k") == F.max("k")).alias("same"), F.bool_and(F.col("d") == F.col("l")).alias("ends"),
+        F.min("m").alias("m0"), F.max("m").alias("m1"), F.min(F.pmod("m", F.lit(12))) == F.max(F.pmod("m", F.lit(12))),
+        F.min(F.pmod("m", F.lit(3))) == F.max(F.pmod("m", F.lit(3))),
+        F.min(F.pmod(F.unix_date("d"), F.lit(7))) == F.max(F.pmod(F.unix_date("d"), F.lit(7)))).first()
+    if r.m0 is not None and r.m0 < r.m1 and (r.same or r.ends):
+        return "year" if r[4] else "quarter" if r[5] else "month"
+    return "week" if r[6] else "day"
+
+
+def _grid(lo: Column, hi: Column, step: int, freq: str | None) -> Column:
+    """The periods from ``lo`` to ``hi``: numbers by ``step``, dates by ``step`` calendar units."""
+    if freq is None:
+        return F.sequence(lo, hi, F.lit(step))
+    if freq in ("day", "week"):
+        return F.sequence(lo, hi, F.expr(f"INTERVAL {step * (7 if freq == 'week' else 1)} DAYS"))
+    by = step * MONTHS[freq]
+    span = ((F.year(hi) * 12 + F.month(hi) - F.year(lo) * 12 - F.month(lo)) / F.lit(by)).cast("int")
+    ends = (F.to_date(lo) == F.last_day(lo)) & (F.to_date(hi) == F.last_day(hi))
+
+    def period(i: Column) -> Column:
+        at = F.add_months(lo, i * by)
+        return F.when(ends, F.last_day(at)).otherwise(at)
+    return F.filter(F.transform(F.sequence(F.lit(0), span), period), lambda d: d <= F.to_date(hi))
+
+
 def balance(df: DataFrame, entity: str, time: str, step: int = 1,
-            span: str = "global") -> DataFrame:
+            span: str = "global", freq: str | None = None) -> DataFrame:
     """Balanced panel skeleton: every entity x every period of the time range.
 
     The time range is a scalar subquery (min, max over the panel); periods are
     generated per entity with ``sequence`` + ``explode``, so no join is
     needed.  ``span="entity"`` uses each entity's own first..last period.
+    Dates step by ``freq`` (day, week, month, quarter, year; by default the widest that holds
+    all of them, :func:`frequency`), numbers by ``step``.
     """
-    dated = dict(df.dtypes)[time] in ("date", "timestamp", "timestamp_ntz")
-    by = F.expr(f"INTERVAL {int(step)} DAYS") if dated else F.lit(step)
+    kind = dict(df.dtypes)[time]
+    if kind in DATES:
+        freq = freq or frequency(df, time)
     if span == "entity":
-        rng = df.groupBy(entity).agg(F.min(time).alias("__lo"), F.max(time).alias("__hi"))
-        return rng.select(entity, F.explode(F.sequence("__lo", "__hi", by)).alias(time))
-    lo = df.select(F.min(time)).scalar()
-    hi = df.select(F.max(time)).scalar()
-    ents = df.select(entity).distinct()
-    return ents.select(entity, F.explode(F.sequence(lo, hi, by)).alias(time))
+        rng = df.groupBy(entity).agg(F.min(time).alias("__lo"), F.max(time).alias("__hi")).filter(F.col("__lo").isNotNull())
+        out = rng.select(entity, F.explode(_grid(F.col("__lo"), F.col("__hi"), step, freq)).alias(time))
+    else:
+        lo, hi = df.select(F.min(time)).scalar(), df.select(F.max(time)).scalar()
+        out = df.select(entity).distinct().withColumns({"__lo": lo, "__hi": hi}).filter(F.col("__lo").isNotNull()).select(
+            entity, F.explode(_grid(F.col("__lo"), F.col("__hi"), step, freq)).alias(time))
+    return out.withColumn(time, F.col(time).cast(kind))
 
 
 def fill_balanced(df: DataFrame, entity: str, time: str, fill: Mapping[str, object] | None = None,
-                  step: int = 1) -> DataFrame:
-    """Left join the panel onto its balanced skeleton, optionally filling gaps."""
-    out = attach(balance(df, entity, time, step), df, [entity, time])
-    return out.fillna(dict(fill)) if fill else out
+                  step: int = 1, freq: str | None = None, status: str | None = None) -> DataFrame:
+    """The panel on its balanced skeleton, optionally filling gaps.
+
+    Rows off the grid (or without a period) are kept as they are, after the skeleton's.  ``status`` names a column
+    that tells 1 a gap of the panel, 2 a row off the grid, 3 a row on it.
+    """
+    grid = balance(df, entity, time, step, freq=freq)
+    own = df.withColumn("__there", F.lit(3))
+    out = attach(grid, own, [entity, time])
+    if fill:
+        out = out.fillna(dict(fill))
+    off = attach(df, grid, [entity, time], "left_anti").withColumn("__there", F.lit(2))
+    out = out.unionByName(off.select(*out.columns)).withColumn("__there", F.coalesce("__there", F.lit(1)))
+    out = out.select(*df.columns, "__there")
+    return out.withColumnRenamed("__there", status) if status else out.drop("__there")
 
 
 # --------------------------------------------------------------------------- J14

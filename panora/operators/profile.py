@@ -1,24 +1,24 @@
 """Profiling and descriptive statistics (inventory D1-D15).
 
-Each statistic is one wide aggregation over all requested columns (one
-scan), then unpivoted to long ``(variable, stat...)`` rows.  Order statistics
-use ``percentile`` / ``percentile_disc``; these keep a value -> count map per
-group and merge partially, so their memory grows with the number of distinct
-values, not rows.  Exact ranks (Spearman) come from a distributed prefix sum
+Moments are one wide aggregation over all requested columns (one scan), then
+unpivoted to long ``(variable, stat...)`` rows.  Whatever needs order (full describe,
+codebook, six numbers) reads one table of value counts of all columns together
+(:func:`value_counts`): one scan, one shuffle, running counts per variable.
+Exact ranks (Spearman) come from a distributed prefix sum
 over the distinct-value table, never from an un-partitioned window over rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panora.functions.dist import t_sf2
 from panora.operators.nullsafe import attach
-from panora.operators.aggregate import MAD_SCALE, percentile_disc
+from panora.operators.aggregate import MAD_SCALE
+from panora.sources.writers import cut_lineage
 
 
 def _long(wide: DataFrame, cols: Sequence[str], stats: Sequence[str],
@@ -33,52 +33,84 @@ def _long(wide: DataFrame, cols: Sequence[str], stats: Sequence[str],
     return wide.select(F.inline(F.array(*rows)))
 
 
-def _order_stat_plan(n: int, probs: Sequence[float]) -> list[tuple[int, ...]]:
-    """Stata percentile rule: P = n p; integer -> mean(x[P], x[P+1]) else x[ceil P]."""
-    plan = []
-    for p in probs:
-        num = round(p * 1_000_000)
-        if (n * num) % 1_000_000 == 0:
-            r = n * num // 1_000_000
-            plan.append((max(r, 1), min(r + 1, n)))
-        else:
-            plan.append((min(-(-n * num // 1_000_000), n),))
-    return plan
+def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(variable, x, w, c), landed: how often every column has every value, NULL included.
+
+    The columns are unpivoted, so one scan and one shuffle serve all of them; ``x`` is the value
+    as a double, ``w`` keeps whole numbers exact."""
+    whole = {c for c, t in df.dtypes if t in ("int", "bigint", "smallint", "tinyint")}
+    pairs = [F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("x"),
+                      (F.col(c).cast("long") if c in whole else F.lit(None).cast("long")).alias("w")) for c in cols]
+    long = df.select(F.inline(F.array(*pairs)))
+    return cut_lineage(long.groupBy("variable", "x", "w").agg(F.count(F.lit(1)).alias("c")), how="parquet")
+
+
+def _ranked(counts: DataFrame, method: str) -> DataFrame:
+    """(variable, x, lo, hi, n): the exact rank range of every value and the variable's size."""
+    from panora.operators.quantiles import MAP_MAX_DISTINCT, ranges_of_counts
+    some = counts.filter(F.col("x").isNotNull()).withColumnRenamed("c", "__c")
+    sizes = some.groupBy("variable").agg(F.sum("__c").alias("n"), F.count(F.lit(1)).alias("values"))
+    small = method == "map"
+    if method == "auto":
+        small = (sizes.agg(F.max("values")).first()[0] or 0) <= MAP_MAX_DISTINCT
+    r = ranges_of_counts(some, ["variable"], "x", small)
+    return r.join(F.broadcast(sizes.drop("values")), "variable").select(      # one row per column
+        "variable", "x", F.col("__lo").alias("lo"), F.col("__hi").alias("hi"), "n")
+
+
+def _at(rank: Column) -> Column:
+    """The value at a rank (an aggregate over a variable's ranked values)."""
+    return F.max(F.when((F.col("lo") <= rank) & (rank <= F.col("hi")), F.col("x")))
+
+
+def _median() -> Column:
+    n = F.col("n")
+    return (_at(F.floor((n + 1) / 2)) + _at(F.floor(n / 2) + 1)) / 2
+
+
+def _stata_percentile(p: float) -> Column:
+    """P = n p; whole -> mean(x[P], x[P+1]), else x[ceil P]."""
+    num, one = round(p * 1_000_000), 1_000_000
+    scaled = F.col("n") * num
+    exact = scaled % one == 0
+    at = F.when(exact, (scaled / one).cast("long")).otherwise(F.ceil(scaled / one))
+    return (_at(F.greatest(at, F.lit(1))) + _at(F.least(F.when(exact, at + 1).otherwise(at), F.col("n")))) / 2
 
 
 def stata_percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                       method: str = "auto") -> dict:
-    """Stata-rule percentiles of several columns; only scalars reach the driver."""
-    from panora.operators.quantiles import stata_cuts_lazy, use_map
-    if not use_map(df, cols, (), method):
-        fr = [(round(p * 1_000_000), 1_000_000) for p in probs]
-        out = {}
-        for c in cols:
-            row = stata_cuts_lazy(df, c, fr).first()
-            out[c] = [None if row is None else row[f"c{j}_{k}"] for j, k in fr]
-        return out
-    ns = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first().asDict()
-    exprs, plans = [], {}
-    for c in cols:
-        n = ns[c]
-        if not n:
-            plans[c] = None
-            continue
-        plans[c] = _order_stat_plan(n, probs)
-        for r in sorted({r for p in plans[c] for r in p}):
-            exprs.append(percentile_disc(c, (r - 0.5) / n).alias(f"{c}__r{r}"))
-    row = df.agg(*exprs).first().asDict() if exprs else {}
-    out = {}
-    for c in cols:
-        if plans[c] is None:
-            out[c] = [None] * len(probs)
-            continue
-        vals = []
-        for p in plans[c]:
-            v = [row[f"{c}__r{r}"] for r in p]
-            vals.append(sum(float(x) for x in v) / len(v))
-        out[c] = vals
-    return out
+    """Stata-rule percentiles of several columns; only these reach the driver."""
+    counts = value_counts(df, cols)
+    rows = _ranked(counts, method).groupBy("variable").agg(*[_stata_percentile(p) for p in probs]).collect()
+    return {**{c: [None] * len(probs) for c in cols}, **{r[0]: list(r[1:]) for r in rows}}
+
+
+def _type7(p: float) -> Column:
+    h = (F.col("n") - 1) * F.lit(p) + 1
+    lower = F.floor(h)
+    return _at(lower) + F.max(h - lower) * (_at(F.least(lower + 1, F.col("n"))) - _at(lower))
+
+
+def _moments(counts: DataFrame) -> DataFrame:
+    """(variable, total, n, values, mean, min, max, m2, m3, m4): sums of powers about the mean."""
+    x, c = F.col("x"), F.col("c")
+    some = F.when(x.isNotNull(), c)
+    first = counts.groupBy("variable").agg(
+        F.sum("c").alias("total"), F.coalesce(F.sum(some), F.lit(0)).alias("n"), F.count("x").alias("values"),
+        F.try_divide(F.sum(x * c), F.sum(some)).alias("mean"), F.min("x").alias("min"), F.max("x").alias("max"))
+    d = x - F.col("mean")
+    powers = counts.join(F.broadcast(first.select("variable", "mean")), "variable").groupBy("variable").agg(
+        *[F.sum(c * F.pow(d, F.lit(k))).alias(f"m{k}") for k in (2, 3, 4)])
+    return first.join(powers, "variable")
+
+
+def _sd() -> Column:
+    return F.sqrt(F.try_divide(F.col("m2"), F.when(F.col("n") > 1, F.col("n") - 1)))
+
+
+def _variables(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    types = dict(df.dtypes)
+    return df.sparkSession.createDataFrame([(c, types[c]) for c in cols], "variable string, type string")
 
 
 # --------------------------------------------------------------------------- D1
@@ -88,9 +120,7 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, fast: bool = True
     mean, mad, skew, kurtosis when ``fast=False``; skew/kurtosis are psych's
     type 3: m3/s^3 and m4/s^4 - 3 with the sample sd s).
 
-    Full mode runs three aggregations over all columns together: moments;
-    order statistics (median, and the two exact cut values of the trimmed
-    mean); then the MAD and the trimmed sums.  Only scalars reach the driver.
+    Full mode reads one table of value counts of all columns (:func:`value_counts`).
     """
     cols = list(cols or [c for c, t in df.dtypes if t in ("int", "bigint", "double", "float",
                                                           "smallint", "tinyint")])
@@ -100,71 +130,28 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, fast: bool = True
         ex += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"),
                F.stddev_samp(x).alias(f"{c}__sd"), F.min(x).cast("double").alias(f"{c}__min"),
                F.max(x).cast("double").alias(f"{c}__max")]
-        if not fast:
-            ex += [F.skewness(x).alias(f"{c}__g1"), F.kurtosis(x).alias(f"{c}__g2")]
-    wide = df.agg(*ex)
     if fast:
-        long = _long(wide, cols, ["n", "mean", "sd", "min", "max"])
+        long = _long(df.agg(*ex), cols, ["n", "mean", "sd", "min", "max"])
         long = long.withColumns({"range": F.col("max") - F.col("min"),
                                  "se": F.col("sd") / F.sqrt(F.col("n"))})
         return long.select("variable", "n", "mean", "sd", "min", "max", "range", "se")
-    m = wide.first().asDict()
-    spark = df.sparkSession
-    # order statistics: median and trimmed-mean cut values x[k+1], x[n-k]
-    from panora.operators.quantiles import median_table, order_values, use_map
-    ks = {c: int(m[f"{c}__n"] * trim) for c in cols if m[f"{c}__n"]}
-    small = use_map(df, list(ks), (), method) if ks else True
-    o, t = {}, {}
-    if small:
-        ex2 = []
-        for c, k in ks.items():
-            n = m[f"{c}__n"]
-            ex2 += [F.median(c).alias(f"{c}__median"),
-                    percentile_disc(c, (k + 0.5) / n).alias(f"{c}__a"),
-                    percentile_disc(c, (n - k - 0.5) / n).alias(f"{c}__b")]
-        o = df.agg(*ex2).first().asDict() if ex2 else {}
-    else:
-        for c, k in ks.items():
-            n = m[f"{c}__n"]
-            r = order_values(df, c, {"lo": lambda n_: F.floor((n_ + 1) / 2), "hi": lambda n_: F.floor(n_ / 2) + 1,
-                                     "a": lambda n_, k=k: F.lit(k + 1), "b": lambda n_, k=k, n=n: F.lit(n - k)}).first()
-            o[f"{c}__median"] = (float(r["lo"]) + float(r["hi"])) / 2.0
-            o[f"{c}__a"], o[f"{c}__b"] = r["a"], r["b"]
-    # MAD and trimmed sums in one pass (MAD by the distributed route when large)
-    ex3 = []
-    for c in ks:
-        x = F.col(c)
-        med, a, b = F.lit(float(o[f"{c}__median"])), F.lit(float(o[f"{c}__a"])), F.lit(float(o[f"{c}__b"]))
-        if small:
-            ex3.append(F.median(F.abs(x - med)).alias(f"{c}__mad"))
-        ex3 += [F.coalesce(F.sum(F.when((x > a) & (x < b), x)), F.lit(0.0)).alias(f"{c}__mid"),
-                F.count_if(x <= a).alias(f"{c}__le_a"), F.count_if(x >= b).alias(f"{c}__ge_b")]
-    t = df.agg(*ex3).first().asDict() if ex3 else {}
-    if not small:
-        for c in ks:
-            dev = df.select(F.abs(F.col(c) - F.lit(float(o[f"{c}__median"]))).alias("__dev"))
-            t[f"{c}__mad"] = median_table(dev, "__dev", (), "__m", "distributed").first()["__m"]
-    rows = []
-    for c in cols:
-        n = m[f"{c}__n"]
-        if c not in ks:
-            rows.append((c, n) + (None,) * 11)
-            continue
-        k = ks[c]
-        a, b = float(o[f"{c}__a"]), float(o[f"{c}__b"])
-        trimmed = a if a == b else (t[f"{c}__mid"] + a * (t[f"{c}__le_a"] - k)
-                                    + b * (t[f"{c}__ge_b"] - k)) / (n - 2 * k)
-        adj = (n - 1) / n
-        g1, g2 = m[f"{c}__g1"], m[f"{c}__g2"]
-        rows.append((c, n, m[f"{c}__mean"], m[f"{c}__sd"], float(o[f"{c}__median"]), float(trimmed),
-                     MAD_SCALE * float(t[f"{c}__mad"]), m[f"{c}__min"], m[f"{c}__max"],
-                     m[f"{c}__max"] - m[f"{c}__min"],
-                     None if g1 is None else g1 * adj ** 1.5,
-                     None if g2 is None else (g2 + 3) * adj ** 2 - 3,
-                     None if m[f"{c}__sd"] is None else m[f"{c}__sd"] / n ** 0.5))
-    return spark.createDataFrame(rows, "variable string, n long, mean double, sd double, median double, "
-                                       "trimmed double, mad double, min double, max double, range double, "
-                                       "skew double, kurtosis double, se double")
+    counts = value_counts(df, cols)
+    ranked = _ranked(counts, method)
+    k = F.floor(F.col("n") * F.lit(trim))
+    inner = F.greatest(F.least(F.col("hi"), F.col("n") - k) - F.greatest(F.col("lo"), k + 1) + 1, F.lit(0))
+    order = ranked.groupBy("variable").agg(_median().alias("median"), F.try_divide(
+        F.sum(F.col("x") * inner), F.max(F.col("n") - 2 * k)).alias("trimmed"))
+    off = counts.filter(F.col("x").isNotNull()).join(F.broadcast(order), "variable").groupBy(
+        "variable", F.abs(F.col("x") - F.col("median")).alias("x")).agg(F.sum("c").alias("c"))
+    mad = _ranked(off, method).groupBy("variable").agg((_median() * MAD_SCALE).alias("mad"))
+    sd, n = F.col("sd"), F.col("n")
+    out = (_variables(df, cols).join(_moments(counts).join(order, "variable", "left").join(mad, "variable", "left"), "variable", "left")
+           .withColumn("sd", _sd()))
+    return out.select("variable", F.coalesce("n", F.lit(0)).alias("n"), "mean", "sd", "median", "trimmed", "mad", "min", "max",
+                      (F.col("max") - F.col("min")).alias("range"),
+                      F.try_divide(F.col("m3") / n, F.pow(sd, F.lit(3))).alias("skew"),
+                      (F.try_divide(F.col("m4") / n, F.pow(sd, F.lit(4))) - 3).alias("kurtosis"),
+                      (sd / F.sqrt(n)).alias("se"))
 
 
 def trimmed_means(df: DataFrame, cols: Sequence[str], trim: float = 0.1) -> DataFrame:
@@ -177,32 +164,20 @@ def trimmed_means(df: DataFrame, cols: Sequence[str], trim: float = 0.1) -> Data
 CODEBOOK_PROBS = (0.10, 0.25, 0.50, 0.75, 0.90)
 
 
-def codebook(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def codebook(df: DataFrame, cols: Sequence[str] | None = None, method: str = "auto") -> DataFrame:
     """Stata ``codebook``: type, range, distinct, missing/total, mean, sd, p10-p90.
 
-    Percentiles use Stata's rule (see :func:`stata_percentiles`).
+    All of it from one table of value counts of all columns; percentiles by Stata's rule.
     """
     cols = list(cols or [c for c, t in df.dtypes if t in ("int", "bigint", "double")])
-    types = dict(df.dtypes)
-    ex = [F.count(F.lit(1)).alias("__total")]
-    for c in cols:
-        x = F.col(c)
-        ex += [F.min(x).cast("double").alias(f"{c}__min"), F.max(x).cast("double").alias(f"{c}__max"),
-               F.count_distinct(x).alias(f"{c}__n_distinct"),
-               (F.count(F.lit(1)) - F.count(x)).alias(f"{c}__n_missing"),
-               F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__sd")]
-    wide = df.agg(*ex)
-    long = wide.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("variable"), F.lit(types[c]).alias("type"),
-                 *[F.col(f"{c}__{s}").alias(s) for s in
-                   ("min", "max", "n_distinct", "n_missing", "mean", "sd")],
-                 F.col("__total").alias("n_total")) for c in cols])))
-    pct = stata_percentiles(df, cols, CODEBOOK_PROBS)
-    spark = df.sparkSession
-    prow = spark.createDataFrame(
-        [(c, *[None if v is None else float(v) for v in pct[c]]) for c in cols],
-        "variable string, p10 double, p25 double, p50 double, p75 double, p90 double")
-    return long.join(prow, "variable")
+    counts = value_counts(df, cols)
+    pct = _ranked(counts, method).groupBy("variable").agg(
+        *[_stata_percentile(p).alias(f"p{round(p * 100)}") for p in CODEBOOK_PROBS])
+    out = _variables(df, cols).join(_moments(counts).join(pct, "variable", "left"), "variable", "left")
+    zero = F.lit(0)
+    return out.select("variable", "type", "min", "max", F.coalesce("values", zero).alias("n_distinct"),
+                      F.coalesce(F.col("total") - F.col("n"), zero).alias("n_missing"), "mean", _sd().alias("sd"),
+                      F.coalesce("total", zero).alias("n_total"), *[f"p{round(p * 100)}" for p in CODEBOOK_PROBS])
 
 
 # --------------------------------------------------------------------------- D3
@@ -236,29 +211,15 @@ def summarize(df: DataFrame, cols: Sequence[str], weight: str | None = None) ->
 
 # --------------------------------------------------------------------------- D4
 def six_number(df: DataFrame, cols: Sequence[str], method: str = "auto") -> DataFrame:
-    """R ``summary``: min, q1, median, mean, q3, max (type-7 quantiles) + NA count.
-
-    Quartiles come from Spark's exact ``percentile`` (map route) or, for
-    columns with very many distinct values, from the distributed rank route.
-    """
-    from panora.operators.quantiles import type7_quantiles, use_map
-    small = use_map(df, cols, (), method)
-    ex = []
-    for c in cols:
-        x = F.col(c)
-        ex += [F.min(x).cast("double").alias(f"{c}__min"), F.avg(x).alias(f"{c}__mean"),
-               F.max(x).cast("double").alias(f"{c}__max"),
-               (F.count(F.lit(1)) - F.count(x)).alias(f"{c}__n_na")]
-        if small:
-            q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-            ex += [F.get(q, 0).alias(f"{c}__q1"), F.get(q, 1).alias(f"{c}__median"),
-                   F.get(q, 2).alias(f"{c}__q3")]
-    wide = df.agg(*ex)
-    if not small:
-        for c in cols:
-            qs = type7_quantiles(df, c, [0.25, 0.5, 0.75], names=[f"{c}__q1", f"{c}__median", f"{c}__q3"])
-            wide = wide.withColumns({n: qs.select(n).scalar() for n in qs.columns})
-    return _long(wide, cols, ["min", "q1", "median", "mean", "q3", "max", "n_na"])
+    """R ``summary``: min, q1, median, mean, q3, max (type-7 quantiles) + NA count, from one
+    table of value counts of all columns."""
+    cols = list(cols)
+    counts = value_counts(df, cols)
+    order = _ranked(counts, method).groupBy("variable").agg(
+        *[_type7(p).alias(c) for c, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))])
+    out = _variables(df, cols).join(_moments(counts).join(order, "variable", "left"), "variable", "left")
+    return out.select("variable", "min", "q1", "median", "mean", "q3", "max",
+                      F.coalesce(F.col("total") - F.col("n"), F.lit(0)).alias("n_na"))
 
 
 # --------------------------------------------------------------------------- D5
@@ -356,7 +317,9 @@ def pearson(df: DataFrame, cols: Sequence[str], names: Sequence[str] | None = No
     d = df.select(*cols).dropna() if listwise else df
     pairs = [(i, j) for i in range(len(cols)) for j in range(len(cols))]
     ex = [F.count(F.lit(1)).alias("__n")]
-    ex += [F.corr(cols[i], cols[j]).alias(f"__r{i}_{j}") for i, j in pairs if i < j]
+    # a column without variation has no correlation
+    ex += [F.try_divide(F.covar_samp(cols[i], cols[j]), F.stddev_samp(cols[i]) * F.stddev_samp(cols[j])).alias(f"__r{i}_{j}")
+           for i, j in pairs if i < j]
     wide = d.agg(*ex)
     rows = []
     for i, j in pairs:
@@ -381,22 +344,26 @@ def pearson(df: DataFrame, cols: Sequence[str], names: Sequence[str] | None = No
 # --------------------------------------------------------------------------- D9
 def histogram(df: DataFrame, col: str, width: float | None = None, bins: int = 30,
               log: bool = False, by: Sequence[str] = ()) -> DataFrame:
-    """Fixed-width bins from the minimum: (bin, lo, hi, n)."""
-    x = F.log1p(F.col(col)) if log else F.col(col)
+    """Fixed-width bins from the smallest finite value: (bin, lo, hi, n).  Infinite values and NaN
+    have rows of their own, without a bin number, whose borders are the value."""
+    x = (F.log1p(F.col(col)) if log else F.col(col)).cast("double")
     d = df.select(*by, x.alias("__x")).where(F.col("__x").isNotNull())
-    lo = d.select(F.min("__x")).scalar()
+    finite = F.abs(F.col("__x")) < F.lit(float("inf"))
+    known = d.filter(finite)
+    lo = known.select(F.min("__x")).scalar()
     if width is None:
-        hi = d.select(F.max("__x")).scalar()
+        hi = known.select(F.max("__x")).scalar()
         w = F.when(hi > lo, (hi - lo) / F.lit(bins)).otherwise(F.lit(1.0))
         b = F.least(F.floor((F.col("__x") - lo) / w), F.lit(bins - 1))
     else:
         w = F.lit(float(width))
         b = F.floor((F.col("__x") - lo) / w)
-    g = d.select(*by, b.cast("int").alias("bin"), lo.alias("__lo"), w.alias("__w"))
-    return g.groupBy(*by, "bin").agg(
-        (F.first("__lo") + F.col("bin") * F.first("__w")).alias("lo"),
-        (F.first("__lo") + (F.col("bin") + 1) * F.first("__w")).alias("hi"),
-        F.count(F.lit(1)).alias("n"))
+    g = d.select(*by, F.when(finite, b).cast("int").alias("bin"), F.when(~finite, F.col("__x")).alias("__odd"),
+                 lo.alias("__lo"), w.alias("__w"))
+    return g.groupBy(*by, "bin", "__odd").agg(
+        F.coalesce(F.first("__lo") + F.col("bin") * F.first("__w"), F.col("__odd")).alias("lo"),
+        F.coalesce(F.first("__lo") + (F.col("bin") + 1) * F.first("__w"), F.col("__odd")).alias("hi"),
+        F.count(F.lit(1)).alias("n")).drop("__odd")
 
 
 # --------------------------------------------------------------------------- D10
@@ -445,37 +412,60 @@ def panel_structure(df: DataFrame, entity: str, time: str) -> DataFrame:
                            (F.col("max_ti") == F.col("n_periods"))).cast("int"))
 
 
+WORD_BITS = 62
+
+
 def participation_patterns(df: DataFrame, entity: str, time: str) -> DataFrame:
-    """Participation patterns: '1' present / '.' absent over the period range."""
-    lo, hi = df.agg(F.min(time), F.max(time)).first()  # two scalars
-    per = df.groupBy(entity).agg(F.collect_set(time).alias("__s"))
-    pat = F.array_join(F.transform(F.sequence(F.lit(lo), F.lit(hi)),
-                                   lambda t: F.when(F.array_contains("__s", t), "1").otherwise(".")), "")
-    return per.select(pat.alias("pattern")).groupBy("pattern").agg(
+    """Participation patterns: '1' present / '.' absent over the period range (numbers or dates; rows without a
+    period do not count).
+
+    An entity's periods are bits, ``WORD_BITS`` to a word, set by ``bit_or`` per (entity, word): a partial
+    aggregate of fixed size however many rows an entity has.  The pattern is the entity's words in order.
+    """
+    dated = dict(df.dtypes)[time] in ("date", "timestamp", "timestamp_ntz")
+    at = F.unix_date(F.to_date(time)).cast("long") if dated else F.col(time).cast("long")
+    d = df.select(F.col(entity).alias("e"), at.alias("t")).filter(F.col("t").isNotNull())
+    lo, hi = d.select(F.min("t")).scalar(), d.select(F.max("t")).scalar()
+    word = F.floor((F.col("t") - lo) / WORD_BITS)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.col("t") - lo, F.lit(WORD_BITS)).cast("int"))
+    words = d.groupBy("e", word.cast("int").alias("w")).agg(F.bit_or(bit).alias("b"))
+    # per entity at most (range / WORD_BITS) words
+    per = words.groupBy("e").agg(F.map_from_entries(F.collect_list(F.struct("w", "b"))).alias("m"))
+    per = per.withColumn("span", (hi - lo + 1).cast("int"))
+
+    def shown(w: Column) -> Column:
+        bits = F.bin(F.coalesce(F.element_at("m", w), F.lit(0).cast("long")))
+        return F.translate(F.reverse(F.lpad(bits, WORD_BITS, "0")), "0", ".")
+    last = F.floor((F.col("span") - 1) / WORD_BITS).cast("int")
+    every = F.array_join(F.transform(F.sequence(F.lit(0), last), shown), "")
+    return per.select(F.substring(every, F.lit(1), F.col("span")).alias("pattern")).groupBy("pattern").agg(
         F.count(F.lit(1)).alias("n_entities"))
 
 
 # --------------------------------------------------------------------------- D12
 def xtsum(df: DataFrame, entity: str, cols: Sequence[str]) -> DataFrame:
-    """Overall / between / within mean, sd, min, max and N, n, T-bar per variable."""
-    rows = []
-    for c in cols:
-        d = df.select(entity, c).where(F.col(c).isNotNull())
-        em = d.groupBy(entity).agg(F.avg(c).alias("__m"), F.count(F.lit(1)).alias("__t"))
-        gm = d.select(F.avg(c)).scalar()
-        within = d.join(em, entity).select((F.col(c) - F.col("__m") + gm).alias("__w"))
-        o = d.agg(F.avg(c).alias("overall_mean"), F.stddev_samp(c).alias("overall_sd"),
-                  F.min(c).cast("double").alias("overall_min"),
-                  F.max(c).cast("double").alias("overall_max"), F.count(F.lit(1)).alias("n_obs"))
-        b = em.agg(F.stddev_samp("__m").alias("between_sd"), F.min("__m").alias("between_min"),
-                   F.max("__m").alias("between_max"), F.count(F.lit(1)).alias("n_entities"),
-                   F.avg("__t").alias("t_bar"))
-        w = within.agg(F.stddev_samp("__w").alias("within_sd"), F.min("__w").alias("within_min"),
-                       F.max("__w").alias("within_max"))
-        row = o.withColumns({k: b.select(k).scalar() for k in b.columns}) \
-               .withColumns({k: w.select(k).scalar() for k in w.columns})
-        rows.append(row.select(F.lit(c).alias("variable"), "*"))
-    return reduce(lambda a, b2: a.unionByName(b2), rows)
+    """Overall / between / within mean, sd, min, max and N, n, T-bar per variable.
+
+    One aggregation gives every entity's count, mean, squared deviations, minimum and maximum of all
+    variables; everything else is sums over that table, since a row's within value is x - mean of the entity + grand
+    mean.  Rows without an entity are one of their own.
+    """
+    cols = list(cols)
+    per = df.groupBy(F.col(entity).alias("__e")).agg(*[x for i, c in enumerate(cols) for x in (
+        F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"), F.var_pop(c).alias(f"v{i}"),
+        F.min(c).cast("double").alias(f"a{i}"), F.max(c).cast("double").alias(f"b{i}"))])
+    rows = [F.struct(F.lit(c).alias("variable"), *[F.col(f"{k}{i}").alias(k) for k in "nmvab"]) for i, c in enumerate(cols)]
+    d = cut_lineage(per.select(F.inline(F.array(*rows))).filter("n > 0"), how="parquet")
+    grand = d.groupBy("variable").agg((F.expr("sum(n * m) / sum(n)")).alias("g"))       # one row per variable
+    d = d.join(F.broadcast(grand), "variable")
+    return d.groupBy("variable").agg(
+        F.first("g").alias("overall_mean"),
+        F.expr("sqrt(try_divide(sum(n * v + n * (m - g) * (m - g)), nullif(sum(n) - 1, 0)))").alias("overall_sd"),
+        F.min("a").alias("overall_min"), F.max("b").alias("overall_max"), F.sum("n").alias("n_obs"),
+        F.stddev_samp("m").alias("between_sd"), F.min("m").alias("between_min"), F.max("m").alias("between_max"),
+        F.count(F.lit(1)).alias("n_entities"), F.avg("n").alias("t_bar"),
+        F.expr("sqrt(try_divide(sum(n * v), nullif(sum(n) - 1, 0)))").alias("within_sd"),
+        F.expr("min(a - m + g)").alias("within_min"), F.expr("max(b - m + g)").alias("within_max"))
 
 
 # --------------------------------------------------------------------------- D13

@@ -62,7 +62,14 @@ def rank_ranges(df: DataFrame, col: str, by: Sequence[str] = (), method: str = "
     by = list(by)
     d = df.select(*by, col).where(F.col(col).isNotNull())
     vc = d.groupBy(*by, col).agg(F.count(F.lit(1)).alias("__c"))
-    if method != "distributed" and use_map(df, col, by, method):
+    return ranges_of_counts(vc, by, col, method != "distributed" and use_map(df, col, by, method))
+
+
+def ranges_of_counts(vc: DataFrame, by: Sequence[str], col: str, small: bool) -> DataFrame:
+    """:func:`rank_ranges` of a table of value counts ``__c``; ``small`` if every group's
+    values fit into one window."""
+    by = list(by)
+    if small:
         w = Window.partitionBy(*by).orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
         r = vc.withColumn("__hi", F.sum("__c").over(w))
         return r.select(*by, col, "__c", (F.col("__hi") - F.col("__c") + 1).alias("__lo"), "__hi")
@@ -114,7 +121,9 @@ def median_table(df: DataFrame, col: str, by: Sequence[str] = (), out: str = "me
         return g.agg(F.median(col).alias(out))
     v = order_values(df, col, {"__a": lambda n: F.floor((n + 1) / 2),
                                "__b2": lambda n: F.floor(n / 2) + 1}, by)
-    return v.select(*by, ((F.col("__a") + F.col("__b2")) / 2.0).alias(out))
+    v = v.select(*by, ((F.col("__a") + F.col("__b2")) / 2.0).alias(out))
+    # groups without any value have a row as well, as on the map route
+    return attach(df.select(*by).distinct(), v, by) if by else v
 
 
 def stata_cut_ranks(j: int, k: int) -> dict[str, Callable[[Column], Column]]:

@@ -11,7 +11,27 @@ from pyspark.sql import functions as F
 
 from panora.operators.nullsafe import attach
 
-MAX_LEVELS = 10_000
+REST = "rest"        # name of the cells of values outside the listed levels, NULL among them
+
+
+class LevelError(ValueError):
+    """Rows hold values that no listed level takes in, or there are more levels than the caller allows."""
+
+
+def found_levels(df: DataFrame, col: str, max_levels: int) -> list:
+    """The sorted levels of a column, at most as many as the caller allows."""
+    rows = df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).limit(max_levels + 1).collect()
+    if len(rows) > max_levels:
+        raise LevelError(f"{col} has more than {max_levels} levels")
+    return [r[0] for r in rows]
+
+
+def cells(df: DataFrame, listed: Column, name: Column, what: str, rest: str) -> Column:
+    """The pivot column: ``name`` where ``listed`` holds, else the rest cell.  ``rest``: "raise"
+    (one check over the rows), "cell" (they get a cell of their own) or "drop"."""
+    if rest == "raise" and df.filter(~F.coalesce(listed, F.lit(False))).limit(1).count():
+        raise LevelError(f"{what}: rows outside the listed levels; list them, or take rest='cell'")
+    return F.when(F.coalesce(listed, F.lit(False)), name).otherwise(F.lit(REST))
 
 
 # --------------------------------------------------------------------------- O1/O2
@@ -33,38 +53,30 @@ def sort_position(df: DataFrame, by: str, desc: bool = False, tiebreak: Sequence
                   out: str = "position", method: str = "auto") -> DataFrame:
     """Every row with its 1-based position in the order (by [desc], tiebreak...).
 
-    The position is computed without moving the table into one task: the
-    exact rank range of each distinct sort value comes from
-    :func:`panora.operators.quantiles.rank_ranges` (value counts, bucketed
-    prefix sums); rows tied on the value are ranked by a single numeric
-    ``tiebreak`` with the same route inside each value group (which must make
-    the order unique), or else numbered by a window over the value group.
-    Requires a numeric sort column.
+    The position is computed without moving the table, or rows that tie, into one
+    task.  A numeric sort column with one numeric (unique) tiebreak takes the exact rank range of each distinct
+    value (:func:`panora.operators.quantiles.rank_ranges`) and ranks ties by the same
+    route inside the value; any other order is numbered over range parts
+    (:func:`panora.operators.ordering.number_rows`).  Rows without a sort value stand last.
     """
-    from pyspark.sql import Window
-
+    from panora.operators.ordering import number_rows
     from panora.operators.quantiles import rank_ranges
+    numeric = ("int", "bigint", "smallint", "tinyint", "double", "float")
+    kinds = dict(df.dtypes)
+    if not (kinds.get(by) in numeric and len(tiebreak) == 1 and isinstance(tiebreak[0], str)
+            and kinds.get(tiebreak[0]) in numeric):
+        return number_rows(df, [(by, desc), *tiebreak], (), out)
     key = F.col(by)
     tmp = df.withColumn("__key", -key if desc else key)
     rr = rank_ranges(tmp, "__key", (), method=method).select("__key", "__lo")
     # rows without a sort value stand last
     last = df.select(F.count(by)).scalar() + 1
-    numeric = ("int", "bigint", "smallint", "tinyint", "double", "float")
-    if len(tiebreak) == 1 and isinstance(tiebreak[0], str) and dict(df.dtypes).get(tiebreak[0]) in numeric:
-        # ties on the value are ranked by the (unique) tiebreak inside each value
-        # group with the same distributed route, so a value shared by a large
-        # share of the rows is not numbered in one task
-        tr = rank_ranges(tmp, tiebreak[0], ["__key"], method=method).select(
-            "__key", tiebreak[0], F.col("__lo").alias("__tlo"))
-        end = tmp.groupBy("__key").agg((F.count(tiebreak[0]) + 1).alias("__end"))
-        return (attach(attach(attach(tmp, rr, ["__key"]), tr, ["__key", tiebreak[0]]), end, ["__key"])
-                .withColumn(out, (F.coalesce("__lo", last) + F.coalesce("__tlo", "__end") - 1).cast("long"))
-                .drop("__key", "__lo", "__tlo", "__end"))
-    tb = [F.col(t) if isinstance(t, str) else t for t in tiebreak] or [F.lit(1)]
-    tie = Window.partitionBy("__key").orderBy(*tb)
-    return (attach(tmp, rr, ["__key"])
-            .withColumn(out, (F.coalesce("__lo", last) + F.row_number().over(tie) - 1).cast("long"))
-            .drop("__key", "__lo"))
+    tr = rank_ranges(tmp, tiebreak[0], ["__key"], method=method).select(
+        "__key", tiebreak[0], F.col("__lo").alias("__tlo"))
+    end = tmp.groupBy("__key").agg((F.count(tiebreak[0]) + 1).alias("__end"))
+    return (attach(attach(attach(tmp, rr, ["__key"]), tr, ["__key", tiebreak[0]]), end, ["__key"])
+            .withColumn(out, (F.coalesce("__lo", last) + F.coalesce("__tlo", "__end") - 1).cast("long"))
+            .drop("__key", "__lo", "__tlo", "__end"))
 
 
 # --------------------------------------------------------------------------- O3
@@ -84,22 +96,25 @@ def append(*frames: DataFrame, allow_missing: bool = False) -> DataFrame:
 def wide_cast(df: DataFrame, ids: Sequence[str], keys: Sequence[str],
               levels: Sequence[Sequence], measures: Sequence[str],
               template: str = "{measure}{key_values}", agg: str = "sum",
-              fill: float | None = 0) -> DataFrame:
+              fill: float | None = 0, rest: str = "raise") -> DataFrame:
     """Multi-measure, multi-key wide cast (``dcast``) with composed names.
 
     The key combination is one pivot column with an explicit value list (no
     extra distinct job); cells without rows become ``fill`` (0 like the
     reference's sum of nothing).  ``template`` gets ``measure`` and
-    ``key_values`` (e.g. ``sex1educationE2``).
+    ``key_values`` (e.g. ``sex1educationE2``).  Rows whose keys are not listed (or NULL) raise, or with
+    ``rest="cell"`` make up one more cell per measure, so that no row is lost.
     """
     combos = list(product(*levels))
     names = ["".join(f"{k}{v}" for k, v in zip(keys, combo)) for combo in combos]
     keycol = F.concat(*[F.concat(F.lit(k), F.col(k).cast("string")) for k in keys])
+    listed = reduce(lambda a, b: a & b, [F.col(k).isin(list(lv)) for k, lv in zip(keys, levels)])
     fn = {"sum": F.sum, "mean": F.avg, "max": F.max, "min": F.min}[agg]
-    p = df.withColumn("__cell", keycol).groupBy(*ids).pivot("__cell", names).agg(
-        *[fn(m).alias(m) for m in measures])
+    shown = names + ([REST] if rest == "cell" else [])
+    p = df.withColumn("__cell", cells(df, listed, keycol, f"wide_cast by {list(keys)}", rest)).groupBy(*ids).pivot(
+        "__cell", shown).agg(*[fn(m).alias(m) for m in measures])
     ren = {}
-    for nm in names:
+    for nm in shown:
         for m in measures:
             src = f"{nm}_{m}" if len(measures) > 1 else nm
             ren[src] = template.format(measure=m, key_values=nm)
@@ -111,15 +126,26 @@ def wide_cast(df: DataFrame, ids: Sequence[str], keys: Sequence[str],
 
 # --------------------------------------------------------------------------- R2
 def long_to_wide(df: DataFrame, ids: Sequence[str], key: str, values: Sequence[str],
-                 levels: Sequence, template: str = "{value}_{level}", agg: str = "first") -> DataFrame:
-    """``pivot_wider``/``reshape wide`` with explicit levels."""
+                 levels: Sequence | None = None, template: str = "{value}_{level}", agg: str = "first",
+                 rest: str = "raise", max_levels: int | None = None) -> DataFrame:
+    """``pivot_wider``/``reshape wide`` with explicit levels, or with those found in the data (as many as
+    ``max_levels`` allows).  Other values of the key raise or get the rest cell, as in :func:`wide_cast`."""
+    if levels is None:
+        levels = found_levels(df, key, max_levels or 0)
     fn = {"first": lambda c: F.first(c, ignorenulls=True), "sum": F.sum, "mean": F.avg,
           "max": F.max}[agg]
-    p = df.groupBy(*ids).pivot(key, list(levels)).agg(*[fn(v).alias(v) for v in values])
+    cell = cells(df, F.col(key).isin(list(levels)), F.col(key).cast("string"), f"long_to_wide by {key}", rest)
+    names = [str(lv) for lv in levels]
+    if not all(isinstance(lv, (str, int)) and not isinstance(lv, bool) for lv in levels):     # as Spark writes them
+        kind = df.schema[key].dataType
+        names = list(df.sparkSession.range(1).select(*[F.lit(lv).cast(kind).cast("string") for lv in levels]).first())
+    shown = [*zip(names, levels), *([(REST, REST)] if rest == "cell" else [])]
+    p = df.withColumn("__cell", cell).groupBy(*ids).pivot("__cell", [n for n, _ in shown]).agg(
+        *[fn(v).alias(v) for v in values])
     ren = {}
-    for lv in levels:
+    for nm, lv in shown:
         for v in values:
-            src = f"{lv}_{v}" if len(values) > 1 else str(lv)
+            src = f"{nm}_{v}" if len(values) > 1 else nm
             ren[src] = template.format(value=v, level=lv)
     return p.withColumnsRenamed(ren)
 
@@ -133,18 +159,14 @@ def wide_to_long(df: DataFrame, ids: Sequence[str], cols: Sequence[str],
 
 # --------------------------------------------------------------------------- R4
 def one_hot(df: DataFrame, col: str, stub: str, levels: Sequence | None = None,
-            max_levels: int = MAX_LEVELS) -> DataFrame:
+            max_levels: int | None = None) -> DataFrame:
     """``tabulate, generate(stub)``: one 0/1 column per level, numbered in sort order.
 
-    Levels are the sorted distinct values (bounded by ``max_levels``; more
-    than that is not a one-hot use case).  NULL input gives NULL indicators.
+    Levels are the sorted distinct values; ``max_levels`` lets the caller bound the number of columns.
+    NULL input gives NULL indicators.
     """
     if levels is None:
-        rows = (df.select(col).where(F.col(col).isNotNull()).distinct()
-                .orderBy(col).limit(max_levels + 1).collect())
-        if len(rows) > max_levels:
-            raise ValueError(f"{col} has more than {max_levels} levels")
-        levels = [r[0] for r in rows]
+        levels = found_levels(df, col, max_levels if max_levels is not None else 2 ** 31 - 2)
     x = F.col(col)
     new = {f"{stub}{i}": F.when(x.isNull(), F.lit(None).cast("int"))
            .otherwise(F.when(x == F.lit(lv), 1).otherwise(0))
@@ -153,9 +175,9 @@ def one_hot(df: DataFrame, col: str, stub: str, levels: Sequence | None = None,
 
 
 # --------------------------------------------------------------------------- R5
-def status_matrix(df: DataFrame, unit: str, time: str, value: str, times: Sequence,
-                  template: str = "t{t}", agg: str = "max") -> DataFrame:
-    """Unit x time matrix of a status or outcome (missing cells stay NULL)."""
-    fn = {"max": F.max, "mean": F.avg, "first": lambda c: F.first(c, ignorenulls=True)}[agg]
-    p = df.groupBy(unit).pivot(time, list(times)).agg(fn(value))
-    return p.withColumnsRenamed({str(t): template.format(t=t) for t in times})
+def status_matrix(df: DataFrame, unit: str, time: str, value: str, times: Sequence | None = None,
+                  template: str = "t{t}", agg: str = "max", rest: str = "raise",
+                  max_times: int | None = None) -> DataFrame:
+    """Unit x time matrix of a status or outcome (missing cells stay NULL).  The periods are listed or, up to
+    ``max_times``, those of the data; rows outside raise or get the rest cell."""
+    return long_to_wide(df, [unit], time, [value], times, template.replace("{t}", "{level}"), agg, rest, max_times)

@@ -63,37 +63,19 @@ def locf(df: DataFrame, entity, time: str, cols: Sequence[str],
          chunk: int | None = None) -> DataFrame:
     """Carry the last non-missing value forward within each entity.
 
-    The series of each entity is cut into blocks of ``chunk`` periods
-    (default 64 for a numeric period): the last value of each block is found
-    by a partial aggregation (``max_by``), carried across blocks on the small
-    block table, and the fill inside a block uses a window partitioned by
-    (entity, block) -- so even an entity holding a large share of the rows is
-    spread over many tasks.  ``chunk=0`` (or a non-numeric period) uses one
-    window over the entity.
+    Rows without a period stand last, so nothing is carried from them into a period.
+    The rows are swept in range parts of (entity, period)
+    (:func:`panora.operators.ordering.carry_forward`): periods of any sortable type, and an entity
+    with a large share of the rows is spread over many tasks.  ``chunk=0`` uses one window
+    over the entity, for entities known to be short; both give the same values.
     """
+    from panora.operators.ordering import carry_forward
     ents = _by(entity)
     cols = list(cols)
-    numeric = dict(df.dtypes).get(time) in ("int", "bigint", "smallint", "tinyint", "double", "float")
-    if chunk is None:
-        chunk = 64 if numeric else 0
-    if not chunk or not numeric:
-        w = Window.partitionBy(*ents).orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
+    if chunk == 0:
+        w = Window.partitionBy(*ents).orderBy(F.col(time).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
-    blk = F.floor(F.col(time) / F.lit(chunk)).alias("__blk")
-    d = df.withColumn("__blk", blk)
-    # last non-missing value (and its time) per (entity, block)
-    tail = d.groupBy(*ents, "__blk").agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(time))).alias(f"__l_{c}")
-          for c in cols])
-    wb = Window.partitionBy(*ents).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = tail.select(*ents, "__blk",
-                        *[F.last(f"__l_{c}", ignorenulls=True).over(wb).alias(f"__c_{c}")
-                          for c in cols])
-    w = Window.partitionBy(*ents, "__blk").orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
-    inner = d.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
-    out = attach(inner, carry, ents + ["__blk"])
-    out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"__c_{c}")) for c in cols})
-    return out.select(*df.columns)
+    return carry_forward(df, ents, [time], cols)
 
 
 # --------------------------------------------------------------------------- W4

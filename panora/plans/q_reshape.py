@@ -145,13 +145,16 @@ def r4_one_hot(spark, sf):
 
 
 # ---------------------------------------------------------------------------- R5
-WEEKS = [1, 2, 3, 4, 5]
+def _r5(spark, sf):
+    """Week x user status, the columns those of the data."""
+    return status_matrix(week_panel(spark, sf), "user_id", "week", "tre", max_times=200)
 
 
-@reg("r5_status_matrix", f"WITH p AS ({SQL_WEEK_PANEL}) SELECT user_id, " + ", ".join(
-    f"max(tre) FILTER (WHERE week = {w}) AS t{w}" for w in WEEKS) + " FROM p GROUP BY user_id")
-def r5_status_matrix(spark, sf):
-    return status_matrix(week_panel(spark, sf), "user_id", "week", "tre", WEEKS)
+def _r5_sql():
+    return f"PIVOT (SELECT user_id, 't' || week AS w, tre FROM ({SQL_WEEK_PANEL})) ON w USING max(tre) GROUP BY user_id"
+
+
+Q["r5_status_matrix"], S["r5_status_matrix"] = _r5, _r5_sql()
 
 
 QUERIES, SQL = Q, S

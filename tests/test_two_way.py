@@ -87,13 +87,22 @@ def test_panel_in_two_unconnected_parts(spark, monkeypatch, route):
     assert fit.coef == pytest.approx(b, rel=1e-8) and fit.vcov == pytest.approx(V, rel=1e-7, abs=1e-12)
 
 
-def test_terms_the_effects_hold_are_omitted(spark):
-    rows = panel(3)
-    df = spark.createDataFrame(rows, SCHEMA).withColumn("trend", F.col("t") * 0.1).withColumn("both", F.col("t") + F.col("g"))
-    fit = E.areg(df, "y", ["x1", "trend", "g", "both"], absorb="e", time="t")
-    alone = E.areg(df, "y", ["x1"], absorb="e", time="t")
-    assert fit.omitted == [False, True, True, True, False] and fit.df_r == alone.df_r
-    assert fit.coef[[0, -1]] == pytest.approx(alone.coef, rel=1e-9)
+@pytest.mark.parametrize("route", ["matrix", "swapped"])
+def test_terms_that_period_effects_hold(spark, route):
+    """As with listed periods: the term comes first and a period is left out for it."""
+    rows = panel(3, *((4, 15) if route == "swapped" else (9, 7)))
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("late", (F.col("t") > 6).cast("double")).withColumn("trend", F.col("t") * 0.1)
+    for terms in (["x1", "late", "g"], ["x1", "trend", "late"]):
+        fit, listed = (E.areg(df, "y", [*terms, *more], absorb="e", time=time) for more, time in (([], "t"), (["i.t"], None)))
+        k = len(terms)
+        assert fit.omitted[:k] == listed.omitted[:k] and (fit.df_r, fit.k) == (listed.df_r, listed.k)
+        assert fit.coef == pytest.approx(np.append(listed.coef[:k], listed.coef[-1]), rel=1e-7, abs=1e-9)
+        at = [*range(k), len(listed.coef) - 1]
+        assert fit.vcov == pytest.approx(listed.vcov[np.ix_(at, at)], rel=1e-6, abs=1e-10)
+    many = E.fit_many(df, [("a", "y", ["x1"]), ("b", "y", ["x1", "late"])], absorb="e", time="t")
+    assert [f.model_id for f in many] == ["a", "b"] and many[0].coef == pytest.approx(
+        E.areg(df, "y", ["x1"], "e", time="t").coef, rel=1e-9) and not many[1].omitted[1]
+    assert len(many[1].effects) == len(many[0].effects)
 
 
 def test_row_width_does_not_depend_on_periods(spark):
