@@ -190,8 +190,11 @@ def write_tokens(docs: DataFrame, out: str, path: str | None = None, end_id: int
     rank_of[tokens] = np.arange(len(tokens))
     total = held.agg(F.sum("n_bytes")).first()[0] or 0
     parts = max(1, -(-total // PART_BYTES))
-    (held.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "tie", "n_bytes")
-     .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie", "n_bytes")
+    # rows alike in everything are told apart by their place in the landed table, so that one document on
+    # a third of the rows is written by many tasks
+    along = [F.col("doc_id").asc_nulls_first(), F.col("tie"), F.col("n_bytes"), F.col("row")]
+    (held.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(parts, *along)
+     .sortWithinPartitions(*along)
      .select("doc_id", "ids").mapInArrow(_segments(rank_of, dtype),
                                          "part long, segment long, n_ids long, payload binary")
      .write.option("compression", "none").parquet(f"{out}/segments"))
