@@ -254,14 +254,17 @@ def connected(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
         before = state
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        # minima are tables of their own: a join with one is broadcast by its size or, where a node has very many
+        # edges, split (beside an unfinished aggregate neither is possible)
+        least = landed(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = landed(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")), "edges")
+        low = landed(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         hooked = large.join(low, "u")
         small = hooked.filter("v != m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")) \
             .unionByName(low.select("u", F.col("m").alias("v")))
         older, edges = edges, landed(small.filter("u != v").distinct(), "edges")
-        drop_landed(older)
+        for table in (older, least, large, low):
+            drop_landed(table)
 
 
 def components(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
@@ -288,4 +291,8 @@ def dedup(docs: DataFrame, **options) -> DataFrame:
                                               F.col("keep_hash").alias("__keep_hash")).distinct()
     rows = docs.withColumn("__text_hash", F.xxhash64(F.col("text").cast("string")))
     same = rows["doc_id"].cast("long").eqNullSafe(keep["__keep_id"]) & (rows["__text_hash"] == keep["__keep_hash"])
-    return rows.join(keep, same, "left_semi").dropDuplicates(["doc_id", "__text_hash"]).drop("__text_hash")
+    rows = rows.join(keep, same, "left_semi")
+    # of rows alike in doc_id and text the one whose other columns come first
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    chosen = rows.groupBy("doc_id", "__text_hash").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in rest], "text")).alias("r"))
+    return chosen.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"r.`{c}`").alias(c) for c in docs.columns])
