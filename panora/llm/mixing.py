@@ -32,6 +32,7 @@ from panora.llm.common import WORD, landed
 MAX_EPOCHS = 2
 SEED = 7
 GAP = r"[\x20\x09-\x0D]*"  # white space before a word
+RUN = 10_000       # copies of one row that one task rebuilds
 BUCKET_DIGITS = 3  # hexadecimal digits of the order's hash that name a bucket
 
 # Target weights (whole numbers) and the grouping of sources: parameters of the
@@ -171,7 +172,15 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     even = (F.col("__mix_times") % F.col("__mix_copies") == 0) & F.col("__mix_cut").isNull()
     whole = rows.filter(even).withColumn("__mix_n", F.expr("__mix_times div __mix_copies"))
     part = rows.filter(~even).dropDuplicates(["__mix_key"]).withColumn("__mix_n", F.col("__mix_times"))
-    out = whole.unionByName(part).withColumn("__mix_i", F.explode(F.sequence(F.lit(1), F.col("__mix_n").cast("int"))))
+    every = whole.unionByName(part)
+    # one row that stands for very many copies is dealt out in runs first, each rebuilt by a task of its own
+    runs = every.filter(F.col("__mix_n") > RUN).withColumn(
+        "__mix_a", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_n"), F.lit(RUN).cast("long"))))
+    runs = runs.repartition("__mix_key", "__mix_a").withColumn(
+        "__mix_i", F.explode(F.sequence("__mix_a", F.least(F.col("__mix_a") + RUN - 1, F.col("__mix_n"))))).drop("__mix_a")
+    few = every.filter(F.col("__mix_n") <= RUN).withColumn(
+        "__mix_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_n"))))
+    out = few.unionByName(runs)
     cut = F.col("__mix_cut").isNotNull() & (F.col("__mix_i") == F.col("__mix_n"))
     kinds = dict(docs.dtypes)
     short = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(GAP + WORD), F.lit(0)), 1,
