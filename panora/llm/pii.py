@@ -33,6 +33,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panora.llm.common import landed
+
 KINDS = ["email", "ip", "card", "phone", "email_like", "number_like"]
 LOCAL, DOMAIN = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 
@@ -81,7 +83,7 @@ BLOCK = 64
 
 def _placed(kind: str):
     """A match and its number -> its span, from the lengths before it."""
-    g, n, b = (F.col(f"__{x}_{kind}") for x in "gnb")
+    g, n, b, c = (F.col(f"__{x}_{kind}") for x in "gnbc")
 
     def total(x: Column) -> Column:
         return F.aggregate(x, F.lit(0), lambda a, y: a + y)
@@ -89,7 +91,9 @@ def _placed(kind: str):
     def span(x, i):
         at = 2 * i + 1
         block = F.floor(at / BLOCK).cast("int")
-        start = total(F.slice(b, F.lit(1), block)) + total(F.slice(n, block * BLOCK + 1, at - block * BLOCK))
+        upper = F.floor(block / BLOCK).cast("int")
+        start = (total(F.slice(c, F.lit(1), upper)) + total(F.slice(b, upper * BLOCK + 1, block - upper * BLOCK))
+                 + total(F.slice(n, block * BLOCK + 1, at - block * BLOCK)))
         return F.struct(start.alias("start"), (start + F.length(x)).alias("end"), x.alias("match"),
                         F.substring(F.get(g, i), -CONTEXT, CONTEXT).alias("before"),
                         F.substring(F.get(g, i + 1), 1, 1).alias("after"))
@@ -122,15 +126,39 @@ def _spans(df: DataFrame, text: Column, kinds: list[str]) -> DataFrame:
             F.transform(F.arrays_zip(g.alias("g"), m.alias("m")),
                         lambda z: F.array(F.length(z["g"]), F.coalesce(F.length(z["m"]), F.lit(0))))))
     df = _barrier(df, **sizes)
-    sums = {}
-    for k in kinds:
-        n = F.col(f"__n_{k}")
-        sums[f"__b_{k}"] = F.when(F.size(n) == 0, F.array().cast("array<int>")).otherwise(
+
+    def blocks(n: Column) -> Column:
+        """Sums of BLOCK elements each."""
+        return F.when(F.size(n) == 0, F.array().cast("array<int>")).otherwise(
             F.transform(F.sequence(F.lit(0), F.floor(F.size(n) / BLOCK).cast("int")),
                         lambda b: F.aggregate(F.slice(n, b * BLOCK + 1, F.lit(BLOCK)), F.lit(0), lambda a, x: a + x)))
-    df = _barrier(df, **sums)
+    df = _barrier(df, **{f"__b_{k}": blocks(F.col(f"__n_{k}")) for k in kinds})
+    df = _barrier(df, **{f"__c_{k}": blocks(F.col(f"__b_{k}")) for k in kinds})
     df = _barrier(df, **{f"__pii_{k}": F.transform(F.col(f"__m_{k}"), _placed(k)) for k in kinds})
-    return df.drop(*[f"__{x}_{k}" for x in "mgnb" for k in kinds])
+    return df.drop(*[f"__{x}_{k}" for x in "mgnbc" for k in kinds])
+
+
+STRIDE = 512
+
+
+def _running(df: DataFrame, name: str, values: Column, best, pair, least: int, backward: bool = False) -> DataFrame:
+    """Column ``name``: the running maximum (or minimum) of an int array, itself included, from the
+    front (or the back): strides first, so that no element looks at all others."""
+    df = _barrier(df, **{f"{name}_v": values})
+    v = F.col(f"{name}_v")
+    strides = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / STRIDE).cast("int"))
+    df = _barrier(df, **{f"{name}_s": F.when(F.size(v) == 0, F.array().cast("array<int>")).otherwise(
+        F.transform(strides, lambda b: best(F.slice(v, b * STRIDE + 1, F.lit(STRIDE)))))})
+    s = F.col(f"{name}_s")
+
+    def at(x: Column, i: Column) -> Column:
+        b = F.floor(i / STRIDE).cast("int")
+        if backward:
+            inside, outside = F.slice(v, i + 1, (b + 1) * STRIDE - i), F.slice(s, b + 2, F.size(s))
+        else:
+            inside, outside = F.slice(v, b * STRIDE + 1, i - b * STRIDE + 1), F.slice(s, F.lit(1), b)
+        return pair(best(inside), F.coalesce(best(outside), F.lit(least)))
+    return _barrier(df, **{name: F.transform(v, at)}).drop(f"{name}_v", f"{name}_s")
 
 
 def _bucket(v: Column, borders: list[int]) -> Column:
@@ -286,10 +314,26 @@ def detect(found: DataFrame, model: Model) -> DataFrame:
         bar = F.create_map(*[F.lit(x) for kv in model.thresholds.items() for x in kv])
         good = F.filter("__pii_more", lambda c: model.score(c["f"]) >= F.coalesce(
             bar[c["kind"]], F.lit(float("inf"))))
-        free = F.filter(good, lambda c: ~F.exists(
-            base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-        spans = F.array_sort(F.concat(base, F.transform(
-            free, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))))
+        # one sorted row of base and added spans: an added one stays if no base span before it reaches beyond its start
+        # and none after it starts before its end
+        entry = "array<struct<start:int,added:int,kind:int,end:int>>"
+        union = F.array_sort(F.concat(
+            F.transform(base, lambda b: F.struct(b["start"].alias("start"), F.lit(0).alias("added"),
+                                                 b["kind"].alias("kind"), b["end"].alias("end"))).cast(entry),
+            F.transform(good, lambda c: F.struct(c["start"].alias("start"), F.lit(1).alias("added"),
+                                                 c["kind"].alias("kind"), c["end"].alias("end"))).cast(entry)))
+        found = _barrier(found, __pii_all=union)
+        every = F.col("__pii_all")
+        far = 2 ** 31 - 1
+        found = _running(found, "__pii_reach", F.transform(every, lambda x: F.when(x["added"] == 0, x["end"]).otherwise(-1)),
+                         F.array_max, F.greatest, -1)
+        found = _running(found, "__pii_next", F.transform(every, lambda x: F.when(x["added"] == 0, x["start"]).otherwise(far)),
+                         F.array_min, F.least, far, backward=True)
+        kept = F.filter(every, lambda x, i: (x["added"] == 0) | ((F.get("__pii_reach", i) <= x["start"])
+                                                                & (F.get("__pii_next", i) >= x["end"])))
+        spans = F.array_sort(F.transform(kept, lambda c: F.struct(
+            c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"))))
+        return _barrier(found, __pii_spans=spans).drop("__pii_all", "__pii_reach", "__pii_next")
     return _barrier(found, __pii_spans=spans)
 
 
@@ -312,19 +356,19 @@ def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """``docs`` with every span of its text replaced by ``[KIND]`` (overlapping
     spans by the first one's); ``n_chars`` follows if there is one."""
     columns = docs.columns
-    model = model or fit(candidates(docs.select("text")))
-    df = detect(candidates(docs), model)
-    # overlapping spans become one
-    start = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-
-    def merge(acc, s):
-        last = F.element_at(acc, -1)
-        joined = F.struct(last["start"].alias("start"), last["kind"].alias("kind"),
-                          F.greatest(last["end"], s["end"]).alias("end"))
-        return F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] > s["start"]),
-                      F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(joined))).otherwise(
-                          F.concat(acc, F.array(s)))
-    df = _barrier(df, __pii_spans1=F.aggregate("__pii_spans", start, merge),
+    # candidates are looked for once: the fit reads their features, the rest their spans
+    found = landed(candidates(docs), "pii-candidates")
+    df = detect(found, model or fit(found))
+    # overlapping spans become one: a span that starts behind all earlier ends opens one
+    df = _running(df, "__pii_ends", F.transform("__pii_spans", lambda s: s["end"]), F.array_max, F.greatest, -1)
+    places = F.when(F.size("__pii_spans") > 0, F.sequence(F.lit(0), F.size("__pii_spans") - 1)).otherwise(
+        F.array().cast("array<int>"))
+    df = _barrier(df, __pii_first=F.filter(places, lambda i: (i == 0) | (
+        F.get("__pii_spans", i)["start"] >= F.get("__pii_ends", i - 1))))
+    df = _barrier(df, __pii_spans1=F.transform("__pii_first", lambda i, k: F.struct(
+        F.get("__pii_spans", i)["start"].alias("start"), F.get("__pii_spans", i)["kind"].alias("kind"),
+        F.coalesce(F.get("__pii_ends", F.get("__pii_first", k + 1) - 1),
+                   F.get("__pii_ends", F.size("__pii_ends") - 1)).alias("end"))),
                   __pii_parts=F.when(F.size("__pii_spans") > 0, F.regexp_extract_all(
                       F.col("text").cast("string"), F.lit(f"(?s).{{1,{PART}}}"), F.lit(0)))
                   .otherwise(F.array().cast("array<string>")))
