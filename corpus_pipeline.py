@@ -52,7 +52,8 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: the classifier and the fingerprints are beyond SQL: tested against brute force
+#: the classifier and the fingerprints are beyond SQL: their operators have tests of their own, the chain is tested by
+#: what each stage keeps
 ORACLE_SQL = None
 
 
