@@ -12,7 +12,7 @@ reads every whole text.
 
 Defined results: null text is an empty text (its features are zero); rows without a
 label, with a null label or a null doc_id are not learnt from; several labels
-of one doc_id count as several rows; with no labels at all, or labels of one
+of one doc_id count as the one most of them give (1 where even); with no labels at all, or labels of one
 kind, every score is the share of label 1 (0.5 without labels); repeated rows are scored once per
 row; an empty table gives no rows; extra columns are ignored by ``score``
 and kept by ``keep_good``.
