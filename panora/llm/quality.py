@@ -20,6 +20,7 @@ and kept by ``keep_good``.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -66,9 +67,8 @@ def features(texts: list[str | None]):
         w = max(1, len(words))
         lines = [x for x in raw.split(b"\n") if x]
         m = max(1, len(lines))
-        kinds, distinct = set(words), set(lines)
+        kinds, distinct = Counter(words), set(lines)
         lengths = [len(x) for x in words]
-        probe = words[len(words) // 3] if words else b""
         out[i] = [
             np.log1p(n), np.log1p(len(words)), sum(lengths) / w, min(200, max(lengths, default=0)),
             count[1], count[2], count[3], count[4], count[5], count[6], count[7], count[8], count[0],
@@ -76,7 +76,7 @@ def features(texts: list[str | None]):
             len(kinds) / w, np.log1p(len(lines)), n / m, len(distinct) / m,
             1 - sum(map(len, distinct)) / max(1, sum(map(len, lines))),
             sum(x.rstrip()[-1:] not in _ENDS for x in lines) / m,
-            words.count(probe) / w, sum(x < 4 for x in lengths) / w,
+            max(kinds.values(), default=0) / w, sum(x < 4 for x in lengths) / w,
         ]
     return out
 
