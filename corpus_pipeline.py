@@ -52,8 +52,8 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: the classifier and the fingerprints are beyond SQL: their operators have tests of their own, the chain is tested by
-#: what each stage keeps
+#: the classifier and the fingerprints are beyond SQL: every stage and the final pieces are compared with plain Python
+#: versions in tests/llm/test_plain_pipeline.py
 ORACLE_SQL = None
 
 
