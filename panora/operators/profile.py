@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panora.functions.dist import t_sf2
+from panora.functions.tails import t_two_sided
 from panora.operators.nullsafe import attach
 from panora.operators.aggregate import MAD_SCALE
 from panora.sources.writers import cut_lineage
@@ -243,8 +243,7 @@ def welch_test(df: DataFrame, group: str, cols: Sequence[str], levels: Sequence
     """Welch two-sample t-test of each variable between two groups.
 
     Group moments come from one aggregation; t and the Welch-Satterthwaite df
-    are column expressions; the p-value is added on the driver from the t
-    distribution (one scalar per variable).
+    and the p-value are column expressions; a variable without variation in both groups has none.
     """
     a, b = levels
     ex = []
@@ -254,20 +253,16 @@ def welch_test(df: DataFrame, group: str, cols: Sequence[str], levels: Sequence
             ex += [F.count(x).alias(f"{c}__n{tag}"), F.avg(x).alias(f"{c}__mean{tag}"),
                    F.var_samp(x).alias(f"{c}__var{tag}")]
     long = _long(df.agg(*ex), cols, ["n1", "mean1", "var1", "n2", "mean2", "var2"])
-    s1 = F.col("var1") / F.col("n1")
-    s2 = F.col("var2") / F.col("n2")
+    s1 = F.try_divide(F.col("var1"), F.col("n1"))
+    s2 = F.try_divide(F.col("var2"), F.col("n2"))
     long = long.withColumns({
-        "t": (F.col("mean1") - F.col("mean2")) / F.sqrt(s1 + s2),
-        "df": F.pow(s1 + s2, 2) / (F.pow(s1, 2) / (F.col("n1") - 1) + F.pow(s2, 2) / (F.col("n2") - 1)),
+        "t": F.try_divide(F.col("mean1") - F.col("mean2"), F.sqrt(s1 + s2)),
+        "df": F.try_divide(F.pow(s1 + s2, 2), F.pow(s1, 2) / (F.col("n1") - 1) + F.pow(s2, 2) / (F.col("n2") - 1)),
     })
     out = long.select("variable", "n1", "n2", "mean1", "mean2", "t", "df")
     if not with_p:
         return out
-    rows = out.collect()  # one row per variable
-    spark = df.sparkSession
-    return spark.createDataFrame(
-        [(*r, t_sf2(r["t"], r["df"]) if r["t"] is not None else None) for r in rows],
-        out.schema.add("p", "double"))
+    return out.withColumn("p", t_two_sided(F.col("t"), F.col("df")))
 
 
 # --------------------------------------------------------------------------- D7
@@ -329,16 +324,9 @@ def pearson(df: DataFrame, cols: Sequence[str], names: Sequence[str] | None = No
     long = wide.select(F.inline(F.array(*rows)))
     if not with_p:
         return long
-    rows = long.collect()  # k*k rows
-    out = []
-    for r in rows:
-        rr, n = r["r"], r["n"]
-        if rr is None or n is None or n < 3 or abs(rr) >= 1.0:
-            p = 0.0 if rr is not None and abs(rr) >= 1.0 else None
-        else:
-            p = t_sf2(rr * ((n - 2) / (1 - rr * rr)) ** 0.5, n - 2)
-        out.append((r["var1"], r["var2"], rr, n, p))
-    return df.sparkSession.createDataFrame(out, "var1 string, var2 string, r double, n long, p double")
+    r, more = F.col("r"), F.col("n") - 2
+    t = r * F.sqrt(more / (1 - r * r))
+    return long.withColumn("p", F.when(F.abs(r) >= 1, 0.0).when(more > 0, t_two_sided(t, more)))
 
 
 # --------------------------------------------------------------------------- D9

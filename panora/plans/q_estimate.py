@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from panora.functions.tails import sql_stars, sql_t_quantile, sql_t_two_sided
 from panora.operators.estimate import (areg, coef_table, event_study, factor_levels, grid, margins, ols,
                                        stats_table, tests_table, wide_table, within)
 from panora.operators.joins import fill_balanced
@@ -486,4 +487,63 @@ def e11_absorbed_term(spark, sf):
     return _coefs(spark, fits, "model_id")
 
 
+# ---------------------------------------------------------------------------- printed tables: t, p, limits, stars
+def _printed_sql(fits, rows, select):
+    """``rows`` (.., coef, se, df_r) with t, p, 95 % limits and stars; the quantile is taken once per df_r."""
+    return _fit_sql([*fits, f"rows AS ({rows})",
+                     f"crit AS (SELECT df_r, {sql_t_quantile(0.975, 'df_r')} AS c FROM (SELECT DISTINCT df_r FROM rows))",
+                     f"printed AS (SELECT rows.*, coef / se AS t, {sql_t_two_sided('(coef / se)', 'rows.df_r')} AS p, "
+                     "coef - c * se AS ci_lo, coef + c * se AS ci_hi FROM rows JOIN crit USING (df_r))"],
+                    select)
+
+
+PRINTED = ("coef", "se", "t", "p", "ci_lo", "ci_hi")
+SQL_PRINTED = ", ".join(f"{QZ(c, 5)} AS {c}" for c in PRINTED)
+
+
+def _printed(coefs, *keep):
+    return coefs.select(*keep, *[qz(c, 5).alias(c) for c in PRINTED], "stars")
+
+
+@reg("e2_areg_table", _printed_sql(
+    [sql_fit.chain("f", "est", _terms_sql(E2_TERMS), "value_mean", "user_id", "day")],
+    f"SELECT x.*, CAST(df_r AS BIGINT) AS df_r FROM ({sql_fit.coefficients('f', E2_TERMS, cons=False)}) x, f_f",
+    f"SELECT term, {SQL_PRINTED}, {sql_stars('p')} AS stars FROM printed"))
+def e2_areg_table(spark, sf):
+    fit = areg(est_panel(spark, sf), "value_mean", E2_TERMS, absorb="user_id", time="day", model_id="areg_did")
+    return _printed(coef_table(spark, [fit]).filter("term != '_cons'"), "term")
+
+
+@reg("e5_event_study_table", _printed_sql(
+    [sql_fit.chain("f", "est", _terms_sql(_event_terms()[0]), "value_mean", "user_id", "day")],
+    f"SELECT x.*, CAST(df_r AS BIGINT) AS df_r FROM ({sql_fit.coefficients('f', _event_terms()[0], cons=False)}) x, f_f",
+    f"SELECT CAST(({_event_terms()[1]})[i] AS INTEGER) AS event_time, term, {SQL_PRINTED}, {sql_stars('p')} AS stars FROM printed"))
+def e5_event_study_table(spark, sf):
+    dummies, times = _event_terms()
+    fit, _ = event_study(est_panel(spark, sf), "value_mean", dummies, absorb="user_id", period="day", event_times=times)
+    at = F.element_at(F.create_map(*[F.lit(x) for pair in zip(dummies, times) for x in pair]), F.col("term"))
+    c = coef_table(spark, [fit]).withColumn("event_time", at.cast("int")).filter("event_time IS NOT NULL")
+    return _printed(c, "event_time", "term")
+
+
+def _starred_sql():
+    """One fit per model; a cell holds coefficient, stars and standard error."""
+    names = {f"{o}|{m}": t for t, o, m in GRID}
+    rows = "\nUNION ALL ".join(
+        f"SELECT '{o}|{m}' AS model_id, x.*, CAST(df_r AS BIGINT) AS df_r FROM "
+        f"({sql_fit.coefficients(t, ['tre', f'tre#{m}'])}) x, {t}_f" for t, o, m in GRID)
+    cell = (f"CASE WHEN omitted THEN '(omitted)' ELSE format('{{:,.3f}}', coef) || {sql_stars('p')} || ' (' || "
+            "format('{:,.3f}', se) || ')' END")
+    cells = ", ".join(f"max(cell) FILTER (model_id = '{n}') AS \"{n}\"" for n in names)
+    head = _fit_sql([SQL_GRID_PANEL, *(sql_fit.chain(t, "gp", _terms_sql(["tre", f"tre#{m}"]), o, "user_id", "day") for t, o, m in GRID),
+                     f"rows AS ({rows})", f"printed AS (SELECT *, {sql_t_two_sided('(coef / se)', 'df_r')} AS p FROM rows)"], "")
+    return f"{head} SELECT term, {cells} FROM (SELECT model_id, term, {cell} AS cell FROM printed) GROUP BY term"
+
+
+@reg("e10_coef_table_starred", _starred_sql())
+def e10_coef_table_starred(spark, sf):
+    fits = run_grid(spark, sf)
+    return wide_table(coef_table(spark, fits), [f.model_id for f in fits])
+
+
 QUERIES, SQL = Q, S

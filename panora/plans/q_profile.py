@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from panora.functions.tails import sql_stars, sql_t_two_sided, stars
 from panora.operators.aggregate import stacked_summary
 from panora.operators.joins import coverage_flags, join
 from panora.operators.profile import (balance_table, box_stats, codebook, describe, histogram,
@@ -164,16 +165,16 @@ def d5_balance_table(spark, sf):
     return _quantized(b, {"variable", "n_0", "n_1"})
 
 
-def _sql_welch(x):
+def _sql_welch(x, show=QZ):
     v1 = f"var_samp({x}) FILTER (WHERE quality = 1) / count({x}) FILTER (WHERE quality = 1)"
     v2 = f"var_samp({x}) FILTER (WHERE quality = 0) / count({x}) FILTER (WHERE quality = 0)"
     n1 = f"count({x}) FILTER (WHERE quality = 1)"
     n2 = f"count({x}) FILTER (WHERE quality = 0)"
     m1 = f"avg({x}) FILTER (WHERE quality = 1)"
     m2 = f"avg({x}) FILTER (WHERE quality = 0)"
-    return f"""SELECT '{x}' AS variable, {n1} AS n1, {n2} AS n2, {QZ(m1)} AS mean1, {QZ(m2)} AS mean2,
-  {QZ(f'({m1} - {m2}) / sqrt({v1} + {v2})')} AS t,
-  {QZ(f'power({v1} + {v2}, 2) / (power({v1}, 2) / ({n1} - 1) + power({v2}, 2) / ({n2} - 1))')} AS df FROM d"""
+    return f"""SELECT '{x}' AS variable, {n1} AS n1, {n2} AS n2, {show(m1)} AS mean1, {show(m2)} AS mean2,
+  {show(f'({m1} - {m2}) / sqrt({v1} + {v2})')} AS t,
+  {show(f'power({v1} + {v2}, 2) / (power({v1}, 2) / ({n1} - 1) + power({v2}, 2) / ({n2} - 1))')} AS df FROM d"""
 
 
 @reg("d6_welch_t", f"WITH d AS ({SQL_DOCS}) " + " UNION ALL ".join(
@@ -183,6 +184,14 @@ def d6_welch_t(spark, sf):
     return _quantized(w, {"variable", "n1", "n2"})
 
 
+@reg("d6_welch_table", f"WITH d AS ({SQL_DOCS}), w AS (" + " UNION ALL ".join(_sql_welch(x, show=str) for x in ("n_chars", "toxic"))
+     + f"), p AS (SELECT *, {sql_t_two_sided('t', 'df')} AS p FROM w) SELECT variable, n1, n2, {QZ('mean1')} AS mean1, {QZ('mean2')} AS mean2, "
+     f"{QZ('t')} AS t, {QZ('df')} AS df, {QZ('p', 6)} AS p, {sql_stars('p')} AS stars FROM p")
+def d6_welch_table(spark, sf):
+    w = welch_test(_docs(spark, sf), "quality", ["n_chars", "toxic"], levels=(1, 0)).withColumn("stars", stars(F.col("p")))
+    return w.select("variable", "n1", "n2", *[qz(c).alias(c) for c in ("mean1", "mean2", "t", "df")], qz("p", 6).alias("p"), "stars")
+
+
 # ---------------------------------------------------------------------------- D7 / D8
 def _sql_corr(rank: bool):
     cols = LI_COLS
@@ -213,6 +222,18 @@ def d8_pearson(spark, sf):
     return p.select("var1", "var2", qz("r", 6).alias("r"), "n")
 
 
+@reg("d8_pearson_table", f"""WITH c AS ({" UNION ALL ".join(
+    f"SELECT '{a}' AS var1, '{b}' AS var2, corr({a}, {b}) AS r, count(*) AS n FROM lineitem"
+    for i, a in enumerate(LI_COLS) for j, b in enumerate(LI_COLS) if i < j)}),
+ p AS (SELECT *, {sql_t_two_sided('(r * sqrt((n - 2) / (1 - r * r)))', '(n - 2)')} AS p FROM c)
+SELECT var1, var2, {QZ('r', 6)} AS r, n, {QZ('p', 6)} AS p, {sql_stars('p')} AS stars FROM p""")
+def d8_pearson_table(spark, sf):
+    p = pearson(T(spark, sf, "lineitem"), LI_COLS).withColumn("stars", stars(F.col("p")))
+    first = F.array_position(F.array(*[F.lit(c) for c in LI_COLS]), F.col("var1"))
+    second = F.array_position(F.array(*[F.lit(c) for c in LI_COLS]), F.col("var2"))
+    return p.filter(first < second).select("var1", "var2", qz("r", 6).alias("r"), "n", qz("p", 6).alias("p"), "stars")
+
+
 # ---------------------------------------------------------------------------- D9
 @reg("d9_histogram", f"""
 WITH m AS (SELECT min(o_totalprice) AS lo FROM orders)
