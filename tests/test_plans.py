@@ -39,3 +39,21 @@ def test_table_stats_are_scalar_subqueries(spark):
     assert "Subquery" in plan
     # no window without a partition over the row-level table
     assert "Window" not in plan
+
+
+@pytest.mark.parametrize("key", ["e2_areg_one_regressor", "e3_areg_two_way"])
+def test_fit_passes(spark, key, monkeypatch):
+    """Every frame whose rows reach the driver during a fit: no row-at-a-time Python, no cross join."""
+    seen = []
+    frame = type(spark.range(1))
+    collect = frame.collect
+
+    def recorded(self):
+        seen.append(_plan(self))
+        return collect(self)
+    monkeypatch.setattr(frame, "collect", recorded)
+    E.queries()[key](spark, SF)
+    assert seen
+    for plan in seen:
+        assert not any(x in plan for x in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct"))
+        assert "BroadcastNestedLoopJoin" not in plan
