@@ -1,5 +1,6 @@
 """Op 2, 8 and 9 against brute force and SQL."""
 
+import math
 import random
 from collections import Counter
 
@@ -74,6 +75,35 @@ def test_topk_of_large_components_few_rows_and_empty_tables(spark):
     assert topk.search(df.filter("vec_id = 1"), F.col("id") % 50 == 0, 5).count() == 0
 
 
+def whole_topk(known, k=5, step=50, scale=256):
+    """Brute force in Python's integers."""
+    m = [(i, [math.floor(scale * x) for x in v]) for i, v in known]
+    for i, v in m:
+        if i % step == 0:
+            near = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in m if j != i)
+            yield from ((i, r + 1, j, -s) for r, (s, j) in enumerate(near[:k]))
+
+
+def test_topk_of_scores_that_crowd_one_bin(spark, monkeypatch):
+    """Intervals nest: scores above the chosen bin must not be counted in the next pass again."""
+    monkeypatch.setattr(topk, "SPARE", 0)
+    rng = np.random.default_rng(3)
+    known = [(i, (1 + 0.01 * rng.normal(size=4)).tolist()) for i in range(1200)]
+    df = spark.createDataFrame(known, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk.search(df, F.col("id") % 50 == 0, 5).collect())) == sorted(whole_topk(known))
+
+
+def test_topk_of_scores_up_to_the_range_of_a_long(spark):
+    """Scores beyond 2**53 and 2**61 are exact, too."""
+    size = 3e6
+    rng = np.random.default_rng(4)
+    known = [(i, (size * rng.uniform(-1, 1, 8)).tolist()) for i in range(100)] + [(150, [size * 2] * 6), (151, [size / 20] * 6), (152, [0.1])]
+    want = sorted(whole_topk(known))
+    assert max(s for *_, s in want) > 2 ** 61 and min(abs(s) for *_, s in want) < 2 ** 53
+    df = spark.createDataFrame(known, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk.search(df, F.col("id") % 50 == 0, 5).collect())) == want
+
+
 def test_topk_equals_sql(spark, tmp_path):
     rng = np.random.default_rng(2)
     df = spark.createDataFrame([(i, rng.normal(size=6).tolist()) for i in range(400)], "vec_id long, embedding array<float>")
