@@ -104,8 +104,8 @@ def align(*frames: DataFrame, keys: Sequence[str], null_keys: str = MATCH,
     columns must be disjoint (M17).  By default the uniqueness is verified
     inside that same aggregation (rows per source and key, the result is
     landed); inputs with repeated keys go through a null-safe full outer
-    join chain instead, which keeps the many-to-many fan-out, so no row is
-    lost.  ``check=True`` raises there instead, ``unique=False`` takes the chain
+    join chain instead (:func:`full_chain`), which keeps the many-to-many fan-out,
+    so no row is lost.  ``check=True`` raises there instead, ``unique=False`` takes the chain
     at once, ``unique=True`` skips the check (the caller vouches for it).
     """
     keys = list(keys)
@@ -114,9 +114,8 @@ def align(*frames: DataFrame, keys: Sequence[str], null_keys: str = MATCH,
     _check_clash(frames, keys)
     if null_keys == DROP:
         frames = [_drop_null_keys(f, keys) for f in frames]
-    chain = lambda: reduce(lambda a, b: join(a, b, keys, "full", null_keys=null_keys), frames)
     if unique is False:
-        return chain()
+        return full_chain(frames, keys, null_keys)
     tagged = [f.withColumn("__src", F.lit(i)) for i, f in enumerate(frames)]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
     values = [c for f in frames for c in f.columns if c not in keys]
@@ -131,11 +130,29 @@ def align(*frames: DataFrame, keys: Sequence[str], null_keys: str = MATCH,
     if dup.limit(1).count():
         drop_scratch(out)
         if not check:
-            return chain()
+            return full_chain(frames, keys, null_keys)
         raise ValueError(f"align: an input is not unique on {keys}; use unique=False")
     return out.drop(*[f"__n{i}" for i in range(len(frames))])
 
 
+def full_chain(frames: Sequence[DataFrame], keys: Sequence[str], null_keys: str = MATCH) -> DataFrame:
+    """Full outer joins of ``frames`` one after the other, keys repeated on any side.
+
+    A full outer join makes all pairs of a key before it hands one on, so a key
+    with many rows on both sides fills the executor's memory.  Each step is
+    therefore a left join, which hands on the matches row by row, plus the rows
+    whose key no earlier frame has (left anti against the distinct keys).
+    """
+    keys, out = list(keys), frames[0]
+    names = [f"__k{i}" for i in range(len(keys))]
+    known = [f.select(*[F.col(k).alias(b) for k, b in zip(keys, names)]) for f in frames]
+    for i, f in enumerate(frames[1:], 1):
+        before = reduce(DataFrame.unionByName, known[:i]).distinct()
+        only = f.join(before, _cond(f, before, keys, names, null_keys), "left_anti")
+        out = join(out, f, keys, "left", null_keys=null_keys).unionByName(only, allowMissingColumns=True)
+    return out
+
+
 def drop_null_period(df: DataFrame, period: str) -> DataFrame:
     """M7: rows that a full join of entity attributes left without a period are dropped."""
     return df.filter(F.col(period).isNotNull())

@@ -1,6 +1,7 @@
 """NULL groups, keys and order values are values like any other (M6)."""
 
 import datetime as dt
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,6 +96,19 @@ def test_joins_match_null_keys_unless_told_otherwise(spark):
     assert {r.in_s for r in joins.coverage_flags(d, {"s": only}, "k").collect() if r.k is None} == {1}
 
 
+@pytest.mark.parametrize("null_keys", ["match", "drop"])
+def test_align_of_repeated_keys_streams_its_matches(spark, null_keys):
+    """A full outer join holds all pairs of a key at once; the chain must not use one, and give its rows."""
+    a = spark.createDataFrame([(1, 10), (1, 11), (1, 11), (2, 1), (None, 7), (None, 8)], "k int, a int")
+    b = spark.createDataFrame([(1, 5), (1, 6), (3, 2), (3, 2), (None, 9)], "k int, b int")
+    c = spark.createDataFrame([(3, 50), (4, 51), (4, 51), (None, 52)], "k int, c int")
+    got = joins.align(a, b, c, keys=["k"], null_keys=null_keys)
+    frames = [f.filter("k IS NOT NULL") if null_keys == "drop" else f for f in (a, b, c)]
+    want = reduce(lambda x, y: joins.join(x, y, ["k"], "full"), frames)
+    assert got.columns == want.columns and rows(got, *want.columns) == rows(want, *want.columns)
+    assert "FullOuter" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_align_never_drops_repeated_keys(spark):
     a = spark.createDataFrame([(1, 10), (1, 11), (2, 1)], "k int, a int")
     b = spark.createDataFrame([(1, 5)], "k int, b int")
