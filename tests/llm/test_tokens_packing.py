@@ -34,6 +34,25 @@ def test_cached_encoding_equals_the_library(path, room):
     assert len(enc.cache) <= room
 
 
+@pytest.mark.parametrize("path", [BYTES])
+def test_closing_marks_and_line_feeds_make_no_new_chunks(path):
+    enc, want = Encoder(path), library(path)
+    words = [a + b for a in ("lor", "ip", "thé", "Dol", "wh") for b in ("em", "sum", "or", "ität")]
+    text = " ".join(f"{w} {w}. {w}, {w}!! {w}\n{w};" for w in words)
+    assert np.frombuffer(enc.encode([text])[0], enc.dtype).tolist() == want(text)
+    assert len(enc.cache) <= 2 * len(words) + 10   # words after a space, words after a line feed, marks
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+@pytest.mark.parametrize("text", [
+    "a\0. b", "\0a. b\nc", "a.\n\nb. c", "a.\x85\nb", "x', y's. z).'' w", "a_. 1. ², é! \u1e9e. b", "</w>. </, w> Ġa. b",
+    "word. " * 9000, "\nA. b", "İx. Ⱥb, ǅ! <|ENDOFTEXT|>. b", "日本. 日,  x", ". , ! ", "a。 b. 　\nc"])
+def test_marks_and_odd_characters_equal_the_library(path, text):
+    for room in (0, 10**6):
+        enc = Encoder(path, cache_entries=room)
+        assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode([text, text])] == [library(path)(text)] * 2
+
+
 # ---- packing ------------------------------------------------------------------------
 def test_tournament_tree_is_first_fit():
     rng = random.Random(2)
