@@ -20,13 +20,18 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from panora.operators.nullsafe import attach
 
 MATCH, DROP = "match", "drop"
 
+#: A key with more than HEAVY pairs of rows is joined in blocks of about BLOCK x BLOCK rows, which are dealt out
+#: to one task per TASK_PAIRS pairs (at most MAX_TASKS tasks, which then take more blocks each).
+HEAVY, BLOCK, TASK_PAIRS, MAX_TASKS = 1 << 16, 2048, 1 << 23, 10_000
+SMALL_TABLE = 10_000  # rows of heavy keys up to which their table is broadcast
+
 
 def hinted(df: DataFrame, broadcast: bool | None) -> DataFrame:
     """``broadcast=True`` only for sides bounded by construction; ``None``
@@ -116,41 +121,114 @@ def align(*frames: DataFrame, keys: Sequence[str], null_keys: str = MATCH,
         frames = [_drop_null_keys(f, keys) for f in frames]
     if unique is False:
         return full_chain(frames, keys, null_keys)
-    tagged = [f.withColumn("__src", F.lit(i)) for i, f in enumerate(frames)]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    stacked = _tagged(frames)
     values = [c for f in frames for c in f.columns if c not in keys]
     aggs = [F.first(c, ignorenulls=True).alias(c) for c in values]
     if unique and not check:
         return stacked.groupBy(*keys).agg(*aggs)
     from panora.sources.writers import cut_lineage, drop_scratch
     # landed: read by the check and by the caller, and no cached copy is left behind
-    out = cut_lineage(stacked.groupBy(*keys).agg(
-        *aggs, *[F.count_if(F.col("__src") == i).alias(f"__n{i}") for i in range(len(frames))]), how="parquet")
+    out = cut_lineage(stacked.groupBy(*keys).agg(*aggs, *_rows_per_frame(frames)), how="parquet")
     dup = out.filter(reduce(lambda a, b: a | b, [F.col(f"__n{i}") > 1 for i in range(len(frames))]))
     if dup.limit(1).count():
+        chain = None if check else full_chain(frames, keys, null_keys, counts=out)
         drop_scratch(out)
         if not check:
-            return full_chain(frames, keys, null_keys)
+            return chain
         raise ValueError(f"align: an input is not unique on {keys}; use unique=False")
     return out.drop(*[f"__n{i}" for i in range(len(frames))])
 
 
-def full_chain(frames: Sequence[DataFrame], keys: Sequence[str], null_keys: str = MATCH) -> DataFrame:
+def _tagged(frames: Sequence[DataFrame]) -> DataFrame:
+    """The rows of all frames, with the frame's number."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                  [f.withColumn("__src", F.lit(i)) for i, f in enumerate(frames)])
+
+
+def _rows_per_frame(frames: Sequence[DataFrame]) -> list[Column]:
+    return [F.count_if(F.col("__src") == i).alias(f"__n{i}") for i in range(len(frames))]
+
+
+def full_chain(frames: Sequence[DataFrame], keys: Sequence[str], null_keys: str = MATCH,
+               counts: DataFrame | None = None) -> DataFrame:
     """Full outer joins of ``frames`` one after the other, keys repeated on any side.
 
     A full outer join makes all pairs of a key before it hands one on, so a key
     with many rows on both sides fills the executor's memory.  Each step is
     therefore a left join, which hands on the matches row by row, plus the rows
     whose key no earlier frame has (left anti against the distinct keys).
+
+    A key can have far more pairs than rows, so the tasks that a step needs
+    follow neither from the size of its inputs nor from the number of keys.
+    Keys with many pairs are therefore joined in blocks (:func:`_block_join`);
+    ``counts`` (rows per key and frame, ``__n0``, ``__n1``, ...) tells which
+    these are, and is made here if not given.
     """
+    from panora.sources.writers import cut_lineage, drop_scratch
     keys, out = list(keys), frames[0]
     names = [f"__k{i}" for i in range(len(keys))]
+    if counts is None:
+        counts = _tagged([f.select(*keys) for f in frames]).groupBy(*keys).agg(*_rows_per_frame(frames))
+    heavy, total = _heavy_keys(counts, keys, names, len(frames))
+    if total["n"]:  # rows are numbered and landed, so that a repeated task cuts them alike
+        frames = [cut_lineage(f.withColumn("__slot", F.monotonically_increasing_id()), how="parquet") for f in frames]
+        out = frames[0]
+    else:
+        drop_scratch(heavy)
     known = [f.select(*[F.col(k).alias(b) for k, b in zip(keys, names)]) for f in frames]
     for i, f in enumerate(frames[1:], 1):
+        f = f.withColumnRenamed("__slot", "__slot_r")
+        pairs, blocks = total[f"p{i}"], None
+        if pairs:
+            h = heavy.filter(F.col(f"__p{i}") > HEAVY).select(
+                *names, "__key", F.col(f"__a{i}").alias("__a"), F.col(f"__b{i}").alias("__b"))
+            h = hinted(h, total["n"] <= SMALL_TABLE)
+            tasks = int(min(max(pairs // TASK_PAIRS, 1), MAX_TASKS))
+            blocks = _block_join(out, f, h, keys, names, tasks, null_keys)
+            out, f = (x.join(h, _cond(x, h, keys, names, null_keys), "left_anti") for x in (out, f))
         before = reduce(DataFrame.unionByName, known[:i]).distinct()
         only = f.join(before, _cond(f, before, keys, names, null_keys), "left_anti")
         out = join(out, f, keys, "left", null_keys=null_keys).unionByName(only, allowMissingColumns=True)
-    return out
+        if blocks is not None:
+            out = out.unionByName(blocks)
+        if total["n"]:
+            out = out.withColumn("__slot", F.xxhash64("__slot", "__slot_r")).drop("__slot_r")
+    return out.drop("__slot")
+
+
+def _heavy_keys(counts: DataFrame, keys: Sequence[str], names: Sequence[str], k: int) -> tuple[DataFrame, Row]:
+    """Keys with more than HEAVY pairs in step i of a chain of ``k`` frames (``__p{i}``), numbered, with the parts
+    to cut their rows into (``__a{i}`` before the step, ``__b{i}`` in frame i), landed; the number of these keys
+    and each step's pairs on them."""
+    from panora.sources.writers import cut_lineage
+    n = [F.col(f"__n{i}").cast("double") for i in range(k)]  # doubles: products of counts pass the range of a long
+    steps, cols = range(1, k), {}
+    for i in steps:
+        # a frame without the key keeps the rows of the others
+        rows = reduce(lambda a, b: a * b, [F.greatest(x, F.lit(1.0)) for x in n[:i]])
+        cols |= {f"__p{i}": F.when(F.greatest(F.lit(0.0), *n[:i]) > 0, rows * n[i]).otherwise(0.0),
+                 f"__a{i}": F.ceil(rows / BLOCK), f"__b{i}": F.ceil(n[i] / BLOCK)}
+    per_key = counts.select(*[F.col(c).alias(b) for c, b in zip(keys, names)], *[c.alias(a) for a, c in cols.items()])
+    some = reduce(lambda a, b: a | b, [F.col(f"__p{i}") > HEAVY for i in steps], F.lit(False))
+    heavy = cut_lineage(per_key.filter(some).withColumn("__key", F.monotonically_increasing_id()), how="parquet")
+    return heavy, heavy.agg(F.count(F.lit(1)).alias("n"), *[
+        F.sum(F.when(F.col(f"__p{i}") > HEAVY, F.col(f"__p{i}"))).alias(f"p{i}") for i in steps]).first()
+
+
+def _block_join(left: DataFrame, right: DataFrame, heavy: DataFrame, keys: Sequence[str], names: Sequence[str],
+                tasks: int, null_keys: str) -> DataFrame:
+    """Inner join on the keys of ``heavy``, whose rows are cut into ``__a`` parts on the left and ``__b`` on the
+    right; each pair of parts is a block of its own, so a key's pairs are spread over the tasks."""
+    def dealt(df: DataFrame, slot: str, own: str, mine: str, other: str, theirs: str) -> DataFrame:
+        return (df.join(heavy, _cond(df, heavy, keys, names, null_keys))
+                .withColumn(mine, F.pmod(F.col(slot), F.col(own)))
+                .withColumn(theirs, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1)))
+                .drop(*names, "__a", "__b").repartition(tasks, "__key", "__i", "__j"))
+
+    values = [c for c in right.columns if c not in keys]
+    l = dealt(left, "__slot", "__a", "__i", "__b", "__j")
+    r = dealt(right, "__slot_r", "__b", "__j", "__a", "__i").drop(*keys)
+    return l.join(r.hint("merge"), ["__key", "__i", "__j"]).select(*left.columns, *values)
 
 
 def drop_null_period(df: DataFrame, period: str) -> DataFrame:

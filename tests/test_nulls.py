@@ -109,6 +109,37 @@ def test_align_of_repeated_keys_streams_its_matches(spark, null_keys):
     assert "FullOuter" not in got._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("null_keys", ["match", "drop"])
+@pytest.mark.parametrize("small_table", [0, 100])
+def test_align_joins_keys_with_many_pairs_in_blocks(spark, monkeypatch, null_keys, small_table):
+    for name, value in {"HEAVY": 5, "BLOCK": 2, "TASK_PAIRS": 8, "SMALL_TABLE": small_table}.items():
+        monkeypatch.setattr(joins, name, value, raising=False)
+    # key 1 is repeated everywhere, with rows that come twice; 2 lacks in b, 3 in a, 4 has few pairs, 5 stands in c only
+    a = spark.createDataFrame([(i // 2, 1) for i in range(9)] + [(7, 2), (8, 2), (9, 2)] + [(0, 4)] + [(i, None) for i in range(4)], "a int, k int")
+    b = spark.createDataFrame([(1, i // 2, "x") for i in range(7)] + [(3, i, "y") for i in range(5)] + [(4, 1, "z"), (4, 2, None), (None, 3, "n"), (None, 3, "n")],
+                              "k int, b int, s string")
+    c = spark.createDataFrame([(k, k * 10 + i) for k in (1, 2, 3, 5) for i in range(3)] + [(None, 1), (None, 2)], "k int, c int")
+    frames = [f.filter("k IS NOT NULL") if null_keys == "drop" else f for f in (a, b, c)]
+    for n in (2, 3):
+        want = reduce(lambda x, y: joins.join(x, y, ["k"], "full"), frames[:n])
+        for unique in (None, False):
+            got = joins.align(*(a, b, c)[:n], keys=["k"], null_keys=null_keys, unique=unique)
+            assert got.columns == want.columns and got.schema.simpleString() == want.schema.simpleString()
+            assert rows(got, *want.columns) == rows(want, *want.columns)
+
+
+def test_align_spreads_the_pairs_of_a_key(spark, monkeypatch):
+    """One key with many rows on both sides is the work of many tasks, however small the inputs are."""
+    monkeypatch.setattr(joins, "BLOCK", 50, raising=False)
+    monkeypatch.setattr(joins, "TASK_PAIRS", 10_000, raising=False)
+    a = spark.range(600, numPartitions=1).select(F.lit(1).alias("k"), F.col("id").alias("a"))
+    b = spark.range(400, numPartitions=1).select(F.lit(1).alias("k"), F.col("id").alias("b"))
+    got = joins.align(a, b, keys=["k"])
+    per_task = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 600 * 400 and max(per_task) < 0.25 * 600 * 400
+    assert got.agg(F.count_distinct("a", "b")).first()[0] == 600 * 400
+
+
 def test_align_never_drops_repeated_keys(spark):
     a = spark.createDataFrame([(1, 10), (1, 11), (2, 1)], "k int, a int")
     b = spark.createDataFrame([(1, 5)], "k int, b int")
